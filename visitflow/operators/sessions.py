@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions import predicates as P
-from visitflow.functions.expressions import day_hour_key, is_present, ratio_half_up, seconds_between
+from visitflow.functions.expressions import is_present, ratio_half_up, seconds_between
 from visitflow.operators.joins import broadcast_if_small
 
 # Session-length buckets, upper bounds inclusive, lower exclusive.
@@ -175,9 +175,11 @@ def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-__all__ = [
-    "VISIT_LENGTH_BUCKETS", "STEP_LENGTH_BUCKETS", "aggregate_sessions", "sessions_as_text",
-    "list_text", "dedup_users", "session_profile", "SessionFilter", "session_condition",
-    "filter_sessions", "session_stats", "stat_ratios", "sessions_per_hour", "session_detail",
-    "day_hour_key",
-]
+def bucket_rows(stats: DataFrame, prefix: str) -> DataFrame:
+    """Long form of the ``prefix``-ed bucket columns of ``session_stats``:
+    one row (bucket, session_count) per bucket, empty buckets included."""
+    cols = [c for c in stats.columns if c.startswith(prefix)]
+    return (stats.select(*cols)
+            .unpivot([], cols, "bucket", "session_count")
+            .select(F.expr(f"substring(bucket, {len(prefix) + 1})").alias("bucket"),
+                    F.col("session_count").cast("bigint")))

@@ -14,7 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from visitflow.operators import categories as C
+from visitflow.operators import funnel as FN
 from visitflow.operators import sessions as S
+from visitflow.sources import sinks as SK
 from visitflow.sources.adapter import TestTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +60,153 @@ def q_category_counts(spark, sf_dir):
 @query("top10_categories")
 def q_top10_categories(spark, sf_dir):
     return C.top_categories(C.category_counts(_t(spark, sf_dir).actions()), 10)
+
+
+# ---------------------------------------------------------------- sessions
+# Fixed query parameters (documented; the SQL twins use the same values).
+AGE_FILTER = dict(start_age=12, end_age=60)
+COMPOSITE_FILTER = dict(start_date="2024-01-03", end_date="2024-01-27", start_age=20, end_age=50,
+                        professionals="AUTOMOBILE,BUILDING,HOUSEHOLD", cities=None, sex=None,
+                        keywords=None, category_ids=None)
+
+
+def _stats_sessions(t: TestTables) -> DataFrame:
+    return S.filter_sessions(_profile(t), S.SessionFilter(**AGE_FILTER))
+
+
+@query("visits_in_range")
+def q_visits_in_range(spark, sf_dir):
+    """Visit-log rows dated 2024-01-10 .. 2024-01-20 (inclusive)."""
+    return _t(spark, sf_dir).actions("2024-01-10", "2024-01-20")
+
+
+@query("session_keywords")
+def q_session_keywords(spark, sf_dir):
+    """A2: distinct search keywords per session."""
+    return S.sessions_as_text(_sessions(_t(spark, sf_dir))).select("session_id", "search_keywords")
+
+
+@query("session_categories")
+def q_session_categories(spark, sf_dir):
+    """A3: distinct clicked categories per session."""
+    return S.sessions_as_text(_sessions(_t(spark, sf_dir))).select("session_id", "click_category_ids")
+
+
+def _filtered(spark, sf_dir, **kw):
+    return S.sessions_as_text(S.filter_sessions(_profile(_t(spark, sf_dir)), S.SessionFilter(**kw)))
+
+
+@query("filter_age")
+def q_filter_age(spark, sf_dir):
+    """sessions of users aged 20..50."""
+    return _filtered(spark, sf_dir, start_age=20, end_age=50)
+
+
+@query("filter_profession")
+def q_filter_profession(spark, sf_dir):
+    """F2 (scalar): professions BUILDING or MACHINERY."""
+    return _filtered(spark, sf_dir, professionals="BUILDING,MACHINERY")
+
+
+@query("filter_sex")
+def q_filter_sex(spark, sf_dir):
+    """sex = woman."""
+    return _filtered(spark, sf_dir, sex="woman")
+
+
+@query("filter_keywords")
+def q_filter_keywords(spark, sf_dir):
+    """F2 (list): sessions that searched kw1 or kw3."""
+    return _filtered(spark, sf_dir, keywords="kw1,kw3")
+
+
+@query("filter_categories")
+def q_filter_categories(spark, sf_dir):
+    """F2 (list): sessions that clicked category 2, 50 or 77."""
+    return _filtered(spark, sf_dir, category_ids="2,50,77")
+
+
+@query("filtered_sessions")
+def q_filtered_sessions(spark, sf_dir):
+    """composite filter (COMPOSITE_FILTER)."""
+    return _filtered(spark, sf_dir, **COMPOSITE_FILTER)
+
+
+@query("session_stats")
+def q_session_stats(spark, sf_dir):
+    """Bucket counts of sessions of users aged 12..60."""
+    return S.session_stats(_stats_sessions(_t(spark, sf_dir)))
+
+
+@query("visit_length_buckets")
+def q_visit_length_buckets(spark, sf_dir):
+    """A4 in long form: (bucket, session_count)."""
+    return S.bucket_rows(S.session_stats(_stats_sessions(_t(spark, sf_dir))), "visit_len_")
+
+
+@query("step_length_buckets")
+def q_step_length_buckets(spark, sf_dir):
+    """A5 in long form: (bucket, session_count)."""
+    return S.bucket_rows(S.session_stats(_stats_sessions(_t(spark, sf_dir))), "step_len_")
+
+
+@query("session_stat_ratios")
+def q_session_stat_ratios(spark, sf_dir):
+    """Bucket / session_count, HALF_UP to 2 digits."""
+    return S.stat_ratios(S.session_stats(_stats_sessions(_t(spark, sf_dir))))
+
+
+@query("sessions_per_hour")
+def q_sessions_per_hour(spark, sf_dir):
+    """Sessions per start day and hour."""
+    return S.sessions_per_hour(_sessions(_t(spark, sf_dir)))
+
+
+@query("session_detail")
+def q_session_detail(spark, sf_dir):
+    """Visit-log rows of the sessions passing COMPOSITE_FILTER."""
+    t = _t(spark, sf_dir)
+    kept = S.filter_sessions(_profile(t), S.SessionFilter(**COMPOSITE_FILTER))
+    return S.session_detail(t.actions(), kept)
+
+
+# ---------------------------------------------------------------- funnel
+FLOW = "1,2,3,4,5,6,7,8,9"
+
+
+@query("page_transitions")
+def q_page_transitions(spark, sf_dir):
+    """Each action with the previous page of its session."""
+    return FN.page_transitions(_t(spark, sf_dir).actions())
+
+
+@query("page_flow_matches")
+def q_page_flow_matches(spark, sf_dir):
+    """Page pairs matching a step of flow 1..9, with counts."""
+    return FN.page_flow_matches(_t(spark, sf_dir).actions(), FLOW)
+
+
+@query("page_split_pv")
+def q_page_split_pv(spark, sf_dir):
+    """Every step of flow 1..9 with its pair count."""
+    return FN.page_split_pv(_t(spark, sf_dir).actions(), FLOW)
+
+
+@query("start_page_pv")
+def q_start_page_pv(spark, sf_dir):
+    """Views of page 1."""
+    return FN.start_page_pv(_t(spark, sf_dir).actions(), FLOW)
+
+
+@query("page_convert_rate")
+def q_page_convert_rate(spark, sf_dir):
+    """Step conversion rates of flow 1..9."""
+    return FN.page_convert_rate(_t(spark, sf_dir).actions(), FLOW)
+
+
+@query("page_rate_report")
+def q_page_rate_report(spark, sf_dir):
+    """The rates as 'split=rate|...' text for task 1, written to and read
+    back from a table in the shared folder."""
+    rates = FN.page_convert_rate(_t(spark, sf_dir).actions(), FLOW)
+    return SK.write_and_read(FN.rate_report(rates, 1), "page_rate_report")

@@ -88,3 +88,95 @@ SELECT category_id, click_count, order_count, pay_count,
        CAST(row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC,
                                category_id DESC) AS INTEGER) AS rank
 FROM catc ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id DESC LIMIT 10""")
+
+# ---------------------------------------------------------------- sessions
+UVA_COLS = ("visit_date, user_id, session_id, page_id, action_time, event_id, search_keyword, "
+            "click_category_id, click_product_id, order_category_ids, pay_category_ids, city_id")
+PROF_COLS = SESSION_COLS + ", age, professional, city, sex"
+
+oracle("visits_in_range", f"SELECT {UVA_COLS} FROM uva "
+       "WHERE visit_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'")
+oracle("session_keywords", "SELECT session_id, search_keywords FROM ses")
+oracle("session_categories", "SELECT session_id, click_category_ids FROM ses")
+oracle("filter_age", f"SELECT {PROF_COLS} FROM prof WHERE age BETWEEN 20 AND 50")
+oracle("filter_profession", f"SELECT {PROF_COLS} FROM prof WHERE professional IN ('BUILDING', 'MACHINERY')")
+oracle("filter_sex", f"SELECT {PROF_COLS} FROM prof WHERE sex = 'woman'")
+oracle("filter_keywords", f"""SELECT {PROF_COLS} FROM prof WHERE session_id IN (
+  SELECT session_id FROM uva WHERE search_keyword IN ('kw1', 'kw3'))""")
+oracle("filter_categories", f"""SELECT {PROF_COLS} FROM prof WHERE session_id IN (
+  SELECT session_id FROM uva WHERE click_category_id IN (2, 50, 77))""")
+COMPOSITE_WHERE = ("CAST(start_time AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-27' "
+                   "AND age BETWEEN 20 AND 50 AND professional IN ('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD')")
+oracle("filtered_sessions", f"SELECT {PROF_COLS} FROM prof WHERE {COMPOSITE_WHERE}")
+
+VISIT_BUCKETS = [("1s_3s", 0, 3), ("4s_6s", 3, 6), ("7s_9s", 6, 9), ("10s_30s", 9, 30),
+                 ("30s_60s", 30, 60), ("1m_3m", 60, 180), ("3m_10m", 180, 600),
+                 ("10m_30m", 600, 1800), ("30m", 1800, None)]
+STEP_BUCKETS = [("1_3", 0, 3), ("4_6", 3, 6), ("7_9", 6, 9), ("10_30", 9, 30),
+                ("30_60", 30, 60), ("60", 60, None)]
+
+
+def _cond(col, lo, hi):
+    return f"{col} > {lo}" + (f" AND {col} <= {hi}" if hi is not None else "")
+
+
+_stat_cols = ["CAST(count(*) AS BIGINT) AS session_count"]
+_stat_cols += [f"CAST(count(*) FILTER (WHERE {_cond('visit_length', lo, hi)}) AS BIGINT) AS visit_len_{n}"
+               for n, lo, hi in VISIT_BUCKETS]
+_stat_cols += [f"CAST(count(*) FILTER (WHERE {_cond('step_length', lo, hi)}) AS BIGINT) AS step_len_{n}"
+               for n, lo, hi in STEP_BUCKETS]
+STATS_SQL = f"SELECT {', '.join(_stat_cols)} FROM prof WHERE age BETWEEN 12 AND 60"
+oracle("session_stats", STATS_SQL)
+oracle("visit_length_buckets", f", st AS ({STATS_SQL})\n" + " UNION ALL ".join(
+    f"SELECT '{n}' AS bucket, visit_len_{n} AS session_count FROM st" for n, _, _ in VISIT_BUCKETS))
+oracle("step_length_buckets", f", st AS ({STATS_SQL})\n" + " UNION ALL ".join(
+    f"SELECT '{n}' AS bucket, step_len_{n} AS session_count FROM st" for n, _, _ in STEP_BUCKETS))
+
+
+def _half_up(n, d):
+    return f"CASE WHEN {d} > 0 THEN CAST((200 * {n} + {d}) // (2 * {d}) AS DOUBLE) / 100 END"
+
+
+_ratio_cols = [f"{_half_up(f'visit_len_{n}', 'session_count')} AS visit_len_{n}_ratio" for n, _, _ in VISIT_BUCKETS]
+_ratio_cols += [f"{_half_up(f'step_len_{n}', 'session_count')} AS step_len_{n}_ratio" for n, _, _ in STEP_BUCKETS]
+oracle("session_stat_ratios", f", st AS ({STATS_SQL})\nSELECT session_count, {', '.join(_ratio_cols)} FROM st")
+oracle("sessions_per_hour", """
+SELECT CAST(start_time AS DATE) AS visit_day, CAST(hour(start_time) AS INTEGER) AS hour,
+       strftime(start_time, '%Y-%m-%d_%H') AS day_hour, CAST(count(*) AS BIGINT) AS session_count
+FROM ses GROUP BY 1, 2, 3""")
+oracle("session_detail", f"""SELECT {UVA_COLS} FROM uva WHERE session_id IN (
+  SELECT session_id FROM prof WHERE {COMPOSITE_WHERE})""")
+
+# ---------------------------------------------------------------- funnel
+FLOW_VALUES = "(1, 1, 2), (2, 2, 3), (3, 3, 4), (4, 4, 5), (5, 5, 6), (6, 6, 7), (7, 7, 8), (8, 8, 9)"
+FUNNEL_CTES = f"""
+, ordered AS (
+  SELECT session_id, event_id, action_time, page_id,
+         lag(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS prev_page_id,
+         row_number() OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS rn
+  FROM uva),
+flow AS (SELECT step, from_page, to_page, concat(from_page, '_', to_page) AS split
+         FROM (VALUES {FLOW_VALUES}) t(step, from_page, to_page)),
+matched AS (
+  SELECT f.step, f.split, CAST(count(*) AS BIGINT) AS pair_count
+  FROM ordered o JOIN flow f ON o.prev_page_id = f.from_page AND o.page_id = f.to_page
+  WHERE o.rn > 1 GROUP BY f.step, f.split),
+spv AS (
+  SELECT f.step, f.split, CAST(coalesce(m.pair_count, 0) AS BIGINT) AS split_pv
+  FROM flow f LEFT JOIN matched m USING (step)),
+startpv AS (SELECT CAST(count(*) FILTER (WHERE page_id = 1) AS BIGINT) AS start_page_pv FROM uva),
+rates AS (
+  SELECT step, split, split_pv,
+         CAST(coalesce(lag(split_pv) OVER (ORDER BY step), (SELECT start_page_pv FROM startpv)) AS BIGINT) AS prev_pv
+  FROM spv)
+"""
+oracle("page_transitions", FUNNEL_CTES + "SELECT session_id, event_id, action_time, page_id, prev_page_id FROM ordered")
+oracle("page_flow_matches", FUNNEL_CTES + "SELECT step, split, pair_count FROM matched")
+oracle("page_split_pv", FUNNEL_CTES + "SELECT step, split, split_pv FROM spv")
+oracle("start_page_pv", FUNNEL_CTES + "SELECT start_page_pv FROM startpv")
+oracle("page_convert_rate", FUNNEL_CTES +
+       f"SELECT step, split, split_pv, prev_pv, {_half_up('split_pv', 'prev_pv')} AS rate FROM rates")
+oracle("page_rate_report", FUNNEL_CTES + f"""
+SELECT CAST(1 AS BIGINT) AS task_id,
+       string_agg(split || '=' || coalesce(CAST(rate AS VARCHAR), ''), '|' ORDER BY step) AS report
+FROM (SELECT step, split, {_half_up('split_pv', 'prev_pv')} AS rate FROM rates)""")
