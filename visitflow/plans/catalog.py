@@ -12,9 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from visitflow.operators import area as A
 from visitflow.operators import categories as C
 from visitflow.operators import funnel as FN
+from visitflow.operators import sampling as Y
 from visitflow.operators import sessions as S
 from visitflow.sources import sinks as SK
 from visitflow.sources.adapter import TestTables
@@ -210,3 +213,139 @@ def q_page_rate_report(spark, sf_dir):
     back from a table in the shared folder."""
     rates = FN.page_convert_rate(_t(spark, sf_dir).actions(), FLOW)
     return SK.write_and_read(FN.rate_report(rates, 1), "page_rate_report")
+
+
+# ---------------------------------------------------------------- categories
+@query("touched_categories")
+def q_touched_categories(spark, sf_dir):
+    """Categories clicked, ordered or paid."""
+    return C.touched_categories(_t(spark, sf_dir).actions())
+
+
+@query("category_clicks")
+def q_category_clicks(spark, sf_dir):
+    """Clicks per category."""
+    return C.category_clicks(_t(spark, sf_dir).actions())
+
+
+@query("category_clicks_salted")
+def q_category_clicks_salted(spark, sf_dir):
+    """A10: salted two-phase click count (equals A9)."""
+    return C.category_clicks_salted(_t(spark, sf_dir).actions(), 10)
+
+
+@query("category_orders")
+def q_category_orders(spark, sf_dir):
+    """Orders per category."""
+    return C.category_orders(_t(spark, sf_dir).actions())
+
+
+@query("category_pays")
+def q_category_pays(spark, sf_dir):
+    """Payments per category."""
+    return C.category_pays(_t(spark, sf_dir).actions())
+
+
+@query("categories_ranked")
+def q_categories_ranked(spark, sf_dir):
+    """O1: all categories in rank order."""
+    return C.rank_categories(C.category_counts(_t(spark, sf_dir).actions()))
+
+
+@query("session_category_clicks")
+def q_session_category_clicks(spark, sf_dir):
+    """Clicks per (category, session)."""
+    return C.session_category_clicks(_t(spark, sf_dir).actions())
+
+
+@query("top10_sessions_per_category")
+def q_top10_sessions_per_category(spark, sf_dir):
+    """Top-10 sessions of every clicked category."""
+    return C.top_sessions_per_category(C.session_category_clicks(_t(spark, sf_dir).actions()), 10)
+
+
+@query("top_sessions_for_top_categories")
+def q_top_sessions_for_top_categories(spark, sf_dir):
+    """J4 + R1: top-10 sessions of each of the top-10 categories."""
+    return C.top_sessions_for_top_categories(_t(spark, sf_dir).actions(), 10, 10)
+
+
+# ---------------------------------------------------------------- area
+# Fixed query parameter: tiers for the test regions (MIDDLE EAST falls to D).
+TEST_TIERS = {"A级": ("AMERICA", "EUROPE"), "B级": ("ASIA",), "C级": ("AFRICA",)}
+
+
+def _clicks_city(t: TestTables) -> DataFrame:
+    return A.clicks_with_city(A.product_clicks(t.actions()), t.cities())
+
+
+def _area_clicks(t: TestTables) -> DataFrame:
+    return A.with_area_level(A.area_product_clicks(_clicks_city(t)), TEST_TIERS)
+
+
+@query("product_clicks")
+def q_product_clicks(spark, sf_dir):
+    """clicks with a product id."""
+    return A.product_clicks(_t(spark, sf_dir).actions())
+
+
+@query("product_clicks_by_city")
+def q_product_clicks_by_city(spark, sf_dir):
+    """Clicks joined to the city dimension."""
+    return _clicks_city(_t(spark, sf_dir))
+
+
+@query("city_labels")
+def q_city_labels(spark, sf_dir):
+    """X12 / U1: 'id:name' label of every click's city, through the SQL function."""
+    A.register_sql_functions(spark)
+    _clicks_city(_t(spark, sf_dir)).createOrReplaceTempView("vf_clicks_city")
+    return spark.sql("SELECT event_id, concat_long_string(city_id, city_name, ':') AS city_label "
+                     "FROM vf_clicks_city")
+
+
+@query("area_product_clicks")
+def q_area_product_clicks(spark, sf_dir):
+    """A16 + U2: clicks per (area, product) with the distinct city list."""
+    return A.area_product_clicks(_clicks_city(_t(spark, sf_dir)))
+
+
+@query("area_level")
+def q_area_level(spark, sf_dir):
+    """F8: A16 rows with the tier of their area (TEST_TIERS)."""
+    return _area_clicks(_t(spark, sf_dir))
+
+
+@query("area_top3_products")
+def q_area_top3_products(spark, sf_dir):
+    """R2: top-3 products per area."""
+    return A.top_products_per_area(_area_clicks(_t(spark, sf_dir)), 3)
+
+
+# ---------------------------------------------------------------- sampling
+@query("session_sample")
+def q_session_sample(spark, sf_dir):
+    """Stratified sample, N = 100, seed 42."""
+    return Y.stratified_sample(_sessions(_t(spark, sf_dir)).drop("keywords", "category_ids"), 100, 42)
+
+
+@query("session_sample_2000")
+def q_session_sample_2000(spark, sf_dir):
+    """Stratified sample, N = 2000, seed 42 (quotas above 1)."""
+    return Y.stratified_sample(_sessions(_t(spark, sf_dir)).drop("keywords", "category_ids"), 2000, 42)
+
+
+@query("sessions_per_day")
+def q_sessions_per_day(spark, sf_dir):
+    """Hour counts with their day total, quota inputs of the sample."""
+    s = _sessions(_t(spark, sf_dir)).select(F.to_date("start_time").alias("visit_day"),
+                                            F.hour("start_time").alias("hour"))
+    return Y.hour_quotas(s, 100)
+
+
+@query("session_sample_detail")
+def q_session_sample_detail(spark, sf_dir):
+    """Visit-log rows of the N = 100 sample."""
+    t = _t(spark, sf_dir)
+    sample = Y.stratified_sample(_sessions(t).drop("keywords", "category_ids"), 100, 42)
+    return Y.sample_detail(t.actions(), sample)

@@ -180,3 +180,87 @@ oracle("page_rate_report", FUNNEL_CTES + f"""
 SELECT CAST(1 AS BIGINT) AS task_id,
        string_agg(split || '=' || coalesce(CAST(rate AS VARCHAR), ''), '|' ORDER BY step) AS report
 FROM (SELECT step, split, {_half_up('split_pv', 'prev_pv')} AS rate FROM rates)""")
+
+# ---------------------------------------------------------------- categories
+oracle("touched_categories", "SELECT DISTINCT category_id FROM touch")
+oracle("category_clicks", "SELECT category_id, CAST(count(*) AS BIGINT) AS click_count FROM touch "
+       "WHERE kind = 'click' GROUP BY category_id")
+oracle("category_clicks_salted", "SELECT category_id, CAST(count(*) AS BIGINT) AS click_count FROM touch "
+       "WHERE kind = 'click' GROUP BY category_id")
+oracle("category_orders", "SELECT category_id, CAST(count(*) AS BIGINT) AS order_count FROM touch "
+       "WHERE kind = 'order' GROUP BY category_id")
+oracle("category_pays", "SELECT category_id, CAST(count(*) AS BIGINT) AS pay_count FROM touch "
+       "WHERE kind = 'pay' GROUP BY category_id")
+oracle("categories_ranked", "SELECT category_id, click_count, order_count, pay_count FROM catc "
+       "ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id DESC")
+SCC = ("scc AS (SELECT category_id, session_id, CAST(count(*) AS BIGINT) AS click_count FROM touch "
+       "WHERE kind = 'click' GROUP BY category_id, session_id)")
+oracle("session_category_clicks", f", {SCC}\nSELECT category_id, session_id, click_count FROM scc")
+oracle("top10_sessions_per_category", f""", {SCC}
+SELECT * FROM (
+  SELECT category_id, session_id, click_count,
+         CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id DESC)
+              AS INTEGER) AS rank
+  FROM scc) WHERE rank <= 10""")
+oracle("top_sessions_for_top_categories", f""", {SCC},
+topc AS (
+  SELECT category_id, CAST(row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC,
+                                              category_id DESC) AS INTEGER) AS category_rank
+  FROM catc ORDER BY category_rank LIMIT 10)
+SELECT * FROM (
+  SELECT scc.category_id, session_id, click_count, category_rank,
+         CAST(row_number() OVER (PARTITION BY scc.category_id ORDER BY click_count DESC, session_id DESC)
+              AS INTEGER) AS rank
+  FROM scc JOIN topc USING (category_id)) WHERE rank <= 10""")
+
+# ---------------------------------------------------------------- area
+AREA_CTES = """
+, pc AS (SELECT event_id, city_id, click_product_id AS product_id FROM uva
+         WHERE click_product_id IS NOT NULL AND upper(trim(CAST(click_product_id AS VARCHAR))) <> 'NULL'),
+pcc AS (SELECT pc.city_id, pc.event_id, pc.product_id, cty.city_name, cty.area FROM pc JOIN cty USING (city_id)),
+apc AS (SELECT area, product_id, CAST(count(*) AS BIGINT) AS click_count,
+               string_agg(DISTINCT concat(CAST(city_id AS VARCHAR), ':', city_name), ','
+                          ORDER BY concat(CAST(city_id AS VARCHAR), ':', city_name)) AS city_infos
+        FROM pcc GROUP BY area, product_id),
+apl AS (SELECT *, CASE WHEN area IN ('AMERICA', 'EUROPE') THEN 'A级' WHEN area IN ('ASIA') THEN 'B级'
+                       WHEN area IN ('AFRICA') THEN 'C级' ELSE 'D级' END AS area_level FROM apc)
+"""
+oracle("product_clicks", AREA_CTES + "SELECT event_id, city_id, product_id FROM pc")
+oracle("product_clicks_by_city", AREA_CTES + "SELECT city_id, event_id, product_id, city_name, area FROM pcc")
+oracle("city_labels", AREA_CTES + "SELECT event_id, concat(CAST(city_id AS VARCHAR), ':', city_name) AS city_label FROM pcc")
+oracle("area_product_clicks", AREA_CTES + "SELECT area, product_id, click_count, city_infos FROM apc")
+oracle("area_level", AREA_CTES + "SELECT area, product_id, click_count, city_infos, area_level FROM apl")
+oracle("area_top3_products", AREA_CTES + """
+SELECT * FROM (
+  SELECT area, product_id, click_count, city_infos, area_level,
+         CAST(row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id ASC) AS INTEGER) AS rank
+  FROM apl) WHERE rank <= 3""")
+
+
+# ---------------------------------------------------------------- sampling
+def _sample_ctes(n: int, seed: int = 42) -> str:
+    return f"""
+, sh AS (SELECT session_id, user_id, start_time, end_time, visit_length, step_length,
+                CAST(start_time AS DATE) AS visit_day, CAST(hour(start_time) AS INTEGER) AS hour FROM ses),
+hc AS (SELECT visit_day, hour, CAST(count(*) AS BIGINT) AS hour_cnt FROM sh GROUP BY visit_day, hour),
+dc AS (SELECT visit_day, CAST(sum(hour_cnt) AS BIGINT) AS day_cnt FROM hc GROUP BY visit_day),
+nd AS (SELECT CAST(count(*) AS BIGINT) AS n_days FROM dc),
+q AS (SELECT hc.visit_day, hc.hour, hour_cnt, day_cnt, n_days,
+             CAST(greatest(1, (hour_cnt * ({n} // n_days)) // day_cnt) AS BIGINT) AS quota
+      FROM hc JOIN dc USING (visit_day) CROSS JOIN nd),
+ranked AS (
+  SELECT sh.*, CAST(row_number() OVER (PARTITION BY visit_day, hour
+                                       ORDER BY md5('{seed}_' || session_id), session_id) AS INTEGER) AS sample_rank
+  FROM sh),
+smp AS (
+  SELECT r.session_id, r.user_id, r.start_time, r.end_time, r.visit_length, r.step_length,
+         r.visit_day, r.hour, q.quota, r.sample_rank
+  FROM ranked r JOIN q USING (visit_day, hour) WHERE r.sample_rank <= q.quota)
+"""
+
+
+oracle("session_sample", _sample_ctes(100) + "SELECT * FROM smp")
+oracle("session_sample_2000", _sample_ctes(2000) + "SELECT * FROM smp")
+oracle("sessions_per_day", _sample_ctes(100) + "SELECT visit_day, hour, hour_cnt, day_cnt, n_days, quota FROM q")
+oracle("session_sample_detail", _sample_ctes(100) +
+       f"SELECT {UVA_COLS} FROM uva WHERE session_id IN (SELECT session_id FROM smp)")
