@@ -1,38 +1,22 @@
 """Page single-step conversion.
 
-Previous-page lookup without one task per session
--------------------------------------------------
-A plain ``lag(page_id) over (partition by session_id order by time)`` puts a
-whole session into one task; one bot session holding a third of the log would
-then be a single task. Here the order is split in two levels:
-
-1. rows are windowed per (session_id, time bucket) - a hot session spreads
-   over as many tasks as it has buckets;
-2. one summary row per (session_id, bucket) - first page, last page - is
-   windowed per session to find the last page of the previous non-empty
-   bucket. That table has at most one row per bucket, so even a year-long
-   session is a few thousand rows at hourly buckets.
-
-The pair of a bucket's first row is (previous bucket's last page, first
-page); all other pairs come from the in-bucket lag. For counting pairs no
-join is needed at all: in-bucket pairs and boundary pairs are unioned and
-aggregated with map-side partial counts.
+Consecutive page pairs come from ``visitflow.operators.ordering`` (previous
+row inside a session, split by time bucket so a hot session is not one
+task). Pairs are counted with map-side partial aggregation before they meet
+the flow, which is parameter-sized and broadcast.
 """
 
 from __future__ import annotations
 
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitflow.functions.expressions import ratio_half_up, seconds_between
+from visitflow.functions.expressions import ratio_half_up
 from visitflow.operators.joins import broadcast_bounded
+from visitflow.operators.ordering import DEFAULT_BUCKET_SECONDS, consecutive_pairs, with_previous
 
 # Fixed value: the default target page flow.
 DEFAULT_FLOW = (1, 2, 3, 4, 5, 6, 7, 8, 9)
-DEFAULT_BUCKET_SECONDS = 3600
-
-_ORDER = ("action_time", "event_id")
 
 
 def parse_flow(flow) -> list[int]:
@@ -42,61 +26,18 @@ def parse_flow(flow) -> list[int]:
     return [int(x) for x in flow]
 
 
-def _bucket(bucket_seconds: int) -> Column:
-    secs = seconds_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                           F.col("action_time").cast("timestamp_ntz"))
-    return F.floor(secs / F.lit(bucket_seconds)).cast("bigint")
-
-
-def _ordered(actions: DataFrame, bucket_seconds: int) -> DataFrame:
-    """P1 inside buckets: row order and in-bucket previous page."""
-    w = Window.partitionBy("session_id", "bucket").orderBy(*_ORDER)
-    return (actions.select("session_id", "event_id", "action_time", "page_id",
-                           _bucket(bucket_seconds).alias("bucket"))
-            .withColumn("_rn", F.row_number().over(w))
-            .withColumn("_lag", F.lag("page_id").over(w)))
-
-
-def _bucket_edges(ordered: DataFrame) -> DataFrame:
-    """Per (session, bucket): first and last page, and the last page of the
-    previous non-empty bucket of the same session (NULL for the first)."""
-    key = F.struct(*_ORDER)
-    summary = ordered.groupBy("session_id", "bucket").agg(
-        F.min_by("page_id", key).alias("first_page"),
-        F.max_by("page_id", key).alias("last_page"))
-    w = Window.partitionBy("session_id").orderBy("bucket")
-    return (summary
-            .withColumn("prev_last_page", F.lag("last_page").over(w))
-            .withColumn("is_first_bucket", F.lag("bucket").over(w).isNull()))
-
-
 def page_transitions(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Every action with the page of the action before it in the session.
 
     Columns: session_id, event_id, action_time, page_id, prev_page_id (NULL for
     the first action of a session).
     """
-    ordered = _ordered(actions, bucket_seconds)
-    inner = ordered.where(F.col("_rn") > 1).select(
-        "session_id", "event_id", "action_time", "page_id", F.col("_lag").alias("prev_page_id"))
-    edges = _bucket_edges(ordered).select("session_id", "bucket", "prev_last_page")
-    first = (ordered.where(F.col("_rn") == 1)
-             .join(edges, ["session_id", "bucket"])
-             .select("session_id", "event_id", "action_time", "page_id",
-                     F.col("prev_last_page").alias("prev_page_id")))
-    return inner.unionByName(first)
+    return with_previous(actions, ["page_id"], bucket_seconds=bucket_seconds)
 
 
 def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Consecutive (prev_page_id, page_id) pairs of every session, one row per
-    pair; no join (see module notes)."""
-    ordered = _ordered(actions, bucket_seconds)
-    inner = ordered.where(F.col("_rn") > 1).select(
-        F.col("_lag").alias("prev_page_id"), "page_id")
-    boundary = (_bucket_edges(ordered).where(~F.col("is_first_bucket"))
-                .select(F.col("prev_last_page").alias("prev_page_id"),
-                        F.col("first_page").alias("page_id")))
-    return inner.unionByName(boundary)
+    """Consecutive (prev_page_id, page_id) pairs of every session."""
+    return consecutive_pairs(actions, "page_id", bucket_seconds)
 
 
 def flow_steps(spark: SparkSession, flow=DEFAULT_FLOW) -> DataFrame:

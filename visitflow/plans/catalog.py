@@ -16,10 +16,15 @@ from pyspark.sql import functions as F
 
 from visitflow.operators import area as A
 from visitflow.operators import categories as C
+from visitflow.functions import expressions as X
 from visitflow.operators import funnel as FN
+from visitflow.operators import ordering as O
+from visitflow.operators import records as R
 from visitflow.operators import sampling as Y
 from visitflow.operators import sessions as S
+from visitflow.sources import quality as Q
 from visitflow.sources import sinks as SK
+from visitflow.sources import synth as G
 from visitflow.sources.adapter import TestTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -349,3 +354,112 @@ def q_session_sample_detail(spark, sf_dir):
     t = _t(spark, sf_dir)
     sample = Y.stratified_sample(_sessions(t).drop("keywords", "category_ids"), 100, 42)
     return Y.sample_detail(t.actions(), sample)
+
+
+# ---------------------------------------------------------------- scalar functions
+@query("normalized_action_times")
+def q_normalized_action_times(spark, sf_dir):
+    """Unpadded 'yyyy-MM-dd H:m:s' text of every event time, parsed
+    back, and re-padded to two digits per component."""
+    ev = _t(spark, sf_dir).raw("events").select("event_id", "ts")
+    raw = F.date_format("ts", "yyyy-MM-dd H:m:s")
+    hms = F.split(F.split(F.col("raw_time"), " ")[1], ":")
+    return (ev.select("event_id", raw.alias("raw_time"))
+            .select("event_id", "raw_time", X.parse_time("raw_time").alias("action_time"),
+                    F.concat(F.split(F.col("raw_time"), " ")[0], F.lit(" "), X.pad2(hms[0]), F.lit(":"),
+                             X.pad2(hms[1]), F.lit(":"), X.pad2(hms[2])).alias("padded_time")))
+
+
+@query("event_gap_seconds")
+def q_event_gap_seconds(spark, sf_dir):
+    """Seconds since the previous action of the same session."""
+    prev = O.with_previous(_t(spark, sf_dir).actions(), ["action_time"])
+    return prev.select("session_id", "event_id", "action_time", "prev_action_time",
+                       X.seconds_between("prev_action_time", "action_time").alias("gap_seconds"),
+                       X.is_after("action_time", "prev_action_time").alias("is_later"))
+
+
+@query("normalized_id_lists")
+def q_normalized_id_lists(spark, sf_dir):
+    """Order / pay id lists split, blanks dropped, cast to ids."""
+    a = _t(spark, sf_dir).actions()
+    raw = F.coalesce("order_category_ids", "pay_category_ids")
+    ids = X.id_list(F.col("raw_ids"))
+    return (a.where(F.col("order_category_ids").isNotNull() | F.col("pay_category_ids").isNotNull())
+            .select("event_id",
+                    F.when(F.col("order_category_ids").isNotNull(), "order").otherwise("pay").alias("kind"),
+                    raw.alias("raw_ids"))
+            .select("event_id", "kind", "raw_ids",
+                    F.array_join(ids.cast("array<string>"), ",").alias("ids"),
+                    F.size(ids).alias("id_count")))
+
+
+KV_FIELDS = ("user_id", "visit_length", "step_length", "search_keywords", "click_category_ids")
+KV_TYPES = {"user_id": "bigint", "visit_length": "bigint", "step_length": "bigint",
+            "search_keywords": "string", "click_category_ids": "string"}
+
+
+def _kv_export(t: TestTables) -> DataFrame:
+    return R.export_kv(S.sessions_as_text(_sessions(t)), "session_id", KV_FIELDS)
+
+
+@query("kv_records_export")
+def q_kv_records_export(spark, sf_dir):
+    """Session aggregates as 'k=v|k=v' text."""
+    return _kv_export(_t(spark, sf_dir))
+
+
+@query("kv_records_parsed")
+def q_kv_records_parsed(spark, sf_dir):
+    """The exported text loaded back into typed columns."""
+    return R.parse_kv(_kv_export(_t(spark, sf_dir)), "record", KV_TYPES, keep=("session_id",))
+
+
+# ---------------------------------------------------------------- text quality, generator
+LINEITEM_FIELDS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _lineitem_lines(t: TestTables) -> DataFrame:
+    """Comma lines of lineitem; rows with l_orderkey % 20 = 0 lose their return
+    flag (empty field), rows with l_orderkey % 20 = 10 their last field."""
+    li = t.raw("lineitem")
+    cols = [F.col(c).cast("string") for c in LINEITEM_FIELDS]
+    flag_idx = LINEITEM_FIELDS.index("l_returnflag")
+    blanked = list(cols)
+    blanked[flag_idx] = F.lit("")
+    key = F.col("l_orderkey") % 20
+    line = (F.when(key == 0, F.concat_ws(",", *blanked))
+            .when(key == 10, F.concat_ws(",", *cols[:-1]))
+            .otherwise(F.concat_ws(",", *cols)))
+    return li.select(line.alias("value"))
+
+
+@query("csv_valid_rows")
+def q_csv_valid_rows(spark, sf_dir):
+    """Valid lines written as 20 CSV files with headers, read back."""
+    from visitflow.config import new_subdir
+    rows = Q.valid_rows(Q.classify_lines(_lineitem_lines(_t(spark, sf_dir)), len(LINEITEM_FIELDS)),
+                        LINEITEM_FIELDS)
+    path = Q.write_split_csv(rows, new_subdir(spark, "csv_valid_rows"), 20)
+    return spark.read.option("header", True).schema(
+        ", ".join(f"{c} STRING" for c in LINEITEM_FIELDS)).csv(path)
+
+
+@query("csv_reject_counts")
+def q_csv_reject_counts(spark, sf_dir):
+    """Rejected lines counted by reason."""
+    return Q.reject_counts(Q.classify_lines(_lineitem_lines(_t(spark, sf_dir)), len(LINEITEM_FIELDS)))
+
+
+@query("synthetic_visit_counts")
+def q_synthetic_visit_counts(spark, sf_dir):
+    """One synthetic visit row per event id (seed 666), counted per
+    action type and page."""
+    ids = _t(spark, sf_dir).raw("events").select(F.col("event_id").alias("id"))
+    v = G.synthetic_visits(ids, "id", 666)
+    return (v.groupBy("action_type", "page_id")
+            .agg(F.count(F.lit(1)).alias("n_actions"),
+                 F.countDistinct("session_id").alias("n_sessions"),
+                 F.countDistinct("user_id").alias("n_users"),
+                 F.count("search_keyword").alias("n_searches")))

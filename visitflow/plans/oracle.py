@@ -264,3 +264,75 @@ oracle("session_sample_2000", _sample_ctes(2000) + "SELECT * FROM smp")
 oracle("sessions_per_day", _sample_ctes(100) + "SELECT visit_day, hour, hour_cnt, day_cnt, n_days, quota FROM q")
 oracle("session_sample_detail", _sample_ctes(100) +
        f"SELECT {UVA_COLS} FROM uva WHERE session_id IN (SELECT session_id FROM smp)")
+
+# ---------------------------------------------------------------- scalar functions
+oracle("normalized_action_times", """
+SELECT event_id, strftime(ts, '%Y-%m-%d %-H:%-M:%-S') AS raw_time, date_trunc('second', ts) AS action_time,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS padded_time FROM events""")
+oracle("event_gap_seconds", """
+, g AS (SELECT session_id, event_id, action_time,
+               lag(action_time) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS prev_action_time
+        FROM uva)
+SELECT session_id, event_id, action_time, prev_action_time,
+       CAST((epoch_us(action_time) - epoch_us(prev_action_time)) // 1000000 AS BIGINT) AS gap_seconds,
+       action_time > prev_action_time AS is_later
+FROM g""")
+oracle("normalized_id_lists", """
+, l AS (SELECT event_id, CASE WHEN order_category_ids IS NOT NULL THEN 'order' ELSE 'pay' END AS kind,
+               coalesce(order_category_ids, pay_category_ids) AS raw_ids FROM uva
+        WHERE order_category_ids IS NOT NULL OR pay_category_ids IS NOT NULL),
+p AS (SELECT event_id, kind, raw_ids,
+             list_filter(list_transform(list_filter(string_split(regexp_replace(raw_ids, '^,|,$', '', 'g'), ','),
+                                                    lambda x: trim(x) <> ''), lambda x: TRY_CAST(trim(x) AS BIGINT)),
+                         lambda x: x IS NOT NULL) AS id_arr FROM l)
+SELECT event_id, kind, raw_ids, array_to_string(id_arr, ',') AS ids, CAST(len(id_arr) AS INTEGER) AS id_count FROM p""")
+oracle("kv_records_export", """
+SELECT session_id, concat_ws('|', 'user_id=' || CAST(user_id AS VARCHAR), 'visit_length=' || CAST(visit_length AS VARCHAR),
+       'step_length=' || CAST(step_length AS VARCHAR), 'search_keywords=' || coalesce(search_keywords, ''),
+       'click_category_ids=' || coalesce(click_category_ids, '')) AS record FROM ses""")
+oracle("kv_records_parsed", """
+SELECT session_id, user_id, visit_length, step_length, coalesce(search_keywords, '') AS search_keywords,
+       coalesce(click_category_ids, '') AS click_category_ids FROM ses""")
+
+# ---------------------------------------------------------------- text quality, generator
+LINES_CTE = """
+, li AS (SELECT l_orderkey % 20 AS k, CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
+                CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+                CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
+                CAST(l_discount AS VARCHAR) AS l_discount, CAST(l_tax AS VARCHAR) AS l_tax, l_returnflag,
+                l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate FROM lineitem),
+lines AS (
+  SELECT CASE WHEN k = 0 THEN concat_ws(',', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+                                        l_extendedprice, l_discount, l_tax, '', l_linestatus, l_shipdate)
+              WHEN k = 10 THEN concat_ws(',', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+                                         l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus)
+              ELSE concat_ws(',', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+                             l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) END AS line
+  FROM li),
+cls AS (
+  SELECT string_split(line, ',') AS f,
+         CASE WHEN len(string_split(line, ',')) <> 11 THEN 'field_count'
+              WHEN len(list_filter(string_split(line, ','), lambda x: trim(x) = '')) > 0 THEN 'empty_field' END AS reason
+  FROM lines)
+"""
+oracle("csv_valid_rows", LINES_CTE + """
+SELECT f[1] AS l_orderkey, f[2] AS l_partkey, f[3] AS l_suppkey, f[4] AS l_linenumber, f[5] AS l_quantity,
+       f[6] AS l_extendedprice, f[7] AS l_discount, f[8] AS l_tax, f[9] AS l_returnflag, f[10] AS l_linestatus,
+       f[11] AS l_shipdate FROM cls WHERE reason IS NULL""")
+oracle("csv_reject_counts", LINES_CTE + """
+SELECT reason AS reject_reason, CAST(count(*) AS BIGINT) AS line_count FROM cls WHERE reason IS NOT NULL GROUP BY reason""")
+
+
+def _mix(x: str, j: int, seed: int = 666) -> str:
+    return f"((({x}) + {seed * 31 + j * 7919}) * 48271) % 2147483647"
+
+
+oracle("synthetic_visit_counts", f"""
+, sv AS (SELECT event_id AS id, event_id // 10 AS sess FROM events),
+rows AS (SELECT ['SEARCH', 'CLICK', 'ORDER', 'PAY'][CAST({_mix('id', 3)} % 4 + 1 AS INTEGER)] AS action_type,
+                {_mix('id', 2)} % 10 AS page_id, 's' || CAST(sess AS VARCHAR) AS session_id,
+                {_mix('sess', 1)} % 100 AS user_id FROM sv)
+SELECT action_type, page_id, CAST(count(*) AS BIGINT) AS n_actions,
+       CAST(count(DISTINCT session_id) AS BIGINT) AS n_sessions, CAST(count(DISTINCT user_id) AS BIGINT) AS n_users,
+       CAST(count(*) FILTER (WHERE action_type = 'SEARCH') AS BIGINT) AS n_searches
+FROM rows GROUP BY action_type, page_id""")
