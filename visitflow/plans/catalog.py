@@ -26,6 +26,7 @@ from visitflow.sources import quality as Q
 from visitflow.sources import sinks as SK
 from visitflow.sources import synth as G
 from visitflow.sources.adapter import TestTables
+from visitflow.streaming import ad_clicks as AD
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -463,3 +464,59 @@ def q_synthetic_visit_counts(spark, sf_dir):
                  F.countDistinct("session_id").alias("n_sessions"),
                  F.countDistinct("user_id").alias("n_users"),
                  F.count("search_keyword").alias("n_searches")))
+
+
+# ---------------------------------------------------------------- ad clicks (batch + streaming)
+STREAM_WATERMARK = "40 days"  # wider than the disorder between the staged files
+
+
+def _messages(t: TestTables) -> DataFrame:
+    return AD.messages_from_clicks(t.raw("events"))
+
+
+@query("ad_messages_parsed")
+def q_ad_messages_parsed(spark, sf_dir):
+    """Click messages parsed into typed fields."""
+    return AD.parse_ad_messages(_messages(_t(spark, sf_dir)))
+
+
+@query("ad_message_rejects")
+def q_ad_message_rejects(spark, sf_dir):
+    """Malformed messages counted."""
+    return AD.ad_message_rejects(_messages(_t(spark, sf_dir)))
+
+
+@query("ad_clicks_daily")
+def q_ad_clicks_daily(spark, sf_dir):
+    """Clicks per (day, user, ad), batch."""
+    return AD.daily_counts(AD.parse_ad_messages(_messages(_t(spark, sf_dir))))
+
+
+@query("ad_stream_running_counts")
+def q_ad_stream_running_counts(spark, sf_dir):
+    """The same counts kept as streaming state over 4 staged micro-batches,
+    delivered through the idempotent upsert sink."""
+    path = AD.stage_messages(_messages(_t(spark, sf_dir)), 4)
+    return AD.stream_counts(spark, path, "daily", STREAM_WATERMARK)
+
+
+@query("ad_stream_5s_windows")
+def q_ad_stream_5s_windows(spark, sf_dir):
+    """Clicks per 5-second event-time window, streamed."""
+    path = AD.stage_messages(_messages(_t(spark, sf_dir)), 4)
+    return AD.stream_counts(spark, path, "window", STREAM_WATERMARK)
+
+
+@query("ad_upsert_sink")
+def q_ad_upsert_sink(spark, sf_dir):
+    """Stream into the upsert sink, then replay micro-batch 0 with its
+    original rows; the table must be unchanged by the replay."""
+    from visitflow.config import new_subdir
+    path = AD.stage_messages(_messages(_t(spark, sf_dir)), 4)
+    clicks = AD.parse_ad_messages(AD.file_messages(spark, path))
+    sink = AD.UpsertSink(new_subdir(spark, "ad_upsert"), AD.DAY_KEYS)
+    AD.run_to_sink(AD.running_daily_counts(clicks, STREAM_WATERMARK), sink,
+                   new_subdir(spark, "ad_upsert_ckpt")).awaitTermination()
+    replay = spark.read.parquet(f"{sink.path}/batch_id=0")
+    sink.write_batch(AD.cut_lineage(replay), 0)
+    return sink.read(spark)

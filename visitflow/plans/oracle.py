@@ -336,3 +336,24 @@ SELECT action_type, page_id, CAST(count(*) AS BIGINT) AS n_actions,
        CAST(count(DISTINCT session_id) AS BIGINT) AS n_sessions, CAST(count(DISTINCT user_id) AS BIGINT) AS n_users,
        CAST(count(*) FILTER (WHERE action_type = 'SEARCH') AS BIGINT) AS n_searches
 FROM rows GROUP BY action_type, page_id""")
+
+# ---------------------------------------------------------------- ad clicks
+AD_CTES = """
+, msg AS (SELECT event_id, epoch_us(ts) // 1000 AS ms, 'province' || CAST(user_id % 5 AS VARCHAR) AS province,
+                 'city' || CAST(event_id % 25 AS VARCHAR) AS city, user_id, k AS ad_id
+          FROM e WHERE event_type = 'click'),
+clk AS (SELECT make_timestamp(ms * 1000) AS event_time, CAST(make_timestamp(ms * 1000) AS DATE) AS day,
+               province, city, user_id, ad_id FROM msg WHERE event_id % 50 <> 0),
+daily AS (SELECT day, user_id, ad_id, CAST(count(*) AS BIGINT) AS click_count FROM clk GROUP BY day, user_id, ad_id)
+"""
+oracle("ad_messages_parsed", AD_CTES + "SELECT event_time, day, province, city, user_id, ad_id FROM clk")
+oracle("ad_message_rejects", AD_CTES +
+       "SELECT CAST(count(*) FILTER (WHERE event_id % 50 = 0) AS BIGINT) AS reject_count FROM msg")
+oracle("ad_clicks_daily", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")
+oracle("ad_stream_running_counts", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")
+oracle("ad_upsert_sink", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")
+oracle("ad_stream_5s_windows", AD_CTES + """
+SELECT make_timestamp((epoch_ms(event_time) // 5000) * 5000 * 1000) AS window_start,
+       make_timestamp((epoch_ms(event_time) // 5000) * 5000 * 1000 + 5000000) AS window_end,
+       user_id, ad_id, CAST(count(*) AS BIGINT) AS click_count
+FROM clk GROUP BY 1, 2, user_id, ad_id""")
