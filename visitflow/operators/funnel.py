@@ -75,7 +75,8 @@ def page_split_pv(actions: DataFrame, flow=DEFAULT_FLOW,
     spark = actions.sparkSession
     matched = page_flow_matches(actions, flow, bucket_seconds)
     steps = flow_steps(spark, flow).select("step", "split")
-    return (steps.join(matched.select("step", "pair_count"), "step", "left")
+    # matched has at most one row per flow step: bounded by the parameter
+    return (steps.join(broadcast_bounded(matched.select("step", "pair_count")), "step", "left")
             .select("step", "split", F.coalesce("pair_count", F.lit(0)).cast("bigint").alias("split_pv")))
 
 

@@ -35,26 +35,47 @@ def _bucket(bucket_seconds: int) -> Column:
     return F.floor(secs / F.lit(bucket_seconds)).cast("bigint")
 
 
+def _order_key() -> Column:
+    """(action_time, event_id) packed into one DECIMAL(38,0) that sorts the
+    same way: (micros + 10^16) * 10^20 + (event_id + 2^63). A fixed-width key
+    keeps min_by/max_by in a hash aggregate with map-side partial results.
+    Valid for times after the year 1653."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                              F.col("action_time").cast("timestamp_ntz"))
+    hi = (micros.cast("decimal(38,0)") + F.lit(str(10 ** 16)).cast("decimal(38,0)")) * \
+        F.lit(str(10 ** 20)).cast("decimal(38,0)")
+    lo = F.col("event_id").cast("decimal(38,0)") + F.lit(str(2 ** 63)).cast("decimal(38,0)")
+    return (hi + lo).cast("decimal(38,0)")
+
+
 def ordered_in_buckets(actions: DataFrame, values: Sequence[str],
                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Rows with ``bucket``, in-bucket row number ``_rn`` and ``_lag_<v>``."""
+    """Rows with ``bucket``, in-bucket row number ``_rn`` and ``_lag_<v>``
+    (one shuffle by (session_id, bucket), one sort)."""
     keep = list(dict.fromkeys(["session_id", *ORDER, *values]))
     w = Window.partitionBy("session_id", "bucket").orderBy(*ORDER)
-    out = actions.select(*keep, _bucket(bucket_seconds).alias("bucket")) \
-                 .withColumn("_rn", F.row_number().over(w))
+    out = (actions.select(*keep, _bucket(bucket_seconds).alias("bucket"))
+           .withColumn("_rn", F.row_number().over(w)))
     for v in values:
         out = out.withColumn(f"_lag_{v}", F.lag(v).over(w))
     return out
 
 
-def bucket_edges(ordered: DataFrame, values: Sequence[str]) -> DataFrame:
+def bucket_edges(actions: DataFrame, values: Sequence[str],
+                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Per (session_id, bucket): ``first_<v>``, ``last_<v>``, ``prev_last_<v>``
-    (last value of the previous non-empty bucket) and ``is_first_bucket``."""
-    key = F.struct(*ORDER)
+    (last value of the previous non-empty bucket) and ``is_first_bucket``.
+
+    A hash aggregate over the raw rows (partial on the map side, so only one
+    row per bucket and map task is shuffled), then a window per session over
+    these summary rows only.
+    """
+    key = _order_key()
     aggs = []
     for v in values:
         aggs += [F.min_by(v, key).alias(f"first_{v}"), F.max_by(v, key).alias(f"last_{v}")]
-    summary = ordered.groupBy("session_id", "bucket").agg(*aggs)
+    summary = (actions.select("session_id", *values, *ORDER, _bucket(bucket_seconds).alias("bucket"))
+               .groupBy("session_id", "bucket").agg(*aggs))
     w = Window.partitionBy("session_id").orderBy("bucket")
     for v in values:
         summary = summary.withColumn(f"prev_last_{v}", F.lag(f"last_{v}").over(w))
@@ -65,31 +86,34 @@ def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str]
                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Every row with ``prev_<v>`` = value of the session's previous row
     (NULL on the session's first row). Output: session_id, event_id,
-    action_time, the ``keep`` and ``values`` columns, and ``prev_<v>``."""
+    action_time, the ``keep`` and ``values`` columns, and ``prev_<v>``.
+
+    The window output is left-joined once to the bucket summary on
+    (session_id, bucket); the window side is already partitioned by that key
+    and the summary has one row per key, so the join adds no skew.
+    """
     values = list(values)
     carried = list(dict.fromkeys([*keep, *values]))
     ordered = ordered_in_buckets(actions, carried, bucket_seconds)
-    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
-    inner = ordered.where(F.col("_rn") > 1).select(
-        *base, *[F.col(f"_lag_{v}").alias(f"prev_{v}") for v in values])
-    edges = bucket_edges(ordered, values).select(
+    edges = bucket_edges(actions, values, bucket_seconds).select(
         "session_id", "bucket", *[f"prev_last_{v}" for v in values])
-    first = (ordered.where(F.col("_rn") == 1).join(edges, ["session_id", "bucket"])
-             .select(*base, *[F.col(f"prev_last_{v}").alias(f"prev_{v}") for v in values]))
-    return inner.unionByName(first)
+    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
+    return (ordered.join(edges, ["session_id", "bucket"], "left")
+            .select(*base, *[F.when(F.col("_rn") == 1, F.col(f"prev_last_{v}"))
+                             .otherwise(F.col(f"_lag_{v}")).alias(f"prev_{v}") for v in values]))
 
 
 def consecutive_pairs(actions: DataFrame, value: str,
                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """(prev_<value>, <value>) for every pair of consecutive rows of a session.
 
-    No join: in-bucket pairs come from the lag, boundary pairs from the
-    bucket summary (previous bucket's last, this bucket's first).
+    No join: in-bucket pairs come from the window's lag, boundary pairs from
+    the bucket summary (previous bucket's last, this bucket's first).
     """
     ordered = ordered_in_buckets(actions, [value], bucket_seconds)
     inner = ordered.where(F.col("_rn") > 1).select(
         F.col(f"_lag_{value}").alias(f"prev_{value}"), value)
-    boundary = (bucket_edges(ordered, [value]).where(~F.col("is_first_bucket"))
+    boundary = (bucket_edges(actions, [value], bucket_seconds).where(~F.col("is_first_bucket"))
                 .select(F.col(f"prev_last_{value}").alias(f"prev_{value}"),
                         F.col(f"first_{value}").alias(value)))
     return inner.unionByName(boundary)

@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitflow.config import cut_lineage
+
 _HEX15 = float(16 ** 15)
 
 
@@ -64,10 +66,19 @@ def hour_quotas(sessions: DataFrame, n: int) -> DataFrame:
     return with_days.withColumn("quota", quota.cast("bigint"))
 
 
-def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42) -> DataFrame:
-    """The sampled sessions with visit_day, hour and their rank in the hour."""
+def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42,
+                      materialize: bool = True) -> DataFrame:
+    """The sampled sessions with visit_day, hour and their rank in the hour.
+
+    The session table is read by four branches (counts, prefix, short hours,
+    pool) that prune different columns, so Spark cannot reuse one shuffle for
+    them; with ``materialize`` it is checkpointed once into the shared folder
+    and every branch reads that instead of re-aggregating the visit log.
+    """
     s = _with_day_hour(sessions).withColumn("_h", _order_hash(seed))
     s = s.withColumn("_u", _fraction(F.col("_h")))
+    if materialize:
+        s = cut_lineage(s)
     quotas = hour_quotas(s, n).withColumn(
         "_t", F.least(F.lit(1.0), (F.col("quota") + F.sqrt("quota") * 8 + 16) / F.col("hour_cnt")))
     keys = ["visit_day", "hour"]
