@@ -25,7 +25,7 @@ from visitflow.operators import sessions as S
 from visitflow.sources import quality as Q
 from visitflow.sources import sinks as SK
 from visitflow.sources import synth as G
-from visitflow.sources.adapter import TestTables
+from visitflow.sources.adapter import SuppliedTables
 from visitflow.streaming import ad_clicks as AD
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,15 +39,15 @@ def query(name: str):
     return register
 
 
-def _t(spark: SparkSession, sf_dir: str) -> TestTables:
-    return TestTables(spark, sf_dir)
+def _t(spark: SparkSession, sf_dir: str) -> SuppliedTables:
+    return SuppliedTables(spark, sf_dir)
 
 
-def _sessions(t: TestTables) -> DataFrame:
+def _sessions(t: SuppliedTables) -> DataFrame:
     return S.aggregate_sessions(t.actions())
 
 
-def _profile(t: TestTables) -> DataFrame:
+def _profile(t: SuppliedTables) -> DataFrame:
     return S.session_profile(_sessions(t), t.users())
 
 
@@ -79,7 +79,7 @@ COMPOSITE_FILTER = dict(start_date="2024-01-03", end_date="2024-01-27", start_ag
                         keywords=None, category_ids=None)
 
 
-def _stats_sessions(t: TestTables) -> DataFrame:
+def _stats_sessions(t: SuppliedTables) -> DataFrame:
     return S.filter_sessions(_profile(t), S.SessionFilter(**AGE_FILTER))
 
 
@@ -281,11 +281,11 @@ def q_top_sessions_for_top_categories(spark, sf_dir):
 TEST_TIERS = {"A级": ("AMERICA", "EUROPE"), "B级": ("ASIA",), "C级": ("AFRICA",)}
 
 
-def _clicks_city(t: TestTables) -> DataFrame:
+def _clicks_city(t: SuppliedTables) -> DataFrame:
     return A.clicks_with_city(A.product_clicks(t.actions()), t.cities())
 
 
-def _area_clicks(t: TestTables) -> DataFrame:
+def _area_clicks(t: SuppliedTables) -> DataFrame:
     return A.with_area_level(A.area_product_clicks(_clicks_city(t)), TEST_TIERS)
 
 
@@ -400,7 +400,7 @@ KV_TYPES = {"user_id": "bigint", "visit_length": "bigint", "step_length": "bigin
             "search_keywords": "string", "click_category_ids": "string"}
 
 
-def _kv_export(t: TestTables) -> DataFrame:
+def _kv_export(t: SuppliedTables) -> DataFrame:
     return R.export_kv(S.sessions_as_text(_sessions(t)), "session_id", KV_FIELDS)
 
 
@@ -421,7 +421,7 @@ LINEITEM_FIELDS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qu
                    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
 
-def _lineitem_lines(t: TestTables) -> DataFrame:
+def _lineitem_lines(t: SuppliedTables) -> DataFrame:
     """Comma lines of lineitem; rows with l_orderkey % 20 = 0 lose their return
     flag (empty field), rows with l_orderkey % 20 = 10 their last field."""
     li = t.raw("lineitem")
@@ -470,7 +470,7 @@ def q_synthetic_visit_counts(spark, sf_dir):
 STREAM_WATERMARK = "40 days"  # wider than the disorder between the staged files
 
 
-def _messages(t: TestTables) -> DataFrame:
+def _messages(t: SuppliedTables) -> DataFrame:
     return AD.messages_from_clicks(t.raw("events"))
 
 

@@ -96,7 +96,7 @@ def nations_to_cities(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-class TestTables:
+class SuppliedTables:
     """Lazy accessors for the adapted test tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, base_dir: str):
