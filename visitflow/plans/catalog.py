@@ -436,12 +436,32 @@ def _lineitem_lines(t: SuppliedTables) -> DataFrame:
     return li.select(line.alias("value"))
 
 
+_STAGED: dict[tuple, str] = {}
+
+
+def _staged(spark: SparkSession, sf_dir: str, name: str, make) -> str:
+    """Input files derived from the test tables, written once per application
+    and folder (they stand for files the original jobs read, a CSV export or a
+    message topic), so repeated runs of a query read the same input."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED:
+        _STAGED[key] = make()
+    return _STAGED[key]
+
+
+def _lineitem_csv(spark: SparkSession, sf_dir: str) -> str:
+    from visitflow.config import new_subdir
+    return _staged(spark, sf_dir, "lineitem_csv", lambda: Q.write_lines_with_header(
+        _lineitem_lines(_t(spark, sf_dir)), new_subdir(spark, "lineitem_csv"), ",".join(LINEITEM_FIELDS), 4))
+
+
 @query("csv_valid_rows")
 def q_csv_valid_rows(spark, sf_dir):
-    """Valid lines written as 20 CSV files with headers, read back."""
+    """CSV lines (headers skipped) validated; valid rows written as 20
+    CSV files with a header each, read back."""
     from visitflow.config import new_subdir
-    rows = Q.valid_rows(Q.classify_lines(_lineitem_lines(_t(spark, sf_dir)), len(LINEITEM_FIELDS)),
-                        LINEITEM_FIELDS)
+    lines = Q.read_lines(spark, _lineitem_csv(spark, sf_dir))
+    rows = Q.valid_rows(Q.classify_lines(lines, len(LINEITEM_FIELDS)), LINEITEM_FIELDS)
     path = Q.write_split_csv(rows, new_subdir(spark, "csv_valid_rows"), 20)
     return spark.read.option("header", True).schema(
         ", ".join(f"{c} STRING" for c in LINEITEM_FIELDS)).csv(path)
@@ -450,7 +470,8 @@ def q_csv_valid_rows(spark, sf_dir):
 @query("csv_reject_counts")
 def q_csv_reject_counts(spark, sf_dir):
     """Rejected lines counted by reason."""
-    return Q.reject_counts(Q.classify_lines(_lineitem_lines(_t(spark, sf_dir)), len(LINEITEM_FIELDS)))
+    lines = Q.read_lines(spark, _lineitem_csv(spark, sf_dir))
+    return Q.reject_counts(Q.classify_lines(lines, len(LINEITEM_FIELDS)))
 
 
 @query("synthetic_visit_counts")
@@ -474,6 +495,11 @@ def _messages(t: SuppliedTables) -> DataFrame:
     return AD.messages_from_clicks(t.raw("events"))
 
 
+def _ad_topic(spark: SparkSession, sf_dir: str) -> str:
+    """The click messages as 4 text files: the stream's input, one micro-batch each."""
+    return _staged(spark, sf_dir, "ad_topic", lambda: AD.stage_messages(_messages(_t(spark, sf_dir)), 4))
+
+
 @query("ad_messages_parsed")
 def q_ad_messages_parsed(spark, sf_dir):
     """Click messages parsed into typed fields."""
@@ -496,15 +522,13 @@ def q_ad_clicks_daily(spark, sf_dir):
 def q_ad_stream_running_counts(spark, sf_dir):
     """The same counts kept as streaming state over 4 staged micro-batches,
     delivered through the idempotent upsert sink."""
-    path = AD.stage_messages(_messages(_t(spark, sf_dir)), 4)
-    return AD.stream_counts(spark, path, "daily", STREAM_WATERMARK)
+    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "daily", STREAM_WATERMARK)
 
 
 @query("ad_stream_5s_windows")
 def q_ad_stream_5s_windows(spark, sf_dir):
     """Clicks per 5-second event-time window, streamed."""
-    path = AD.stage_messages(_messages(_t(spark, sf_dir)), 4)
-    return AD.stream_counts(spark, path, "window", STREAM_WATERMARK)
+    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "window", STREAM_WATERMARK)
 
 
 @query("ad_upsert_sink")
@@ -512,8 +536,7 @@ def q_ad_upsert_sink(spark, sf_dir):
     """Stream into the upsert sink, then replay micro-batch 0 with its
     original rows; the table must be unchanged by the replay."""
     from visitflow.config import new_subdir
-    path = AD.stage_messages(_messages(_t(spark, sf_dir)), 4)
-    clicks = AD.parse_ad_messages(AD.file_messages(spark, path))
+    clicks = AD.parse_ad_messages(AD.file_messages(spark, _ad_topic(spark, sf_dir)))
     sink = AD.UpsertSink(new_subdir(spark, "ad_upsert"), AD.DAY_KEYS)
     AD.run_to_sink(AD.running_daily_counts(clicks, STREAM_WATERMARK), sink,
                    new_subdir(spark, "ad_upsert_ckpt")).awaitTermination()

@@ -3,7 +3,7 @@
 ``events`` becomes the visit log (one session per user and day), ``customer``
 joined with ``nation`` the user dimension, and ``nation`` with ``region`` the
 city dimension. The same mapping is written as SQL in
-``visitflow.plans.oracle.ADAPTER_SQL`` for the DuckDB oracle.
+``visitflow.plans.oracle.ADAPTER_CTES`` for the DuckDB oracle.
 
 Mapping (fixed values of the test adapter):
   k = the integer inside ``props`` ``{"k": N}``

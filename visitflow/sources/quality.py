@@ -41,9 +41,13 @@ def valid_rows(classified: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def reject_counts(classified: DataFrame) -> DataFrame:
-    """(reject_reason, line_count) over the rejected lines."""
-    return (classified.where(F.col("reject_reason").isNotNull())
-            .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("line_count")))
+    """(reject_reason, line_count) over the rejected lines.
+
+    Grouped first and filtered after: a filter before the aggregate would be
+    pushed below the classification and evaluate it twice per line.
+    """
+    return (classified.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("line_count"))
+            .where(F.col("reject_reason").isNotNull()))
 
 
 def write_split_csv(rows: DataFrame, path: str, n_files: int = 20, sep: str = ",") -> str:
@@ -53,6 +57,15 @@ def write_split_csv(rows: DataFrame, path: str, n_files: int = 20, sep: str = ",
     return path
 
 
+def write_lines_with_header(lines: DataFrame, path: str, header: str, n_files: int,
+                            line_col: str = "value") -> str:
+    """Write text lines as ``n_files`` files, each starting with ``header``."""
+    (lines.select(F.col(line_col).alias(header)).repartition(n_files).write.mode("overwrite")
+     .option("header", True).option("sep", "\u0001").option("quote", "\u0000")
+     .option("escape", "\u0000").csv(path))
+    return path
+
+
 def read_lines(spark, path: str, skip_header: bool = True) -> DataFrame:
     """Raw text lines as one ``value`` column.
 
