@@ -85,3 +85,20 @@ def test_synthetic_generator_deterministic(spark):
                   F.countDistinct("action_type").alias("k")).collect()[0]
     assert stats.p <= 9 and stats.u <= 99 and stats.k == 4
     assert G.synthetic_users(ids).count() == 500
+
+
+def test_jobs_end_to_end(spark):
+    from visitflow.plans import jobs
+    from visitflow.sources.adapter import SuppliedTables
+    t = SuppliedTables(spark, "/root/testdata/sf0.001")
+    params = PR.TaskParams(task_id=5, start_date="2024-01-05", end_date="2024-01-20", start_age=20, end_age=60,
+                           target_page_flow="1,2,3")
+    out = new_subdir(spark, "t_jobs")
+    res = jobs.session_analysis(t.actions(), t.users(), params, out_dir=out)
+    assert spark.read.parquet(f"{out}/session_stats").count() == 1
+    assert res["top_categories"].count() <= 10
+    conv = jobs.page_conversion(t.actions(), params)
+    assert conv["page_rate_report"].collect()[0].task_id == 5
+    assert conv["page_convert_rate"].count() == 2
+    area = jobs.area_top_products(t.actions(), t.cities(), params)
+    assert area["area_top_products"].groupBy("area").count().where("count > 3").count() == 0

@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions import predicates as P
-from visitflow.functions.expressions import is_present, ratio_half_up, seconds_between
-from visitflow.operators.joins import broadcast_if_small
+from visitflow.functions.expressions import day_hour_key, is_present, ratio_half_up, seconds_between
+from visitflow.operators.joins import row_count_at_most
 
 # Session-length buckets, upper bounds inclusive, lower exclusive.
 VISIT_LENGTH_BUCKETS = (
@@ -91,9 +91,15 @@ def dedup_users(users: DataFrame, key: str = "user_id") -> DataFrame:
 
 def session_profile(sessions: DataFrame, users: DataFrame,
                     max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Sessions inner-joined with the (deduplicated) user dimension."""
-    dim = dedup_users(users).select("user_id", "age", "professional", "city", "sex")
-    return sessions.join(broadcast_if_small(dim, max_broadcast_rows), "user_id")
+    """Sessions inner-joined with the (deduplicated) user dimension.
+
+    The broadcast bound is checked on the raw user rows (a limit that stops
+    reading early); the deduplicated table can only be smaller.
+    """
+    dim = dedup_users(users.select("user_id", "age", "professional", "city", "sex"))
+    if row_count_at_most(users, max_broadcast_rows):
+        dim = F.broadcast(dim)
+    return sessions.join(dim, "user_id")
 
 
 @dataclass(frozen=True)
@@ -159,15 +165,12 @@ def stat_ratios(stats: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
-    """Session count per day and hour of the session start."""
+    """Session count per day and hour of the session start (X3 key)."""
     return (sessions
             .groupBy(F.to_date("start_time").alias("visit_day"),
-                     F.hour("start_time").alias("hour"))
-            .agg(F.count(F.lit(1)).alias("session_count"))
-            .select("visit_day", "hour",
-                    F.concat(F.date_format("visit_day", "yyyy-MM-dd"), F.lit("_"),
-                             F.lpad(F.col("hour").cast("string"), 2, "0")).alias("day_hour"),
-                    "session_count"))
+                     F.hour("start_time").alias("hour"),
+                     day_hour_key("start_time").alias("day_hour"))
+            .agg(F.count(F.lit(1)).alias("session_count")))
 
 
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
