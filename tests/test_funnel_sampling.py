@@ -93,3 +93,25 @@ def test_sample_quota_and_subset(spark):
     for r in per.join(hc, ["visit_day", "hour"]).collect():
         assert r.n == min(r.q, r.c)
     assert smp.join(sessions, "session_id", "left_anti").count() == 0
+
+
+def test_range_method_equals_plain_lag_with_hot_second(spark):
+    rnd = random.Random(11)
+    rows = []
+    for e in range(500):
+        if e % 2:  # half the log: one session, all inside the same second
+            rows.append(action(e, "hot", at=T0 + dt.timedelta(microseconds=rnd.randrange(10)), page_id=e % 10))
+        else:
+            rows.append(action(e, f"s{e % 7}", seconds=rnd.randrange(86400), page_id=rnd.randrange(10)))
+    df = actions_df(spark, rows)
+    got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], method="range").collect()}
+    assert got == _plain_prev(df, "page_id")
+    pairs = sorted(tuple(r) for r in O.consecutive_pairs(df, "page_id", method="range").collect())
+    w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
+    plain = sorted((r.p, r.page_id) for r in df.select(F.lag("page_id").over(w).alias("p"), "page_id",
+                                                         F.row_number().over(w).alias("rn"))
+                   .where("rn > 1").collect())
+    assert pairs == plain
+    rates_r = FN.page_convert_rate(df, "1,2,3", method="range").collect()
+    rates_b = FN.page_convert_rate(df, "1,2,3").collect()
+    assert sorted(map(tuple, rates_r)) == sorted(map(tuple, rates_b))

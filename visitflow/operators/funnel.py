@@ -26,18 +26,20 @@ def parse_flow(flow) -> list[int]:
     return [int(x) for x in flow]
 
 
-def page_transitions(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def page_transitions(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                     method: str = "buckets") -> DataFrame:
     """Every action with the page of the action before it in the session.
 
     Columns: session_id, event_id, action_time, page_id, prev_page_id (NULL for
     the first action of a session).
     """
-    return with_previous(actions, ["page_id"], bucket_seconds=bucket_seconds)
+    return with_previous(actions, ["page_id"], bucket_seconds=bucket_seconds, method=method)
 
 
-def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+               method: str = "buckets") -> DataFrame:
     """Consecutive (prev_page_id, page_id) pairs of every session."""
-    return consecutive_pairs(actions, "page_id", bucket_seconds)
+    return consecutive_pairs(actions, "page_id", bucket_seconds, method)
 
 
 def flow_steps(spark: SparkSession, flow=DEFAULT_FLOW) -> DataFrame:
@@ -54,7 +56,7 @@ def flow_steps(spark: SparkSession, flow=DEFAULT_FLOW) -> DataFrame:
 
 
 def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
     """Pair counts per (prev, page) matched against the flow steps.
 
     Pairs are counted first (partial aggregation, at most pages^2 groups),
@@ -62,7 +64,7 @@ def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
     the flow matches once per repetition.
     """
     spark = actions.sparkSession
-    counts = (page_pairs(actions, bucket_seconds)
+    counts = (page_pairs(actions, bucket_seconds, method)
               .groupBy("prev_page_id", "page_id").agg(F.count(F.lit(1)).alias("pair_count")))
     steps = broadcast_bounded(flow_steps(spark, flow))
     return (counts.join(steps, (counts.prev_page_id == steps.from_page) & (counts.page_id == steps.to_page))
@@ -70,10 +72,10 @@ def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
 
 
 def page_split_pv(actions: DataFrame, flow=DEFAULT_FLOW,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
     """Every flow step with its matched pair count (0 when never seen)."""
     spark = actions.sparkSession
-    matched = page_flow_matches(actions, flow, bucket_seconds)
+    matched = page_flow_matches(actions, flow, bucket_seconds, method)
     steps = flow_steps(spark, flow).select("step", "split")
     # matched has at most one row per flow step: bounded by the parameter
     return (steps.join(broadcast_bounded(matched.select("step", "pair_count")), "step", "left")
@@ -87,14 +89,14 @@ def start_page_pv(actions: DataFrame, flow=DEFAULT_FLOW) -> DataFrame:
 
 
 def page_convert_rate(actions: DataFrame, flow=DEFAULT_FLOW, digits: int = 2,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
     """Step 1 = pv(1) / start pv; step i = pv(i) / pv(i-1), HALF_UP.
 
     Columns: step, split, split_pv, prev_pv, rate (NULL when prev_pv is 0).
     The start page count enters as a step-0 row, so one window over the
     flow's handful of steps yields every denominator (no join).
     """
-    pv = page_split_pv(actions, flow, bucket_seconds)
+    pv = page_split_pv(actions, flow, bucket_seconds, method)
     start = start_page_pv(actions, flow).select(
         F.lit(0).alias("step"), F.lit(None).cast("string").alias("split"),
         F.col("start_page_pv").cast("bigint").alias("split_pv"))

@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitflow.config import cut_lineage
 from visitflow.functions.expressions import seconds_between
 
 DEFAULT_BUCKET_SECONDS = 3600
@@ -83,7 +84,22 @@ def bucket_edges(actions: DataFrame, values: Sequence[str],
 
 
 def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
+    """Every row with ``prev_<v>``, the value of the session's previous row.
+
+    ``method="buckets"`` (default): lazy, one shuffle; a hot session is split
+    by time bucket. ``method="range"``: exact balance for any skew (even one
+    session-second holding a third of the log), eager (one checkpoint).
+    """
+    if method == "range":
+        return with_previous_ranged(actions, values, keep)
+    if method != "buckets":
+        raise ValueError(f"unknown method {method!r}")
+    return _with_previous_buckets(actions, values, keep, bucket_seconds)
+
+
+def _with_previous_buckets(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
+                           bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Every row with ``prev_<v>`` = value of the session's previous row
     (NULL on the session's first row). Output: session_id, event_id,
     action_time, the ``keep`` and ``values`` columns, and ``prev_<v>``.
@@ -104,12 +120,18 @@ def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str]
 
 
 def consecutive_pairs(actions: DataFrame, value: str,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
     """(prev_<value>, <value>) for every pair of consecutive rows of a session.
 
-    No join: in-bucket pairs come from the window's lag, boundary pairs from
+    With ``method="range"`` the pairs come from ``with_previous_ranged`` (a
+    row has a predecessor exactly when its previous event id is set).
+    With buckets there is no join: in-bucket pairs come from the window's lag, boundary pairs from
     the bucket summary (previous bucket's last, this bucket's first).
     """
+    if method == "range":
+        vals = list(dict.fromkeys([value, "event_id"]))
+        prev = with_previous_ranged(actions, vals)
+        return prev.where(F.col("prev_event_id").isNotNull()).select(f"prev_{value}", value)
     ordered = ordered_in_buckets(actions, [value], bucket_seconds)
     inner = ordered.where(F.col("_rn") > 1).select(
         F.col(f"_lag_{value}").alias(f"prev_{value}"), value)
@@ -117,3 +139,82 @@ def consecutive_pairs(actions: DataFrame, value: str,
                 .select(F.col(f"prev_last_{value}").alias(f"prev_{value}"),
                         F.col(f"first_{value}").alias(value)))
     return inner.unionByName(boundary)
+
+
+# --------------------------------------------------------------------------
+# Range-partitioned variant: no group of any size is kept in one task.
+#
+# Rows are range-partitioned on (session_id, action_time, event_id) - Spark
+# samples the keys, so partitions are balanced even when one session, or one
+# second of one session, holds a third of the log - and sorted inside each
+# partition. A vectorised Arrow pass computes the previous row inside the
+# partition; only the first row of a partition can need a row from elsewhere,
+# namely the last row of the previous partition (when it is the same
+# session). Those last rows are one per partition, so the fix-up table is
+# bounded by the partition count and is broadcast.
+# --------------------------------------------------------------------------
+
+def _arrow_lag(values: Sequence[str]):
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        prev_session = None
+        prev_vals: dict = {}
+        first_batch = True
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            sess = b.column("session_id")
+            shifted = pa.concat_arrays([pa.array([prev_session], sess.type), sess.slice(0, n - 1)])
+            same = pc.fill_null(pc.equal(sess, shifted), False)
+            cols = list(b.columns)
+            names = list(b.schema.names)
+            for v in values:
+                col = b.column(v)
+                sh = pa.concat_arrays([pa.array([prev_vals.get(v)], col.type), col.slice(0, n - 1)])
+                cols.append(pc.if_else(same, sh, pa.nulls(n, col.type)))
+                names.append(f"prev_{v}")
+            flags = [first_batch] + [False] * (n - 1)
+            cols.append(pa.array(flags, pa.bool_()))
+            names.append("_pfirst")
+            prev_session = sess[n - 1].as_py()
+            prev_vals = {v: b.column(v)[n - 1].as_py() for v in values}
+            first_batch = False
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+    return run
+
+
+def with_previous_ranged(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
+                         partitions: int | None = None) -> DataFrame:
+    """Same result as ``with_previous``, for logs where a single session-hour
+    may be hot. One range shuffle (plus Spark's key sampling), one Arrow pass
+    and one checkpoint write; the fix-up join is against at most
+    ``partitions`` rows. Eager: the checkpoint runs when this is called."""
+    from pyspark.sql import types as T
+
+    spark = actions.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = list(values)
+    carried = list(dict.fromkeys([*keep, *values]))
+    cols = list(dict.fromkeys(["session_id", *ORDER, *carried]))
+    ranged = (actions.select(*cols)
+              .repartitionByRange(n, "session_id", *ORDER)
+              .sortWithinPartitions("session_id", *ORDER)
+              .withColumn("_pid", F.spark_partition_id()))
+    fields = list(ranged.schema.fields)
+    by_name = {f.name: f for f in fields}
+    out_schema = T.StructType(fields + [T.StructField(f"prev_{v}", by_name[v].dataType, True) for v in values]
+                              + [T.StructField("_pfirst", T.BooleanType(), False)])
+    # Materialised once: a second evaluation would re-sample the range bounds
+    # and could cut the partitions differently from the rows being fixed.
+    mapped = cut_lineage(ranged.mapInArrow(_arrow_lag(values), out_schema))
+    last = mapped.groupBy("_pid").agg(
+        F.max_by(F.struct("session_id", *values), F.struct("session_id", _order_key())).alias("_last"))
+    edges = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_prev"))
+    fixed = mapped.join(F.broadcast(edges), "_pid", "left")  # bounded: one row per partition
+    take = F.col("_pfirst") & (F.col("_prev.session_id") == F.col("session_id"))
+    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
+    return fixed.select(*base, *[F.when(take, F.col(f"_prev.{v}")).otherwise(F.col(f"prev_{v}"))
+                                 .alias(f"prev_{v}") for v in values])
