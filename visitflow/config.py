@@ -44,6 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("VISITFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
@@ -60,6 +61,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints, sink tables and stream state are written there)")
         path = tempfile.mkdtemp(prefix="visitflow-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
