@@ -96,6 +96,8 @@ def main(argv):
     import __spark_entry__ as E
     from visitflow.config import local_session
     spark = local_session()
+    if os.environ.get("ORACLE_SESSION_TZ"):  # the queries must not depend on the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_SESSION_TZ"])
     names = argv[2:] or sorted(E.queries())
     con = duck(sf_dir)
     bad = 0

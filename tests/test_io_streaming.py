@@ -102,3 +102,18 @@ def test_jobs_end_to_end(spark):
     assert conv["page_convert_rate"].count() == 2
     area = jobs.area_top_products(t.actions(), t.cities(), params)
     assert area["area_top_products"].groupBy("area").count().where("count > 3").count() == 0
+
+
+def test_stream_windows_independent_of_session_zone(spark):
+    lines = [f"{1704067200000 + i * 3_600_000} p c 1 2" for i in range(30)]  # hourly clicks over 30 hours
+    msgs = spark.createDataFrame([(x,) for x in lines], "value STRING")
+    path = AD.stage_messages(msgs, 2)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        daily = sorted(tuple(r) for r in AD.stream_counts(spark, path, "daily", "40 days").collect())
+        win = AD.stream_counts(spark, path, "window", "40 days").orderBy("window_start").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [(str(d), n) for d, _, _, n in daily] == [("2024-01-01", 24), ("2024-01-02", 6)]
+    assert str(win.window_start) == "2024-01-01 00:00:00"

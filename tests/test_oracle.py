@@ -23,3 +23,18 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "category_id" in df.columns
+
+
+ZONE_SENSITIVE = ("visits_in_range", "normalized_action_times", "ad_messages_parsed", "ad_clicks_daily",
+                  "ad_stream_5s_windows", "ad_stream_running_counts", "sessions_per_hour", "event_gap_seconds")
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_query_independent_of_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        r = compare(spark, name, SF_DIR, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["status"] == "ok", r

@@ -71,6 +71,18 @@ def timestamp_to_millis(ts) -> Column:
     return F.timestamp_diff("MILLISECOND", _epoch(), _c(ts))
 
 
+def ntz_to_instant(ts) -> Column:
+    """TIMESTAMP_NTZ wall clock -> TIMESTAMP instant with the same UTC wall
+    clock, whatever the session time zone (for watermarks and windows)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), _c(ts)))
+
+
+def instant_to_ntz(ts) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    micros = F.unix_micros(_c(ts))
+    return F.timestamp_add("MICROSECOND", micros, _epoch())
+
+
 def compact_day(ts) -> Column:
     """X4: 'yyyyMMdd' text of a timestamp (the ad-click day key)."""
     return F.date_format(_c(ts), COMPACT_DATE_PATTERN)

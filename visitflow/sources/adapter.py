@@ -42,12 +42,14 @@ def events_to_actions(events: DataFrame, start_date=None, end_date=None) -> Data
     ``ts < end + 1 day``) so it reaches the parquet scan as a pushed filter.
     """
     ev = events
+    # NTZ literals: a Python datetime literal would be a zoned TIMESTAMP and
+    # shift the bound by the session zone.
     if start_date:
-        ev = ev.where(F.col("ts") >= F.lit(_dt.datetime.combine(
-            _dt.date.fromisoformat(str(start_date)), _dt.time())))
+        lo = _dt.date.fromisoformat(str(start_date)).isoformat() + " 00:00:00"
+        ev = ev.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
     if end_date:
-        ev = ev.where(F.col("ts") < F.lit(_dt.datetime.combine(
-            _dt.date.fromisoformat(str(end_date)) + _dt.timedelta(days=1), _dt.time())))
+        hi = (_dt.date.fromisoformat(str(end_date)) + _dt.timedelta(days=1)).isoformat() + " 00:00:00"
+        ev = ev.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
     k = F.col("_k")
     etype = F.col("event_type")
     day = F.to_date("ts")

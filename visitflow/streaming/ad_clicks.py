@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from visitflow.config import cut_lineage, new_subdir
-from visitflow.functions.expressions import millis_to_timestamp, timestamp_to_millis
+from visitflow.functions.expressions import (instant_to_ntz, millis_to_timestamp, ntz_to_instant,
+                                             timestamp_to_millis)
 
 DAY_KEYS = ("day", "user_id", "ad_id")
 WINDOW_KEYS = ("window_start", "user_id", "ad_id")
@@ -84,8 +85,10 @@ def daily_counts(clicks: DataFrame) -> DataFrame:
 
 
 def _event_ts(clicks: DataFrame, watermark: str | None) -> DataFrame:
-    # watermarks need TIMESTAMP (with zone); NTZ is reinterpreted in the session zone
-    out = clicks.withColumn("_ts", F.col("event_time").cast("timestamp"))
+    # Watermarks need TIMESTAMP (an instant). The instant is taken with the
+    # event's wall clock as UTC, so windows align with the wall-clock day and
+    # the result does not depend on the session time zone.
+    out = clicks.withColumn("_ts", ntz_to_instant("event_time"))
     return out.withWatermark("_ts", watermark) if watermark else out
 
 
@@ -103,8 +106,8 @@ def windowed_counts(clicks: DataFrame, size: str = "5 seconds", watermark: str |
     agg = (_event_ts(clicks, watermark)
            .groupBy(F.window("_ts", size).alias("w"), "user_id", "ad_id")
            .agg(F.count(F.lit(1)).alias("click_count")))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+    return agg.select(instant_to_ntz("w.start").alias("window_start"),
+                      instant_to_ntz("w.end").alias("window_end"),
                       "user_id", "ad_id", "click_count")
 
 
