@@ -72,7 +72,7 @@ def test_sql_function_registered(spark):
     assert spark.sql("SELECT concat_long_string(1, 'Beijing', ':') AS x").collect()[0].x == "1:Beijing"
 
 
-def test_top3_per_area(spark):
+def test_top_three_per_area(spark):
     rows = [("X", p, c, "", "A") for p, c in [(1, 5), (2, 9), (3, 9), (4, 1)]]
     df = spark.createDataFrame(rows, "area STRING, product_id BIGINT, click_count BIGINT, city_infos STRING, area_level STRING")
     got = [(r.product_id, r.rank) for r in A.top_products_per_area(df, 3).orderBy("rank").collect()]

@@ -66,8 +66,8 @@ def q_category_counts(spark, sf_dir):
     return C.category_counts(_t(spark, sf_dir).actions())
 
 
-@query("top10_categories")
-def q_top10_categories(spark, sf_dir):
+@query("categories_top10")
+def q_categories_top10(spark, sf_dir):
     return C.top_categories(C.category_counts(_t(spark, sf_dir).actions()), 10)
 
 
@@ -264,8 +264,8 @@ def q_session_category_clicks(spark, sf_dir):
     return C.session_category_clicks(_t(spark, sf_dir).actions())
 
 
-@query("top10_sessions_per_category")
-def q_top10_sessions_per_category(spark, sf_dir):
+@query("category_top_sessions")
+def q_category_top_sessions(spark, sf_dir):
     """Top-10 sessions of every clicked category."""
     return C.top_sessions_per_category(C.session_category_clicks(_t(spark, sf_dir).actions()), 10)
 
@@ -322,8 +322,8 @@ def q_area_level(spark, sf_dir):
     return _area_clicks(_t(spark, sf_dir))
 
 
-@query("area_top3_products")
-def q_area_top3_products(spark, sf_dir):
+@query("area_top_products")
+def q_area_top_products(spark, sf_dir):
     """R2: top-3 products per area."""
     return A.top_products_per_area(_area_clicks(_t(spark, sf_dir)), 3)
 

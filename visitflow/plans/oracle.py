@@ -83,7 +83,7 @@ def oracle(name: str, body: str) -> None:
 oracle("session_agg", f"SELECT {SESSION_COLS} FROM ses")
 oracle("session_profile", f"SELECT {SESSION_COLS}, age, professional, city, sex FROM prof")
 oracle("category_counts", "SELECT category_id, click_count, order_count, pay_count FROM catc")
-oracle("top10_categories", """
+oracle("categories_top10", """
 SELECT category_id, click_count, order_count, pay_count,
        CAST(row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC,
                                category_id DESC) AS INTEGER) AS rank
@@ -196,7 +196,7 @@ oracle("categories_ranked", "SELECT category_id, click_count, order_count, pay_c
 SCC = ("scc AS (SELECT category_id, session_id, CAST(count(*) AS BIGINT) AS click_count FROM touch "
        "WHERE kind = 'click' GROUP BY category_id, session_id)")
 oracle("session_category_clicks", f", {SCC}\nSELECT category_id, session_id, click_count FROM scc")
-oracle("top10_sessions_per_category", f""", {SCC}
+oracle("category_top_sessions", f""", {SCC}
 SELECT * FROM (
   SELECT category_id, session_id, click_count,
          CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id DESC)
@@ -230,7 +230,7 @@ oracle("product_clicks_by_city", AREA_CTES + "SELECT city_id, event_id, product_
 oracle("city_labels", AREA_CTES + "SELECT event_id, concat(CAST(city_id AS VARCHAR), ':', city_name) AS city_label FROM pcc")
 oracle("area_product_clicks", AREA_CTES + "SELECT area, product_id, click_count, city_infos FROM apc")
 oracle("area_level", AREA_CTES + "SELECT area, product_id, click_count, city_infos, area_level FROM apl")
-oracle("area_top3_products", AREA_CTES + """
+oracle("area_top_products", AREA_CTES + """
 SELECT * FROM (
   SELECT area, product_id, click_count, city_infos, area_level,
          CAST(row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id ASC) AS INTEGER) AS rank
@@ -245,9 +245,9 @@ def _sample_ctes(n: int, seed: int = 42) -> str:
 hc AS (SELECT visit_day, hour, CAST(count(*) AS BIGINT) AS hour_cnt FROM sh GROUP BY visit_day, hour),
 dc AS (SELECT visit_day, CAST(sum(hour_cnt) AS BIGINT) AS day_cnt FROM hc GROUP BY visit_day),
 nd AS (SELECT CAST(count(*) AS BIGINT) AS n_days FROM dc),
-q AS (SELECT hc.visit_day, hc.hour, hour_cnt, day_cnt, n_days,
-             CAST(greatest(1, (hour_cnt * ({n} // n_days)) // day_cnt) AS BIGINT) AS quota
-      FROM hc JOIN dc USING (visit_day) CROSS JOIN nd),
+q AS (SELECT hc.visit_day, hc.hour, hour_cnt, day_cnt, (SELECT n_days FROM nd) AS n_days,
+             CAST(greatest(1, (hour_cnt * ({n} // (SELECT n_days FROM nd))) // day_cnt) AS BIGINT) AS quota
+      FROM hc JOIN dc USING (visit_day)),
 ranked AS (
   SELECT sh.*, CAST(row_number() OVER (PARTITION BY visit_day, hour
                                        ORDER BY md5('{seed}_' || session_id), session_id) AS INTEGER) AS sample_rank
