@@ -61,13 +61,17 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(checkpoints, sink tables and stream state are written there)")
         path = tempfile.mkdtemp(prefix="visitflow-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+        sc = None
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")
 

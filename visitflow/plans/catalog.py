@@ -443,7 +443,7 @@ def _staged(spark: SparkSession, sf_dir: str, name: str, make) -> str:
     """Input files derived from the test tables, written once per application
     and folder (they stand for files the original jobs read, a CSV export or a
     message topic), so repeated runs of a query read the same input."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, name)
     if key not in _STAGED:
         _STAGED[key] = make()
     return _STAGED[key]
