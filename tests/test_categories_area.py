@@ -10,9 +10,10 @@ def _counts(df):
 
 
 def test_empty_id_lists(spark):
-    rows = [action(1, orders=""), action(2, orders=","), action(3, orders="1,,2"), action(4, pays=",3,")]
+    rows = [action(1, orders=""), action(2, orders=","), action(3, orders="1,,2"), action(4, pays=",3,"),
+            action(5, pays="x, 3 , ,4")]
     got = _counts(C.category_counts(actions_df(spark, rows)))
-    assert got == {1: (0, 1, 0), 2: (0, 1, 0), 3: (0, 0, 1)}
+    assert got == {1: (0, 1, 0), 2: (0, 1, 0), 3: (0, 0, 2), 4: (0, 0, 1)}
 
 
 def test_pays_differ_from_orders(spark):

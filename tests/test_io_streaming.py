@@ -45,9 +45,10 @@ def test_stream_equals_batch(spark):
 
 
 def test_csv_quality_split(spark):
-    lines = spark.createDataFrame([("a,b,c",), ("a,b",), ("a,b,c,d",), ("a,,c",), ("x,y,z",)], "value STRING")
+    lines = spark.createDataFrame([("a,b,c",), ("a,b",), ("a,b,c,d",), ("a,,c",), ("x,y,z",), ("a, ,c",),
+                                   ("a,b,",)], "value STRING")
     cls = Q.classify_lines(lines, 3)
-    assert sorted(tuple(r) for r in Q.reject_counts(cls).collect()) == [("empty_field", 1), ("field_count", 2)]
+    assert sorted(tuple(r) for r in Q.reject_counts(cls).collect()) == [("empty_field", 3), ("field_count", 2)]
     rows = Q.valid_rows(cls, ["f1", "f2", "f3"])
     out = Q.write_split_csv(rows, new_subdir(spark, "t_csv"), 2)
     back = spark.read.option("header", True).csv(out)

@@ -13,29 +13,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitflow.functions.expressions import id_list
 from visitflow.operators.joins import broadcast_bounded
 
 CLICK, ORDER, PAY = "click", "order", "pay"
 
 
-def _touch(ids: Column, kind: str) -> Column:
-    return F.transform(ids, lambda x: F.struct(x.alias("category_id"), F.lit(kind).alias("kind")))
+def _ids(col: str) -> Column:
+    """Comma id text -> ARRAY<BIGINT> with blank entries removed; entries that
+    are not numbers become NULL and are dropped after the explode. Built-in,
+    codegen'd expressions only (no lambda functions on the hot path)."""
+    empty = F.array().cast("array<bigint>")
+    return F.coalesce(F.array_remove(F.split(F.col(col), ","), "").try_cast("array<bigint>"), empty)
+
+
+def _tag(ids: Column, kind: str) -> Column:
+    return F.arrays_zip(ids.alias("category_id"), F.array_repeat(F.lit(kind), F.size(ids)).alias("kind"))
 
 
 def category_touches(actions: DataFrame, extra_cols: tuple[str, ...] = ()) -> DataFrame:
     """Unpivot: one row per (category_id, kind) touch; kind in click/order/pay.
 
-    Order and pay lists are split with blanks dropped (F6/X11); every id in a
-    list counts once per row, as the reference's flatMap does.
+    Order and pay lists are split with blanks and non-numbers dropped (F6,
+    X11); every id in a list counts once per row. One ``explode`` over the
+    concatenated, kind-tagged arrays: the log is read once.
     """
+    empty = F.array().cast("array<bigint>")
     click = F.when(F.col("click_category_id").isNotNull(),
-                   F.array(F.col("click_category_id").cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
-    order = F.coalesce(id_list("order_category_ids"), F.array().cast("array<bigint>"))
-    pay = F.coalesce(id_list("pay_category_ids"), F.array().cast("array<bigint>"))
-    touches = F.concat(_touch(click, CLICK), _touch(order, ORDER), _touch(pay, PAY))
-    return (actions.select(*extra_cols, F.explode(touches).alias("_t"))
-            .select(*extra_cols, "_t.category_id", "_t.kind"))
+                   F.array(F.col("click_category_id").cast("bigint"))).otherwise(empty)
+    touches = F.concat(_tag(click, CLICK), _tag(_ids("order_category_ids"), ORDER),
+                       _tag(_ids("pay_category_ids"), PAY))
+    typed = touches.cast("array<struct<category_id:bigint,kind:string>>")
+    return (actions.select(*extra_cols, F.explode(typed).alias("_t"))
+            .select(*extra_cols, "_t.category_id", "_t.kind")
+            .where(F.col("category_id").isNotNull()))
 
 
 def touched_categories(actions: DataFrame) -> DataFrame:

@@ -29,8 +29,11 @@ def _escape(sep: str) -> str:
 def classify_lines(lines: DataFrame, n_fields: int, sep: str = ",", line_col: str = "value") -> DataFrame:
     """Adds ``fields`` (array) and ``reject_reason`` (NULL when valid)."""
     f = _fields(F.col(line_col), sep)
+    # a field is blank after trim (which strips spaces) exactly when it is
+    # empty once all spaces are removed: no per-element lambda needed
+    despaced = _fields(F.translate(F.col(line_col), " ", ""), sep)
     reason = (F.when(F.size("fields") != n_fields, F.lit(REASON_FIELD_COUNT))
-              .when(F.exists("fields", lambda x: F.trim(x) == ""), F.lit(REASON_EMPTY_FIELD)))
+              .when(F.array_contains(despaced, ""), F.lit(REASON_EMPTY_FIELD)))
     return lines.withColumn("fields", f).withColumn("reject_reason", reason)
 
 
