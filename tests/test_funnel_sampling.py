@@ -24,10 +24,12 @@ def test_bucketed_previous_equals_plain_lag(spark):
         rows.append(action(e, sid, seconds=rnd.randrange(0, 3 * 86400), page_id=rnd.randrange(10)))
     rows.append(action(1000, "s0", seconds=5, page_id=3))  # same second as others: tie on time
     df = actions_df(spark, rows)
-    for bucket in (60, 3600, 86400):
-        got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], bucket_seconds=bucket).collect()}
-        assert got == _plain_prev(df, "page_id")
-        pairs = sorted((r.prev_page_id, r.page_id) for r in O.consecutive_pairs(df, "page_id", bucket).collect())
+    variants = [dict(method="buckets", bucket_seconds=b) for b in (60, 3600, 86400)]
+    variants += [dict(method="auto", hot_rows=h) for h in (0, 80, 10 ** 6)]  # all, some, no hot sessions
+    for opts in variants:
+        got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], **opts).collect()}
+        assert got == _plain_prev(df, "page_id"), opts
+        pairs = sorted((r.prev_page_id, r.page_id) for r in O.consecutive_pairs(df, "page_id", **opts).collect())
         w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
         plain = sorted((r.p, r.page_id) for r in df.select(F.lag("page_id").over(w).alias("p"), "page_id")
                        .where(F.col("p").isNotNull()).collect())

