@@ -54,3 +54,9 @@ def test_auto_previous_row_drops_the_empty_hot_branch(spark):
     final = _plan(df).split("== Initial Plan ==")[0]
     # no session is hot in the test data: the bucket branch is pruned at run time
     assert "bucket" not in final.split("Union")[-1] or "LocalTableScan <empty>" in final
+
+
+def test_action_kind_filter_reaches_the_scan(spark):
+    plan = _plan(C.category_clicks(SuppliedTables(spark, SF).actions(kinds=("click",))))
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan or \
+        "In(event_type, [click])" in plan

@@ -63,12 +63,16 @@ def q_session_profile(spark, sf_dir):
 
 @query("category_counts")
 def q_category_counts(spark, sf_dir):
-    return C.category_counts(_t(spark, sf_dir).actions())
+    return C.category_counts(_t(spark, sf_dir).actions(kinds=TOUCH_KINDS))
 
 
 @query("categories_top10")
 def q_categories_top10(spark, sf_dir):
-    return C.top_categories(C.category_counts(_t(spark, sf_dir).actions()), 10)
+    return C.top_categories(C.category_counts(_t(spark, sf_dir).actions(kinds=TOUCH_KINDS)), 10)
+
+
+# Action kinds that touch a category (lets the scan skip searches and page views).
+TOUCH_KINDS = ("click", "order", "pay")
 
 
 # ---------------------------------------------------------------- sessions
@@ -225,55 +229,55 @@ def q_page_rate_report(spark, sf_dir):
 @query("touched_categories")
 def q_touched_categories(spark, sf_dir):
     """Categories clicked, ordered or paid."""
-    return C.touched_categories(_t(spark, sf_dir).actions())
+    return C.touched_categories(_t(spark, sf_dir).actions(kinds=TOUCH_KINDS))
 
 
 @query("category_clicks")
 def q_category_clicks(spark, sf_dir):
     """Clicks per category."""
-    return C.category_clicks(_t(spark, sf_dir).actions())
+    return C.category_clicks(_t(spark, sf_dir).actions(kinds=("click",)))
 
 
 @query("category_clicks_salted")
 def q_category_clicks_salted(spark, sf_dir):
     """A10: salted two-phase click count (equals A9)."""
-    return C.category_clicks_salted(_t(spark, sf_dir).actions(), 10)
+    return C.category_clicks_salted(_t(spark, sf_dir).actions(kinds=("click",)), 10)
 
 
 @query("category_orders")
 def q_category_orders(spark, sf_dir):
     """Orders per category."""
-    return C.category_orders(_t(spark, sf_dir).actions())
+    return C.category_orders(_t(spark, sf_dir).actions(kinds=("order",)))
 
 
 @query("category_pays")
 def q_category_pays(spark, sf_dir):
     """Payments per category."""
-    return C.category_pays(_t(spark, sf_dir).actions())
+    return C.category_pays(_t(spark, sf_dir).actions(kinds=("pay",)))
 
 
 @query("categories_ranked")
 def q_categories_ranked(spark, sf_dir):
     """O1: all categories in rank order."""
-    return C.rank_categories(C.category_counts(_t(spark, sf_dir).actions()))
+    return C.rank_categories(C.category_counts(_t(spark, sf_dir).actions(kinds=TOUCH_KINDS)))
 
 
 @query("session_category_clicks")
 def q_session_category_clicks(spark, sf_dir):
     """Clicks per (category, session)."""
-    return C.session_category_clicks(_t(spark, sf_dir).actions())
+    return C.session_category_clicks(_t(spark, sf_dir).actions(kinds=("click",)))
 
 
 @query("category_top_sessions")
 def q_category_top_sessions(spark, sf_dir):
     """Top-10 sessions of every clicked category."""
-    return C.top_sessions_per_category(C.session_category_clicks(_t(spark, sf_dir).actions()), 10)
+    return C.top_sessions_per_category(C.session_category_clicks(_t(spark, sf_dir).actions(kinds=("click",))), 10)
 
 
 @query("top_sessions_for_top_categories")
 def q_top_sessions_for_top_categories(spark, sf_dir):
     """J4 + R1: top-10 sessions of each of the top-10 categories."""
-    return C.top_sessions_for_top_categories(_t(spark, sf_dir).actions(), 10, 10)
+    return C.top_sessions_for_top_categories(_t(spark, sf_dir).actions(kinds=TOUCH_KINDS), 10, 10)
 
 
 # ---------------------------------------------------------------- area
@@ -282,7 +286,7 @@ TEST_TIERS = {"A级": ("AMERICA", "EUROPE"), "B级": ("ASIA",), "C级": ("AFRICA
 
 
 def _clicks_city(t: SuppliedTables) -> DataFrame:
-    return A.clicks_with_city(A.product_clicks(t.actions()), t.cities())
+    return A.clicks_with_city(A.product_clicks(t.actions(kinds=("click",))), t.cities())
 
 
 def _area_clicks(t: SuppliedTables) -> DataFrame:
@@ -292,7 +296,7 @@ def _area_clicks(t: SuppliedTables) -> DataFrame:
 @query("product_clicks")
 def q_product_clicks(spark, sf_dir):
     """clicks with a product id."""
-    return A.product_clicks(_t(spark, sf_dir).actions())
+    return A.product_clicks(_t(spark, sf_dir).actions(kinds=("click",)))
 
 
 @query("product_clicks_by_city")
@@ -383,7 +387,7 @@ def q_event_gap_seconds(spark, sf_dir):
 @query("normalized_id_lists")
 def q_normalized_id_lists(spark, sf_dir):
     """Order / pay id lists split, blanks dropped, cast to ids."""
-    a = _t(spark, sf_dir).actions()
+    a = _t(spark, sf_dir).actions(kinds=("order", "pay"))
     raw = F.coalesce("order_category_ids", "pay_category_ids")
     ids = X.id_list(F.col("raw_ids"))
     return (a.where(F.col("order_category_ids").isNotNull() | F.col("pay_category_ids").isNotNull())
