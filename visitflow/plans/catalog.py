@@ -3,8 +3,8 @@
 Each query reads the supplied test tables through the adapter, runs one of
 the library operators over the whole tables, and returns a DataFrame whose
 column names equal those of its SQL twin in ``visitflow.plans.oracle``.
-Query parameters that the reference takes from a task row are fixed here and
-documented next to each query.
+Query parameters that the original jobs take from a task row are fixed here
+and documented next to each query.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitflow.functions import expressions as X
 from visitflow.operators import area as A
 from visitflow.operators import categories as C
-from visitflow.functions import expressions as X
 from visitflow.operators import funnel as FN
 from visitflow.operators import ordering as O
 from visitflow.operators import records as R
@@ -31,6 +31,9 @@ from visitflow.streaming import ad_clicks as AD
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+# Action kinds that touch a category (lets the scan skip searches and page views).
+TOUCH_KINDS = ("click", "order", "pay")
+
 
 def query(name: str):
     def register(fn: QueryFn) -> QueryFn:
@@ -53,28 +56,28 @@ def _profile(t: SuppliedTables) -> DataFrame:
 
 @query("session_agg")
 def q_session_agg(spark, sf_dir):
+    """A1-A3: one row per session with its lists as text."""
     return S.sessions_as_text(_sessions(_t(spark, sf_dir)))
 
 
 @query("session_profile")
 def q_session_profile(spark, sf_dir):
+    """Sessions with the user's age, profession, city and sex."""
     return S.sessions_as_text(_profile(_t(spark, sf_dir)))
 
 
 @query("category_counts")
 def q_category_counts(spark, sf_dir):
+    """Click, order and pay counts of every touched category."""
     return C.category_counts(_t(spark, sf_dir).actions(kinds=TOUCH_KINDS))
 
 
 @query("categories_top10")
 def q_categories_top10(spark, sf_dir):
+    """O2: the ten top categories with their rank (the smoke-entry query)."""
     return C.top_categories(C.category_counts(_t(spark, sf_dir).actions(kinds=TOUCH_KINDS)), 10)
 
 
-# Action kinds that touch a category (lets the scan skip searches and page views).
-TOUCH_KINDS = ("click", "order", "pay")
-
-
 # ---------------------------------------------------------------- sessions
 # Fixed query parameters (documented; the SQL twins use the same values).
 AGE_FILTER = dict(start_age=12, end_age=60)
