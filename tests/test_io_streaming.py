@@ -118,3 +118,18 @@ def test_stream_windows_independent_of_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert [(str(d), n) for d, _, _, n in daily] == [("2024-01-01", 24), ("2024-01-02", 6)]
     assert str(win.window_start) == "2024-01-01 00:00:00"
+
+
+def test_ad_click_job_and_compaction(spark):
+    from visitflow.plans import jobs
+    lines = [f"{1704067200000 + i * 60_000} p c {i % 2} 7" for i in range(20)]
+    path = AD.stage_messages(spark.createDataFrame([(x,) for x in lines], "value STRING"), 2)
+    sink_path = new_subdir(spark, "t_job_sink")
+    q = jobs.ad_click_counts(AD.file_messages(spark, path), sink_path, new_subdir(spark, "t_job_ckpt"),
+                             watermark="1 day", available_now=True)
+    q.awaitTermination()
+    sink = AD.UpsertSink(sink_path, AD.DAY_KEYS)
+    got = sorted((r.user_id, r.click_count) for r in sink.read(spark).collect())
+    assert got == [(0, 10), (1, 10)]
+    out = sink.compact(spark, new_subdir(spark, "t_compacted"))
+    assert sorted((r.user_id, r.click_count) for r in spark.read.parquet(out).collect()) == got
