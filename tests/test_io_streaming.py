@@ -133,3 +133,17 @@ def test_ad_click_job_and_compaction(spark):
     assert got == [(0, 10), (1, 10)]
     out = sink.compact(spark, new_subdir(spark, "t_compacted"))
     assert sorted((r.user_id, r.click_count) for r in spark.read.parquet(out).collect()) == got
+
+
+def test_csv_job_and_mock_tables(spark):
+    from visitflow.plans import jobs
+    src = Q.write_lines_with_header(
+        spark.createDataFrame([("1,a",), ("2,",), ("3,c,x",), ("4,d",)], "value STRING"),
+        new_subdir(spark, "t_csv_in"), "id,name", 2)
+    out = new_subdir(spark, "t_csv_out")
+    rejects = jobs.split_valid_csv(spark, src, out, 2, ["id", "name"], n_files=3)
+    assert sorted(tuple(r) for r in rejects.collect()) == [("empty_field", 1), ("field_count", 1)]
+    assert sorted(tuple(r) for r in spark.read.option("header", True).csv(out).collect()) == [("1", "a"), ("4", "d")]
+    frames = jobs.mock_tables(spark, 1000, 100)
+    assert spark.sql("SELECT count(*) AS n FROM user_visit_action").collect()[0].n == 1000
+    assert frames["user_info"].count() == 100

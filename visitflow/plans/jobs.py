@@ -80,3 +80,27 @@ def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, waterm
     sink = AD.UpsertSink(sink_path, AD.DAY_KEYS)
     return AD.run_to_sink(AD.running_daily_counts(clicks, watermark), sink, checkpoint,
                           available_now=available_now)
+
+
+def split_valid_csv(spark, in_path: str, out_path: str, n_fields: int, names=None,
+                    n_files: int = 20, sep: str = ",") -> DataFrame:
+    """The CSV validation job: read delimited files (one header line per file),
+    keep lines with exactly ``n_fields`` non-blank fields, write them as
+    ``n_files`` files with a header each, and return the reject counts."""
+    from visitflow.sources import quality as Q
+    names = list(names) if names else [f"c{i + 1}" for i in range(n_fields)]
+    classified = Q.classify_lines(Q.read_lines(spark, in_path), n_fields, sep)
+    Q.write_split_csv(Q.valid_rows(classified, names), out_path, n_files, sep)
+    return Q.reject_counts(classified)
+
+
+def mock_tables(spark, n_actions: int, n_users: int = 100, seed: int = 666) -> dict[str, DataFrame]:
+    """Synthetic visit log and user table of the requested sizes (parallel,
+    deterministic per id); registered as temp views ``user_visit_action`` and
+    ``user_info``."""
+    from visitflow.sources import synth
+    from visitflow.sources.tables import register_views
+    frames = {"user_visit_action": synth.synthetic_visits(spark.range(n_actions), "id", seed),
+              "user_info": synth.synthetic_users(spark.range(n_users), "id", seed)}
+    register_views(spark, frames)
+    return frames
