@@ -60,3 +60,13 @@ def test_action_kind_filter_reaches_the_scan(spark):
     plan = _plan(C.category_clicks(SuppliedTables(spark, SF).actions(kinds=("click",))))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in plan or \
         "In(event_type, [click])" in plan
+
+
+def test_broadcast_check_is_remembered_per_plan(spark):
+    from visitflow.operators import joins as J
+    t = SuppliedTables(spark, SF)
+    assert J.row_count_at_most(t.users(), 10 ** 6)
+    n = len(J._DECISIONS)
+    assert J.row_count_at_most(SuppliedTables(spark, SF).users(), 10 ** 6)  # same plan, rebuilt
+    assert len(J._DECISIONS) == n
+    assert not J.row_count_at_most(t.users(), 3)  # different bound: checked again
