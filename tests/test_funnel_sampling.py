@@ -117,3 +117,13 @@ def test_range_method_equals_plain_lag_with_hot_second(spark):
     rates_r = FN.page_convert_rate(df, "1,2,3", method="range").collect()
     rates_b = FN.page_convert_rate(df, "1,2,3").collect()
     assert sorted(map(tuple, rates_r)) == sorted(map(tuple, rates_b))
+
+
+def test_hot_session_detection_by_sample(spark):
+    rows = [action(e, "hot", seconds=e) for e in range(30000)] + \
+           [action(100000 + e, f"s{e % 50}", seconds=e) for e in range(5000)]
+    df = actions_df(spark, rows)
+    # threshold 20000 rows -> sampled at 10 %; the 30000-row session is found, 100-row sessions are not
+    assert [r.session_id for r in O.hot_sessions(df, 20000).collect()] == ["hot"]
+    got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], hot_rows=20000).collect()}
+    assert got == _plain_prev(df, "page_id")

@@ -79,10 +79,26 @@ def bucket_edges(actions: DataFrame, values: Sequence[str],
     return summary.withColumn("is_first_bucket", F.lag("bucket").over(w).isNull())
 
 
+HOT_SAMPLE_ROWS = 2000  # sampled rows expected from a session at the hot threshold
+
+
 def hot_sessions(actions: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Sessions with more than ``hot_rows`` rows (lazy, a partial aggregate)."""
-    return (actions.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > hot_rows).select("session_id"))
+    """Sessions with about ``hot_rows`` rows or more (lazy).
+
+    Used only to choose a plan - both plans give exact results - so it counts
+    a Bernoulli sample in which a session at the threshold expects
+    ``HOT_SAMPLE_ROWS`` rows, and keeps sessions reaching half of that. The
+    shuffle is then a few rows per hot session instead of one row per
+    session. Small thresholds count every row.
+    """
+    fraction = min(1.0, HOT_SAMPLE_ROWS / max(hot_rows, 1))
+    rows = actions.select("session_id")
+    if fraction >= 1.0:
+        return (rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > hot_rows).select("session_id"))
+    return (rows.sample(withReplacement=False, fraction=fraction, seed=17)
+            .groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= HOT_SAMPLE_ROWS // 2).select("session_id"))
 
 
 def _hot_split(actions: DataFrame, hot_rows: int, max_hot: int):
