@@ -41,18 +41,20 @@ def test_funnel_missing_step_and_rates(spark):
     rows = [action(1, "a", seconds=1, page_id=1), action(2, "a", seconds=2, page_id=2),
             action(3, "a", seconds=3, page_id=3), action(4, "b", seconds=1, page_id=1),
             action(5, "b", seconds=2, page_id=2)]
-    rates = {r.split: (r.split_pv, r.prev_pv, r.rate)
-             for r in FN.page_convert_rate(actions_df(spark, rows), "1,2,3,4,5").collect()}
-    assert rates["1_2"] == (2, 2, 1.0)
-    assert rates["2_3"] == (1, 2, 0.5)
-    assert rates["3_4"] == (0, 1, 0.0)
-    assert rates["4_5"] == (0, 0, None)
+    for method in ("auto", "buckets", "range"):
+        rates = {r.split: (r.split_pv, r.prev_pv, r.rate)
+                 for r in FN.page_convert_rate(actions_df(spark, rows), "1,2,3,4,5", method=method).collect()}
+        assert rates["1_2"] == (2, 2, 1.0), method
+        assert rates["2_3"] == (1, 2, 0.5), method
+        assert rates["3_4"] == (0, 1, 0.0), method
+        assert rates["4_5"] == (0, 0, None), method
 
 
 def test_funnel_repeated_pair_matches_per_repetition(spark):
     rows = [action(1, "a", seconds=1, page_id=1), action(2, "a", seconds=2, page_id=2)]
-    m = FN.page_flow_matches(actions_df(spark, rows), "1,2,1,2").collect()
-    assert sorted((r.step, r.split, r.pair_count) for r in m) == [(1, "1_2", 1), (3, "1_2", 1)]
+    for method in ("auto", "buckets"):
+        m = FN.page_flow_matches(actions_df(spark, rows), "1,2,1,2", method=method).collect()
+        assert sorted((r.step, r.split, r.pair_count) for r in m) == [(1, "1_2", 1), (3, "1_2", 1)]
 
 
 def test_rate_report_text(spark):

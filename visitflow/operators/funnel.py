@@ -1,9 +1,11 @@
 """Page single-step conversion.
 
 Consecutive page pairs come from ``visitflow.operators.ordering`` (previous
-row inside a session, split by time bucket so a hot session is not one
-task). Pairs are counted with map-side partial aggregation before they meet
-the flow, which is parameter-sized and broadcast.
+row inside a session; hot sessions are split by time bucket so none is one
+task). The flow is a small parameter, so every number the funnel needs - the
+start page's views and each step's pair count - is a conditional count:
+one global aggregate over one pass of the ordered rows, no join, and the
+log is read once for it.
 """
 
 from __future__ import annotations
@@ -12,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitflow.functions.expressions import ratio_half_up
-from visitflow.operators.joins import broadcast_bounded
-from visitflow.operators.ordering import DEFAULT_BUCKET_SECONDS, consecutive_pairs, with_previous
+from visitflow.operators.ordering import DEFAULT_BUCKET_SECONDS, consecutive_pairs, transition_rows, with_previous
 
 # Fixed value: the default target page flow.
 DEFAULT_FLOW = (1, 2, 3, 4, 5, 6, 7, 8, 9)
@@ -55,31 +56,44 @@ def flow_steps(spark: SparkSession, flow=DEFAULT_FLOW) -> DataFrame:
                                               F.col("to_page").cast("string")))
 
 
+def funnel_counts(actions: DataFrame, flow=DEFAULT_FLOW, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                  method: str = "auto") -> DataFrame:
+    """One row: ``start_page_pv`` and ``pv_<i>`` (pairs matching step i) for
+    every step of the flow, from a single pass. A pair repeated in the flow
+    is counted for each of its steps."""
+    pages = parse_flow(flow)
+    rows = transition_rows(actions, "page_id", bucket_seconds, method)
+    aggs = [F.count_if(F.col("is_row") & (F.col("page_id") == F.lit(pages[0]))).alias("start_page_pv")]
+    for i in range(1, len(pages)):
+        aggs.append(F.count_if(F.col("has_prev") & (F.col("prev_page_id") == F.lit(pages[i - 1]))
+                               & (F.col("page_id") == F.lit(pages[i]))).alias(f"pv_{i}"))
+    return rows.agg(*aggs)
+
+
+def _step_rows(counts: DataFrame, flow) -> DataFrame:
+    """(start_page_pv, step, split, split_pv), one row per flow step."""
+    pages = parse_flow(flow)
+    k = len(pages) - 1
+    if k == 0:
+        return counts.select("start_page_pv", F.lit(1).alias("step"), F.lit("").alias("split"),
+                             F.lit(0).cast("bigint").alias("split_pv")).where(F.lit(False))
+    items = ", ".join(f"{i}, '{pages[i - 1]}_{pages[i]}', pv_{i}" for i in range(1, k + 1))
+    return counts.selectExpr("start_page_pv", f"stack({k}, {items}) AS (step, split, split_pv)")
+
+
 def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
-    """Pair counts per (prev, page) matched against the flow steps.
-
-    Pairs are counted first (partial aggregation, at most pages^2 groups),
-    then joined to the flow (parameter-sized, broadcast). A pair repeated in
-    the flow matches once per repetition.
-    """
-    spark = actions.sparkSession
-    counts = (page_pairs(actions, bucket_seconds, method)
-              .groupBy("prev_page_id", "page_id").agg(F.count(F.lit(1)).alias("pair_count")))
-    steps = broadcast_bounded(flow_steps(spark, flow))
-    return (counts.join(steps, (counts.prev_page_id == steps.from_page) & (counts.page_id == steps.to_page))
-            .select("step", "split", "pair_count"))
+    """The flow steps whose page pair occurs, with the pair count."""
+    steps = _step_rows(funnel_counts(actions, flow, bucket_seconds, method), flow)
+    return (steps.where(F.col("split_pv") > 0)
+            .select("step", "split", F.col("split_pv").cast("bigint").alias("pair_count")))
 
 
 def page_split_pv(actions: DataFrame, flow=DEFAULT_FLOW,
                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
     """Every flow step with its matched pair count (0 when never seen)."""
-    spark = actions.sparkSession
-    matched = page_flow_matches(actions, flow, bucket_seconds, method)
-    steps = flow_steps(spark, flow).select("step", "split")
-    # matched has at most one row per flow step: bounded by the parameter
-    return (steps.join(broadcast_bounded(matched.select("step", "pair_count")), "step", "left")
-            .select("step", "split", F.coalesce("pair_count", F.lit(0)).cast("bigint").alias("split_pv")))
+    steps = _step_rows(funnel_counts(actions, flow, bucket_seconds, method), flow)
+    return steps.select("step", "split", F.col("split_pv").cast("bigint").alias("split_pv"))
 
 
 def start_page_pv(actions: DataFrame, flow=DEFAULT_FLOW) -> DataFrame:
@@ -93,18 +107,14 @@ def page_convert_rate(actions: DataFrame, flow=DEFAULT_FLOW, digits: int = 2,
     """Step 1 = pv(1) / start pv; step i = pv(i) / pv(i-1), HALF_UP.
 
     Columns: step, split, split_pv, prev_pv, rate (NULL when prev_pv is 0).
-    The start page count enters as a step-0 row, so one window over the
-    flow's handful of steps yields every denominator (no join).
+    All counts come from one aggregate row; the window runs over the flow's
+    handful of steps only.
     """
-    pv = page_split_pv(actions, flow, bucket_seconds, method)
-    start = start_page_pv(actions, flow).select(
-        F.lit(0).alias("step"), F.lit(None).cast("string").alias("split"),
-        F.col("start_page_pv").cast("bigint").alias("split_pv"))
+    steps = _step_rows(funnel_counts(actions, flow, bucket_seconds, method), flow)
     w = Window.orderBy("step")
-    return (pv.unionByName(start)
-            .withColumn("prev_pv", F.lag("split_pv").over(w))
-            .where(F.col("step") > 0)
-            .select("step", "split", "split_pv", "prev_pv",
+    return (steps
+            .withColumn("prev_pv", F.coalesce(F.lag("split_pv").over(w), F.col("start_page_pv")).cast("bigint"))
+            .select("step", "split", F.col("split_pv").cast("bigint").alias("split_pv"), "prev_pv",
                     ratio_half_up("split_pv", "prev_pv", digits).alias("rate")))
 
 

@@ -207,6 +207,46 @@ def consecutive_pairs(actions: DataFrame, value: str,
     return _bucket_pairs(actions, value, bucket_seconds)
 
 
+def transition_rows(actions: DataFrame, value: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                    method: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Every row and every consecutive pair in one frame, for one-pass counting.
+
+    Columns: ``is_row`` (a log row, counted once per row), ``has_prev``
+    (``prev_<value>`` is the previous row's value), ``prev_<value>``,
+    ``<value>``. With buckets, a bucket's first row appears once as a row
+    without predecessor and once more as a pair-only entry (``is_row`` false)
+    carrying the previous bucket's last value.
+    """
+    prev = f"prev_{value}"
+    if method == "range":
+        vals = list(dict.fromkeys([value, "event_id"]))
+        r = with_previous_ranged(actions, vals)
+        return r.select(F.lit(True).alias("is_row"), F.col("prev_event_id").isNotNull().alias("has_prev"),
+                        prev, value)
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        ordered = ordered_in_buckets(df, [value], bucket_seconds)
+        rows = ordered.select(F.lit(True).alias("is_row"), (F.col("_rn") > 1).alias("has_prev"),
+                              F.col(f"_lag_{value}").alias(prev), value)
+        edges = (bucket_edges(df, [value], bucket_seconds).where(~F.col("is_first_bucket"))
+                 .select(F.lit(False).alias("is_row"), F.lit(True).alias("has_prev"),
+                         F.col(f"prev_last_{value}").alias(prev), F.col(f"first_{value}").alias(value)))
+        return rows.unionByName(edges)
+
+    if method == "buckets":
+        return bucketed(actions)
+    if method != "auto":
+        raise ValueError(f"unknown method {method!r}")
+    split = _hot_split(actions, hot_rows, MAX_HOT_SESSIONS)
+    if split is None:
+        return bucketed(actions)
+    normal, heavy = split
+    w = _plain_window()
+    plain = normal.select(F.lit(True).alias("is_row"), (F.row_number().over(w) > 1).alias("has_prev"),
+                          F.lag(value).over(w).alias(prev), value)
+    return plain if heavy is None else plain.unionByName(bucketed(heavy))
+
+
 def _bucket_pairs(actions: DataFrame, value: str, bucket_seconds: int) -> DataFrame:
     ordered = ordered_in_buckets(actions, [value], bucket_seconds)
     inner = ordered.where(F.col("_rn") > 1).select(
