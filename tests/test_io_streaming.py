@@ -59,10 +59,11 @@ def test_csv_quality_split(spark):
 
 
 def test_kv_text(spark):
-    df = spark.createDataFrame([("a=1|b=|c=3",), ("a=1||b=2",)], "t STRING")
+    df = spark.createDataFrame([("a=1|b=|c=3",), ("a=1||b=2",), ("a=5|a=6|ba=7",)], "t STRING")
     got = R.parse_kv(df, "t", {"a": "bigint", "b": "string", "c": "bigint"}).collect()
     assert tuple(got[0]) == (1, "", 3)
     assert tuple(got[1]) == (1, "2", None)
+    assert tuple(got[2]) == (5, None, None)  # first of a repeated key; ba is another key
     exp = R.export_kv(spark.createDataFrame([(1, "x", None)], "id BIGINT, u STRING, v BIGINT"), "id", ["u", "v"])
     assert exp.collect()[0].record == "u=x|v="
 

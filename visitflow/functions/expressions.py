@@ -7,6 +7,8 @@ the ``try_`` forms, which give NULL on bad input instead of failing the job.
 
 from __future__ import annotations
 
+import re as _re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -139,6 +141,16 @@ def kv_text_to_map(col, pair_sep: str = "|", kv_sep: str = "=") -> Column:
     return F.str_to_map(c, F.lit("[" + pair_sep + "]"), F.lit(kv_sep))
 
 
+def kv_field(col, name: str, pair_sep: str = "|", kv_sep: str = "=") -> Column:
+    """The value of field ``name`` in 'k=v|k=v' text: the first occurrence,
+    '' for an empty value, NULL when the field is absent. Duplicate keys and
+    empty segments are tolerated (a map would reject duplicates)."""
+    c = _c(col)
+    pat = (r"(?:^|" + _re.escape(pair_sep) + ")" + _re.escape(name) + _re.escape(kv_sep)
+           + "([^" + _re.escape(pair_sep) + "]*)")
+    return F.when(c.rlike(pat), F.regexp_extract(c, pat, 1))
+
+
 def map_to_kv_text(pairs: list[tuple[str, Column]], pair_sep: str = "|", kv_sep: str = "=") -> Column:
     """Columns -> 'k=v|k=v' text, NULL values written as empty."""
     return F.concat_ws(pair_sep, *[

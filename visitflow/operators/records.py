@@ -3,7 +3,7 @@
 Exported aggregates used to travel as flattened text. Here typed columns are
 the data model; text exists only at the edges: ``export_kv`` writes it,
 ``parse_kv`` loads such text back into typed columns. Both are per-row
-built-in expressions (``concat_ws`` / ``str_to_map``), no Python.
+built-in expressions (``concat_ws`` / ``regexp_extract``), no Python.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitflow.functions.expressions import kv_text_to_map, map_to_kv_text
+from visitflow.functions.expressions import kv_field, map_to_kv_text
 
 
 def export_kv(df: DataFrame, key: str, fields: Sequence[str], out_col: str = "record") -> DataFrame:
@@ -25,11 +25,11 @@ def parse_kv(df: DataFrame, text_col: str, fields: Mapping[str, str], keep: Sequ
     """Typed columns from 'k=v|...' text.
 
     ``fields`` maps field name -> Spark SQL type. A missing field is NULL, an
-    empty value is '' for strings and NULL for other types (``try_cast``).
+    empty value is '' for strings and NULL for other types (``try_cast``); a
+    repeated key yields its first value.
     """
-    m = kv_text_to_map(text_col)
     cols = [F.col(k) for k in keep]
     for name, typ in fields.items():
-        raw = m.getItem(name)
+        raw = kv_field(F.col(text_col), name)
         cols.append((raw if typ == "string" else raw.try_cast(typ)).alias(name))
     return df.select(*cols)
