@@ -37,3 +37,37 @@ def test_id_list_matches_python(spark, texts):
                 out.append(int(part))
         return out
     assert got == [py(t) for t in texts]
+
+
+_session_times = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 23), st.integers(0, 3599)),
+                          min_size=1, max_size=150)
+
+
+@settings(max_examples=8, deadline=None)
+@given(_session_times, st.sampled_from([1, 5, 40, 500]))
+def test_sample_matches_python_definition(spark, starts, n):
+    import datetime as dt
+    import hashlib
+
+    from pyspark.sql import types as T
+
+    from visitflow.operators import sampling as Y
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(f"s{i}", t0 + dt.timedelta(days=d, hours=h, seconds=s)) for i, (d, h, s) in enumerate(starts)]
+    schema = T.StructType([T.StructField("session_id", T.StringType()),
+                           T.StructField("start_time", T.TimestampNTZType())])
+    got = sorted(r.session_id for r in Y.stratified_sample(spark.createDataFrame(rows, schema), n, 7).collect())
+
+    by_hour: dict = {}
+    for sid, ts in rows:
+        by_hour.setdefault((ts.date(), ts.hour), []).append(sid)
+    day_cnt: dict = {}
+    for (day, _), ids in by_hour.items():
+        day_cnt[day] = day_cnt.get(day, 0) + len(ids)
+    per_day = n // len(day_cnt)
+    want = []
+    for (day, _), ids in by_hour.items():
+        quota = max(1, (len(ids) * per_day) // day_cnt[day])
+        ranked = sorted(ids, key=lambda sid: (hashlib.md5(f"7_{sid}".encode()).hexdigest(), sid))
+        want += ranked[:quota]
+    assert got == sorted(want)
