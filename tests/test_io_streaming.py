@@ -15,10 +15,20 @@ def test_malformed_ad_messages_rejected_and_counted(spark):
                                   ("1525132800000 p c u 42",), ("1525132800000 p c 17 42 9",)], "value STRING")
     good = AD.parse_ad_messages(msgs).collect()
     assert len(good) == 1 and good[0].user_id == 17 and good[0].ad_id == 42
-    assert str(good[0].day) == "2018-05-01"
+    assert str(good[0].day) == "2018-05-01" and good[0].day_key == "20180501"
+    from visitflow.functions.expressions import compact_day_to_date
+    back = msgs.sparkSession.createDataFrame([("20180501",), ("2018x501",)], "k STRING") \
+        .select(compact_day_to_date("k").alias("d")).collect()
+    assert [str(r.d) for r in back] == ["2018-05-01", "None"]
     assert AD.ad_message_rejects(msgs).collect()[0].reject_count == 3
 
 
+def test_kafka_reader_explains_missing_connector(spark):
+    import pytest
+    with pytest.raises(RuntimeError, match="connector"):
+        AD.kafka_messages(spark, "localhost:1", "ads")
+
+
 def test_upsert_sink_replay_is_idempotent(spark):
     sink = AD.UpsertSink(new_subdir(spark, "t_upsert"), ["k"])
     b0 = spark.createDataFrame([(1, 5), (2, 1)], "k BIGINT, n BIGINT")

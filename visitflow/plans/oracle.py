@@ -346,7 +346,8 @@ clk AS (SELECT make_timestamp(ms * 1000) AS event_time, CAST(make_timestamp(ms *
                province, city, user_id, ad_id FROM msg WHERE event_id % 50 <> 0),
 daily AS (SELECT day, user_id, ad_id, CAST(count(*) AS BIGINT) AS click_count FROM clk GROUP BY day, user_id, ad_id)
 """
-oracle("ad_messages_parsed", AD_CTES + "SELECT event_time, day, province, city, user_id, ad_id FROM clk")
+oracle("ad_messages_parsed", AD_CTES +
+       "SELECT event_time, day, strftime(event_time, '%Y%m%d') AS day_key, province, city, user_id, ad_id FROM clk")
 oracle("ad_message_rejects", AD_CTES +
        "SELECT CAST(count(*) FILTER (WHERE event_id % 50 = 0) AS BIGINT) AS reject_count FROM msg")
 oracle("ad_clicks_daily", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from visitflow.config import cut_lineage, new_subdir
-from visitflow.functions.expressions import (instant_to_ntz, millis_to_timestamp, ntz_to_instant,
-                                             timestamp_to_millis)
+from visitflow.functions.expressions import (compact_day, instant_to_ntz, millis_to_timestamp,
+                                             ntz_to_instant, timestamp_to_millis)
 
 DAY_KEYS = ("day", "user_id", "ad_id")
 WINDOW_KEYS = ("window_start", "user_id", "ad_id")
@@ -54,9 +54,11 @@ def with_parsed_fields(messages: DataFrame, value_col: str = "value") -> DataFra
 
 
 def parse_ad_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Valid messages as (event_time, day, province, city, user_id, ad_id)."""
+    """Valid messages as (event_time, day, day_key 'yyyyMMdd', province,
+    city, user_id, ad_id)."""
     parsed = with_parsed_fields(messages, value_col).where("is_valid")
     return parsed.select("event_time", F.to_date("event_time").alias("day"),
+                         compact_day("event_time").alias("day_key"),
                          "province", "city", "user_id", "ad_id")
 
 
@@ -142,9 +144,15 @@ class UpsertSink:
 def kafka_messages(spark: SparkSession, servers: str, topics: str, **options) -> DataFrame:
     """Message text from Kafka (needs the Kafka connector on the class
     path; it is not bundled here). Returns one ``value`` STRING column."""
-    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topics).options(**options).load()
-            .select(F.col("value").cast("string").alias("value")))
+    try:
+        raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+               .option("subscribe", topics).options(**options).load())
+    except Exception as exc:
+        if "kafka" in str(exc).lower() and "find" in str(exc).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the class path "
+                               "(spark.jars.packages); file_messages() reads staged message files instead") from exc
+        raise
+    return raw.select(F.col("value").cast("string").alias("value"))
 
 
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
