@@ -161,14 +161,30 @@ def file_messages(spark: SparkSession, path: str, files_per_trigger: int = 1) ->
             .text(path))
 
 
+_NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def run_to_sink(stream: DataFrame, sink: UpsertSink, checkpoint: str, output_mode: str = "update",
                 available_now: bool = True, processing_time: str = "5 seconds") -> StreamingQuery:
     """Start ``stream`` into ``sink``; ``available_now`` drains the input and
-    stops (tests, backfills), otherwise a ``processing_time`` trigger."""
+    stops (tests, backfills), otherwise a ``processing_time`` trigger.
+
+    A drain-and-stop run skips the trailing no-data batch (it would only move
+    the watermark of a query that is about to stop); continuous runs keep
+    no-data batches so the state of closed windows is dropped on time. The
+    setting is read when the query starts, so it is restored right after.
+    """
+    spark = stream.sparkSession
     w = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
          .foreachBatch(sink.write_batch))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
+    if not available_now:
+        return w.trigger(processingTime=processing_time).start()
+    previous = spark.conf.get(_NO_DATA_BATCHES, "true")
+    spark.conf.set(_NO_DATA_BATCHES, "false")
+    try:
+        return w.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(_NO_DATA_BATCHES, previous)
 
 
 def stage_messages(messages: DataFrame, n_files: int = 4) -> str:
