@@ -18,6 +18,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
+# Spark simple type name -> DuckDB type name, for the schema check.
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -66,6 +70,8 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     t0 = time.time()
     df = q(spark, sf_dir)
     s_cols = df.columns
+    s_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
     s_recs = [tuple(r) for r in df.collect()]
     t1 = time.time()
     out = {"name": name, "spark_rows": len(s_recs), "spark_sec": round(t1 - t0, 2)}
@@ -73,6 +79,8 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         out["status"] = "rows-only"
         return out
     con = con or duck(sf_dir)
+    rel = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(sql)
     d_cols = [c[0] for c in cur.description]
     d_recs = cur.fetchall()
@@ -81,6 +89,8 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     dc, dr = _rows(d_cols, d_recs)
     if sc != dc:
         out["status"] = f"columns differ: spark={sc} duck={dc}"
+    elif s_types != d_types:
+        out["status"] = f"types differ: spark={s_types} duck={d_types}"
     elif len(sr) != len(dr):
         out["status"] = "row count differs"
     elif sr != dr:
