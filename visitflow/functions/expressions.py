@@ -134,13 +134,6 @@ def id_list(col) -> Column:
     return F.filter(ids, lambda x: x.isNotNull())
 
 
-def kv_text_to_map(col, pair_sep: str = "|", kv_sep: str = "=") -> Column:
-    """X9: 'k=v|k=v' text -> MAP<STRING,STRING>; empty segments ignored."""
-    c = F.regexp_replace(_c(col), r"[" + pair_sep + r"]+", pair_sep)
-    c = F.regexp_replace(c, r"^[" + pair_sep + r"]|[" + pair_sep + r"]$", "")
-    return F.str_to_map(c, F.lit("[" + pair_sep + "]"), F.lit(kv_sep))
-
-
 def kv_field(col, name: str, pair_sep: str = "|", kv_sep: str = "=") -> Column:
     """The value of field ``name`` in 'k=v|k=v' text: the first occurrence,
     '' for an empty value, NULL when the field is absent. Duplicate keys and

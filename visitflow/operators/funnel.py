@@ -10,7 +10,7 @@ log is read once for it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.functions.expressions import ratio_half_up
@@ -43,19 +43,6 @@ def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     return consecutive_pairs(actions, "page_id", bucket_seconds, method)
 
 
-def flow_steps(spark: SparkSession, flow=DEFAULT_FLOW) -> DataFrame:
-    """Steps of the target flow: step i joins page flow[i-1] to flow[i].
-
-    Columns: step INT (1-based), from_page, to_page BIGINT, split 'a_b'.
-    Built from the parameter, so its size is the flow length.
-    """
-    pages = parse_flow(flow)
-    rows = [(i, pages[i - 1], pages[i]) for i in range(1, len(pages))]
-    df = spark.createDataFrame(rows, "step INT, from_page BIGINT, to_page BIGINT")
-    return df.withColumn("split", F.concat_ws("_", F.col("from_page").cast("string"),
-                                              F.col("to_page").cast("string")))
-
-
 def funnel_counts(actions: DataFrame, flow=DEFAULT_FLOW, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                   method: str = "auto") -> DataFrame:
     """One row: ``start_page_pv`` and ``pv_<i>`` (pairs matching step i) for
