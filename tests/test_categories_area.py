@@ -79,3 +79,12 @@ def test_top_three_per_area(spark):
     got = [(r.product_id, r.rank) for r in A.top_products_per_area(df, 3).orderBy("rank").collect()]
     assert got == [(2, 1), (3, 2), (1, 3)]
     assert A.top_products_per_area(df, 3).where(F.col("rank") > 3).count() == 0
+
+
+def test_area_sql_form_equals_dataframe_form(spark):
+    from visitflow.sources.adapter import SuppliedTables
+    t = SuppliedTables(spark, "/root/testdata/sf0.001")
+    clicks = A.clicks_with_city(A.product_clicks(t.actions(kinds=("click",))), t.cities())
+    a = sorted(tuple(r) for r in A.area_product_clicks(clicks).collect())
+    b = sorted(tuple(r) for r in A.area_product_clicks_sql(clicks).collect())
+    assert a == b and len(a) > 0

@@ -63,3 +63,17 @@ def register_sql_functions(spark: SparkSession) -> None:
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION concat_long_string(v BIGINT, s STRING, sep STRING)
         RETURNS STRING RETURN concat(CAST(v AS STRING), sep, s)""")
+
+
+def area_product_clicks_sql(clicks_city: DataFrame, view: str = "clk_prod_basic") -> DataFrame:
+    """A16 + U1 + U2 in Spark SQL, the form the original area job is written
+    in: a temp view, the registered scalar function and the built-in
+    distinct, ordered string aggregate. Same rows as ``area_product_clicks``."""
+    spark = clicks_city.sparkSession
+    register_sql_functions(spark)
+    clicks_city.createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT area, product_id, count(*) AS click_count,
+               listagg(DISTINCT city_info, ',') WITHIN GROUP (ORDER BY city_info) AS city_infos
+        FROM (SELECT area, product_id, concat_long_string(city_id, city_name, ':') AS city_info FROM {view})
+        GROUP BY area, product_id""")
