@@ -158,3 +158,15 @@ def test_csv_job_and_mock_tables(spark):
     frames = jobs.mock_tables(spark, 1000, 100)
     assert spark.sql("SELECT count(*) AS n FROM user_visit_action").collect()[0].n == 1000
     assert frames["user_info"].count() == 100
+
+
+def test_text_log_normalised(spark):
+    from visitflow.operators import sessions as S
+    from visitflow.sources.tables import normalize_text_log
+    raw = G.synthetic_visits(spark.range(2000), "id", 666, day="2024-03-05")
+    log = normalize_text_log(raw)
+    assert log.schema.simpleString().startswith("struct<visit_date:date,user_id:bigint,session_id:string")
+    assert log.where("action_time IS NULL").count() == 0
+    assert log.select(F.min("visit_date")).first()[0].isoformat() == "2024-03-05"
+    s = S.aggregate_sessions(log)
+    assert s.count() == 200 and s.agg(F.sum("step_length")).first()[0] == 2000

@@ -81,7 +81,14 @@ def new_subdir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` once as a parquet table in the shared folder and
+    return the table read back: the lineage is cut, the result survives
+    executor loss, and later readers get column pruning and pushdown.
+
+    (``Dataset.checkpoint(eager=True)`` would evaluate the plan twice - once
+    to count, once to write - unless the data were also cached.)
+    """
+    path = new_subdir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

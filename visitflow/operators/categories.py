@@ -149,3 +149,33 @@ def top_sessions_for_top_categories(actions: DataFrame, top_n: int = 10,
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.desc("session_id"))
     return (clicks.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= sessions_n))
+
+
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """(session_id, category_id, click_count, order_count, pay_count): touches
+    per session and category, one partial-able aggregate. Category totals and
+    per-session clicks can both be derived from it, so a job that needs both
+    aggregates the log once."""
+    return (category_touches(actions, ("session_id",)).groupBy("session_id", "category_id")
+            .agg(F.count_if(F.col("kind") == CLICK).alias("click_count"),
+                 F.count_if(F.col("kind") == ORDER).alias("order_count"),
+                 F.count_if(F.col("kind") == PAY).alias("pay_count")))
+
+
+def category_counts_from_sessions(counts: DataFrame) -> DataFrame:
+    """J3 from ``session_category_counts``: totals per category."""
+    return counts.groupBy("category_id").agg(
+        F.sum("click_count").cast("bigint").alias("click_count"),
+        F.sum("order_count").cast("bigint").alias("order_count"),
+        F.sum("pay_count").cast("bigint").alias("pay_count"))
+
+
+def top_sessions_from_counts(counts: DataFrame, top: DataFrame, n: int = 10) -> DataFrame:
+    """J4 + R1 from ``session_category_counts`` and a top-category list
+    (bounded by its limit, broadcast)."""
+    clicks = (counts.where(F.col("click_count") > 0)
+              .select("category_id", "session_id", "click_count")
+              .join(broadcast_bounded(top.select("category_id", F.col("rank").alias("category_rank"))),
+                    "category_id"))
+    w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.desc("session_id"))
+    return clicks.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

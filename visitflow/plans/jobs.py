@@ -17,6 +17,8 @@ from visitflow.operators import categories as C
 from visitflow.operators import funnel as FN
 from visitflow.operators import sampling as Y
 from visitflow.operators import sessions as S
+from visitflow.config import cut_lineage
+from visitflow.operators.joins import broadcast_if_small
 from visitflow.sources.params import TaskParams
 from visitflow.sources.sinks import write_table
 from visitflow.sources.tables import actions_in_range
@@ -34,20 +36,29 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
                      sample_size: int = 100, seed: int = 42, top_n: int = 10,
                      out_dir: str | None = None) -> dict[str, DataFrame]:
     """Sessionise, profile, filter, bucket statistics, stratified sample with
-    detail, top categories and their top sessions."""
+    detail, top categories and their top sessions.
+
+    Every output depends on the kept sessions, so they are checkpointed once;
+    the category outputs share one checkpoint of the kept sessions' touch
+    columns (a single semi join of the log); the sample detail reads the log
+    with the sample broadcast behind a bounded count. Eager: the checkpoints
+    run when this is called.
+    """
     acts = actions_in_range(actions, params.start_date, params.end_date)
     profile = S.session_profile(S.aggregate_sessions(acts), users)
-    kept = S.filter_sessions(profile, S.SessionFilter.from_params(params))
+    kept = cut_lineage(S.filter_sessions(profile, S.SessionFilter.from_params(params)))
     stats = S.session_stats(kept)
-    sample = Y.stratified_sample(kept.drop("keywords", "category_ids"), sample_size, seed)
-    kept_actions = S.session_detail(acts, kept)
+    sample = Y.stratified_sample(kept.drop("keywords", "category_ids"), sample_size, seed, materialize=False)
+    touch_cols = ["session_id", "event_id", "click_category_id", "order_category_ids", "pay_category_ids"]
+    kept_touches = cut_lineage(acts.select(*touch_cols).join(kept.select("session_id"), "session_id", "left_semi"))
     return _write({
         "session_stats": stats,
         "session_stat_ratios": S.stat_ratios(stats),
         "session_sample": sample,
-        "session_sample_detail": Y.sample_detail(kept_actions, sample),
-        "top_categories": C.top_categories(C.category_counts(kept_actions), top_n),
-        "top_category_sessions": C.top_sessions_for_top_categories(kept_actions, top_n, 10),
+        "session_sample_detail": acts.join(broadcast_if_small(sample.select("session_id"), 1_000_000),
+                                           "session_id", "left_semi"),
+        "top_categories": C.top_categories(C.category_counts(kept_touches), top_n),
+        "top_category_sessions": C.top_sessions_for_top_categories(kept_touches, top_n, 10),
     }, out_dir)
 
 

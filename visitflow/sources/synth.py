@@ -39,7 +39,8 @@ def _id_list(id_col: Column, seed: int, base: int) -> Column:
 
 def synthetic_visits(ids: DataFrame, id_col: str = "id", seed: int = 666,
                      day: str = "2024-01-01") -> DataFrame:
-    """One visit-log row per input id (columns as the text log of S12)."""
+    """One visit-log row per input id: the text layout of the original mock
+    table plus ``event_id`` (the input id) and ``city_id``."""
     i = F.col(id_col).cast("bigint")
     session = F.floor(i / 10).cast("bigint")
     kind = F.element_at(F.array(*[F.lit(a) for a in ACTION_TYPES]), (mix(i, seed, 3) % 4 + 1).cast("int"))
@@ -47,6 +48,7 @@ def synthetic_visits(ids: DataFrame, id_col: str = "id", seed: int = 666,
     time_text = F.concat_ws(":", (mix(i, seed, 8) % 24).cast("string"),
                             (mix(i, seed, 9) % 60).cast("string"), (mix(i, seed, 10) % 60).cast("string"))
     return ids.select(
+        i.alias("event_id"),
         F.lit(day).alias("date"),
         (mix(session, seed, 1) % 100).alias("user_id"),
         F.concat(F.lit("s"), session.cast("string")).alias("session_id"),
@@ -58,6 +60,7 @@ def synthetic_visits(ids: DataFrame, id_col: str = "id", seed: int = 666,
         F.when(kind == "CLICK", mix(i, seed, 6) % 100).alias("click_product_id"),
         F.when(kind == "ORDER", _id_list(i, seed, 20)).alias("order_category_ids"),
         F.when(kind == "PAY", _id_list(i, seed, 30)).alias("pay_category_ids"),
+        (mix(i, seed, 11) % 25).alias("city_id"),
     )
 
 

@@ -50,3 +50,33 @@ def actions_in_range(actions: DataFrame, start_date=None, end_date=None,
     if hi is not None:
         cond = cond & (F.col(date_col) <= F.lit(hi))
     return actions.where(cond) if (lo or hi) else actions
+
+
+def normalize_text_log(raw: DataFrame, event_id_col: str = "event_id") -> DataFrame:
+    """S1 for text-typed visit logs: the original table layout (``date`` as
+    'yyyy-MM-dd', ``action_time`` as unpadded 'yyyy-MM-dd H:m:s', ids as
+    numbers or text, id lists as comma text) -> the typed visit-log schema.
+
+    ``event_id_col`` must identify a row (it breaks ties in time order and is
+    kept stable across retries, unlike a generated row number). Optional
+    columns that are absent become NULL. Bad times become NULL (X1).
+    """
+    from visitflow.functions.expressions import parse_time
+
+    def col(name, typ):
+        return (F.col(name).try_cast(typ) if name in raw.columns else F.lit(None).cast(typ)).alias(name)
+
+    return raw.select(
+        F.coalesce(F.col("date").try_cast("date"), F.to_date(parse_time("action_time"))).alias("visit_date"),
+        col("user_id", "bigint"),
+        F.col("session_id").cast("string").alias("session_id"),
+        col("page_id", "bigint"),
+        parse_time("action_time").alias("action_time"),
+        F.col(event_id_col).cast("bigint").alias("event_id"),
+        col("search_keyword", "string"),
+        col("click_category_id", "bigint"),
+        col("click_product_id", "bigint"),
+        col("order_category_ids", "string"),
+        col("pay_category_ids", "string"),
+        col("city_id", "bigint"),
+    )
