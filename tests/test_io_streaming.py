@@ -139,9 +139,12 @@ def test_ad_click_job_and_compaction(spark):
     q = jobs.ad_click_counts(AD.file_messages(spark, path), sink_path, new_subdir(spark, "t_job_ckpt"),
                              watermark="1 day", available_now=True)
     q.awaitTermination()
-    sink = AD.UpsertSink(sink_path, AD.DAY_KEYS)
+    sink = AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",))
     got = sorted((r.user_id, r.click_count) for r in sink.read(spark).collect())
     assert got == [(0, 10), (1, 10)]
+    one_day = sink.read(spark, F.col("day") == F.lit("2024-01-01").cast("date"))
+    assert one_day.count() == 2
+    assert "PartitionFilters: [isnotnull(day" in one_day._jdf.queryExecution().executedPlan().toString()
     out = sink.compact(spark, new_subdir(spark, "t_compacted"))
     assert sorted((r.user_id, r.click_count) for r in spark.read.parquet(out).collect()) == got
 

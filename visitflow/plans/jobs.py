@@ -88,7 +88,7 @@ def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, waterm
     """The real-time job: parse messages, keep running daily counts per user
     and ad, upsert them into ``sink_path``. Returns the started query."""
     clicks = AD.parse_ad_messages(messages)
-    sink = AD.UpsertSink(sink_path, AD.DAY_KEYS)
+    sink = AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",))
     return AD.run_to_sink(AD.running_daily_counts(clicks, watermark), sink, checkpoint,
                           available_now=available_now)
 
