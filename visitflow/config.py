@@ -91,4 +91,5 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = new_subdir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no footer reads for inference on the way back
+    return df.sparkSession.read.schema(df.schema).parquet(path)
