@@ -108,6 +108,11 @@ def nations_to_cities(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
+# Read-only input tables, one DataFrame per application, folder and table:
+# re-creating it would list the folder and read parquet footers again.
+_RAW: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class SuppliedTables:
     """Lazy accessors for the adapted test tables of one scale-factor folder."""
 
@@ -116,7 +121,10 @@ class SuppliedTables:
         self.base_dir = base_dir
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.base_dir, name)
+        key = (self.spark.conf.get("spark.app.id", ""), self.base_dir.rstrip("/"), name)
+        if key not in _RAW:
+            _RAW[key] = read_table(self.spark, self.base_dir, name)
+        return _RAW[key]
 
     def actions(self, start_date=None, end_date=None, kinds: tuple[str, ...] | None = None) -> DataFrame:
         return events_to_actions(self.raw("events"), start_date, end_date, kinds)
