@@ -173,3 +173,25 @@ def test_text_log_normalised(spark):
     assert log.select(F.min("visit_date")).first()[0].isoformat() == "2024-03-05"
     s = S.aggregate_sessions(log)
     assert s.count() == 200 and s.agg(F.sum("step_length")).first()[0] == 2000
+
+
+def test_session_job_equals_direct_operators(spark):
+    from visitflow.operators import categories as C
+    from visitflow.operators import sessions as S
+    from visitflow.plans import jobs
+    from visitflow.sources.adapter import SuppliedTables
+    t = SuppliedTables(spark, "/root/testdata/sf0.01")
+    params = PR.TaskParams(task_id=1, start_age=20, end_age=50, professionals="BUILDING,HOUSEHOLD")
+    res = jobs.session_analysis(t.actions(), t.users(), params)
+    kept = S.filter_sessions(S.session_profile(S.aggregate_sessions(t.actions()), t.users()),
+                             S.SessionFilter.from_params(params))
+    kept_actions = S.session_detail(t.actions(), kept)
+    want_top = sorted(tuple(r) for r in C.top_categories(C.category_counts(kept_actions), 10).collect())
+    assert sorted(tuple(r) for r in res["top_categories"].collect()) == want_top
+    want_sessions = C.top_sessions_for_top_categories(kept_actions, 10, 10)
+    cols = want_sessions.columns
+    assert sorted(tuple(r) for r in res["top_category_sessions"].select(*cols).collect()) == \
+        sorted(tuple(r) for r in want_sessions.collect())
+    assert res["session_stats"].first().session_count == kept.count()
+    detail = res["session_sample_detail"].select("session_id").distinct()
+    assert detail.join(res["session_sample"], "session_id", "left_anti").count() == 0
