@@ -70,3 +70,11 @@ def test_broadcast_check_is_remembered_per_plan(spark):
     assert J.row_count_at_most(SuppliedTables(spark, SF).users(), 10 ** 6)  # same plan, rebuilt
     assert len(J._DECISIONS) == n
     assert not J.row_count_at_most(t.users(), 3)  # different bound: checked again
+
+
+def test_cluster_settings_scale_with_input():
+    from visitflow.config import cluster_settings
+    s = cluster_settings(100 * 2 ** 40)  # 100 TiB
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert s["spark.sql.adaptive.enabled"] == "true"
+    assert cluster_settings(10 * 2 ** 20)["spark.sql.shuffle.partitions"] == "200"

@@ -93,3 +93,25 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     # the schema is known: no footer reads for inference on the way back
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cluster_settings(input_bytes: float, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested SQL settings for a cluster run over ``input_bytes`` of log.
+
+    The visit log shrinks little before its first shuffle (sessions keep
+    most columns), so the initial shuffle partition count is sized from the
+    input: about ``target_partition_bytes`` per partition, which AQE then
+    coalesces after partial aggregation. Skewed partitions above four times
+    the target are split by AQE's skew join. Returned, not applied: the
+    caller's session configuration is theirs.
+    """
+    partitions = max(200, int(input_bytes // target_partition_bytes))
+    target_mb = f"{target_partition_bytes >> 20}m"
+    return {
+        **SQL_SETTINGS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_mb,
+        "spark.sql.files.maxPartitionBytes": target_mb,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{(target_partition_bytes * 4) >> 20}m",
+    }
