@@ -74,7 +74,8 @@ def test_broadcast_check_is_remembered_per_plan(spark):
 
 def test_cluster_settings_scale_with_input():
     from visitflow.config import cluster_settings
-    s = cluster_settings(100 * 2 ** 40)  # 100 TiB
-    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    s = cluster_settings(100 * 2 ** 40)  # 100 TiB: 20 TiB shuffled / 256 MiB = 81,920, capped
+    assert int(s["spark.sql.shuffle.partitions"]) == 50000
+    assert cluster_settings(2 ** 40)["spark.sql.shuffle.partitions"] == "819"
     assert s["spark.sql.adaptive.enabled"] == "true"
     assert cluster_settings(10 * 2 ** 20)["spark.sql.shuffle.partitions"] == "200"

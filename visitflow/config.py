@@ -95,17 +95,19 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cluster_settings(input_bytes: float, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_settings(input_bytes: float, shuffle_fraction: float = 0.2,
+                     target_partition_bytes: int = 256 << 20, max_partitions: int = 50_000) -> dict[str, str]:
     """Suggested SQL settings for a cluster run over ``input_bytes`` of log.
 
-    The visit log shrinks little before its first shuffle (sessions keep
-    most columns), so the initial shuffle partition count is sized from the
-    input: about ``target_partition_bytes`` per partition, which AQE then
-    coalesces after partial aggregation. Skewed partitions above four times
-    the target are split by AQE's skew join. Returned, not applied: the
-    caller's session configuration is theirs.
+    Reducers are sized from the expected shuffle volume - the operators
+    shuffle narrow projections, mostly after map-side partial aggregation,
+    so ``shuffle_fraction`` of the input - at about ``target_partition_bytes``
+    each, and capped: shuffle fetches grow with map tasks x reducers. AQE
+    coalesces small partitions and splits skewed ones above four times the
+    target. Returned, not applied: the caller's session configuration is
+    theirs.
     """
-    partitions = max(200, int(input_bytes // target_partition_bytes))
+    partitions = int(min(max_partitions, max(200, input_bytes * shuffle_fraction // target_partition_bytes)))
     target_mb = f"{target_partition_bytes >> 20}m"
     return {
         **SQL_SETTINGS,
