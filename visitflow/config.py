@@ -46,6 +46,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    event_log = os.environ.get("VISITFLOW_EVENT_LOG_DIR")
+    if event_log:  # task and stage metrics for tools/task_skew.py
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
