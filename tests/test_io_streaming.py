@@ -195,3 +195,19 @@ def test_session_job_equals_direct_operators(spark):
     assert res["session_stats"].first().session_count == kept.count()
     detail = res["session_sample_detail"].select("session_id").distinct()
     assert detail.join(res["session_sample"], "session_id", "left_anti").count() == 0
+
+
+def test_ad_click_job_with_processing_time_trigger(spark):
+    from visitflow.plans import jobs
+    lines = [f"{1704067200000 + i * 60_000} p c {i % 3} 9" for i in range(30)]
+    path = AD.stage_messages(spark.createDataFrame([(x,) for x in lines], "value STRING"), 2)
+    sink_path = new_subdir(spark, "t_live_sink")
+    q = jobs.ad_click_counts(AD.file_messages(spark, path), sink_path, new_subdir(spark, "t_live_ckpt"),
+                             watermark="1 day", available_now=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.user_id, r.click_count) for r in AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",))
+                 .read(spark).collect())
+    assert got == [(0, 10), (1, 10), (2, 10)]

@@ -84,13 +84,13 @@ def area_top_products(actions: DataFrame, cities: DataFrame, params: TaskParams,
 
 
 def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, watermark: str = "1 day",
-                    available_now: bool = False):
+                    available_now: bool = False, processing_time: str = "5 seconds"):
     """The real-time job: parse messages, keep running daily counts per user
     and ad, upsert them into ``sink_path``. Returns the started query."""
     clicks = AD.parse_ad_messages(messages)
     sink = AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",))
     return AD.run_to_sink(AD.running_daily_counts(clicks, watermark), sink, checkpoint,
-                          available_now=available_now)
+                          available_now=available_now, processing_time=processing_time)
 
 
 def split_valid_csv(spark, in_path: str, out_path: str, n_fields: int, names=None,
