@@ -6,7 +6,7 @@ ids of an existing table) and any retry reproduces the same row. The mixing
 is integer arithmetic that SQL engines share, so the same rows can be
 re-derived in plain SQL.
 
-Shape (as the reference's mock data): ten actions per session, ten sessions
+Shape (as the original mock data): ten actions per session, ten sessions
 per user stripe; one of four action types per row; keyword from the first
 four of the keyword list; ids 0-99; pages 0-9; order and pay rows carry 0-6
 comma ids (possibly the empty string); times are unpadded 'H:m:s' text.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Keyword list and action types of the reference's mock data.
+# Keyword list and action types of the original mock data.
 KEYWORDS = ("火锅", "蛋糕", "重庆辣子鸡", "重新小面", "海底捞", "道鱼火锅", "国贸大厦", "日本料理", "温泉", "太古商城")
 ACTION_TYPES = ("SEARCH", "CLICK", "ORDER", "PAY")
 MIX_MULTIPLIER = 48271
