@@ -211,3 +211,20 @@ def test_ad_click_job_with_processing_time_trigger(spark):
     got = sorted((r.user_id, r.click_count) for r in AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",))
                  .read(spark).collect())
     assert got == [(0, 10), (1, 10), (2, 10)]
+
+
+def test_windowed_counts_in_append_mode_emit_closed_windows(spark):
+    import datetime as dt
+    lines = [f"{1704067200000 + i * 3000} p c {i % 2} 4" for i in range(40)]  # every 3 s for 2 minutes
+    msgs = spark.createDataFrame([(x,) for x in lines], "value STRING")
+    path = AD.stage_messages(msgs, 2)
+    stream = AD.windowed_counts(AD.parse_ad_messages(AD.file_messages(spark, path)), "5 seconds", "10 seconds")
+    sink = AD.UpsertSink(new_subdir(spark, "t_append"), AD.WINDOW_KEYS)
+    AD.run_to_sink(stream, sink, new_subdir(spark, "t_append_ckpt"), output_mode="append").awaitTermination()
+    got = sorted(tuple(r) for r in sink.read(spark).select("window_start", "user_id", "click_count").collect())
+    batch = AD.windowed_counts(AD.parse_ad_messages(msgs), "5 seconds", None)
+    # the watermark ends 10 s behind the newest event seen before the last batch, so the windows closed
+    # by then are emitted exactly once with their final counts, and nothing newer is emitted
+    assert got and max(w for w, _, _ in got) < dt.datetime(2024, 1, 1, 0, 1, 55)  # newest window withheld
+    want = {(r.window_start, r.user_id): r.click_count for r in batch.collect()}
+    assert all(want[(w, u)] == n for w, u, n in got)
