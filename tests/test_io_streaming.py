@@ -228,3 +228,16 @@ def test_windowed_counts_in_append_mode_emit_closed_windows(spark):
     assert got and max(w for w, _, _ in got) < dt.datetime(2024, 1, 1, 0, 1, 55)  # newest window withheld
     want = {(r.window_start, r.user_id): r.click_count for r in batch.collect()}
     assert all(want[(w, u)] == n for w, u, n in got)
+
+
+def test_command_line_jobs(spark):
+    from visitflow.__main__ import main
+    base = new_subdir(spark, "t_cli")
+    assert main(["mock-tables", "--actions-rows", "3000", "--users-rows", "100", "--out", base]) == 0
+    task = '{"startAge": ["10"], "endAge": ["90"], "targetPageFlow": ["1,2,3"]}'
+    assert main(["session-analysis", "--actions", f"{base}/actions", "--users", f"{base}/users",
+                 "--task-json", task, "--out", f"{base}/e1"]) == 0
+    assert spark.read.parquet(f"{base}/e1/session_stats").first().session_count > 0
+    assert main(["page-conversion", "--actions", f"{base}/actions", "--task-json", task,
+                 "--out", f"{base}/e2"]) == 0
+    assert spark.read.parquet(f"{base}/e2/page_convert_rate").count() == 2
