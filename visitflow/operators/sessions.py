@@ -90,7 +90,7 @@ def dedup_users(users: DataFrame, key: str = "user_id") -> DataFrame:
 
 
 def session_profile(sessions: DataFrame, users: DataFrame,
-                    max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Sessions inner-joined with the (deduplicated) user dimension.
 
     The broadcast bound is checked on the raw user rows (a limit that stops

@@ -49,7 +49,7 @@ TASK = T.StructType([
     T.StructField("task_param", T.StringType(), True),
 ])
 
-# Keys a task parameter document may carry; each value is a JSON array whose
-# first element is the parameter.
+# Keys a task parameter document may carry; each value is a
+# JSON array whose first element is the parameter.
 TASK_PARAM_FIELDS = ("startDate", "endDate", "startAge", "endAge", "professionals",
                      "cities", "sex", "keywords", "categoryIds", "targetPageFlow")
