@@ -137,11 +137,14 @@ def id_list(col) -> Column:
 def kv_field(col, name: str, pair_sep: str = "|", kv_sep: str = "=") -> Column:
     """The value of field ``name`` in 'k=v|k=v' text: the first occurrence,
     '' for an empty value, NULL when the field is absent. Duplicate keys and
-    empty segments are tolerated (a map would reject duplicates)."""
+    empty segments are tolerated (a map would reject duplicates). One regular
+    expression per field: the capture includes ``name=``, so an absent field
+    (empty capture) differs from an empty value."""
     c = _c(col)
-    pat = (r"(?:^|" + _re.escape(pair_sep) + ")" + _re.escape(name) + _re.escape(kv_sep)
-           + "([^" + _re.escape(pair_sep) + "]*)")
-    return F.when(c.rlike(pat), F.regexp_extract(c, pat, 1))
+    head = name + kv_sep
+    pat = "(?:^|" + _re.escape(pair_sep) + ")(" + _re.escape(head) + "[^" + _re.escape(pair_sep) + "]*)"
+    found = F.regexp_extract(c, pat, 1)
+    return F.when(found != "", F.substring(found, len(head) + 1, 1 << 30))
 
 
 def map_to_kv_text(pairs: list[tuple[str, Column]], pair_sep: str = "|", kv_sep: str = "=") -> Column:
