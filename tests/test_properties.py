@@ -71,3 +71,37 @@ def test_sample_matches_python_definition(spark, starts, n):
         ranked = sorted(ids, key=lambda sid: (hashlib.md5(f"7_{sid}".encode()).hexdigest(), sid))
         want += ranked[:quota]
     assert got == sorted(want)
+
+
+_actions = st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3 * 86400), st.integers(0, 4)),
+                    min_size=1, max_size=120)
+
+
+@settings(max_examples=6, deadline=None)
+@given(_actions, st.lists(st.integers(0, 4), min_size=2, max_size=5))
+def test_funnel_counts_match_python(spark, rows, flow):
+    import datetime as dt
+
+    from visitflow.operators import funnel as FN
+    from visitflow.operators import ordering as O
+    from visitflow.schemas import VISIT_ACTION
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(None, None, f"s{s}", p, t0 + dt.timedelta(seconds=sec), i, None, None, None, None, None, None)
+            for i, (s, sec, p) in enumerate(rows)]
+    df = spark.createDataFrame(data, VISIT_ACTION)
+
+    by_session: dict = {}
+    for _, _, sid, page, ts, eid, *_ in data:
+        by_session.setdefault(sid, []).append((ts, eid, page))
+    pairs = []
+    for acts in by_session.values():
+        acts.sort()
+        pairs += [(a[2], b[2]) for a, b in zip(acts, acts[1:])]
+    want = [sum(1 for p in pairs if p == (flow[i - 1], flow[i])) for i in range(1, len(flow))]
+    want_start = sum(1 for r in data if r[3] == flow[0])
+
+    # under "auto" with hot_rows=5, sessions above 5 rows take the bucket path, the others a plain window
+    for method, hot in (("auto", 5), ("auto", 20), ("auto", O.DEFAULT_HOT_ROWS), ("buckets", 0), ("range", 0)):
+        counts = FN.funnel_counts(df, flow, bucket_seconds=3600, method=method, hot_rows=hot).first()
+        assert [counts[f"pv_{i}"] for i in range(1, len(flow))] == want, method
+        assert counts.start_page_pv == want_start, method

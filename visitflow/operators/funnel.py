@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.functions.expressions import ratio_half_up
-from visitflow.operators.ordering import DEFAULT_BUCKET_SECONDS, consecutive_pairs, transition_rows, with_previous
+from visitflow.operators.ordering import (DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_ROWS, consecutive_pairs,
+                                          transition_rows, with_previous)
 
 # Fixed value: the default target page flow.
 DEFAULT_FLOW = (1, 2, 3, 4, 5, 6, 7, 8, 9)
@@ -44,12 +45,12 @@ def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
 
 
 def funnel_counts(actions: DataFrame, flow=DEFAULT_FLOW, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                  method: str = "auto") -> DataFrame:
+                  method: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """One row: ``start_page_pv`` and ``pv_<i>`` (pairs matching step i) for
     every step of the flow, from a single pass. A pair repeated in the flow
     is counted for each of its steps."""
     pages = parse_flow(flow)
-    rows = transition_rows(actions, "page_id", bucket_seconds, method)
+    rows = transition_rows(actions, "page_id", bucket_seconds, method, hot_rows)
     aggs = [F.count_if(F.col("is_row") & (F.col("page_id") == F.lit(pages[0]))).alias("start_page_pv")]
     for i in range(1, len(pages)):
         aggs.append(F.count_if(F.col("has_prev") & (F.col("prev_page_id") == F.lit(pages[i - 1]))
