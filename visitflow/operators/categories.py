@@ -110,10 +110,20 @@ def rank_categories(counts: DataFrame) -> DataFrame:
 
 
 def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
-    """O2: the first ``n`` of O1 with their rank (TakeOrderedAndProject: each
-    partition keeps its own top n before the final merge)."""
+    """O2: the first ``n`` of O1 with their rank.
+
+    ``orderBy(...).limit(n)`` runs as TakeOrderedAndProject (each partition
+    keeps its own top n before the final merge); the at most n rows are then
+    numbered by exploding their sorted list - no unpartitioned window.
+    """
     top = counts.orderBy(*rank_order()).limit(n)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*rank_order())))
+    key = F.struct((-F.col("click_count")).alias("a"), (-F.col("order_count")).alias("b"),
+                   (-F.col("pay_count")).alias("c"), (-F.col("category_id")).alias("d"),
+                   F.struct(*counts.columns).alias("row"))
+    ranked = top.agg(F.array_sort(F.collect_list(key)).alias("_top"))
+    return (ranked.select(F.posexplode("_top").alias("_pos", "_e"))
+            .select(*[F.col(f"_e.row.{c}").alias(c) for c in counts.columns],
+                    (F.col("_pos") + 1).cast("int").alias("rank")))
 
 
 def session_category_clicks(actions: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ log is read once for it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions.expressions import ratio_half_up
@@ -59,14 +59,18 @@ def funnel_counts(actions: DataFrame, flow=DEFAULT_FLOW, bucket_seconds: int = D
 
 
 def _step_rows(counts: DataFrame, flow) -> DataFrame:
-    """(start_page_pv, step, split, split_pv), one row per flow step."""
+    """(step, split, split_pv, prev_pv), one row per flow step, straight from
+    the single aggregate row: step 1's denominator is the start page's views,
+    step i's is step i-1's count. No window needed."""
     pages = parse_flow(flow)
     k = len(pages) - 1
     if k == 0:
-        return counts.select("start_page_pv", F.lit(1).alias("step"), F.lit("").alias("split"),
-                             F.lit(0).cast("bigint").alias("split_pv")).where(F.lit(False))
-    items = ", ".join(f"{i}, '{pages[i - 1]}_{pages[i]}', pv_{i}" for i in range(1, k + 1))
-    return counts.selectExpr("start_page_pv", f"stack({k}, {items}) AS (step, split, split_pv)")
+        return counts.select(F.lit(1).alias("step"), F.lit("").alias("split"),
+                             F.lit(0).cast("bigint").alias("split_pv"),
+                             F.lit(0).cast("bigint").alias("prev_pv")).where(F.lit(False))
+    items = ", ".join(f"{i}, '{pages[i - 1]}_{pages[i]}', pv_{i}, {'start_page_pv' if i == 1 else f'pv_{i - 1}'}"
+                      for i in range(1, k + 1))
+    return counts.selectExpr(f"stack({k}, {items}) AS (step, split, split_pv, prev_pv)")
 
 
 def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
@@ -95,15 +99,12 @@ def page_convert_rate(actions: DataFrame, flow=DEFAULT_FLOW, digits: int = 2,
     """Step 1 = pv(1) / start pv; step i = pv(i) / pv(i-1), HALF_UP.
 
     Columns: step, split, split_pv, prev_pv, rate (NULL when prev_pv is 0).
-    All counts come from one aggregate row; the window runs over the flow's
-    handful of steps only.
+    All counts come from one aggregate row.
     """
     steps = _step_rows(funnel_counts(actions, flow, bucket_seconds, method), flow)
-    w = Window.orderBy("step")
-    return (steps
-            .withColumn("prev_pv", F.coalesce(F.lag("split_pv").over(w), F.col("start_page_pv")).cast("bigint"))
-            .select("step", "split", F.col("split_pv").cast("bigint").alias("split_pv"), "prev_pv",
-                    ratio_half_up("split_pv", "prev_pv", digits).alias("rate")))
+    return steps.select("step", "split", F.col("split_pv").cast("bigint").alias("split_pv"),
+                        F.col("prev_pv").cast("bigint").alias("prev_pv"),
+                        ratio_half_up("split_pv", "prev_pv", digits).alias("rate"))
 
 
 def rate_report(rates: DataFrame, task_id: int) -> DataFrame:
