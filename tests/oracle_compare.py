@@ -108,6 +108,10 @@ def main(argv):
     spark = local_session()
     if os.environ.get("ORACLE_SESSION_TZ"):  # the queries must not depend on the session zone
         spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_SESSION_TZ"])
+    if os.environ.get("ORACLE_SHUFFLE_PARTITIONS"):  # nor on partitioning
+        spark.conf.set("spark.sql.shuffle.partitions", os.environ["ORACLE_SHUFFLE_PARTITIONS"])
+    if os.environ.get("ORACLE_AQE"):
+        spark.conf.set("spark.sql.adaptive.enabled", os.environ["ORACLE_AQE"])
     names = argv[2:] or sorted(E.queries())
     con = duck(sf_dir)
     bad = 0
