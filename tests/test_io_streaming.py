@@ -54,6 +54,12 @@ def test_stream_equals_batch(spark):
         sorted(tuple(r) for r in w_batch.collect())
 
 
+def test_csv_classifier_edges(spark):
+    lines = spark.createDataFrame([("a b c",), ("a  c",), ("a b",), (None,)], "value STRING")
+    got = [r.reject_reason for r in Q.classify_lines(lines, 3, sep=" ").collect()]
+    assert got == [None, "empty_field", "field_count", "field_count"]
+
+
 def test_csv_quality_split(spark):
     lines = spark.createDataFrame([("a,b,c",), ("a,b",), ("a,b,c,d",), ("a,,c",), ("x,y,z",), ("a, ,c",),
                                    ("a,b,",)], "value STRING")

@@ -28,12 +28,18 @@ def _escape(sep: str) -> str:
 
 def classify_lines(lines: DataFrame, n_fields: int, sep: str = ",", line_col: str = "value") -> DataFrame:
     """Adds ``fields`` (array) and ``reject_reason`` (NULL when valid)."""
-    f = _fields(F.col(line_col), sep)
-    # a field is blank after trim (which strips spaces) exactly when it is
-    # empty once all spaces are removed: no per-element lambda needed
-    despaced = _fields(F.translate(F.col(line_col), " ", ""), sep)
-    reason = (F.when(F.size("fields") != n_fields, F.lit(REASON_FIELD_COUNT))
-              .when(F.array_contains(despaced, ""), F.lit(REASON_EMPTY_FIELD)))
+    line = F.col(line_col)
+    f = _fields(line, sep)
+    if " " in sep:
+        # spaces are separators: a blank field is an empty or all-space run between them
+        esc = _escape(sep)
+        blank = line.rlike(f"(^|{esc}) *({esc}|$)")
+    else:
+        # a field is blank after trim (which strips spaces) exactly when it is
+        # empty once all spaces are removed: no per-element lambda needed
+        blank = F.array_contains(_fields(F.translate(line, " ", ""), sep), "")
+    reason = (F.when(line.isNull() | (F.size("fields") != n_fields), F.lit(REASON_FIELD_COUNT))
+              .when(blank, F.lit(REASON_EMPTY_FIELD)))
     return lines.withColumn("fields", f).withColumn("reject_reason", reason)
 
 
