@@ -1,7 +1,10 @@
 """Spark query vs DuckDB SQL twin: row count, column names, values.
 
 Usable from pytest (``tests/test_oracle.py``) and as a script:
-``python tests/oracle_compare.py [sf_dir] [name ...]``.
+``python tests/oracle_compare.py [sf_dir] [name ...]``. Environment switches
+for the script: ``ORACLE_SESSION_TZ`` (session time zone),
+``ORACLE_SHUFFLE_PARTITIONS`` (partition count) - results must not depend on
+either.
 """
 
 from __future__ import annotations
