@@ -88,3 +88,13 @@ def test_area_sql_form_equals_dataframe_form(spark):
     a = sorted(tuple(r) for r in A.area_product_clicks(clicks).collect())
     b = sorted(tuple(r) for r in A.area_product_clicks_sql(clicks).collect())
     assert a == b and len(a) > 0
+
+
+def test_city_dimension_by_position(spark):
+    from visitflow.sources.jdbc import city_dimension_from
+    raw = spark.createDataFrame([(1, "Beijing", "华北", "x"), (2, "Shanghai", "华东", "y")],
+                                "cityid INT, cityname STRING, region STRING, extra STRING")
+    dim = city_dimension_from(raw)
+    assert dim.columns == ["city_id", "city_name", "area"]
+    assert [tuple(r) for r in dim.orderBy("city_id").collect()] == [(1, "Beijing", "华北"), (2, "Shanghai", "华东")]
+    assert dim.schema["city_id"].dataType.simpleString() == "bigint"

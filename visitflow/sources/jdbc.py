@@ -24,10 +24,14 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, *,
     return reader.load()
 
 
-def read_city_dimension(spark: SparkSession, url: str, table: str = "city", **options) -> DataFrame:
-    """The city dimension (city_id, city_name, area) from a JDBC table; the
-    three columns are taken by position, as the source table names them."""
-    df = read_jdbc_table(spark, url, table, **options)
+def city_dimension_from(df: DataFrame) -> DataFrame:
+    """(city_id, city_name, area) from the first three columns of ``df``,
+    taken by position whatever the source names them."""
     a, b, c = df.columns[:3]
-    return df.selectExpr(f"CAST({a} AS BIGINT) AS city_id", f"CAST({b} AS STRING) AS city_name",
-                         f"CAST({c} AS STRING) AS area")
+    return df.select(df[a].try_cast("bigint").alias("city_id"), df[b].cast("string").alias("city_name"),
+                     df[c].cast("string").alias("area"))
+
+
+def read_city_dimension(spark: SparkSession, url: str, table: str = "city", **options) -> DataFrame:
+    """S3: the city dimension from a JDBC table (columns by position)."""
+    return city_dimension_from(read_jdbc_table(spark, url, table, **options))
