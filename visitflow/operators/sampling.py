@@ -45,21 +45,24 @@ def _with_day_hour(sessions: DataFrame) -> DataFrame:
                    .withColumn("hour", F.hour("start_time"))
 
 
-def hour_quotas(sessions: DataFrame, n: int) -> DataFrame:
+def hour_quotas(sessions: DataFrame, n: int, n_days: int | None = None) -> DataFrame:
     """A14 + quotas: (visit_day, hour, hour_cnt, day_cnt, n_days, quota).
 
-    Input must carry visit_day and hour. The table is at most days x 24 rows,
-    so the unpartitioned window for n_days runs over that small table only.
+    Input must carry visit_day and hour. ``n_days`` may be given (a count
+    taken by the caller); otherwise it comes from an unpartitioned window,
+    which runs over this small table (at most days x 24 rows) only.
     """
     counts = sessions.groupBy("visit_day", "hour").agg(F.count(F.lit(1)).alias("hour_cnt"))
     per_day = Window.partitionBy("visit_day")
-    every = Window.partitionBy()
-    with_days = (counts
-                 .withColumn("day_cnt", F.sum("hour_cnt").over(per_day))
-                 .withColumn("_first_of_day", F.when(
-                     F.row_number().over(per_day.orderBy("hour")) == 1, 1).otherwise(0))
-                 .withColumn("n_days", F.sum("_first_of_day").over(every))
-                 .drop("_first_of_day"))
+    with_days = counts.withColumn("day_cnt", F.sum("hour_cnt").over(per_day))
+    if n_days is not None:
+        with_days = with_days.withColumn("n_days", F.lit(int(n_days)).cast("bigint"))
+    else:
+        with_days = (with_days
+                     .withColumn("_first_of_day", F.when(
+                         F.row_number().over(per_day.orderBy("hour")) == 1, 1).otherwise(0))
+                     .withColumn("n_days", F.sum("_first_of_day").over(Window.partitionBy()))
+                     .drop("_first_of_day"))
     per_day_quota = F.floor(F.lit(n) / F.col("n_days"))
     quota = F.greatest(F.lit(1).cast("bigint"),
                        F.floor((F.col("hour_cnt") * per_day_quota) / F.col("day_cnt")).cast("bigint"))
@@ -72,14 +75,17 @@ def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42,
 
     The session table is read by four branches (counts, prefix, short hours,
     pool) that prune different columns, so Spark cannot reuse one shuffle for
-    them; with ``materialize`` it is checkpointed once into the shared folder
-    and every branch reads that instead of re-aggregating the visit log.
+    them; with ``materialize`` it is stored once in the shared folder and
+    every branch reads that instead of re-aggregating the visit log (the day
+    count is then taken from the stored table too).
     """
     s = _with_day_hour(sessions).withColumn("_h", _order_hash(seed))
     s = s.withColumn("_u", _fraction(F.col("_h")))
+    n_days = None
     if materialize:
         s = cut_lineage(s)
-    quotas = hour_quotas(s, n).withColumn(
+        n_days = s.select("visit_day").distinct().count()  # one number, from the small stored table
+    quotas = hour_quotas(s, n, n_days).withColumn(
         "_t", F.least(F.lit(1.0), (F.col("quota") + F.sqrt("quota") * 8 + 16) / F.col("hour_cnt")))
     keys = ["visit_day", "hour"]
     joined = s.join(quotas.select(*keys, "quota", "_t"), keys)
