@@ -129,3 +129,16 @@ def test_hot_session_detection_by_sample(spark):
     assert [r.session_id for r in O.hot_sessions(df, 20000).collect()] == ["hot"]
     got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], hot_rows=20000).collect()}
     assert got == _plain_prev(df, "page_id")
+
+
+def test_funnel_with_null_pages(spark):
+    rows = [action(1, "a", seconds=1, page_id=1), action(2, "a", seconds=2, page_id=None),
+            action(3, "a", seconds=3, page_id=2), action(4, "b", seconds=1, page_id=1),
+            action(5, "b", seconds=4000, page_id=2), action(6, "b", seconds=8000, page_id=None)]
+    for method in ("auto", "buckets", "range"):
+        counts = FN.funnel_counts(actions_df(spark, rows), "1,2", bucket_seconds=3600, method=method).first()
+        # a: 1 -> NULL -> 2 has no 1_2 pair; b: 1 -> 2 across hour buckets is one pair
+        assert (counts.start_page_pv, counts.pv_1) == (2, 1), method
+        prev = {r.event_id: r.prev_page_id for r in
+                FN.page_transitions(actions_df(spark, rows), bucket_seconds=3600, method=method).collect()}
+        assert prev == {1: None, 2: 1, 3: None, 4: None, 5: 1, 6: 2}, method
