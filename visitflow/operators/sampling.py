@@ -70,21 +70,22 @@ def hour_quotas(sessions: DataFrame, n: int, n_days: int | None = None) -> DataF
 
 
 def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42,
-                      materialize: bool = True) -> DataFrame:
+                      materialize: bool = True, n_days: int | None = None) -> DataFrame:
     """The sampled sessions with visit_day, hour and their rank in the hour.
 
     The session table is read by four branches (counts, prefix, short hours,
     pool) that prune different columns, so Spark cannot reuse one shuffle for
     them; with ``materialize`` it is stored once in the shared folder and
     every branch reads that instead of re-aggregating the visit log (the day
-    count is then taken from the stored table too).
+    count is then taken from the stored table too). A caller whose input is
+    already stored can pass ``n_days`` with ``materialize=False``.
     """
     s = _with_day_hour(sessions).withColumn("_h", _order_hash(seed))
     s = s.withColumn("_u", _fraction(F.col("_h")))
-    n_days = None
     if materialize:
         s = cut_lineage(s)
-        n_days = s.select("visit_day").distinct().count()  # one number, from the small stored table
+        if n_days is None:
+            n_days = s.select("visit_day").distinct().count()  # one number, from the stored table
     quotas = hour_quotas(s, n, n_days).withColumn(
         "_t", F.least(F.lit(1.0), (F.col("quota") + F.sqrt("quota") * 8 + 16) / F.col("hour_cnt")))
     keys = ["visit_day", "hour"]

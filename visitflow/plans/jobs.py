@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from visitflow.operators import area as A
 from visitflow.operators import categories as C
@@ -48,7 +49,9 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
     profile = S.session_profile(S.aggregate_sessions(acts), users)
     kept = cut_lineage(S.filter_sessions(profile, S.SessionFilter.from_params(params)))
     stats = S.session_stats(kept)
-    sample = Y.stratified_sample(kept.drop("keywords", "category_ids"), sample_size, seed, materialize=False)
+    n_days = kept.select(F.to_date("start_time")).distinct().count()  # from the stored table
+    sample = Y.stratified_sample(kept.drop("keywords", "category_ids"), sample_size, seed,
+                                 materialize=False, n_days=n_days)
     touch_cols = ["session_id", "event_id", "click_category_id", "order_category_ids", "pay_category_ids"]
     kept_touches = cut_lineage(acts.select(*touch_cols).join(kept.select("session_id"), "session_id", "left_semi"))
     return _write({
