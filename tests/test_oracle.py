@@ -49,3 +49,23 @@ def test_range_method_matches_oracle(spark, con):
     cur = con.execute(E.oracle_sql()["page_transitions"])
     d_cols = [c[0] for c in cur.description]
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(d_cols, cur.fetchall())
+
+
+def test_every_query_has_a_sql_twin():
+    assert set(E.queries()) == set(E.oracle_sql()) and len(E.queries()) == 58
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF_DIR, BENCH_CPUS="2", BENCH_RUNS="1", BENCH_QUERIES="categories_top10")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1, out.stdout
+    rec = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(rec) and rec["unit"] == "sec"
+    assert rec["queries"]["categories_top10"] is not None and rec["sf"] == "0.001"
