@@ -110,6 +110,21 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word bigint, ending smallint, n bigint").groupBy("word", "ending").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int = KNOWN) -> DataFrame:
+    """Words from the lowest count on at which no more than ``most`` words
+    remain; counts are told apart by eighths of a power of two, so what the
+    driver reads to find that count is a few hundred sums."""
+    level = F.floor(8 * F.log2("n")).cast("int")
+    sums = {r.level: r["count"] for r in counts.groupBy(level.alias("level")).count().collect()}
+    cut, words = max(sums, default=0) + 1, 0
+    for k in sorted(sums, reverse=True):
+        words += sums[k]
+        if words > most:
+            break
+        cut = k
+    return counts.where(level >= cut)
+
+
 def unit_bigrams(train: DataFrame, units: Units) -> np.ndarray:
     """How often each unit follows each; at most size squared sums come back."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +195,10 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     counts = cut_lineage(word_counts(train), "llm-counts")
     documents = train.count()
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    top = most_frequent(counts).toPandas().sort_values(["n", "word"], ascending=[False, True])
     hashes, n = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     by_hash = np.argsort(hashes)
-    rank = np.arange(min(UNIT_WORDS, len(hashes)))
+    rank = np.arange(min(UNIT_WORDS, len(hashes)))  # the first are the most frequent
     rank = rank[np.argsort(hashes[rank])]
     units = Units(hashes[rank], rank)
     bigrams = unit_bigrams(train, units)
