@@ -161,12 +161,15 @@ def score_texts(model: Model, column: pa.Array, hasher: WordHasher, chunk: int =
     return _sigmoid(out.astype(np.float64))
 
 
-def _log_odds(rows: np.ndarray, features: np.ndarray, size: int, toxic: np.ndarray) -> np.ndarray:
-    """Smoothed log odds of toxic rows among the rows that have each feature."""
-    pairs = np.unique(rows.astype(np.int64) * size + features)
-    row, feature = pairs // size, pairs % size
-    bad = np.bincount(feature, toxic[row], size)
-    seen = np.bincount(feature, minlength=size)
+def _log_odds(parts: Iterable[tuple[np.ndarray, np.ndarray]], size: int, toxic: np.ndarray) -> np.ndarray:
+    """Smoothed log odds of toxic rows among the rows that have each feature,
+    from (row, feature) arrays; no row is in two parts."""
+    bad, seen = np.zeros(size), np.zeros(size)
+    for rows, features in parts:
+        pairs = np.unique(rows.astype(np.int64) * size + features)
+        row, feature = pairs // size, pairs % size
+        bad += np.bincount(feature, toxic[row], size)
+        seen += np.bincount(feature, minlength=size)
     prior = toxic.mean()
     odds = (bad + 4 * prior) / (seen - bad + 4 * (1 - prior))
     return (np.log(odds) - np.log(prior / (1 - prior))).astype(F32)
@@ -200,11 +203,13 @@ def train(texts: list[str], toxic: np.ndarray, prior: float, seed: int = 7) -> M
     gram_count = np.diff(np.r_[gram_first, len(gram)])
     entry = _lookup(known, distinct)
     of_word = row_of_word(words)
+    cuts = words.first[np.r_[0:len(texts):100, len(texts)]]
+    parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]
     p["words"] = rng.normal(0, 0.05, (len(known) + 1, WORD_DIM)).astype(F32)
-    p["words"][:, 0] = _log_odds(of_word, entry[index], len(known) + 1, toxic) / 3
+    p["words"][:, 0] = _log_odds(((of_word[k], entry[index[k]]) for k in parts), len(known) + 1, toxic) / 3
     p["chars"] = rng.normal(0, 0.05, (GRAM_BUCKETS, CHAR_DIM)).astype(F32)
-    every = ragged(gram_first[index], gram_count[index])
-    p["chars"][:, 0] = _log_odds(np.repeat(of_word, gram_count[index]), gram[every], GRAM_BUCKETS, toxic) / 3
+    p["chars"][:, 0] = _log_odds(((np.repeat(of_word[k], gram_count[index[k]]), gram[ragged(gram_first[index[k]], gram_count[index[k]])])
+                                  for k in parts), GRAM_BUCKETS, toxic) / 3
     p["words"][0] = 0
 
     row, start = _windows(words)
