@@ -11,8 +11,8 @@ Anchor rows are ordered by (anchor, id) over all partitions by row count, so
 an anchor with a third of all rows is spread over many tasks. Inside a
 partition rows come by ascending id and each window is compared with those
 seen before, never in pairs. Anchors that may go on in a neighbour partition
-(its first and last) pass on the first occurrence of each window, which are
-compared across partitions afterwards.
+(its first and last) pass on each window of the first document that has it;
+these are compared across partitions afterwards.
 """
 
 from __future__ import annotations
@@ -83,8 +83,8 @@ def _runs(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (anchor, doc_id): kind 0, runs of windows that a
-    smaller id has; kind 1, first occurrences under the partition's first and
-    last anchor."""
+    smaller id has; kind 1, each window in the first document that has it,
+    under the partition's first and last anchor."""
     def rows(kind: int, anchor, window, doc, place, n) -> pa.RecordBatch:
         size = len(doc)
         return pa.RecordBatch.from_arrays(
@@ -93,7 +93,7 @@ def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(np.broadcast_to(n, size).astype(np.int32))], ["kind", "anchor", "window", "doc_id", "place", "n"])
 
     none = np.zeros(0, np.int64)
-    opened, seen_anchor, seen = None, None, (none, none, none)  # first occurrences: window, doc, place
+    opened, seen_anchor, seen = None, None, (none, none, none)  # first documents' windows: window, doc, place
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -130,9 +130,10 @@ def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if hit.any():
             found_doc, found_place, n = _runs(d[hit], p[hit])
             yield rows(0, 0, 0, found_doc, found_place, n)
-        last = head & (g == group[-1])
+        own = d == smallest  # every place of a window in its first document
+        last = own & (g == group[-1])
         if opened == anchor[0] != anchor[-1]:  # the first anchor ends in this batch
-            edge = head & (g == 0)
+            edge = own & (g == 0)
             if edge.any():
                 yield rows(1, opened, w[edge], d[edge], p[edge], 1)
         seen_anchor, seen = anchor[-1], (w[last], d[last], p[last])
