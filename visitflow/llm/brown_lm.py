@@ -148,13 +148,15 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """Class of each unit. The last unit (end) keeps class 0 to itself; the
-    others start in turn, most frequent first, and each moves to the class that
-    gives the class bigrams the largest likelihood, until none moves."""
+    most frequent others begin in a class each, the rest in random ones, and
+    each moves to the class that gives the class bigrams the largest
+    likelihood, until none moves."""
     n = len(bigrams)
     weight = bigrams.sum(axis=0) + bigrams.sum(axis=1)
     order = np.argsort(-weight[:n - 1], kind="stable")
     of = np.zeros(n, np.int64)
-    of[order] = 1 + np.arange(n - 1) % max(1, classes - 1)
+    of[order] = 1 + np.random.default_rng(1).integers(0, max(1, classes - 1), n - 1)
+    of[order[:classes - 1]] = 1 + np.arange(min(classes, n) - 1)
     member = np.eye(classes)[of]
     table = member.T @ bigrams @ member
     for _ in range(sweeps):
@@ -175,6 +177,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             diag = table.diagonal()
             gain = gain_out.sum(axis=1) - gain_out.diagonal() + gain_in.sum(axis=0) - gain_in.diagonal()
             gain += _xlogx(diag + out + back + own) - _xlogx(diag)
+            rows, cols = rows + back, cols + out  # u's pairs count for their other ends whatever its class
             gain -= _xlogx(rows + out.sum() + own) - _xlogx(rows) + _xlogx(cols + back.sum() + own) - _xlogx(cols)
             gain[0] = -np.inf
             b = int(np.argmax(gain))
