@@ -32,6 +32,7 @@ GRAM_BUCKETS = 1 << 15
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 4, 8, 8
 WINDOW, STRIDE = 32, 16
 EPOCHS, BATCH, RATE = 6, 128, 0.01
+LEAST_STEPS = 60  # small samples take more epochs
 F32 = np.float32
 
 
@@ -158,7 +159,7 @@ def score_texts(model: Model, column: pa.Array, hasher: WordHasher, chunk: int =
         logit[i:i + chunk] = _forward(model.p, _ids(words, index, row[i:i + chunk], start[i:i + chunk]), vectors)
     out = np.full(len(column), -np.inf, F32)
     np.maximum.at(out, row, logit)
-    return _sigmoid(out.astype(np.float64))
+    return np.round(_sigmoid(out.astype(np.float64)), 6)  # matrix products differ in the last bits by batch
 
 
 def _log_odds(parts: Iterable[tuple[np.ndarray, np.ndarray]], size: int, toxic: np.ndarray) -> np.ndarray:
@@ -215,8 +216,9 @@ def train(texts: list[str], toxic: np.ndarray, prior: float, seed: int = 7) -> M
     row, start = _windows(words)
     begins = np.searchsorted(row, np.arange(len(texts) + 1))
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
-    step = 0
-    for _ in range(EPOCHS):
+    step = epoch = 0
+    while step < LEAST_STEPS or epoch < EPOCHS:
+        epoch += 1
         vectors, _ = _word_vectors(p, entry, gram, gram_first)
         logit = np.concatenate([_forward(p, _ids(words, index, row[i:i + 4096], start[i:i + 4096]), vectors)
                                 for i in range(0, len(row), 4096)])
