@@ -31,7 +31,7 @@ from visitflow.llm.words import WordHasher, find_words, gram_hashes, row_of_word
 WINDOW = 13
 GRAM = 4
 HASH_BYTES = 5  # of a window, beside the 8 of its anchor: 104 bits identify it
-FOUND = "kind int, anchor bigint, window bigint, doc_id bigint, place bigint, n int"
+FOUND = "kind int, anchor bigint, window bigint, doc_id bigint, place bigint, n int, places array<bigint>"
 
 
 def _anchor_rows(window: int, gram: int):
@@ -84,13 +84,21 @@ def _runs(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (anchor, doc_id): kind 0, runs of windows that a
     smaller id has; kind 1, each window in the first document that has it,
-    under the partition's first and last anchor."""
-    def rows(kind: int, anchor, window, doc, place, n) -> pa.RecordBatch:
-        size = len(doc)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(size, kind, np.int32)), pa.array(np.broadcast_to(anchor, size).astype(np.int64)),
-             pa.array(np.broadcast_to(window, size).astype(np.int64)), pa.array(doc), pa.array(place),
-             pa.array(np.broadcast_to(n, size).astype(np.int32))], ["kind", "anchor", "window", "doc_id", "place", "n"])
+    under the partition's first and last anchor, one row with all its places."""
+    names = ["kind", "anchor", "window", "doc_id", "place", "n", "places"]
+    places = pa.list_(pa.int64())
+
+    def repeats(doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        fixed = [pa.array(np.full(len(doc), v, t)) for v, t in ((0, np.int32), (0, np.int64), (0, np.int64))]
+        return pa.RecordBatch.from_arrays([*fixed, pa.array(doc), pa.array(place), pa.array(n.astype(np.int32)), pa.nulls(len(doc), places)], names)
+
+    def firsts(anchor: int, window: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((place, window))
+        window, doc, place = window[order], doc[order], place[order]
+        head = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+        fixed = [pa.array(np.full(len(head), v, t)) for v, t in ((1, np.int32), (anchor, np.int64))]
+        listed = pa.ListArray.from_arrays(pa.array(np.r_[head, len(place)].astype(np.int32)), pa.array(place))
+        return pa.RecordBatch.from_arrays([*fixed, pa.array(window[head]), pa.array(doc[head]), *(pa.nulls(len(head), t) for t in (pa.int64(), pa.int32())), listed], names)
 
     none = np.zeros(0, np.int64)
     opened, seen_anchor, seen = None, None, (none, none, none)  # first documents' windows: window, doc, place
@@ -121,24 +129,23 @@ def _repeats(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             g, w, d, p = np.r_[np.zeros(len(seen[0]), np.int64), g], np.r_[seen[0], w], np.r_[seen[1], d], np.r_[seen[2], p]
             new = np.r_[np.zeros(len(seen[0]), bool), new]
         elif seen_anchor is not None and seen_anchor == opened and len(seen[0]):
-            yield rows(1, seen_anchor, *seen, 1)
+            yield firsts(seen_anchor, *seen)
         order = np.lexsort((p, d, w, g))
         g, w, d, p, new = g[order], w[order], d[order], p[order], new[order]
         head = np.r_[True, (g[1:] != g[:-1]) | (w[1:] != w[:-1])]
         smallest = d[head][np.cumsum(head) - 1]
         hit = new & (d > smallest)
         if hit.any():
-            found_doc, found_place, n = _runs(d[hit], p[hit])
-            yield rows(0, 0, 0, found_doc, found_place, n)
+            yield repeats(*_runs(d[hit], p[hit]))
         own = d == smallest  # every place of a window in its first document
         last = own & (g == group[-1])
         if opened == anchor[0] != anchor[-1]:  # the first anchor ends in this batch
             edge = own & (g == 0)
             if edge.any():
-                yield rows(1, opened, w[edge], d[edge], p[edge], 1)
+                yield firsts(opened, w[edge], d[edge], p[edge])
         seen_anchor, seen = anchor[-1], (w[last], d[last], p[last])
     if seen_anchor is not None and len(seen[0]):
-        yield rows(1, seen_anchor, *seen, 1)
+        yield firsts(seen_anchor, *seen)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -149,8 +156,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     ordered = anchors.repartitionByRange("anchor", "doc_id").sortWithinPartitions("anchor", "doc_id")
     found = cut_lineage(ordered.mapInArrow(_repeats, FOUND), "llm-repeats")
     across = Window.partitionBy("anchor", "window")
-    late = found.where("kind = 1").select("anchor", "window", "doc_id", "place").withColumn(
-        "smallest", F.min("doc_id").over(across)).where("smallest < doc_id").select("doc_id", "place", F.lit(1).alias("n"))
+    late = found.where("kind = 1").select("anchor", "window", "doc_id", "places").withColumn(
+        "smallest", F.min("doc_id").over(across)).where("smallest < doc_id").select("doc_id", F.explode("places").alias("place"), F.lit(1).alias("n"))
     return found.where("kind = 0").select("doc_id", "place", "n").unionAll(late)
 
 
