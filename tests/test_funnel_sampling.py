@@ -16,7 +16,7 @@ def _plain_prev(df, col):
     return {r.event_id: r.p for r in df.select("event_id", F.lag(col).over(w).alias("p")).collect()}
 
 
-def test_bucketed_previous_equals_plain_lag(spark):
+def test_previous_equals_plain_lag_for_any_ranges(spark):
     rnd = random.Random(7)
     rows = []
     for e in range(400):
@@ -24,9 +24,7 @@ def test_bucketed_previous_equals_plain_lag(spark):
         rows.append(action(e, sid, seconds=rnd.randrange(0, 3 * 86400), page_id=rnd.randrange(10)))
     rows.append(action(1000, "s0", seconds=5, page_id=3))  # same second as others: tie on time
     df = actions_df(spark, rows)
-    variants = [dict(method="buckets", bucket_seconds=b) for b in (60, 3600, 86400)]
-    variants += [dict(method="auto", hot_rows=h) for h in (0, 80, 10 ** 6)]  # all, some, no hot sessions
-    for opts in variants:
+    for opts in (dict(ranges=n) for n in (1, 2, 7, 40, 500)):
         got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], **opts).collect()}
         assert got == _plain_prev(df, "page_id"), opts
         pairs = sorted((r.prev_page_id, r.page_id) for r in O.consecutive_pairs(df, "page_id", **opts).collect())
@@ -41,9 +39,9 @@ def test_funnel_missing_step_and_rates(spark):
     rows = [action(1, "a", seconds=1, page_id=1), action(2, "a", seconds=2, page_id=2),
             action(3, "a", seconds=3, page_id=3), action(4, "b", seconds=1, page_id=1),
             action(5, "b", seconds=2, page_id=2)]
-    for method in ("auto", "buckets", "range"):
+    for method in (1, 2, 5):
         rates = {r.split: (r.split_pv, r.prev_pv, r.rate)
-                 for r in FN.page_convert_rate(actions_df(spark, rows), "1,2,3,4,5", method=method).collect()}
+                 for r in FN.page_convert_rate(actions_df(spark, rows), "1,2,3,4,5", ranges=method).collect()}
         assert rates["1_2"] == (2, 2, 1.0), method
         assert rates["2_3"] == (1, 2, 0.5), method
         assert rates["3_4"] == (0, 1, 0.0), method
@@ -52,8 +50,8 @@ def test_funnel_missing_step_and_rates(spark):
 
 def test_funnel_repeated_pair_matches_per_repetition(spark):
     rows = [action(1, "a", seconds=1, page_id=1), action(2, "a", seconds=2, page_id=2)]
-    for method in ("auto", "buckets"):
-        m = FN.page_flow_matches(actions_df(spark, rows), "1,2,1,2", method=method).collect()
+    for ranges in (1, 2):
+        m = FN.page_flow_matches(actions_df(spark, rows), "1,2,1,2", ranges=ranges).collect()
         assert sorted((r.step, r.split, r.pair_count) for r in m) == [(1, "1_2", 1), (3, "1_2", 1)]
 
 
@@ -99,7 +97,7 @@ def test_sample_quota_and_subset(spark):
     assert smp.join(sessions, "session_id", "left_anti").count() == 0
 
 
-def test_range_method_equals_plain_lag_with_hot_second(spark):
+def test_previous_equals_plain_lag_with_hot_second(spark):
     rnd = random.Random(11)
     rows = []
     for e in range(500):
@@ -108,37 +106,50 @@ def test_range_method_equals_plain_lag_with_hot_second(spark):
         else:
             rows.append(action(e, f"s{e % 7}", seconds=rnd.randrange(86400), page_id=rnd.randrange(10)))
     df = actions_df(spark, rows)
-    got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], method="range").collect()}
+    got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], ranges=16).collect()}
     assert got == _plain_prev(df, "page_id")
-    pairs = sorted(tuple(r) for r in O.consecutive_pairs(df, "page_id", method="range").collect())
+    pairs = sorted(tuple(r) for r in O.consecutive_pairs(df, "page_id", ranges=16).collect())
     w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
     plain = sorted((r.p, r.page_id) for r in df.select(F.lag("page_id").over(w).alias("p"), "page_id",
                                                          F.row_number().over(w).alias("rn"))
                    .where("rn > 1").collect())
     assert pairs == plain
-    rates_r = FN.page_convert_rate(df, "1,2,3", method="range").collect()
+    rates_r = FN.page_convert_rate(df, "1,2,3", ranges=33).collect()
     rates_b = FN.page_convert_rate(df, "1,2,3").collect()
     assert sorted(map(tuple, rates_r)) == sorted(map(tuple, rates_b))
 
 
-def test_hot_session_detection_by_sample(spark):
-    rows = [action(e, "hot", seconds=e) for e in range(30000)] + \
-           [action(100000 + e, f"s{e % 50}", seconds=e) for e in range(5000)]
-    df = actions_df(spark, rows)
-    # threshold 20000 rows -> sampled at 10 %; the 30000-row session is found, 100-row sessions are not
-    assert [r.session_id for r in O.hot_sessions(df, 20000).collect()] == ["hot"]
-    got = {r.event_id: r.prev_page_id for r in O.with_previous(df, ["page_id"], hot_rows=20000).collect()}
-    assert got == _plain_prev(df, "page_id")
+def test_null_times_and_null_sessions(spark):
+    """No session: no previous row. No time: first in the session, by event id.
+    Repeated rows follow each other. The same for any number of ranges."""
+    rnd = random.Random(3)
+    rows = []
+    for e in range(300):
+        a = list(action(e, rnd.choice(["hot", "hot", "s1", "s2", None]), seconds=rnd.randrange(50), page_id=rnd.randrange(5)))
+        if rnd.random() < 0.25:
+            a[4] = None
+        rows += [tuple(a)] * (2 if e % 37 == 0 else 1)
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r[2], []).append((r[4] is not None, r[4] or 0, r[5], r[3]))
+    want = []
+    for sid, acts in by.items():
+        acts.sort()
+        want += [(sid, a[2], a[3], None if k == 0 or sid is None else acts[k - 1][3]) for k, a in enumerate(acts)]
+    for ranges in (1, 3, 16, 64, 900):
+        got = [(r.session_id, r.event_id, r.page_id, r.prev_page_id)
+               for r in O.with_previous(actions_df(spark, rows), ["page_id"], ranges=ranges).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), ranges
 
 
 def test_funnel_with_null_pages(spark):
     rows = [action(1, "a", seconds=1, page_id=1), action(2, "a", seconds=2, page_id=None),
             action(3, "a", seconds=3, page_id=2), action(4, "b", seconds=1, page_id=1),
             action(5, "b", seconds=4000, page_id=2), action(6, "b", seconds=8000, page_id=None)]
-    for method in ("auto", "buckets", "range"):
-        counts = FN.funnel_counts(actions_df(spark, rows), "1,2", bucket_seconds=3600, method=method).first()
+    for method in (1, 2, 6):
+        counts = FN.funnel_counts(actions_df(spark, rows), "1,2", ranges=method).first()
         # a: 1 -> NULL -> 2 has no 1_2 pair; b: 1 -> 2 across hour buckets is one pair
         assert (counts.start_page_pv, counts.pv_1) == (2, 1), method
         prev = {r.event_id: r.prev_page_id for r in
-                FN.page_transitions(actions_df(spark, rows), bucket_seconds=3600, method=method).collect()}
+                FN.page_transitions(actions_df(spark, rows), ranges=method).collect()}
         assert prev == {1: None, 2: 1, 3: None, 4: None, 5: 1, 6: 2}, method

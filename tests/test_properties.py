@@ -83,7 +83,6 @@ def test_funnel_counts_match_python(spark, rows, flow):
     import datetime as dt
 
     from visitflow.operators import funnel as FN
-    from visitflow.operators import ordering as O
     from visitflow.schemas import VISIT_ACTION
     t0 = dt.datetime(2024, 1, 1)
     data = [(None, None, f"s{s}", p, t0 + dt.timedelta(seconds=sec), i, None, None, None, None, None, None)
@@ -100,8 +99,7 @@ def test_funnel_counts_match_python(spark, rows, flow):
     want = [sum(1 for p in pairs if p == (flow[i - 1], flow[i])) for i in range(1, len(flow))]
     want_start = sum(1 for r in data if r[3] == flow[0])
 
-    # under "auto" with hot_rows=5, sessions above 5 rows take the bucket path, the others a plain window
-    for method, hot in (("auto", 5), ("auto", 20), ("auto", O.DEFAULT_HOT_ROWS), ("buckets", 0), ("range", 0)):
-        counts = FN.funnel_counts(df, flow, bucket_seconds=3600, method=method, hot_rows=hot).first()
-        assert [counts[f"pv_{i}"] for i in range(1, len(flow))] == want, method
-        assert counts.start_page_pv == want_start, method
+    for ranges in (1, 2, 5, 30):
+        counts = FN.funnel_counts(df, flow, ranges=ranges).first()
+        assert [counts[f"pv_{i}"] for i in range(1, len(flow))] == want, ranges
+        assert counts.start_page_pv == want_start, ranges

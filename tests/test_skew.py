@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -16,25 +17,32 @@ def _max_partition_share(df, used_col: str) -> float:
     return max(counts) / sum(counts)
 
 
-def test_hot_session_is_spread_over_partitions(spark):
-    rows = []
-    for e in range(3000):
-        if e % 3 == 0:   # a third of all rows: one session over 30 days
-            rows.append(action(e, "hot", at=T0 + dt.timedelta(minutes=14 * e)))
+def _rows(kind):
+    for e in range(6000):
+        if e % 3:
+            yield action(e, f"s{e % 400}", seconds=e)
+        elif kind == "session":  # over 30 days
+            yield action(e, "hot", at=T0 + dt.timedelta(minutes=7 * e))
+        elif kind == "hour":
+            yield action(e, "hot", seconds=e % 3600)
         else:
-            rows.append(action(e, f"s{e % 400}", seconds=e))
-    df = actions_df(spark, rows)
+            yield action(e, None, seconds=e)
+
+
+@pytest.mark.parametrize("kind", ["session", "hour", "no session"])
+def test_hot_session_is_spread_over_partitions(spark, kind):
+    """A third of all rows in one session, session-hour or without a session."""
+    df = actions_df(spark, list(_rows(kind)))
     saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
     try:
         naive = df.withColumn("p", F.lag("page_id").over(
             Window.partitionBy("session_id").orderBy("action_time", "event_id")))
-        bucketed = O.ordered_in_buckets(df, ["page_id"])
         naive_share = _max_partition_share(naive, "p")
-        bucket_share = _max_partition_share(bucketed, "_lag_page_id")
+        share = _max_partition_share(O.with_previous(df, ["page_id"]), "prev_page_id")
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert naive_share > 0.33
-    assert bucket_share < 0.15
+    assert share < 0.05

@@ -88,9 +88,9 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # measure the raw partitioning
     plain = big.withColumn("prev", F.lag("page_id").over(
         Window.partitionBy("session_id").orderBy("action_time", "event_id")))
-    bucketed = O.ordered_in_buckets(big, ["page_id"])
+    bucketed = O.with_previous(big, ["page_id"])
     print(f"\nlargest task share of the session window: plain {max_share(plain, 'prev'):.3f}, "
-          f"bucketed {max_share(bucketed, '_lag_page_id'):.3f}")
+          f"ranges {max_share(bucketed, 'prev_page_id'):.3f}")
 
 
 if __name__ == "__main__":

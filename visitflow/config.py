@@ -99,18 +99,17 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def cluster_settings(input_bytes: float, shuffle_fraction: float = 0.2,
-                     target_partition_bytes: int = 256 << 20, max_partitions: int = 50_000) -> dict[str, str]:
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Suggested SQL settings for a cluster run over ``input_bytes`` of log.
 
     Reducers are sized from the expected shuffle volume - the operators
     shuffle narrow projections, mostly after map-side partial aggregation,
     so ``shuffle_fraction`` of the input - at about ``target_partition_bytes``
-    each, and capped: shuffle fetches grow with map tasks x reducers. AQE
-    coalesces small partitions and splits skewed ones above four times the
+    each. AQE coalesces small partitions and splits skewed ones above four times the
     target. Returned, not applied: the caller's session configuration is
     theirs.
     """
-    partitions = int(min(max_partitions, max(200, input_bytes * shuffle_fraction // target_partition_bytes)))
+    partitions = int(max(200, input_bytes * shuffle_fraction // target_partition_bytes))
     target_mb = f"{target_partition_bytes >> 20}m"
     return {
         **SQL_SETTINGS,

@@ -1,7 +1,7 @@
 """Product clicks by area.
 
-Clicks are joined to the city dimension (broadcast only after its row count
-is checked), counted per (area, product) with the distinct city labels
+Clicks are joined to the city dimension (broadcast by Spark from its measured
+size), counted per (area, product) with the distinct city labels
 gathered by a partial-able ``collect_set`` (bounded by the cities of one
 area), tiered by area, and ranked per area with a literal top-k window that
 Spark limits on the map side.
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from visitflow.functions.expressions import concat_long_string
 from visitflow.functions.predicates import DEFAULT_AREA_OTHER, DEFAULT_AREA_TIERS, area_level, has_product
-from visitflow.operators.joins import broadcast_if_small
 
 
 def product_clicks(actions: DataFrame) -> DataFrame:
@@ -25,10 +24,9 @@ def product_clicks(actions: DataFrame) -> DataFrame:
             .select("event_id", "city_id", F.col("click_product_id").cast("bigint").alias("product_id")))
 
 
-def clicks_with_city(clicks: DataFrame, cities: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def clicks_with_city(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     """Clicks joined to (city_id, city_name, area) on city_id."""
-    dim = cities.select("city_id", "city_name", "area")
-    return clicks.join(broadcast_if_small(dim, max_broadcast_rows), "city_id")
+    return clicks.join(cities.select("city_id", "city_name", "area"), "city_id")
 
 
 def group_concat_distinct(col, sep: str = ",") -> Column:

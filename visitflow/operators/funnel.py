@@ -1,8 +1,7 @@
 """Page single-step conversion.
 
 Consecutive page pairs come from ``visitflow.operators.ordering`` (previous
-row inside a session; hot sessions are split by time bucket so none is one
-task). The flow is a small parameter, so every number the funnel needs - the
+row inside a session, in ranges of about equal rows). The flow is a small parameter, so every number the funnel needs - the
 start page's views and each step's pair count - is a conditional count:
 one global aggregate over one pass of the ordered rows, no join, and the
 log is read once for it.
@@ -14,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions.expressions import ratio_half_up
-from visitflow.operators.ordering import (DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_ROWS, consecutive_pairs,
-                                          transition_rows, with_previous)
+from visitflow.operators.ordering import consecutive_pairs, with_previous
 
 # Fixed value: the default target page flow.
 DEFAULT_FLOW = (1, 2, 3, 4, 5, 6, 7, 8, 9)
@@ -28,30 +26,27 @@ def parse_flow(flow) -> list[int]:
     return [int(x) for x in flow]
 
 
-def page_transitions(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                     method: str = "auto") -> DataFrame:
+def page_transitions(actions: DataFrame, ranges: int | None = None) -> DataFrame:
     """Every action with the page of the action before it in the session.
 
     Columns: session_id, event_id, action_time, page_id, prev_page_id (NULL for
-    the first action of a session).
+    the first action of a session and for actions without a session).
     """
-    return with_previous(actions, ["page_id"], bucket_seconds=bucket_seconds, method=method)
+    return with_previous(actions, ["page_id"], ranges=ranges).drop("has_prev")
 
 
-def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-               method: str = "auto") -> DataFrame:
+def page_pairs(actions: DataFrame, ranges: int | None = None) -> DataFrame:
     """Consecutive (prev_page_id, page_id) pairs of every session."""
-    return consecutive_pairs(actions, "page_id", bucket_seconds, method)
+    return consecutive_pairs(actions, "page_id", ranges)
 
 
-def funnel_counts(actions: DataFrame, flow=DEFAULT_FLOW, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                  method: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def funnel_counts(actions: DataFrame, flow=DEFAULT_FLOW, ranges: int | None = None) -> DataFrame:
     """One row: ``start_page_pv`` and ``pv_<i>`` (pairs matching step i) for
     every step of the flow, from a single pass. A pair repeated in the flow
     is counted for each of its steps."""
     pages = parse_flow(flow)
-    rows = transition_rows(actions, "page_id", bucket_seconds, method, hot_rows)
-    aggs = [F.count_if(F.col("is_row") & (F.col("page_id") == F.lit(pages[0]))).alias("start_page_pv")]
+    rows = with_previous(actions, ["page_id"], ranges=ranges)
+    aggs = [F.count_if(F.col("page_id") == F.lit(pages[0])).alias("start_page_pv")]
     for i in range(1, len(pages)):
         aggs.append(F.count_if(F.col("has_prev") & (F.col("prev_page_id") == F.lit(pages[i - 1]))
                                & (F.col("page_id") == F.lit(pages[i]))).alias(f"pv_{i}"))
@@ -73,18 +68,16 @@ def _step_rows(counts: DataFrame, flow) -> DataFrame:
     return counts.selectExpr(f"stack({k}, {items}) AS (step, split, split_pv, prev_pv)")
 
 
-def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
+def page_flow_matches(actions: DataFrame, flow=DEFAULT_FLOW, ranges: int | None = None) -> DataFrame:
     """The flow steps whose page pair occurs, with the pair count."""
-    steps = _step_rows(funnel_counts(actions, flow, bucket_seconds, method), flow)
+    steps = _step_rows(funnel_counts(actions, flow, ranges), flow)
     return (steps.where(F.col("split_pv") > 0)
             .select("step", "split", F.col("split_pv").cast("bigint").alias("pair_count")))
 
 
-def page_split_pv(actions: DataFrame, flow=DEFAULT_FLOW,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
+def page_split_pv(actions: DataFrame, flow=DEFAULT_FLOW, ranges: int | None = None) -> DataFrame:
     """Every flow step with its matched pair count (0 when never seen)."""
-    steps = _step_rows(funnel_counts(actions, flow, bucket_seconds, method), flow)
+    steps = _step_rows(funnel_counts(actions, flow, ranges), flow)
     return steps.select("step", "split", F.col("split_pv").cast("bigint").alias("split_pv"))
 
 
@@ -94,14 +87,13 @@ def start_page_pv(actions: DataFrame, flow=DEFAULT_FLOW) -> DataFrame:
     return actions.agg(F.count_if(F.col("page_id") == F.lit(first)).alias("start_page_pv"))
 
 
-def page_convert_rate(actions: DataFrame, flow=DEFAULT_FLOW, digits: int = 2,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto") -> DataFrame:
+def page_convert_rate(actions: DataFrame, flow=DEFAULT_FLOW, digits: int = 2, ranges: int | None = None) -> DataFrame:
     """Step 1 = pv(1) / start pv; step i = pv(i) / pv(i-1), HALF_UP.
 
     Columns: step, split, split_pv, prev_pv, rate (NULL when prev_pv is 0).
     All counts come from one aggregate row.
     """
-    steps = _step_rows(funnel_counts(actions, flow, bucket_seconds, method), flow)
+    steps = _step_rows(funnel_counts(actions, flow, ranges), flow)
     return steps.select("step", "split", F.col("split_pv").cast("bigint").alias("split_pv"),
                         F.col("prev_pv").cast("bigint").alias("prev_pv"),
                         ratio_half_up("split_pv", "prev_pv", digits).alias("rate"))

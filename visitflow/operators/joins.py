@@ -1,10 +1,8 @@
-"""Join helpers: broadcast only behind a proven row bound.
+"""Join helper for sides whose size is bounded by construction.
 
-``broadcast_if_small`` counts at most ``max_rows + 1`` rows of the candidate
-side (a bounded job on a dimension, run once per plan and application) and
-hints a broadcast only when the side fits. Otherwise the join stays a
-shuffle join, where AQE may still switch to a broadcast from runtime sizes or
-split skewed partitions.
+Dimensions are never hinted: Spark broadcasts a side whose measured size (the
+files' statistics, or under AQE the bytes its stage wrote) is below the
+session's threshold, and otherwise shuffles, splitting skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,36 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-# Decisions already taken in this application, per plan: a dimension's size
-# class does not change within one application, and the check runs a job.
-_DECISIONS: list[tuple[str, int, DataFrame, int, bool]] = []
-_MAX_DECISIONS = 256
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
-
-    Memoised per application and plan: ``semanticHash`` finds candidates,
-    ``sameSemantics`` confirms an exact plan match.
-    """
-    app = df.sparkSession.conf.get("spark.app.id", "")
-    h = df.semanticHash()
-    for a, hh, seen, m, fits in _DECISIONS:
-        if a == app and hh == h and m == max_rows and seen.sameSemantics(df):
-            return fits
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    if len(_DECISIONS) >= _MAX_DECISIONS:
-        _DECISIONS.pop(0)
-    _DECISIONS.append((app, h, df, max_rows, fits))
-    return fits
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (a parameter list,

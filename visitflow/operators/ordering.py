@@ -1,19 +1,20 @@
-"""Previous row inside a session (P1, P2, X2) without one task per session.
+"""Previous row inside a session (P1, P2, X2), balanced by rows.
 
 A plain ``lag(x) over (partition by session_id order by time)`` puts a whole
 session into one task; one bot session holding a third of the log would then
-be a single task. The order is split in two levels instead:
-
-1. rows are windowed per (session_id, time bucket): a hot session spreads
-   over as many tasks as it has buckets;
-2. one summary row per (session_id, bucket) - the first and last row's
-   values - is windowed per session to find the values of the previous
-   non-empty bucket. That table has one row per bucket, so even a year-long
-   session is under 9,000 rows at hourly buckets.
-
-The previous row of a bucket's first row is the last row of the previous
-bucket; every other row's previous row comes from the in-bucket lag.
-Row order is (action_time, event_id); event_id makes it total.
+be a single task. Here the whole log is put in one order, (session_id,
+action_time, event_id), and cut into ranges of about equal rows, so a session,
+a session-hour or a single second of one session may span any number of tasks.
+
+A range needs one row from elsewhere: the one before its first. The first row
+of a range is known before the shuffle - it is the bound itself - so it is
+also sent to the range before, where its previous row lies; that copy gives
+its result, and the row in its own range serves its successors only. No range
+waits for another, nothing is stored, and there is one plan for every log.
+
+Rows without a session id are in no session: they have no previous row. Rows
+without a time come first in their session, by event id. Rows that repeat
+(session_id, action_time, event_id) follow each other.
 """
 
 from __future__ import annotations
@@ -23,314 +24,74 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitflow.config import cut_lineage
-from visitflow.functions.expressions import seconds_between
-
-DEFAULT_BUCKET_SECONDS = 3600
-DEFAULT_HOT_ROWS = 1_000_000
-MAX_HOT_SESSIONS = 10_000
 ORDER = ("action_time", "event_id")
+SAMPLES_PER_RANGE = 20
 
 
-def _bucket(bucket_seconds: int) -> Column:
-    secs = seconds_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                           F.col("action_time").cast("timestamp_ntz"))
-    return F.floor(secs / F.lit(bucket_seconds)).cast("bigint")
-
-
-def _order_key() -> Column:
-    """(action_time, event_id) as a struct: the exact row order, ties on time
-    broken by event id (min_by/max_by over it run as a sort-based aggregate
-    with map-side partial results)."""
-    return F.struct(F.col("action_time"), F.col("event_id"))
-
-
-def ordered_in_buckets(actions: DataFrame, values: Sequence[str],
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Rows with ``bucket``, in-bucket row number ``_rn`` and ``_lag_<v>``
-    (one shuffle by (session_id, bucket), one sort)."""
-    keep = list(dict.fromkeys(["session_id", *ORDER, *values]))
-    w = Window.partitionBy("session_id", "bucket").orderBy(*ORDER)
-    out = (actions.select(*keep, _bucket(bucket_seconds).alias("bucket"))
-           .withColumn("_rn", F.row_number().over(w)))
-    for v in values:
-        out = out.withColumn(f"_lag_{v}", F.lag(v).over(w))
-    return out
-
-
-def bucket_edges(actions: DataFrame, values: Sequence[str],
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Per (session_id, bucket): ``first_<v>``, ``last_<v>``, ``prev_last_<v>``
-    (last value of the previous non-empty bucket) and ``is_first_bucket``.
-
-    An aggregate over the raw rows (partial on the map side, so only one row
-    per bucket and map task is shuffled), then a window per session over
-    these summary rows only.
-    """
-    key = _order_key()
-    aggs = []
-    for v in values:
-        aggs += [F.min_by(v, key).alias(f"first_{v}"), F.max_by(v, key).alias(f"last_{v}")]
-    summary = (actions.select("session_id", *values, *ORDER, _bucket(bucket_seconds).alias("bucket"))
-               .groupBy("session_id", "bucket").agg(*aggs))
-    w = Window.partitionBy("session_id").orderBy("bucket")
-    for v in values:
-        summary = summary.withColumn(f"prev_last_{v}", F.lag(f"last_{v}").over(w))
-    return summary.withColumn("is_first_bucket", F.lag("bucket").over(w).isNull())
-
+def _key() -> Column:
+    return F.struct("session_id", *ORDER)
 
-HOT_SAMPLE_ROWS = 2000  # sampled rows expected from a session at the hot threshold
 
+def range_bounds(actions: DataFrame, ranges: int) -> list:
+    """At most ``ranges - 1`` rows (session_id, action_time, event_id) that cut
+    the order into ranges of about equal rows. They come from the
+    ``SAMPLES_PER_RANGE * ranges`` rows with the smallest hash - a uniform and
+    repeatable sample, one scan of three columns, run when the frame is built.
+    Any bounds give the same result; they only set the ranges' sizes."""
+    # as text, which no time zone shifts; its order is that of the times
+    text = [F.col(c).cast("string").alias(c) if c == "action_time" else F.col(c) for c in ("session_id", *ORDER)]
+    sample = (actions.where(F.col("session_id").isNotNull()).select("session_id", *ORDER)
+              .orderBy(F.xxhash64("session_id", *ORDER)).limit(SAMPLES_PER_RANGE * ranges).select(*text).collect())
+    keys = sorted({tuple(r) for r in sample}, key=lambda k: tuple((x is not None, x) for x in k))
+    return [keys[len(keys) * i // ranges] for i in range(1, ranges)] if len(keys) >= ranges else keys[1:]
 
-def hot_sessions(actions: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Sessions with about ``hot_rows`` rows or more (lazy).
 
-    Used only to choose a plan - both plans give exact results - so it counts
-    a Bernoulli sample in which a session at the threshold expects
-    ``HOT_SAMPLE_ROWS`` rows, and keeps sessions reaching half of that. The
-    shuffle is then a few rows per hot session instead of one row per
-    session. Small thresholds count every row.
-    """
-    fraction = min(1.0, HOT_SAMPLE_ROWS / max(hot_rows, 1))
-    rows = actions.select("session_id")
-    if fraction >= 1.0:
-        return (rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > hot_rows).select("session_id"))
-    return (rows.sample(withReplacement=False, fraction=fraction, seed=17)
-            .groupBy("session_id").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= HOT_SAMPLE_ROWS // 2).select("session_id"))
-
-
-def _hot_split(actions: DataFrame, hot_rows: int, max_hot: int):
-    """Planning step (one aggregation job): ``None`` when more than
-    ``max_hot`` sessions are hot, else (normal rows, hot rows or None).
-
-    At most ``max_hot + 1`` ids reach the driver, and the hot-id table is
-    broadcast under that same bound, so both splits are map-side filters.
-    """
-    ids = hot_sessions(actions, hot_rows).limit(max_hot + 1).collect()
-    if len(ids) > max_hot:
-        return None
-    if not ids:
-        return actions, None
-    key_type = actions.schema["session_id"].dataType
-    from pyspark.sql import types as T
-    hot = F.broadcast(actions.sparkSession.createDataFrame(
-        [(r.session_id,) for r in ids], T.StructType([T.StructField("session_id", key_type)])))
-    return actions.join(hot, "session_id", "left_anti"), actions.join(hot, "session_id", "left_semi")
-
-
-def _plain_window() -> Window:
-    return Window.partitionBy("session_id").orderBy(*ORDER)
+def _literal(bounds: Sequence[tuple], schema) -> Column:
+    names = ("session_id", *ORDER)
+    rows = [F.struct(*[F.lit(v).cast(schema[n].dataType).alias(n) for n, v in zip(names, b)]) for b in bounds]
+    return F.array(*rows)
 
 
 def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto",
-                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Every row with ``prev_<v>``, the value of the session's previous row.
-
-    ``method="auto"`` (default): one aggregation job finds the sessions with
-    more than ``hot_rows`` rows; the others use a plain per-session window,
-    the hot ones the bucket method (all sessions do when more than
-    ``MAX_HOT_SESSIONS`` are hot).
-    ``method="buckets"``: every session split by time bucket.
-    ``method="range"``: exact balance for any skew (even one session-second
-    holding a third of the log); eager (one checkpoint).
-    """
-    if method == "range":
-        return with_previous_ranged(actions, values, keep)
-    if method == "buckets":
-        return _with_previous_buckets(actions, values, keep, bucket_seconds)
-    if method != "auto":
-        raise ValueError(f"unknown method {method!r}")
-    values = list(values)
-    carried = list(dict.fromkeys([*keep, *values]))
-    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
-    split = _hot_split(actions, hot_rows, MAX_HOT_SESSIONS)
-    if split is None:
-        return _with_previous_buckets(actions, values, keep, bucket_seconds)
-    normal, heavy = split
-    w = _plain_window()
-    plain = normal.select(*base, *[F.lag(v).over(w).alias(f"prev_{v}") for v in values])
-    if heavy is None:
-        return plain
-    return plain.unionByName(_with_previous_buckets(heavy, values, keep, bucket_seconds))
-
-
-def _with_previous_buckets(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
-                           bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Every row with ``prev_<v>`` = value of the session's previous row
-    (NULL on the session's first row). Output: session_id, event_id,
-    action_time, the ``keep`` and ``values`` columns, and ``prev_<v>``.
-
-    The window output is left-joined once to the bucket summary on
-    (session_id, bucket); the window side is already partitioned by that key
-    and the summary has one row per key, so the join adds no skew.
-    """
-    values = list(values)
-    carried = list(dict.fromkeys([*keep, *values]))
-    ordered = ordered_in_buckets(actions, carried, bucket_seconds)
-    edges = bucket_edges(actions, values, bucket_seconds).select(
-        "session_id", "bucket", *[f"prev_last_{v}" for v in values])
-    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
-    return (ordered.join(edges, ["session_id", "bucket"], "left")
-            .select(*base, *[F.when(F.col("_rn") == 1, F.col(f"prev_last_{v}"))
-                             .otherwise(F.col(f"_lag_{v}")).alias(f"prev_{v}") for v in values]))
-
-
-def consecutive_pairs(actions: DataFrame, value: str,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS, method: str = "auto",
-                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """(prev_<value>, <value>) for every pair of consecutive rows of a session.
-
-    With ``method="range"`` the pairs come from ``with_previous_ranged`` (a
-    row has a predecessor exactly when its previous event id is set).
-    With buckets there is no join: in-bucket pairs come from the window's lag, boundary pairs from
-    the bucket summary (previous bucket's last, this bucket's first).
-    """
-    if method == "range":
-        vals = list(dict.fromkeys([value, "event_id"]))
-        prev = with_previous_ranged(actions, vals)
-        return prev.where(F.col("prev_event_id").isNotNull()).select(f"prev_{value}", value)
-    if method == "auto":
-        split = _hot_split(actions, hot_rows, MAX_HOT_SESSIONS)
-        if split is None:
-            return _bucket_pairs(actions, value, bucket_seconds)
-        normal, heavy = split
-        w = _plain_window()
-        plain = (normal.select(value, F.lag(value).over(w).alias(f"prev_{value}"),
-                               F.row_number().over(w).alias("_rn"))
-                 .where(F.col("_rn") > 1).select(f"prev_{value}", value))
-        return plain if heavy is None else plain.unionByName(_bucket_pairs(heavy, value, bucket_seconds))
-    if method != "buckets":
-        raise ValueError(f"unknown method {method!r}")
-    return _bucket_pairs(actions, value, bucket_seconds)
-
-
-def transition_rows(actions: DataFrame, value: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                    method: str = "auto", hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Every row and every consecutive pair in one frame, for one-pass counting.
-
-    Columns: ``is_row`` (a log row, counted once per row), ``has_prev``
-    (``prev_<value>`` is the previous row's value), ``prev_<value>``,
-    ``<value>``. With buckets, a bucket's first row appears once as a row
-    without predecessor and once more as a pair-only entry (``is_row`` false)
-    carrying the previous bucket's last value.
-    """
-    prev = f"prev_{value}"
-    if method == "range":
-        vals = list(dict.fromkeys([value, "event_id"]))
-        r = with_previous_ranged(actions, vals)
-        return r.select(F.lit(True).alias("is_row"), F.col("prev_event_id").isNotNull().alias("has_prev"),
-                        prev, value)
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        ordered = ordered_in_buckets(df, [value], bucket_seconds)
-        rows = ordered.select(F.lit(True).alias("is_row"), (F.col("_rn") > 1).alias("has_prev"),
-                              F.col(f"_lag_{value}").alias(prev), value)
-        edges = (bucket_edges(df, [value], bucket_seconds).where(~F.col("is_first_bucket"))
-                 .select(F.lit(False).alias("is_row"), F.lit(True).alias("has_prev"),
-                         F.col(f"prev_last_{value}").alias(prev), F.col(f"first_{value}").alias(value)))
-        return rows.unionByName(edges)
-
-    if method == "buckets":
-        return bucketed(actions)
-    if method != "auto":
-        raise ValueError(f"unknown method {method!r}")
-    split = _hot_split(actions, hot_rows, MAX_HOT_SESSIONS)
-    if split is None:
-        return bucketed(actions)
-    normal, heavy = split
-    w = _plain_window()
-    plain = normal.select(F.lit(True).alias("is_row"), (F.row_number().over(w) > 1).alias("has_prev"),
-                          F.lag(value).over(w).alias(prev), value)
-    return plain if heavy is None else plain.unionByName(bucketed(heavy))
-
-
-def _bucket_pairs(actions: DataFrame, value: str, bucket_seconds: int) -> DataFrame:
-    ordered = ordered_in_buckets(actions, [value], bucket_seconds)
-    inner = ordered.where(F.col("_rn") > 1).select(
-        F.col(f"_lag_{value}").alias(f"prev_{value}"), value)
-    boundary = (bucket_edges(actions, [value], bucket_seconds).where(~F.col("is_first_bucket"))
-                .select(F.col(f"prev_last_{value}").alias(f"prev_{value}"),
-                        F.col(f"first_{value}").alias(value)))
-    return inner.unionByName(boundary)
-
-
-# --------------------------------------------------------------------------
-# Range-partitioned variant: no group of any size is kept in one task.
-#
-# Rows are range-partitioned on (session_id, action_time, event_id) - Spark
-# samples the keys, so partitions are balanced even when one session, or one
-# second of one session, holds a third of the log - and sorted inside each
-# partition. A vectorised Arrow pass computes the previous row inside the
-# partition; only the first row of a partition can need a row from elsewhere,
-# namely the last row of the previous partition (when it is the same
-# session). Those last rows are one per partition, so the fix-up table is
-# bounded by the partition count and is broadcast.
-# --------------------------------------------------------------------------
-
-def _arrow_lag(values: Sequence[str]):
-    def run(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        prev_session = None
-        prev_vals: dict = {}
-        first_batch = True
-        for b in batches:
-            n = b.num_rows
-            if n == 0:
-                continue
-            sess = b.column("session_id")
-            shifted = pa.concat_arrays([pa.array([prev_session], sess.type), sess.slice(0, n - 1)])
-            same = pc.fill_null(pc.equal(sess, shifted), False)
-            cols = list(b.columns)
-            names = list(b.schema.names)
-            for v in values:
-                col = b.column(v)
-                sh = pa.concat_arrays([pa.array([prev_vals.get(v)], col.type), col.slice(0, n - 1)])
-                cols.append(pc.if_else(same, sh, pa.nulls(n, col.type)))
-                names.append(f"prev_{v}")
-            flags = [first_batch] + [False] * (n - 1)
-            cols.append(pa.array(flags, pa.bool_()))
-            names.append("_pfirst")
-            prev_session = sess[n - 1].as_py()
-            prev_vals = {v: b.column(v)[n - 1].as_py() for v in values}
-            first_batch = False
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-    return run
-
-
-def with_previous_ranged(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
-                         partitions: int | None = None) -> DataFrame:
-    """Same result as ``with_previous``, for logs where a single session-hour
-    may be hot. One range shuffle (plus Spark's key sampling), one Arrow pass
-    and one checkpoint write; the fix-up join is against at most
-    ``partitions`` rows. Eager: the checkpoint runs when this is called."""
-    from pyspark.sql import types as T
+                  ranges: int | None = None) -> DataFrame:
+    """Every row with ``has_prev`` and ``prev_<v>``, the value of the session's
+    previous row (NULL on its first). Output: session_id, event_id,
+    action_time, the ``keep`` and ``values`` columns, has_prev, prev_<v>.
 
-    spark = actions.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ``ranges`` (default: the session's shuffle partitions) is the number of
+    ranges; the result does not depend on it."""
     values = list(values)
     carried = list(dict.fromkeys([*keep, *values]))
-    cols = list(dict.fromkeys(["session_id", *ORDER, *carried]))
-    ranged = (actions.select(*cols)
-              .repartitionByRange(n, "session_id", *ORDER)
-              .sortWithinPartitions("session_id", *ORDER)
-              .withColumn("_pid", F.spark_partition_id()))
-    fields = list(ranged.schema.fields)
-    by_name = {f.name: f for f in fields}
-    out_schema = T.StructType(fields + [T.StructField(f"prev_{v}", by_name[v].dataType, True) for v in values]
-                              + [T.StructField("_pfirst", T.BooleanType(), False)])
-    # Materialised once: a second evaluation would re-sample the range bounds
-    # and could cut the partitions differently from the rows being fixed.
-    mapped = cut_lineage(ranged.mapInArrow(_arrow_lag(values), out_schema))
-    last = mapped.groupBy("_pid").agg(
-        F.max_by(F.struct("session_id", *values), F.struct("session_id", _order_key())).alias("_last"))
-    edges = last.select("_pid", F.lag("_last").over(Window.orderBy("_pid")).alias("_prev"))
-    fixed = mapped.join(F.broadcast(edges), "_pid", "left")  # bounded: one row per partition
-    take = F.col("_pfirst") & (F.col("_prev.session_id") == F.col("session_id"))
     base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
-    return fixed.select(*base, *[F.when(take, F.col(f"_prev.{v}")).otherwise(F.col(f"prev_{v}"))
-                                 .alias(f"prev_{v}") for v in values])
+    n = ranges or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted(set(range_bounds(actions, n)), key=lambda k: tuple((x is not None, x) for x in k)) if n > 1 else []
+    rows = actions.select(*base)
+    if bounds:
+        step = max(1, round(len(bounds) ** 0.5))
+        chunks = [bounds[i:i + step] for i in range(0, len(bounds), step)]
+        heads = _literal([c[0] for c in chunks], actions.schema)
+        inner = F.array(*[_literal(c, actions.schema) for c in chunks])
+        rows = rows.withColumn("_key", _key())
+        # which range: among the chunks' heads first, then inside one chunk
+        rows = rows.withColumn("_chunk", F.size(F.filter(heads, lambda b: b <= F.col("_key"))))
+        own = F.coalesce(F.get(inner, F.col("_chunk") - 1), F.filter(heads, lambda b: F.lit(False)))
+        rows = rows.withColumn("_here", F.filter(own, lambda b: b <= F.col("_key")))
+        rows = rows.withColumn("_range", F.when(F.col("_chunk") == 0, 0).otherwise((F.col("_chunk") - 1) * step + F.size("_here")))
+        # rows without a session need no neighbours: they are dealt evenly
+        rows = rows.withColumn("_range", F.when(F.col("session_id").isNull(), F.pmod(F.xxhash64("event_id"), F.lit(len(bounds) + 1)).cast("int")).otherwise(F.col("_range")))
+        first = F.col("session_id").isNotNull() & F.coalesce(F.try_element_at("_here", F.lit(-1)) == F.col("_key"), F.lit(False))
+        mine = F.struct(F.col("_range").alias("r"), first.alias("only_before"))
+        sent = F.when(first & (F.col("_range") > 0), F.array(mine, F.struct((F.col("_range") - 1).alias("r"), F.lit(False).alias("only_before")))).otherwise(F.array(mine))
+        rows = rows.select(*base, F.explode(sent).alias("_to")).select(*base, "_to.r", "_to.only_before").repartitionByRange(n, "r")
+        w = Window.partitionBy("r").orderBy("session_id", *ORDER)
+    else:
+        rows = rows.withColumns({"r": F.lit(0), "only_before": F.lit(False)})
+        w = Window.partitionBy("r").orderBy("session_id", *ORDER)
+    same = F.coalesce(F.lag("session_id").over(w) == F.col("session_id"), F.lit(False))
+    lagged = rows.select(*base, "only_before", same.alias("has_prev"), *[F.lag(v).over(w).alias(f"_lag_{v}") for v in values])
+    return lagged.where("not only_before").select(*base, "has_prev", *[F.when(F.col("has_prev"), F.col(f"_lag_{v}")).alias(f"prev_{v}") for v in values])
+
+
+def consecutive_pairs(actions: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
+    """(prev_<value>, <value>) for every pair of consecutive rows of a session."""
+    return with_previous(actions, [value], ranges=ranges).where("has_prev").select(f"prev_{value}", value)

@@ -18,9 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitflow.config import cut_lineage
 from visitflow.functions import predicates as P
 from visitflow.functions.expressions import day_hour_key, is_present, ratio_half_up, seconds_between
-from visitflow.operators.joins import row_count_at_most
 
 # Session-length buckets, upper bounds inclusive, lower exclusive.
 VISIT_LENGTH_BUCKETS = (
@@ -89,17 +89,13 @@ def dedup_users(users: DataFrame, key: str = "user_id") -> DataFrame:
             .select(key, *[F.col(f"_first.{c}").alias(c) for c in rest]))
 
 
-def session_profile(sessions: DataFrame, users: DataFrame,
-                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def session_profile(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Sessions inner-joined with the (deduplicated) user dimension.
 
-    The broadcast bound is checked on the raw user rows (a limit that stops
-    reading early); the deduplicated table can only be smaller.
+    No broadcast is forced: AQE measures the deduplicated dimension when its
+    stage has run, and broadcasts it below the session's threshold.
     """
-    dim = dedup_users(users.select("user_id", "age", "professional", "city", "sex"))
-    if row_count_at_most(users, max_broadcast_rows):
-        dim = F.broadcast(dim)
-    return sessions.join(dim, "user_id")
+    return sessions.join(dedup_users(users.select("user_id", "age", "professional", "city", "sex")), "user_id")
 
 
 @dataclass(frozen=True)
@@ -174,8 +170,14 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
 
 
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Visit-log rows of the given sessions (semi join on session_id)."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    """Visit-log rows of the given sessions (semi join on session_id).
+
+    The ids are stored first (a job at build time), so the join reads them
+    from files: their size is measured, and beyond the broadcast threshold
+    both sides are plain shuffles, whose skewed partitions AQE splits.
+    """
+    ids = cut_lineage(sessions.select("session_id"), "session-ids")
+    return actions.join(ids, "session_id", "left_semi")
 
 
 def bucket_rows(stats: DataFrame, prefix: str) -> DataFrame:

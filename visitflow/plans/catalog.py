@@ -196,6 +196,25 @@ def q_page_transitions(spark, sf_dir):
     return FN.page_transitions(_t(spark, sf_dir).actions())
 
 
+def _incomplete(spark, sf_dir):
+    """The log with every ninth session id and every fourth time missing."""
+    a = _t(spark, sf_dir).actions()
+    return a.withColumn("session_id", F.when(F.col("event_id") % 9 != 0, F.col("session_id"))).withColumn(
+        "action_time", F.when(F.col("event_id") % 4 != 0, F.col("action_time")))
+
+
+@query("page_transitions_incomplete")
+def q_page_transitions_incomplete(spark, sf_dir):
+    """P2 where session ids and times are missing."""
+    return FN.page_transitions(_incomplete(spark, sf_dir))
+
+
+@query("page_split_pv_incomplete")
+def q_page_split_pv_incomplete(spark, sf_dir):
+    """A17 where session ids and times are missing."""
+    return FN.page_split_pv(_incomplete(spark, sf_dir), FLOW)
+
+
 @query("page_flow_matches")
 def q_page_flow_matches(spark, sf_dir):
     """Page pairs matching a step of flow 1..9, with counts."""

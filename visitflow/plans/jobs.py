@@ -19,7 +19,6 @@ from visitflow.operators import funnel as FN
 from visitflow.operators import sampling as Y
 from visitflow.operators import sessions as S
 from visitflow.config import cut_lineage
-from visitflow.operators.joins import broadcast_if_small
 from visitflow.sources.params import TaskParams
 from visitflow.sources.sinks import write_table
 from visitflow.sources.tables import actions_in_range
@@ -33,6 +32,16 @@ def _write(results: Mapping[str, DataFrame], out_dir: str | None) -> dict[str, D
     return dict(results)
 
 
+def _stored(df: DataFrame, out_dir: str | None, name: str) -> DataFrame:
+    """``df`` written once - as the result ``name``, or as an intermediate table
+    without ``out_dir`` - and read back for the results that depend on it."""
+    if not out_dir:
+        return cut_lineage(df, name)
+    path = f"{out_dir.rstrip('/')}/{name}"
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
                      sample_size: int = 100, seed: int = 42, top_n: int = 10,
                      out_dir: str | None = None) -> dict[str, DataFrame]:
@@ -42,24 +51,21 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
     Every output depends on the kept sessions, so they are checkpointed once;
     the category outputs share one checkpoint of the kept sessions' touch
     columns (a single semi join of the log); the sample detail reads the log
-    with the sample broadcast behind a bounded count. Eager: the checkpoints
+    with the stored sample. Eager: the checkpoints
     run when this is called.
     """
     acts = actions_in_range(actions, params.start_date, params.end_date)
     profile = S.session_profile(S.aggregate_sessions(acts), users)
     kept = cut_lineage(S.filter_sessions(profile, S.SessionFilter.from_params(params)))
-    stats = S.session_stats(kept)
+    stats = _stored(S.session_stats(kept), out_dir, "session_stats")
     n_days = kept.select(F.to_date("start_time")).distinct().count()  # from the stored table
-    sample = Y.stratified_sample(kept.drop("keywords", "category_ids"), sample_size, seed,
-                                 materialize=False, n_days=n_days)
+    sample = _stored(Y.stratified_sample(kept.drop("keywords", "category_ids"), sample_size, seed,
+                                         materialize=False, n_days=n_days), out_dir, "session_sample")
     touch_cols = ["session_id", "event_id", "click_category_id", "order_category_ids", "pay_category_ids"]
     kept_touches = cut_lineage(acts.select(*touch_cols).join(kept.select("session_id"), "session_id", "left_semi"))
-    return _write({
-        "session_stats": stats,
+    return {"session_stats": stats, "session_sample": sample} | _write({
         "session_stat_ratios": S.stat_ratios(stats),
-        "session_sample": sample,
-        "session_sample_detail": acts.join(broadcast_if_small(sample.select("session_id"), 1_000_000),
-                                           "session_id", "left_semi"),
+        "session_sample_detail": acts.join(sample.select("session_id"), "session_id", "left_semi"),
         "top_categories": C.top_categories(C.category_counts(kept_touches), top_n),
         "top_category_sessions": C.top_sessions_for_top_categories(kept_touches, top_n, 10),
     }, out_dir)
@@ -70,8 +76,8 @@ def page_conversion(actions: DataFrame, params: TaskParams, task_id: int | None
     """Single-step conversion rates of the task's page flow, and the report row."""
     acts = actions_in_range(actions, params.start_date, params.end_date)
     flow = params.target_page_flow or FN.DEFAULT_FLOW
-    rates = FN.page_convert_rate(acts, flow)
-    return _write({"page_convert_rate": rates,
+    rates = _stored(FN.page_convert_rate(acts, flow), out_dir, "page_convert_rate")
+    return {"page_convert_rate": rates} | _write({
                    "page_rate_report": FN.rate_report(rates, task_id if task_id is not None else params.task_id)},
                   out_dir)
 
@@ -81,9 +87,8 @@ def area_top_products(actions: DataFrame, cities: DataFrame, params: TaskParams,
     """Clicks per area and product with city lists and tier, and the top n per area."""
     acts = actions_in_range(actions, params.start_date, params.end_date)
     counts = A.area_product_clicks(A.clicks_with_city(A.product_clicks(acts), cities))
-    leveled = A.with_area_level(counts, tiers) if tiers else A.with_area_level(counts)
-    return _write({"area_product_clicks": leveled,
-                   "area_top_products": A.top_products_per_area(leveled, n)}, out_dir)
+    leveled = _stored(A.with_area_level(counts, tiers) if tiers else A.with_area_level(counts), out_dir, "area_product_clicks")
+    return {"area_product_clicks": leveled} | _write({"area_top_products": A.top_products_per_area(leveled, n)}, out_dir)
 
 
 def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, watermark: str = "1 day",

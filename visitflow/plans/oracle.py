@@ -181,6 +181,19 @@ SELECT CAST(1 AS BIGINT) AS task_id,
        string_agg(split || '=' || coalesce(CAST(rate AS VARCHAR), ''), '|' ORDER BY step) AS report
 FROM (SELECT step, split, {_half_up('split_pv', 'prev_pv')} AS rate FROM rates)""")
 
+INCOMPLETE = """
+, inc AS (SELECT CASE WHEN event_id % 9 <> 0 THEN session_id END AS session_id, event_id,
+                 CASE WHEN event_id % 4 <> 0 THEN action_time END AS action_time, page_id FROM uva),
+inc_prev AS (SELECT *, CASE WHEN session_id IS NOT NULL THEN lag(page_id) OVER (
+               PARTITION BY session_id ORDER BY action_time NULLS FIRST, event_id) END AS prev_page_id FROM inc)
+"""
+oracle("page_transitions_incomplete", INCOMPLETE +
+       "SELECT session_id, event_id, action_time, page_id, prev_page_id FROM inc_prev")
+oracle("page_split_pv_incomplete", INCOMPLETE + """
+SELECT CAST(s AS INTEGER) AS step, CAST(s AS VARCHAR) || '_' || CAST(s + 1 AS VARCHAR) AS split,
+       CAST(count(p.event_id) AS BIGINT) AS split_pv
+FROM range(1, 9) t(s) LEFT JOIN inc_prev p ON p.prev_page_id = s AND p.page_id = s + 1 GROUP BY s""")
+
 # ---------------------------------------------------------------- categories
 oracle("touched_categories", "SELECT DISTINCT category_id FROM touch")
 oracle("category_clicks", "SELECT category_id, CAST(count(*) AS BIGINT) AS click_count FROM touch "
