@@ -13,7 +13,7 @@ def action(event_id, session_id="s1", user_id=1, seconds=0, page_id=1, keyword=N
            product=None, orders=None, pays=None, city_id=0, at=None):
     ts = at if at is not None else T0 + dt.timedelta(seconds=seconds)
     return (ts.date(), user_id, session_id, page_id, ts, event_id, keyword, click, product,
-            orders, pays, city_id)
+            orders, pays, city_id, None, None)
 
 
 def actions_df(spark, rows):

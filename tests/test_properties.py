@@ -85,7 +85,7 @@ def test_funnel_counts_match_python(spark, rows, flow):
     from visitflow.operators import funnel as FN
     from visitflow.schemas import VISIT_ACTION
     t0 = dt.datetime(2024, 1, 1)
-    data = [(None, None, f"s{s}", p, t0 + dt.timedelta(seconds=sec), i, None, None, None, None, None, None)
+    data = [(None, None, f"s{s}", p, t0 + dt.timedelta(seconds=sec), i, *[None] * 8)
             for i, (s, sec, p) in enumerate(rows)]
     df = spark.createDataFrame(data, VISIT_ACTION)
 

@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--messages", required=True, help="folder of message text files")
     p.add_argument("--sink", required=True)
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--watermark", default="1 day")
+    p.add_argument("--watermark", default=None, help="drop state, and lose clicks, older than this")
     p.add_argument("--available-now", action="store_true")
     p = sub.add_parser("csv-split")
     p.add_argument("--input", required=True)

@@ -514,7 +514,6 @@ def q_synthetic_visit_counts(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- ad clicks (batch + streaming)
-STREAM_WATERMARK = "40 days"  # wider than the disorder between the staged files
 
 
 def _messages(t: SuppliedTables) -> DataFrame:
@@ -549,13 +548,13 @@ def q_ad_clicks_daily(spark, sf_dir):
 def q_ad_stream_running_counts(spark, sf_dir):
     """The same counts kept as streaming state over 2 staged micro-batches,
     delivered through the idempotent upsert sink."""
-    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "daily", STREAM_WATERMARK)
+    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "daily")
 
 
 @query("ad_stream_5s_windows")
 def q_ad_stream_5s_windows(spark, sf_dir):
     """Clicks per 5-second event-time window, streamed."""
-    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "window", STREAM_WATERMARK)
+    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "window")
 
 
 @query("ad_upsert_sink")
@@ -565,8 +564,8 @@ def q_ad_upsert_sink(spark, sf_dir):
     from visitflow.config import new_subdir
     clicks = AD.parse_ad_messages(AD.file_messages(spark, _ad_topic(spark, sf_dir)))
     sink = AD.UpsertSink(new_subdir(spark, "ad_upsert"), AD.DAY_KEYS)
-    AD.run_to_sink(AD.running_daily_counts(clicks, STREAM_WATERMARK), sink,
-                   new_subdir(spark, "ad_upsert_ckpt")).awaitTermination()
-    replay = spark.read.parquet(f"{sink.path}/batch_id=0")
-    sink.write_batch(AD.cut_lineage(replay), 0)
+    run = AD.run_to_sink(AD.running_daily_counts(clicks), sink, new_subdir(spark, "ad_upsert_ckpt"))
+    run.awaitTermination()
+    replay = spark.read.parquet(f"{sink.path}/query_id={run.id}/batch_id=0")
+    sink.write_batch(AD.cut_lineage(replay), 0, str(run.id))
     return sink.read(spark)

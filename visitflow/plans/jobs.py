@@ -91,7 +91,7 @@ def area_top_products(actions: DataFrame, cities: DataFrame, params: TaskParams,
     return {"area_product_clicks": leveled} | _write({"area_top_products": A.top_products_per_area(leveled, n)}, out_dir)
 
 
-def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, watermark: str = "1 day",
+def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, watermark: str | None = None,
                     available_now: bool = False, processing_time: str = "5 seconds"):
     """The real-time job: parse messages, keep running daily counts per user
     and ad, upsert them into ``sink_path``. Returns the started query."""

@@ -22,7 +22,11 @@ uva AS (
               ELSE concat(CAST(k AS VARCHAR), ',', CAST((k + 1) % 100 AS VARCHAR)) END END AS order_category_ids,
          CASE WHEN event_type = 'signup' THEN CASE WHEN k % 7 = 0 THEN ''
               ELSE concat(CAST(k AS VARCHAR), ',', CAST((k + 2) % 100 AS VARCHAR)) END END AS pay_category_ids,
-         event_id % 25 AS city_id
+         event_id % 25 AS city_id,
+         CASE WHEN event_type = 'purchase' THEN CASE WHEN k % 7 = 0 THEN ''
+              ELSE concat(CAST((k * 7 + 3) % 100 AS VARCHAR), ',', CAST(((k * 7 + 3) % 100 + 1) % 100 AS VARCHAR)) END END AS order_product_ids,
+         CASE WHEN event_type = 'signup' THEN CASE WHEN k % 7 = 0 THEN ''
+              ELSE concat(CAST((k * 7 + 3) % 100 AS VARCHAR), ',', CAST(((k * 7 + 3) % 100 + 2) % 100 AS VARCHAR)) END END AS pay_product_ids
   FROM e),
 ui AS (
   SELECT c_custkey AS user_id, CAST(18 + c_custkey % 60 AS INTEGER) AS age, c_mktsegment AS professional,
@@ -91,7 +95,8 @@ FROM catc ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_
 
 # ---------------------------------------------------------------- sessions
 UVA_COLS = ("visit_date, user_id, session_id, page_id, action_time, event_id, search_keyword, "
-            "click_category_id, click_product_id, order_category_ids, pay_category_ids, city_id")
+            "click_category_id, click_product_id, order_category_ids, pay_category_ids, city_id, "
+            "order_product_ids, pay_product_ids")
 PROF_COLS = SESSION_COLS + ", age, professional, city, sex"
 
 oracle("visits_in_range", f"SELECT {UVA_COLS} FROM uva "

@@ -19,6 +19,8 @@ VISIT_ACTION = T.StructType([
     T.StructField("order_category_ids", T.StringType(), True),
     T.StructField("pay_category_ids", T.StringType(), True),
     T.StructField("city_id", T.LongType(), True),
+    T.StructField("order_product_ids", T.StringType(), True),
+    T.StructField("pay_product_ids", T.StringType(), True),
 ])
 
 USER_INFO = T.StructType([

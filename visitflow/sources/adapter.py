@@ -11,6 +11,7 @@ Mapping (fixed values of the test adapter):
   click -> CLICK of category k and product (k * 7 + 3) % 100
   purchase -> ORDER of categories 'k,(k+1)%100' ('' when k % 7 = 0)
   signup -> PAY of categories 'k,(k+2)%100' ('' when k % 7 = 0)
+  purchase, signup -> also products p = (k * 7 + 3) % 100 and (p + 1 or 2) % 100, '' likewise
   error -> page view without payload
   page_id = k % 10, city_id = event_id % 25
   session_id = user_id || '_' || date(ts)
@@ -35,6 +36,12 @@ def _id_pair(k: Column, step: int) -> Column:
         F.concat(k.cast("string"), F.lit(","), ((k + step) % 100).cast("string")))
 
 
+def _product_pair(k: Column, step: int) -> Column:
+    product = (k * 7 + 3) % 100
+    return F.when(k % 7 == 0, F.lit("")).otherwise(
+        F.concat(product.cast("string"), F.lit(","), ((product + step) % 100).cast("string")))
+
+
 # Event type of each action kind in the test tables.
 EVENT_TYPE = {"search": "view", "click": "click", "order": "purchase", "pay": "signup", "view": "error"}
 
@@ -78,6 +85,8 @@ def events_to_actions(events: DataFrame, start_date=None, end_date=None,
             F.when(etype == "purchase", _id_pair(k, 1)).alias("order_category_ids"),
             F.when(etype == "signup", _id_pair(k, 2)).alias("pay_category_ids"),
             (F.col("event_id") % 25).alias("city_id"),
+            F.when(etype == "purchase", _product_pair(k, 1)).alias("order_product_ids"),
+            F.when(etype == "signup", _product_pair(k, 2)).alias("pay_product_ids"),
         )
     )
 

@@ -44,17 +44,19 @@ class TaskParams:
 
 
 def _int(v):
-    try:
-        return int(v) if v not in (None, "") else None
-    except ValueError:
-        return None
+    """None without a value; a value that is no number raises ValueError, since
+    dropping the condition would widen the result."""
+    return int(v) if v not in (None, "") else None
 
 
 def load_task_params(tasks: DataFrame, task_id: int) -> TaskParams | None:
-    """The task's parameters, or None when no such task exists."""
-    rows = task_param_columns(tasks, task_id).limit(1).collect()
+    """The task's parameters, or None when no such task exists; an id with two
+    different rows raises ValueError."""
+    rows = task_param_columns(tasks, task_id).distinct().limit(2).collect()
     if not rows:
         return None
+    if len(rows) > 1:
+        raise ValueError(f"task {task_id} has more than one row of parameters")
     r = rows[0].asDict()
     return TaskParams(task_id=task_id, start_date=r["startDate"], end_date=r["endDate"],
                       start_age=_int(r["startAge"]), end_age=_int(r["endAge"]),

@@ -79,4 +79,6 @@ def normalize_text_log(raw: DataFrame, event_id_col: str = "event_id") -> DataFr
         col("order_category_ids", "string"),
         col("pay_category_ids", "string"),
         col("city_id", "bigint"),
+        col("order_product_ids", "string"),
+        col("pay_product_ids", "string"),
     )

@@ -94,17 +94,19 @@ def _event_ts(clicks: DataFrame, watermark: str | None) -> DataFrame:
     return out.withWatermark("_ts", watermark) if watermark else out
 
 
-def running_daily_counts(clicks: DataFrame, watermark: str | None = "1 day") -> DataFrame:
-    """Running clicks per (day, user_id, ad_id); state of a day is dropped
-    once the watermark passes the day's end."""
+def running_daily_counts(clicks: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Running clicks per (day, user_id, ad_id). Every click counts, however
+    late. A ``watermark`` is the caller's choice to bound the state: a day's is
+    dropped once the watermark passes its end, and later clicks are lost."""
     agg = (_event_ts(clicks, watermark)
            .groupBy(F.window("_ts", "1 day").alias("w"), "day", "user_id", "ad_id")
            .agg(F.count(F.lit(1)).alias("click_count")))
     return agg.select(*DAY_KEYS, "click_count")
 
 
-def windowed_counts(clicks: DataFrame, size: str = "5 seconds", watermark: str | None = "1 minute") -> DataFrame:
-    """Clicks per event-time window of ``size`` and (user_id, ad_id)."""
+def windowed_counts(clicks: DataFrame, size: str = "5 seconds", watermark: str | None = None) -> DataFrame:
+    """Clicks per event-time window of ``size`` and (user_id, ad_id); every
+    click counts unless the caller sets a ``watermark``."""
     agg = (_event_ts(clicks, watermark)
            .groupBy(F.window("_ts", size).alias("w"), "user_id", "ad_id")
            .agg(F.count(F.lit(1)).alias("click_count")))
@@ -128,25 +130,32 @@ class UpsertSink:
         self.keys = list(keys)
         self.partition_by = list(partition_by)
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def write_batch(self, batch: DataFrame, batch_id: int, query_id: str | None = None) -> None:
         w = batch.write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}/batch_id={int(batch_id)}")
+        w.parquet(f"{self.path}/query_id={query_id or self._query_id(batch)}/batch_id={int(batch_id)}")
+
+    @staticmethod
+    def _query_id(batch: DataFrame) -> str:
+        """The id kept in the query's checkpoint; batch numbers are its own."""
+        return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
     __call__ = write_batch
 
     def read(self, spark: SparkSession, where=None) -> DataFrame:
-        """Latest row per key (highest batch id). ``where`` (a Column on
-        partition columns, e.g. one day) is applied before the aggregate, so
-        it prunes folders."""
+        """Current counts per key: of each query (checkpoint) the row of its
+        latest batch, added up over queries - a query with a new checkpoint
+        counts from zero. ``where`` (a Column on partition columns, e.g. one
+        day) is applied before the aggregate, so it prunes folders."""
         raw = spark.read.parquet(self.path)
         if where is not None:
             raw = raw.where(where)
-        values = [c for c in raw.columns if c not in self.keys and c != "batch_id"]
-        latest = raw.groupBy(*self.keys).agg(
+        values = [c for c in raw.columns if c not in self.keys and c not in ("query_id", "batch_id")]
+        latest = raw.groupBy("query_id", *self.keys).agg(
             F.max_by(F.struct(*values), "batch_id").alias("_v"))
-        return latest.select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+        counts = {c for c, t in raw.dtypes if t in ("bigint", "int")}  # other values are the key's own, as a window's end
+        return latest.groupBy(*self.keys).agg(*[(F.sum if c in counts else F.max)(f"_v.{c}").alias(c) for c in values])
 
     def compact(self, spark: SparkSession, out_path: str) -> str:
         """Write the current table state once, e.g. to start a new sink folder."""
@@ -210,7 +219,7 @@ def stage_messages(messages: DataFrame, n_files: int = 4) -> str:
 
 
 def stream_counts(spark: SparkSession, messages_path: str, kind: str = "daily",
-                  watermark: str = "40 days") -> DataFrame:
+                  watermark: str | None = None) -> DataFrame:
     """Run T2 or T3 over staged messages to completion through the upsert sink
     and return the sink's table."""
     clicks = parse_ad_messages(file_messages(spark, messages_path))
