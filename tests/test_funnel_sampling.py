@@ -153,3 +153,33 @@ def test_funnel_with_null_pages(spark):
         prev = {r.event_id: r.prev_page_id for r in
                 FN.page_transitions(actions_df(spark, rows), ranges=method).collect()}
         assert prev == {1: None, 2: 1, 3: None, 4: None, 5: 1, 6: 2}, method
+
+
+def test_sample_exact_when_prefixes_come_up_short(spark, monkeypatch):
+    import datetime as dt
+    rows = [(f"s{i}", dt.datetime(2024, 1, 1 + i % 2, i % 3)) for i in range(3000)]
+    sessions = spark.createDataFrame(rows, "session_id STRING, start_time TIMESTAMP_NTZ")
+    want = sorted(tuple(r) for r in Y.stratified_sample(sessions, 60, 5).collect())
+    monkeypatch.setattr(Y, "_fraction", lambda h: F.lit(0.9))  # no prefix holds a row until it covers its hour
+    assert sorted(tuple(r) for r in Y.stratified_sample(sessions, 60, 5).collect()) == want and len(want) == 60
+
+
+def test_sample_cuts_prefixes_before_any_shuffle(spark, monkeypatch):
+    plans = []
+    keep = Y.cut_lineage
+
+    def spy(df, name="stage"):
+        if name == "prefixes":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(Y, "cut_lineage", spy)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        import datetime as dt
+        rows = [(f"s{i}", dt.datetime(2024, 1, 1 + i % 2, i % 3)) for i in range(300)]
+        Y.stratified_sample(spark.createDataFrame(rows, "session_id STRING, start_time TIMESTAMP_NTZ"), 6, 5)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plans and all("BroadcastHashJoin" in p and "hashpartitioning" not in p for p in plans)

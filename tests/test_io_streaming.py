@@ -74,6 +74,13 @@ def test_csv_quality_split(spark):
     assert sorted(r.value for r in raw.collect()) == ["a,b,c", "x,y,z"]
 
 
+def test_kv_values_with_separators_come_back_unchanged(spark):
+    words = ["x|user_id=9=1", "%7C", "a=b|c%", "", "100%25"]
+    df = spark.createDataFrame([(i, w, 7) for i, w in enumerate(words)], "id INT, word STRING, user_id BIGINT")
+    back = R.parse_kv(R.export_kv(df, "id", ("word", "user_id")), "record", {"word": "string", "user_id": "bigint"}, ("id",))
+    assert sorted(tuple(r) for r in back.collect()) == [(i, w, 7) for i, w in enumerate(words)]
+
+
 def test_kv_text(spark):
     df = spark.createDataFrame([("a=1|b=|c=3",), ("a=1||b=2",), ("a=5|a=6|ba=7",)], "t STRING")
     got = R.parse_kv(df, "t", {"a": "bigint", "b": "string", "c": "bigint"}).collect()

@@ -15,7 +15,7 @@ def test_parse_unpadded_and_bad_time(spark):
 
 def test_session_min_max_ignore_null_time(spark):
     rows = [action(1, seconds=10), action(2, seconds=20)]
-    rows.append((T0.date(), 1, "s1", 1, None, 3, None, None, None, None, None, 0))
+    rows.append((T0.date(), 1, "s1", 1, None, 3, None, None, None, None, None, 0, None, None))
     s = S.aggregate_sessions(actions_df(spark, rows)).collect()[0]
     assert s.start_time == T0 + dt.timedelta(seconds=10)
     assert s.end_time == T0 + dt.timedelta(seconds=20)

@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
     p.add_argument("--fields", type=int, required=True)
-    p.add_argument("--files", type=int, default=20)
+    p.add_argument("--files", type=int, help="number of output files; as many as input splits when not given")
     p = sub.add_parser("mock-tables")
     p.add_argument("--actions-rows", type=int, required=True)
     p.add_argument("--users-rows", type=int, default=100)

@@ -134,23 +134,46 @@ def id_list(col) -> Column:
     return F.filter(ids, lambda x: x.isNotNull())
 
 
+def _kv_signs(pair_sep: str, kv_sep: str) -> list[tuple[str, str]]:
+    """Each sign that has a meaning in 'k=v|k=v' text, and what is written for
+    it in a value: '%' and two hexadecimal digits, the escape sign first."""
+    return [(c, f"%{ord(c):02X}") for c in dict.fromkeys("%" + pair_sep + kv_sep)]
+
+
+def escape_kv(col, pair_sep: str = "|", kv_sep: str = "=") -> Column:
+    """A value as it is written into 'k=v|k=v' text."""
+    out = _c(col)
+    for sign, code in _kv_signs(pair_sep, kv_sep):
+        out = F.replace(out, F.lit(sign), F.lit(code))
+    return out
+
+
+def unescape_kv(col, pair_sep: str = "|", kv_sep: str = "=") -> Column:
+    """Inverse of ``escape_kv``."""
+    out = _c(col)
+    for sign, code in reversed(_kv_signs(pair_sep, kv_sep)):
+        out = F.replace(out, F.lit(code), F.lit(sign))
+    return out
+
+
 def kv_field(col, name: str, pair_sep: str = "|", kv_sep: str = "=") -> Column:
     """The value of field ``name`` in 'k=v|k=v' text: the first occurrence,
     '' for an empty value, NULL when the field is absent. Duplicate keys and
     empty segments are tolerated (a map would reject duplicates). One regular
     expression per field: the capture includes ``name=``, so an absent field
-    (empty capture) differs from an empty value."""
+    (empty capture) differs from an empty value. Escaped signs are restored."""
     c = _c(col)
     head = name + kv_sep
     pat = "(?:^|" + _re.escape(pair_sep) + ")(" + _re.escape(head) + "[^" + _re.escape(pair_sep) + "]*)"
     found = F.regexp_extract(c, pat, 1)
-    return F.when(found != "", F.substring(found, len(head) + 1, 1 << 30))
+    return F.when(found != "", unescape_kv(F.substring(found, len(head) + 1, 1 << 30), pair_sep, kv_sep))
 
 
 def map_to_kv_text(pairs: list[tuple[str, Column]], pair_sep: str = "|", kv_sep: str = "=") -> Column:
-    """Columns -> 'k=v|k=v' text, NULL values written as empty."""
+    """Columns -> 'k=v|k=v' text, NULL values written as empty; separators
+    and the escape sign inside a value are escaped, so it loads back unchanged."""
     return F.concat_ws(pair_sep, *[
-        F.concat(F.lit(k + kv_sep), F.coalesce(v.cast("string"), F.lit(""))) for k, v in pairs])
+        F.concat(F.lit(k + kv_sep), F.coalesce(escape_kv(v.cast("string"), pair_sep, kv_sep), F.lit(""))) for k, v in pairs])
 
 
 def concat_long_string(value, text, sep: str = ":") -> Column:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitflow.config import cut_lineage
 from visitflow.operators.joins import broadcast_bounded
 
 CLICK, ORDER, PAY = "click", "order", "pay"
@@ -53,9 +54,10 @@ def touched_categories(actions: DataFrame) -> DataFrame:
     return category_touches(actions).select("category_id").distinct()
 
 
-def _count_kind(actions: DataFrame, kind: str, name: str) -> DataFrame:
-    return (category_touches(actions).where(F.col("kind") == kind)
-            .groupBy("category_id").agg(F.count(F.lit(1)).alias(name)))
+def _count_listed(actions: DataFrame, ids_col: str, name: str) -> DataFrame:
+    """Ids of one list column counted; only that list is read and exploded."""
+    ids = actions.where(F.col(ids_col).isNotNull()).select(F.explode(_ids(ids_col)).alias("category_id"))
+    return ids.where("category_id is not null").groupBy("category_id").agg(F.count(F.lit(1)).alias(name))
 
 
 def category_clicks(actions: DataFrame) -> DataFrame:
@@ -80,12 +82,12 @@ def category_clicks_salted(actions: DataFrame, salts: int = 10) -> DataFrame:
 
 def category_orders(actions: DataFrame) -> DataFrame:
     """Orders per category (ids from the order lists)."""
-    return _count_kind(actions, ORDER, "order_count")
+    return _count_listed(actions, "order_category_ids", "order_count")
 
 
 def category_pays(actions: DataFrame) -> DataFrame:
     """Payments per category (ids from the pay lists)."""
-    return _count_kind(actions, PAY, "pay_count")
+    return _count_listed(actions, "pay_category_ids", "pay_count")
 
 
 def category_counts(actions: DataFrame) -> DataFrame:
@@ -149,16 +151,12 @@ def top_sessions_for_top_categories(actions: DataFrame, top_n: int = 10,
                                     sessions_n: int = 10) -> DataFrame:
     """J4 + R1: top sessions of the top-N categories only.
 
-    The top-N list is at most ``top_n`` rows (a limit), so broadcasting it is
-    bounded by construction; the click counts are filtered by it before the
-    ranking shuffle.
+    The log is read and aggregated once, to counts per session and category;
+    these are stored (a job at build time), and both the ranking of the
+    categories and that of their sessions are taken from the stored table.
     """
-    top = top_categories(category_counts(actions), top_n).select(
-        "category_id", F.col("rank").alias("category_rank"))
-    clicks = session_category_clicks(actions).join(broadcast_bounded(top), "category_id")
-    w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.desc("session_id"))
-    return (clicks.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= sessions_n))
+    counts = cut_lineage(session_category_counts(actions), "session-categories")
+    return top_sessions_from_counts(counts, top_categories(category_counts_from_sessions(counts), top_n), sessions_n)
 
 
 def session_category_counts(actions: DataFrame) -> DataFrame:

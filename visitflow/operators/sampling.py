@@ -8,18 +8,17 @@ hour_cnt / day_cnt the sessions starting in an hour / day,
 and a session is sampled when its rank inside its (day, hour) - ordered by
 md5(seed || '_' || session_id), then session_id - is at most the quota.
 
-Plan without one task per (day, hour)
--------------------------------------
-One hour may hold a third of all sessions, so ranking whole hours is avoided.
+Plan without one task per (day, hour), or a shuffle of all sessions
+--------------------------------------------------------------------
+One hour may hold a third of all sessions, so whole hours are never ranked.
 The md5 prefix gives every session a uniform fraction u in [0, 1). Sessions
 with u <= t(day, hour) are a *prefix* of the hour's ranking, where the
 threshold t = (quota + 8 * sqrt(quota) + 16) / hour_cnt leaves a wide margin.
-If that prefix holds at least ``quota`` sessions, ranking the prefix alone
-gives the exact answer; it holds about quota + 8 sqrt(quota) rows, bounded by
-N, not by the hour's size. Hours whose prefix came up short (or whose
-threshold reaches 1) are ranked in full - exact, and in practice only hours
-that are small anyway. The per-(day, hour) count table has at most
-days x 24 rows; AQE broadcasts it from its measured size.
+The quotas (one row per day and hour) meet the sessions by a broadcast whose
+rows were counted first, so the prefix is cut on the map side; only prefixes,
+about quota + 8 sqrt(quota) + 16 rows an hour, are stored and ranked. Should a
+prefix hold fewer than quota rows (hash luck), its threshold grows fourfold
+until it does or covers the hour, so the result is exact at any size.
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from visitflow.config import cut_lineage
 
 _HEX15 = float(16 ** 15)
+MAX_HOURS = 262_144  # 30 years of hours, about 10 MB
 
 
 def _order_hash(seed) -> Column:
@@ -69,39 +69,43 @@ def hour_quotas(sessions: DataFrame, n: int, n_days: int | None = None) -> DataF
     return with_days.withColumn("quota", quota.cast("bigint"))
 
 
+def _with_quotas(sessions: DataFrame, quotas: DataFrame, n_hours: int) -> DataFrame:
+    """Sessions with their hour's quota and threshold. Up to MAX_HOURS counted
+    rows the quotas are broadcast; beyond that Spark picks the join."""
+    return sessions.join(F.broadcast(quotas) if n_hours <= MAX_HOURS else quotas, ["visit_day", "hour"])
+
+
 def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42,
                       materialize: bool = True, n_days: int | None = None) -> DataFrame:
     """The sampled sessions with visit_day, hour and their rank in the hour.
 
-    The session table is read by four branches (counts, prefix, short hours,
-    pool) that prune different columns, so Spark cannot reuse one shuffle for
-    them; with ``materialize`` it is stored once in the shared folder and
-    every branch reads that instead of re-aggregating the visit log (the day
-    count is then taken from the stored table too). A caller whose input is
-    already stored can pass ``n_days`` with ``materialize=False``.
+    Jobs run when this is called: the session table is read for the counts and
+    for the prefixes, so with ``materialize`` it is stored once first (pass
+    False for a table that is stored already); the quotas and the prefixes,
+    both small, are stored as well.
     """
     s = _with_day_hour(sessions).withColumn("_h", _order_hash(seed))
     s = s.withColumn("_u", _fraction(F.col("_h")))
     if materialize:
         s = cut_lineage(s)
-        if n_days is None:
-            n_days = s.select("visit_day").distinct().count()  # one number, from the stored table
-    quotas = hour_quotas(s, n, n_days).withColumn(
-        "_t", F.least(F.lit(1.0), (F.col("quota") + F.sqrt("quota") * 8 + 16) / F.col("hour_cnt")))
     keys = ["visit_day", "hour"]
-    joined = s.join(quotas.select(*keys, "quota", "_t"), keys)
-    prefix = joined.where(F.col("_u") <= F.col("_t"))
-    got = prefix.groupBy(*keys).agg(F.count(F.lit(1)).alias("_got"))
-    short = (quotas.join(got, keys, "left")
-             .where((F.col("_t") < 1.0) & (F.coalesce("_got", F.lit(0)) < F.col("quota")))
-             .select(*keys, F.lit(True).alias("_short")))
-    # Short hours: rank every session of the hour; other hours: the prefix only.
-    pool = (joined.join(short, keys, "left")
-            .where((F.col("_u") <= F.col("_t")) | F.col("_short").isNotNull()))
+    quotas = cut_lineage(hour_quotas(s, n, n_days).select(*keys, "quota", F.least(
+        F.lit(1.0), (F.col("quota") + F.sqrt("quota") * 8 + 16) / F.col("hour_cnt")).alias("_t")), "quotas")
+    n_hours = quotas.count()
+    pool = cut_lineage(_with_quotas(s, quotas, n_hours).where(F.col("_u") <= F.col("_t")), "prefixes")
+    while True:
+        got = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("_got"))
+        short = quotas.join(got, keys, "left").where(
+            (F.col("_t") < 1.0) & (F.coalesce("_got", F.lit(0)) < F.col("quota"))).drop("_got")
+        if short.isEmpty():
+            break
+        quotas = cut_lineage(quotas.join(short.select(*keys, F.lit(4.0).alias("_more")), keys, "left").select(
+            *keys, "quota", F.least(F.lit(1.0), F.col("_t") * F.coalesce("_more", F.lit(1.0))).alias("_t")), "quotas")
+        pool = cut_lineage(_with_quotas(s, quotas, n_hours).where(F.col("_u") <= F.col("_t")), "prefixes")
     w = Window.partitionBy(*keys).orderBy("_h", "session_id")
     return (pool.withColumn("sample_rank", F.row_number().over(w))
             .where(F.col("sample_rank") <= F.col("quota"))
-            .drop("_h", "_u", "_t", "_short"))
+            .drop("_h", "_u", "_t"))
 
 
 def sample_detail(actions: DataFrame, sample: DataFrame) -> DataFrame:

@@ -180,6 +180,12 @@ def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(ids, "session_id", "left_semi")
 
 
+def kept_touches(actions: DataFrame, kept: DataFrame) -> DataFrame:
+    """The category columns of the log rows of the ``kept`` (stored) sessions."""
+    cols = ["session_id", "event_id", "click_category_id", "order_category_ids", "pay_category_ids"]
+    return actions.select(*cols).join(kept.select("session_id"), "session_id", "left_semi")
+
+
 def bucket_rows(stats: DataFrame, prefix: str) -> DataFrame:
     """Long form of the ``prefix``-ed bucket columns of ``session_stats``:
     one row (bucket, session_count) per bucket, empty buckets included."""

@@ -9,11 +9,13 @@ and documented next to each query.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitflow.config import new_subdir
 from visitflow.functions import expressions as X
 from visitflow.operators import area as A
 from visitflow.operators import categories as C
@@ -22,10 +24,12 @@ from visitflow.operators import ordering as O
 from visitflow.operators import records as R
 from visitflow.operators import sampling as Y
 from visitflow.operators import sessions as S
+from visitflow.plans import jobs
 from visitflow.sources import quality as Q
 from visitflow.sources import sinks as SK
 from visitflow.sources import synth as G
 from visitflow.sources.adapter import SuppliedTables
+from visitflow.sources.params import load_task_params
 from visitflow.streaming import ad_clicks as AD
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -383,6 +387,47 @@ def q_session_sample_detail(spark, sf_dir):
     return Y.sample_detail(t.actions(), sample)
 
 
+# ---------------------------------------------------------------- session analysis, end to end
+# All seven conditions on (S4 parameters of the task).
+TASK = dict(startDate=["2024-01-03"], endDate=["2024-01-27"], startAge=["18"], endAge=["70"], sex=["man"],
+            professionals=["AUTOMOBILE,BUILDING,HOUSEHOLD,MACHINERY"],
+            cities=[",".join(f"NATION_{i}" for i in range(20))],
+            keywords=["kw1,kw2,kw3"], categoryIds=[",".join(map(str, range(0, 100, 2)))])
+
+
+def _task_output(spark, sf_dir, name: str) -> DataFrame:
+    """One result of the session-analysis job for TASK, from its written table."""
+    t = _t(spark, sf_dir)
+    out = new_subdir(spark, "session-analysis")
+    tasks = spark.createDataFrame([(1, json.dumps(TASK))], "task_id bigint, task_param string")
+    jobs.session_analysis(t.actions(), t.users(), load_task_params(tasks, 1), out_dir=out, outputs=(name,))
+    return spark.read.parquet(f"{out}/{name}")
+
+
+@query("task_session_stats")
+def q_task_session_stats(spark, sf_dir):
+    """F4 with all conditions, A4-A6, S9: bucket counts of the task's sessions."""
+    return _task_output(spark, sf_dir, "session_stats")
+
+
+@query("task_session_sample")
+def q_task_session_sample(spark, sf_dir):
+    """The sample of the task's sessions."""
+    return _task_output(spark, sf_dir, "session_sample")
+
+
+@query("task_top_categories")
+def q_task_top_categories(spark, sf_dir):
+    """Top categories over the actions of the task's sessions."""
+    return _task_output(spark, sf_dir, "top_categories")
+
+
+@query("task_top_category_sessions")
+def q_task_top_category_sessions(spark, sf_dir):
+    """The top sessions of those categories."""
+    return _task_output(spark, sf_dir, "top_category_sessions")
+
+
 # ---------------------------------------------------------------- scalar functions
 @query("normalized_action_times")
 def q_normalized_action_times(spark, sf_dir):
@@ -442,6 +487,15 @@ def q_kv_records_parsed(spark, sf_dir):
     return R.parse_kv(_kv_export(_t(spark, sf_dir)), "record", KV_TYPES, keep=("session_id",))
 
 
+@query("kv_records_escaped")
+def q_kv_records_escaped(spark, sf_dir):
+    """Values that hold separators and escape signs, written and loaded back."""
+    ev = _t(spark, sf_dir).raw("events").select("event_id", F.concat(
+        "event_type", F.lit("|user_id=9=%7C%"), F.col("user_id").cast("string")).alias("word"), "user_id", "props")
+    return R.parse_kv(R.export_kv(ev, "event_id", ("word", "user_id", "props")), "record",
+                      {"word": "string", "user_id": "bigint", "props": "string"}, keep=("event_id",))
+
+
 # ---------------------------------------------------------------- text quality, generator
 LINEITEM_FIELDS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
@@ -476,19 +530,17 @@ def _staged(spark: SparkSession, sf_dir: str, name: str, make) -> str:
 
 
 def _lineitem_csv(spark: SparkSession, sf_dir: str) -> str:
-    from visitflow.config import new_subdir
     return _staged(spark, sf_dir, "lineitem_csv", lambda: Q.write_lines_with_header(
-        _lineitem_lines(_t(spark, sf_dir)), new_subdir(spark, "lineitem_csv"), ",".join(LINEITEM_FIELDS), 4))
+        _lineitem_lines(_t(spark, sf_dir)), new_subdir(spark, "lineitem_csv"), ",".join(LINEITEM_FIELDS), 200_000))
 
 
 @query("csv_valid_rows")
 def q_csv_valid_rows(spark, sf_dir):
-    """CSV lines (headers skipped) validated; valid rows written as 20
-    CSV files with a header each, read back."""
-    from visitflow.config import new_subdir
+    """CSV lines (headers skipped) validated; valid rows written as CSV
+    files with a header each, read back."""
     lines = Q.read_lines(spark, _lineitem_csv(spark, sf_dir))
     rows = Q.valid_rows(Q.classify_lines(lines, len(LINEITEM_FIELDS)), LINEITEM_FIELDS)
-    path = Q.write_split_csv(rows, new_subdir(spark, "csv_valid_rows"), 20)
+    path = Q.write_split_csv(rows, new_subdir(spark, "csv_valid_rows"))
     return spark.read.option("header", True).schema(
         ", ".join(f"{c} STRING" for c in LINEITEM_FIELDS)).csv(path)
 
@@ -520,10 +572,15 @@ def _messages(t: SuppliedTables) -> DataFrame:
     return AD.messages_from_clicks(t.raw("events"))
 
 
-def _ad_topic(spark: SparkSession, sf_dir: str) -> str:
-    """The click messages as 2 text files: the stream's input, one micro-batch
-    each (state is carried from the first batch into the second)."""
-    return _staged(spark, sf_dir, "ad_topic", lambda: AD.stage_messages(_messages(_t(spark, sf_dir)), 2))
+def _ad_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """The click messages as text files, the stream's input, and how many files
+    are half of them: two micro-batches, so that state is carried over."""
+    def stage() -> str:
+        messages = _messages(_t(spark, sf_dir))
+        return AD.stage_messages(messages, max(1, -(-messages.count() // 2)))
+
+    path = _staged(spark, sf_dir, "ad_topic", stage)
+    return path, -(-len(spark.read.text(path).inputFiles()) // 2)
 
 
 @query("ad_messages_parsed")
@@ -548,21 +605,22 @@ def q_ad_clicks_daily(spark, sf_dir):
 def q_ad_stream_running_counts(spark, sf_dir):
     """The same counts kept as streaming state over 2 staged micro-batches,
     delivered through the idempotent upsert sink."""
-    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "daily")
+    path, half = _ad_topic(spark, sf_dir)
+    return AD.stream_counts(spark, path, "daily", files_per_trigger=half)
 
 
 @query("ad_stream_5s_windows")
 def q_ad_stream_5s_windows(spark, sf_dir):
     """Clicks per 5-second event-time window, streamed."""
-    return AD.stream_counts(spark, _ad_topic(spark, sf_dir), "window")
+    path, half = _ad_topic(spark, sf_dir)
+    return AD.stream_counts(spark, path, "window", files_per_trigger=half)
 
 
 @query("ad_upsert_sink")
 def q_ad_upsert_sink(spark, sf_dir):
     """Stream into the upsert sink, then replay micro-batch 0 with its
     original rows; the table must be unchanged by the replay."""
-    from visitflow.config import new_subdir
-    clicks = AD.parse_ad_messages(AD.file_messages(spark, _ad_topic(spark, sf_dir)))
+    clicks = AD.parse_ad_messages(AD.file_messages(spark, *_ad_topic(spark, sf_dir)))
     sink = AD.UpsertSink(new_subdir(spark, "ad_upsert"), AD.DAY_KEYS)
     run = AD.run_to_sink(AD.running_daily_counts(clicks), sink, new_subdir(spark, "ad_upsert_ckpt"))
     run.awaitTermination()

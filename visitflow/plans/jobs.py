@@ -8,10 +8,9 @@ task parameters.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from visitflow.operators import area as A
 from visitflow.operators import categories as C
@@ -42,33 +41,44 @@ def _stored(df: DataFrame, out_dir: str | None, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SESSION_OUTPUTS = ("session_stats", "session_stat_ratios", "session_sample", "session_sample_detail",
+                   "top_categories", "top_category_sessions")
+
+
 def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
                      sample_size: int = 100, seed: int = 42, top_n: int = 10,
-                     out_dir: str | None = None) -> dict[str, DataFrame]:
+                     out_dir: str | None = None, outputs: Collection[str] = SESSION_OUTPUTS) -> dict[str, DataFrame]:
     """Sessionise, profile, filter, bucket statistics, stratified sample with
-    detail, top categories and their top sessions.
-
-    Every output depends on the kept sessions, so they are checkpointed once;
-    the category outputs share one checkpoint of the kept sessions' touch
-    columns (a single semi join of the log); the sample detail reads the log
-    with the stored sample. Eager: the checkpoints
-    run when this is called.
+    detail, top categories and their top sessions; ``outputs`` names those
+    wanted.
+
+    Every output depends on the kept sessions, so they are stored once; the
+    category outputs share one stored table of the kept sessions' counts per
+    category (a single semi join and aggregate of the log); the sample detail
+    reads the log with the stored sample. Eager: the stored tables are written
+    when this is called.
     """
+    wanted = set(outputs)
+    if not wanted <= set(SESSION_OUTPUTS):
+        raise ValueError(f"unknown outputs: {sorted(wanted - set(SESSION_OUTPUTS))}")
     acts = actions_in_range(actions, params.start_date, params.end_date)
     profile = S.session_profile(S.aggregate_sessions(acts), users)
     kept = cut_lineage(S.filter_sessions(profile, S.SessionFilter.from_params(params)))
-    stats = _stored(S.session_stats(kept), out_dir, "session_stats")
-    n_days = kept.select(F.to_date("start_time")).distinct().count()  # from the stored table
-    sample = _stored(Y.stratified_sample(kept.drop("keywords", "category_ids"), sample_size, seed,
-                                         materialize=False, n_days=n_days), out_dir, "session_sample")
-    touch_cols = ["session_id", "event_id", "click_category_id", "order_category_ids", "pay_category_ids"]
-    kept_touches = cut_lineage(acts.select(*touch_cols).join(kept.select("session_id"), "session_id", "left_semi"))
-    return {"session_stats": stats, "session_sample": sample} | _write({
-        "session_stat_ratios": S.stat_ratios(stats),
-        "session_sample_detail": acts.join(sample.select("session_id"), "session_id", "left_semi"),
-        "top_categories": C.top_categories(C.category_counts(kept_touches), top_n),
-        "top_category_sessions": C.top_sessions_for_top_categories(kept_touches, top_n, 10),
-    }, out_dir)
+    first, dependent = {}, {}
+    if wanted & {"session_stats", "session_stat_ratios"}:
+        first["session_stats"] = stats = _stored(S.session_stats(kept), out_dir, "session_stats")
+        dependent["session_stat_ratios"] = S.stat_ratios(stats)
+    if wanted & {"session_sample", "session_sample_detail"}:
+        first["session_sample"] = sample = _stored(Y.stratified_sample(
+            kept.drop("keywords", "category_ids"), sample_size, seed, materialize=False), out_dir, "session_sample")
+        dependent["session_sample_detail"] = Y.sample_detail(acts, sample)
+    if wanted & {"top_categories", "top_category_sessions"}:
+        counts = cut_lineage(C.session_category_counts(S.kept_touches(acts, kept)), "session-categories")
+        first["top_categories"] = top = _stored(
+            C.top_categories(C.category_counts_from_sessions(counts), top_n), out_dir, "top_categories")
+        dependent["top_category_sessions"] = C.top_sessions_from_counts(counts, top, 10)
+    return ({k: v for k, v in first.items() if k in wanted}
+            | _write({k: v for k, v in dependent.items() if k in wanted}, out_dir))
 
 
 def page_conversion(actions: DataFrame, params: TaskParams, task_id: int | None = None,
@@ -102,10 +112,11 @@ def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, waterm
 
 
 def split_valid_csv(spark, in_path: str, out_path: str, n_fields: int, names=None,
-                    n_files: int = 20, sep: str = ",") -> DataFrame:
+                    n_files: int | None = None, sep: str = ",") -> DataFrame:
     """The CSV validation job: read delimited files (one header line per file),
-    keep lines with exactly ``n_fields`` non-blank fields, write them as
-    ``n_files`` files with a header each, and return the reject counts."""
+    keep lines with exactly ``n_fields`` non-blank fields, write them as files
+    with a header each (``n_files`` of them if given, else as many as the input
+    has splits), and return the reject counts."""
     from visitflow.sources import quality as Q
     names = list(names) if names else [f"c{i + 1}" for i in range(n_fields)]
     classified = Q.classify_lines(Q.read_lines(spark, in_path), n_fields, sep)

@@ -256,10 +256,10 @@ SELECT * FROM (
 
 
 # ---------------------------------------------------------------- sampling
-def _sample_ctes(n: int, seed: int = 42) -> str:
+def _sample_ctes(n: int, seed: int = 42, of: str = "ses") -> str:
     return f"""
 , sh AS (SELECT session_id, user_id, start_time, end_time, visit_length, step_length,
-                CAST(start_time AS DATE) AS visit_day, CAST(hour(start_time) AS INTEGER) AS hour FROM ses),
+                CAST(start_time AS DATE) AS visit_day, CAST(hour(start_time) AS INTEGER) AS hour FROM {of}),
 hc AS (SELECT visit_day, hour, CAST(count(*) AS BIGINT) AS hour_cnt FROM sh GROUP BY visit_day, hour),
 dc AS (SELECT visit_day, CAST(sum(hour_cnt) AS BIGINT) AS day_cnt FROM hc GROUP BY visit_day),
 nd AS (SELECT CAST(count(*) AS BIGINT) AS n_days FROM dc),
@@ -283,6 +283,33 @@ oracle("sessions_per_day", _sample_ctes(100) + "SELECT visit_day, hour, hour_cnt
 oracle("session_sample_detail", _sample_ctes(100) +
        f"SELECT {UVA_COLS} FROM uva WHERE session_id IN (SELECT session_id FROM smp)")
 
+# ---------------------------------------------------------------- session analysis, end to end
+TASK_CTES = """
+, tuva AS (SELECT * FROM uva WHERE visit_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-27'),
+kept AS (
+  SELECT * FROM prof WHERE CAST(start_time AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-27'
+    AND age BETWEEN 18 AND 70 AND sex = 'man' AND professional IN ('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD', 'MACHINERY')
+    AND city IN (SELECT concat('NATION_', i) FROM range(20) n(i))
+    AND session_id IN (SELECT session_id FROM tuva WHERE search_keyword IN ('kw1', 'kw2', 'kw3'))
+    AND session_id IN (SELECT session_id FROM tuva WHERE click_category_id % 2 = 0)),
+ktouch AS (SELECT * FROM touch WHERE session_id IN (SELECT session_id FROM kept)),
+ktop AS (
+  SELECT category_id, count(*) FILTER (WHERE kind = 'click') AS click_count,
+         count(*) FILTER (WHERE kind = 'order') AS order_count, count(*) FILTER (WHERE kind = 'pay') AS pay_count,
+         CAST(row_number() OVER (ORDER BY count(*) FILTER (WHERE kind = 'click') DESC, count(*) FILTER (WHERE kind = 'order') DESC,
+                                 count(*) FILTER (WHERE kind = 'pay') DESC, category_id DESC) AS INTEGER) AS rank
+  FROM ktouch GROUP BY category_id QUALIFY rank <= 10)
+"""
+oracle("task_session_stats", TASK_CTES + f"SELECT {', '.join(_stat_cols)} FROM kept")
+oracle("task_session_sample", TASK_CTES + _sample_ctes(100, of="kept") +
+       "SELECT smp.*, age, professional, city, sex FROM smp JOIN kept USING (session_id)")
+oracle("task_top_categories", TASK_CTES + "SELECT category_id, click_count, order_count, pay_count, rank FROM ktop")
+oracle("task_top_category_sessions", TASK_CTES + """
+SELECT category_id, session_id, count(*) AS click_count, ktop.rank AS category_rank,
+       CAST(row_number() OVER (PARTITION BY category_id ORDER BY count(*) DESC, session_id DESC) AS INTEGER) AS rank
+FROM ktouch JOIN ktop USING (category_id) WHERE kind = 'click' GROUP BY category_id, session_id, ktop.rank
+QUALIFY row_number() OVER (PARTITION BY category_id ORDER BY count(*) DESC, session_id DESC) <= 10""")
+
 # ---------------------------------------------------------------- scalar functions
 oracle("normalized_action_times", """
 SELECT event_id, strftime(ts, '%Y-%m-%d %-H:%-M:%-S') AS raw_time, date_trunc('second', ts) AS action_time,
@@ -312,6 +339,9 @@ oracle("kv_records_parsed", """
 SELECT session_id, user_id, visit_length, step_length, coalesce(search_keywords, '') AS search_keywords,
        coalesce(click_category_ids, '') AS click_category_ids FROM ses""")
 
+oracle("kv_records_escaped", """
+SELECT event_id, concat(event_type, '|user_id=9=%7C%', CAST(user_id AS VARCHAR)) AS word, user_id, props FROM events""")
+
 # ---------------------------------------------------------------- text quality, generator
 LINES_CTE = """
 , li AS (SELECT l_orderkey % 20 AS k, CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,

@@ -1,8 +1,8 @@
 """Delimited-text quality split (S10), as a Spark job.
 
 Lines are validated in parallel: a line is valid when it splits into exactly
-``n_fields`` fields and none is empty. Valid lines are written as ``n_files``
-CSV files with one header each; rejects are counted by reason. Nothing is
+``n_fields`` fields and none is empty. Valid lines are written as CSV
+files with one header each; rejects are counted by reason. Nothing is
 read or written by a single process.
 """
 
@@ -59,17 +59,19 @@ def reject_counts(classified: DataFrame) -> DataFrame:
             .where(F.col("reject_reason").isNotNull()))
 
 
-def write_split_csv(rows: DataFrame, path: str, n_files: int = 20, sep: str = ",") -> str:
-    """Valid rows as ``n_files`` CSV part files, each with its own header."""
-    (rows.repartition(n_files).write.mode("overwrite")
-     .option("header", True).option("sep", sep).csv(path))
+def write_split_csv(rows: DataFrame, path: str, n_files: int | None = None, sep: str = ",") -> str:
+    """Valid rows as CSV part files, each with its own header: as many as the
+    rows have partitions, or ``n_files`` (one shuffle of all rows) if given."""
+    out = rows if n_files is None else rows.repartition(n_files)
+    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
     return path
 
 
-def write_lines_with_header(lines: DataFrame, path: str, header: str, n_files: int,
+def write_lines_with_header(lines: DataFrame, path: str, header: str, records_per_file: int = 0,
                             line_col: str = "value") -> str:
-    """Write text lines as ``n_files`` files, each starting with ``header``."""
-    (lines.select(F.col(line_col).alias(header)).repartition(n_files).write.mode("overwrite")
+    """Write text lines as files that each start with ``header``, of at most
+    ``records_per_file`` lines (0: one file per partition)."""
+    (lines.select(F.col(line_col).alias(header)).write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
      .option("header", True).option("sep", "\u0001").option("quote", "\u0000")
      .option("escape", "\u0000").csv(path))
     return path

@@ -210,19 +210,20 @@ def run_to_sink(stream: DataFrame, sink: UpsertSink, checkpoint: str, output_mod
         spark.conf.set(_NO_DATA_BATCHES, previous)
 
 
-def stage_messages(messages: DataFrame, n_files: int = 4) -> str:
-    """Write message lines as ``n_files`` text files under the shared folder
-    (a replayable input for the file source)."""
+def stage_messages(messages: DataFrame, records_per_file: int = 1_000_000) -> str:
+    """Write message lines as text files under the shared folder (a replayable
+    input for the file source): one or more per partition, none with more than
+    ``records_per_file`` lines."""
     path = new_subdir(messages.sparkSession, "ad_messages")
-    messages.repartition(n_files).write.mode("overwrite").text(path)
+    messages.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).text(path)
     return path
 
 
 def stream_counts(spark: SparkSession, messages_path: str, kind: str = "daily",
-                  watermark: str | None = None) -> DataFrame:
+                  watermark: str | None = None, files_per_trigger: int = 1) -> DataFrame:
     """Run T2 or T3 over staged messages to completion through the upsert sink
     and return the sink's table."""
-    clicks = parse_ad_messages(file_messages(spark, messages_path))
+    clicks = parse_ad_messages(file_messages(spark, messages_path, files_per_trigger))
     if kind == "daily":
         agg, keys = running_daily_counts(clicks, watermark), DAY_KEYS
     else:
