@@ -32,7 +32,9 @@ GRAM_BUCKETS = 1 << 15
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 4, 8, 8
 WINDOW, STRIDE = 32, 16
 EPOCHS, BATCH, RATE = 6, 128, 0.01
-LEAST_STEPS = 60  # small samples take more epochs
+LEAST_STEPS = 200  # small samples take more epochs
+DOUBT = 1.5
+EMBEDDING_RATE = 0.1  # of RATE: one text alone moves its rare words little
 F32 = np.float32
 
 
@@ -164,7 +166,9 @@ def score_texts(model: Model, column: pa.Array, hasher: WordHasher, chunk: int =
 
 def _log_odds(parts: Iterable[tuple[np.ndarray, np.ndarray]], size: int, toxic: np.ndarray) -> np.ndarray:
     """Smoothed log odds of toxic rows among the rows that have each feature,
-    from (row, feature) arrays; no row is in two parts."""
+    from (row, feature) arrays, less DOUBT standard errors (0 within them): a
+    feature of few rows says nothing, whatever its rows are. No row is in two
+    parts."""
     bad, seen = np.zeros(size), np.zeros(size)
     for rows, features in parts:
         pairs = np.unique(rows.astype(np.int64) * size + features)
@@ -172,8 +176,9 @@ def _log_odds(parts: Iterable[tuple[np.ndarray, np.ndarray]], size: int, toxic:
         bad += np.bincount(feature, toxic[row], size)
         seen += np.bincount(feature, minlength=size)
     prior = toxic.mean()
-    odds = (bad + 4 * prior) / (seen - bad + 4 * (1 - prior))
-    return (np.log(odds) - np.log(prior / (1 - prior))).astype(F32)
+    bad, good = bad + 4 * prior, seen - bad + 4 * (1 - prior)
+    odds = np.log(bad / good) - np.log(prior / (1 - prior))
+    return (np.sign(odds) * np.maximum(0, np.abs(odds) - DOUBT * np.sqrt(1 / bad + 1 / good))).astype(F32)
 
 
 def train(texts: list[str], toxic: np.ndarray, prior: float, seed: int = 7) -> Model:
@@ -266,7 +271,8 @@ def train(texts: list[str], toxic: np.ndarray, prior: float, seed: int = 7) -> M
                 m += 0.1 * grad
                 s *= 0.999
                 s += 0.001 * grad * grad
-                p[k] -= (RATE * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step) * m / (np.sqrt(s) + 1e-7)).astype(F32)
+                rate = RATE * (EMBEDDING_RATE if k in ("words", "chars") else 1)
+                p[k] -= (rate * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step) * m / (np.sqrt(s) + 1e-7)).astype(F32)
     if 0 < prior < 1:
         p["b"] = p["b"] + F32(np.log(prior / (1 - prior)) - np.log(share / (1 - share)))
     return Model(known, p)
