@@ -10,9 +10,10 @@ Messages are text lines ``<epoch millis> <province> <city> <user id> <ad id>``.
   window, so with a watermark Spark drops the state of closed days.
 * ``windowed_counts`` (T2) counts per 5-second event-time window.
 * The sink (S6) is idempotent: every micro-batch's updated rows are written to
-  ``<table>/batch_id=<id>`` with overwrite, so a replayed batch rewrites the
-  same files. Readers take, per key, the row of the highest batch id - the
-  latest complete count. No read-modify-write, no external database.
+  ``<table>/query_id=<id>/batch_id=<id>`` with overwrite, so a replayed batch
+  rewrites the same files. Readers take, per query and key, the row of the
+  highest batch id and add up over queries. No read-modify-write, no external
+  database.
 """
 
 from __future__ import annotations
