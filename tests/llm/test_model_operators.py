@@ -217,6 +217,18 @@ def test_tokens_equal_the_reference_tokenizer():
     assert [own.encode_ordinary(x) for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_tokens_of_very_long_white_space():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    own = packing.encoder(packing.tokenizer_path(), packing.tokenizer_path(packing.SAME_TOKENIZER))
+    n = packing.LONG_SPACE
+    for text in (" " * (n - 1) + "a b", "x" + " \n" * n + "y <|endoftext|>", "\n" * 1_200_000, "a" * n + "\t" * 1_200_000 + "b"):
+        assert own(text) == t.encode(text, add_special_tokens=False).ids
+
+
 def check_packing(pieces, packed):
     key = lambda r: str((r.doc_id, r.piece, r.start, r.length, r.ids_crc32))
     assert sorted(map(key, pieces)) == sorted(map(key, packed))

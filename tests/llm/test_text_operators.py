@@ -220,6 +220,12 @@ def test_main_text(page):
     assert html_extract.main_text(page) == PAGES[page]
 
 
+def test_html_long_attributes():
+    for attributes in ("a" * 200_000, "a " * 100_000, "x=" + "a" * 200_000, "class='ok' " + "b" * 200_000):
+        assert html_extract.main_text(f"<div {attributes}><p>one</p></div>") == "one"
+    assert html_extract.main_text("<p>one</p><div " + "a" * 1000 + " class = nav>two</div>") == "one"
+
+
 def test_html_awkward_pages(spark):
     pages = ["<div>" * 3000 + "deep" + "</div>" * 3000, "<" * 5000, "<a b='" * 2000, "</p></div></b>x", "&#xD800;&#0;&bogus;", None, "<p>" + "é" * 10]
     df = spark.createDataFrame([(i, None, p, i) for i, p in enumerate(pages)], "page_id bigint, url string, html string, text bigint")

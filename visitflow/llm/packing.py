@@ -10,8 +10,9 @@ Only counts of partitions reach the driver.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,8 @@ CAPACITY = 1024
 END_ID = 2
 PARTITION_PIECES = 5_000
 TOKENIZER = "byte_bpe_50k.tiktoken"
+SAME_TOKENIZER = "byte_bpe_50k.json"  # the same vocabulary for the other library
+LONG_SPACE = 100_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -49,6 +52,32 @@ def load_tokenizer(path: str):
     return kept[path]
 
 
+def load_same_tokenizer(path: str):
+    """The same BPE from its JSON file, slower but without a limit on white
+    space in a row; one per Python worker and path."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_loaded_by_path", {})
+    if path not in kept:
+        kept[path] = tokenizers.Tokenizer.from_file(path)
+        kept[path].encode_special_tokens = True  # their strings in a text are ordinary text
+    return kept[path]
+
+
+def encoder(path: str, same_path: str) -> Callable[[str], list[int]]:
+    """Token ids of a text. The rank file's library gives up on about a million
+    white-space characters in a row; texts with LONG_SPACE of them go to the
+    other library, which has the same ids."""
+    encode = load_tokenizer(path).encode_ordinary
+
+    def ids(text: str) -> list[int]:
+        if len(text) >= LONG_SPACE and max((m.end() - m.start() for m in re.finditer(r"\s+", text)), default=0) >= LONG_SPACE:
+            return load_same_tokenizer(same_path).encode(text, add_special_tokens=False).ids
+        return encode(text)
+
+    return ids
+
+
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: whole if it fits, else pieces of
     ``capacity``, of which the first may be shorter."""
@@ -59,13 +88,13 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-                 capacity: int = CAPACITY) -> DataFrame:
+                 same_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece (PIECES): the text's token ids, then END_ID, cut to
     ``capacity``. NULL and empty texts are END_ID alone; a NULL id stays NULL."""
-    path = path or tokenizer_path()
+    path, same_path = path or tokenizer_path(), same_path or tokenizer_path(SAME_TOKENIZER)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load_tokenizer(path).encode_ordinary
+        encode = encoder(path, same_path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
