@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import re
@@ -303,6 +304,41 @@ def test_overlaps_with_replaced_words(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == set(range(0, 200, 2))
 
 
+def overlapping(bench, texts):
+    """(text, item) pairs that overlap, without Spark."""
+    return {(r, i) for r, i, *_ in decontaminate.overlaps_in(decontaminate.build_seeds(bench), pa.array(texts, pa.string()), WordHasher())}
+
+
+@pytest.mark.parametrize("size", range(13, 21))
+def test_overlaps_with_words_replaced_anywhere(size):
+    """Every choice of one, two or three replaced words that leaves 80 %, and
+    the most that 80 % allow at random; one more word is not found."""
+    rnd = random.Random(size)
+    item = [f"w{k}" for k in range(size)]
+    allowed = size // 5
+    places = [c for n in range(min(allowed, 3) + 1) for c in itertools.combinations(range(size), n)]
+    places += [rnd.sample(range(size), allowed) for _ in range(300)]
+
+    def text(replaced):
+        return " ".join(["before", *("other" if k in replaced else w for k, w in enumerate(item)), "after"])
+
+    assert overlapping([(1, " ".join(item))], [text(c) for c in places]) == {(k, 1) for k in range(len(places))}
+    if size < 16:  # no part of 13 words has 80 %
+        spread = [c for c in itertools.combinations(range(size), 3 if size < 15 else 4)
+                  if all(5 * sum(s <= k < s + n for k in c) > n for n in range(13, size + 1) for s in range(size - n + 1))]
+        assert spread and overlapping([(1, " ".join(item))], [text(c) for c in spread]) == set()
+
+
+@pytest.mark.parametrize("size, n", [(13, 2), (15, 3), (20, 4), (25, 5)])
+def test_masks_leave_no_stretch_out(size, n):
+    """Longer stretches, or fewer replaced words, hold one of these."""
+    seeds = [sum(1 << s + k for k, bit in enumerate(m) if bit == "1") for m in decontaminate.MASKS for s in range(size - len(m) + 1)]
+    for c in itertools.combinations(range(size), n):
+        replaced = sum(1 << k for k in c)
+        shorter = any(5 * (replaced >> s & (1 << w) - 1).bit_count() <= w for w in range(13, size) for s in range(size - w + 1))
+        assert shorter or any(not seed & replaced for seed in seeds), c
+
+
 def test_overlaps_on_table(spark):
     """Whole items in a document are found, and no document without one."""
     docs, items = read_table(spark, "/root/testdata/sf0.01", "documents").collect(), read_table(spark, "/root/testdata/sf0.01", "benchmark").collect()

@@ -3,9 +3,11 @@
 A mask of SPAN words hashes the words at its ones and ignores those at its
 zeros, so a replaced word leaves some seed intact. The seeds of the benchmark
 are joined with those of every position of the documents; each hit fixes an
-alignment, which is verified word by word around the hit: the stretch with the
-best score (+1 for an equal word, -4 for a different one, so at least 80 % are
-equal) must have MIN_WORDS words, or the whole item if that is shorter.
+alignment, which is verified word by word: its longest stretch of at least 80 %
+equal words must have MIN_WORDS words, or the whole item if that is shorter. A
+replaced word may stand anywhere, also at the stretch's ends. Every stretch of
+MIN_WORDS words or more with 80 % equal words holds a seed of one of the masks,
+wherever its other words stand (a test goes through all cases).
 
 The benchmark is the stated, small side: it is cut into blocks of at most
 BLOCK_WORDS words (by its measured size), and each block is sent to the tasks
@@ -22,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitflow.llm.words import BASE, LETTERS, WordHasher, find_words, mix, slices
+from visitflow.llm.words import BASE, LETTERS, WordHasher, find_words, mix, ragged, slices
 
-MASKS = ("1110110111", "1101011011", "1011101101", "1111111")
+MASKS = ("1101111", "11101000011", "1111011")
 MIN_WORDS = 13
-MISMATCH = 4
+MISMATCH = 4  # equal words for each different one
 BLOCK_WORDS = 2_000_000
+CHECKED_WORDS = 1 << 22  # words of alignments compared at once
 FILTER_BITS = 22
 
 
@@ -90,12 +93,40 @@ def build_seeds(items: list[tuple[int, str]]) -> Seeds:
     return Seeds(np.array([items[i][0] for i in kept], np.int64), first, flat, sorted_hashes, at, near)
 
 
-def _best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """Bounds of the stretch with the largest score (Kadane, by prefix sums)."""
+def _longest_stretch(equal: np.ndarray, least: int) -> tuple[int, int]:
+    """Bounds of the longest stretch with at least 80 % equal words, the first
+    of these; different words at its ends are left off while ``least`` words
+    stay."""
     total = np.r_[0, np.cumsum(np.where(equal, 1, -MISMATCH))]
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    return int(np.flatnonzero(total[:end + 1] == low[end])[-1]), end
+    high = np.maximum.accumulate(total[::-1])[::-1]  # the largest sum from here on
+    ends = np.searchsorted(-high, -total, side="right") - 1  # the last place whose sum is not below this one's
+    s = int(np.argmax(ends - np.arange(len(ends))))
+    e = int(ends[s])
+    while e - s > least and not equal[e - 1]:
+        e -= 1
+    while e - s > least and not equal[s]:
+        s += 1
+    return s, e
+
+
+def _alignments(words: np.ndarray, lo: np.ndarray, size: np.ndarray, known: np.ndarray, other: np.ndarray,
+                least: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(alignment, which of its words are equal) of those with enough equal
+    words for a stretch: ``size`` words from ``lo`` on held against those of
+    the benchmark from ``other`` on."""
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] - size[at] + CHECKED_WORDS, side="right")))
+        part = slice(at, stop)
+        equal = words[ragged(lo[part], size[part])] == known[ragged(other[part], size[part])]
+        total = np.r_[0, np.cumsum(equal)]
+        end = np.cumsum(size[part])
+        begin = end - size[part]
+        enough = (size[part] >= least[part]) & ((MISMATCH + 1) * (total[end] - total[begin]) >= MISMATCH * least[part])
+        for k in np.flatnonzero(enough).tolist():
+            yield at + k, equal[begin[k]:end[k]]
+        at = stop
 
 
 def overlaps_in(seeds: Seeds, column: pa.Array, hasher: WordHasher) -> list[tuple[int, int, int, int, int]]:
@@ -124,14 +155,16 @@ def overlaps_in(seeds: Seeds, column: pa.Array, hasher: WordHasher) -> list[tupl
     row = np.searchsorted(words.first, pairs[:, 0], side="right") - 1
     item = np.searchsorted(seeds.first, pairs[:, 1], side="right") - 1
     begins = pairs[:, 0] - (pairs[:, 1] - seeds.first[item])  # where the item's first word would stand
+    row, item, begins = np.unique(np.stack([row, item, begins], axis=1), axis=0).T
+    n_item = np.diff(seeds.first)[item]
+    lo, hi = np.maximum(begins, words.first[row]), np.minimum(begins + n_item, words.first[row + 1])
+    least = np.minimum(MIN_WORDS, n_item)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for r, i, b in np.unique(np.stack([row, item, begins], axis=1), axis=0).tolist():
-        lo, hi = max(b, int(words.first[r])), min(b + int(seeds.first[i + 1] - seeds.first[i]), int(words.first[r + 1]))
-        other = seeds.first[i] + lo - b
-        equal = hashes[lo:hi] == seeds.words[other:other + hi - lo]
-        s, e = _best_stretch(equal)
-        if e - s >= min(MIN_WORDS, int(seeds.first[i + 1] - seeds.first[i])):
-            found = (e - s, -(lo + s - int(words.first[r])), int(equal[s:e].sum()))
+    for k, equal in _alignments(hashes, lo, hi - lo, seeds.words, seeds.first[item] + lo - begins, least):
+        s, e = _longest_stretch(equal, int(least[k]))
+        if e - s >= least[k]:
+            r, i = int(row[k]), int(item[k])
+            found = (e - s, -int(lo[k] + s - words.first[r]), int(equal[s:e].sum()))
             best[r, i] = max(best.get((r, i), found), found)
     return [(r, int(seeds.item[i]), -f[1], f[0], f[2]) for (r, i), f in sorted(best.items())]
 
