@@ -329,6 +329,29 @@ def test_overlaps_with_words_replaced_anywhere(size):
         assert spread and overlapping([(1, " ".join(item))], [text(c) for c in spread]) == set()
 
 
+@pytest.mark.parametrize("size", range(2, 13))
+def test_short_items_are_found_whole(size):
+    """Items below 13 words: every choice of replaced words that leaves 80 %
+    is found, one more is not, nor is a part of the item."""
+    item = [f"w{k}" for k in range(size)]
+    n = size // 5
+
+    def text(replaced):
+        return " ".join(["before", *("other" if k in replaced else w for k, w in enumerate(item)), "after"])
+
+    found = [text(c) for m in range(n + 1) for c in itertools.combinations(range(size), m)]
+    lost = [text(c) for c in itertools.combinations(range(size), n + 1)] + [" ".join(item[1:]), " ".join(item[:-1])]
+    bench = [(1, " ".join(item)), (2, " ".join(f"u{k}" for k in range(30)))]
+    assert overlapping(bench, found + lost) == {(k, 1) for k in range(len(found))}
+
+
+def test_items_of_one_word_are_whole_texts(spark):
+    assert overlapping([(1, "one")], ["one", "One!", "", "one two", "two", "one one", None]) == {(0, 1), (1, 1)}
+    bench = spark.createDataFrame([(1, "one"), (2, "same text in two rows of one id"), (3, "two rows"), (4, "漢字 \U0001F600 END")], "item_id bigint, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.overlaps(docs_df(spark), bench).collect()) == [
+        (4, 1), (5, 2), (5, 2), (5, 3), (5, 3), (6, 2), (6, 3), (8, 4)]
+
+
 @pytest.mark.parametrize("size, n", [(13, 2), (15, 3), (20, 4), (25, 5)])
 def test_masks_leave_no_stretch_out(size, n):
     """Longer stretches, or fewer replaced words, hold one of these."""

@@ -7,7 +7,9 @@ alignment, which is verified word by word: its longest stretch of at least 80 %
 equal words must have MIN_WORDS words, or the whole item if that is shorter. A
 replaced word may stand anywhere, also at the stretch's ends. Every stretch of
 MIN_WORDS words or more with 80 % equal words holds a seed of one of the masks,
-wherever its other words stand (a test goes through all cases).
+wherever its other words stand (a test goes through all cases). Items of fewer
+words have seeds of their own: an item of which 80 % leaves n words to differ is
+cut into n + 1 parts, one of which stays whole.
 
 The benchmark is the stated, small side: it is cut into blocks of at most
 BLOCK_WORDS words (by its measured size), and each block is sent to the tasks
@@ -28,6 +30,7 @@ from visitflow.llm.words import BASE, LETTERS, WordHasher, find_words, mix, ragg
 
 MASKS = ("1101111", "11101000011", "1111011")
 MIN_WORDS = 13
+PARTS = tuple("1" * k for k in range(1, 6))  # of items below MIN_WORDS
 MISMATCH = 4  # equal words for each different one
 BLOCK_WORDS = 2_000_000
 CHECKED_WORDS = 1 << 22  # words of alignments compared at once
@@ -65,10 +68,21 @@ def _places(first: np.ndarray, n: int, span: int) -> np.ndarray:
     return at[at + span <= end]
 
 
+def _part_places(first: np.ndarray, span: int) -> np.ndarray:
+    """Word positions of the parts of ``span`` words of items below MIN_WORDS."""
+    out = []
+    for begin, size in zip(first[:-1].tolist(), np.diff(first).tolist()):
+        if size < MIN_WORDS:
+            n = size // (MISMATCH + 1) + 1
+            cuts = [k * size // n for k in range(n + 1)]
+            out += [begin + a for a, b in zip(cuts, cuts[1:]) if b - a == span]
+    return np.array(out, np.int64)
+
+
 def build_seeds(items: list[tuple[int, str]]) -> Seeds:
     """Seeds of (item_id, text) pairs; items of equal words count once, under
-    the smallest id. Items shorter than a mask are matched by a mask cut to
-    their length."""
+    the smallest id. Items of MIN_WORDS words have the seeds of MASKS,
+    shorter ones those of their PARTS."""
     items = sorted(items)
     words = find_words(pa.array([t or "" for _, t in items], pa.large_string()), lower=True, bytes_of_words=LETTERS)
     hashes = WordHasher()(words)
@@ -83,8 +97,12 @@ def build_seeds(items: list[tuple[int, str]]) -> Seeds:
     flat = np.concatenate([hashes[words.first[i]:words.first[i + 1]] for i in kept]) if kept else np.zeros(0, np.uint64)
     near = np.zeros(1 << FILTER_BITS, bool)
     sorted_hashes, at = [], []
-    for mask in MASKS:
-        places = _places(first, len(flat), len(mask))
+    for mask in (*MASKS, *PARTS):
+        if mask in PARTS:
+            places = _part_places(first, len(mask))
+        else:
+            places = _places(first, len(flat), len(mask))
+            places = places[np.repeat(size, size)[places] >= MIN_WORDS]
         h = _seed_hashes(flat, mask)[places] if len(places) else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         sorted_hashes.append(h[order])
@@ -131,15 +149,18 @@ def _alignments(words: np.ndarray, lo: np.ndarray, size: np.ndarray, known: np.n
 
 def overlaps_in(seeds: Seeds, column: pa.Array, hasher: WordHasher) -> list[tuple[int, int, int, int, int]]:
     """(row, item_id, start_word, n_words, n_equal) of verified overlaps: the
-    longest of each row and item, ties by the earlier place."""
+    longest of each row and item, ties by the earlier place. An item of one
+    word overlaps only a text of that word alone."""
     words = find_words(column, lower=True, bytes_of_words=LETTERS)
     hashes = hasher(words)
     if not len(hashes) or not len(seeds.words):
         return []
     lines = []
-    for mask, known, at in zip(MASKS, seeds.hashes, seeds.at):
+    for mask, known, at in zip((*MASKS, *PARTS), seeds.hashes, seeds.at):
+        if not len(known):
+            continue
         places = _places(words.first, len(hashes), len(mask))
-        if not len(places) or not len(known):
+        if not len(places):
             continue
         h = _seed_hashes(hashes, mask)
         maybe = places[seeds.near[(h[places] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
@@ -159,6 +180,7 @@ def overlaps_in(seeds: Seeds, column: pa.Array, hasher: WordHasher) -> list[tupl
     n_item = np.diff(seeds.first)[item]
     lo, hi = np.maximum(begins, words.first[row]), np.minimum(begins + n_item, words.first[row + 1])
     least = np.minimum(MIN_WORDS, n_item)
+    least[(n_item == 1) & (np.diff(words.first)[row] > 1)] = MIN_WORDS  # more than there is
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for k, equal in _alignments(hashes, lo, hi - lo, seeds.words, seeds.first[item] + lo - begins, least):
         s, e = _longest_stretch(equal, int(least[k]))
@@ -186,7 +208,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
              block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, n_equal): one row per row of
     ``docs`` and benchmark item that overlap. Words are runs of letters and
-    digits, A-Z in lower case. NULL and empty texts and an empty benchmark
+    digits, A-Z in lower case. Items below MIN_WORDS words must be there whole,
+    80 % of their words equal (below five words: all); an item of one word must
+    be the whole text. NULL and empty texts and an empty benchmark
     overlap nothing; a NULL doc_id is reported as NULL; repeated rows are each
     reported."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
