@@ -186,6 +186,37 @@ def test_lm_emissions_sum_to_one(spark):
         assert math.isclose(total[k] + brown_lm.EMISSION_ADD / 10 ** model.emission_total[k], 1)
 
 
+def test_lm_frequent_words_have_their_own_class(spark):
+    """Every word of OWN_COUNT occurrences is clustered, also past the units."""
+    train = read_table(spark, "/root/testdata/sf0.01", "documents").where("text is not null").select("text")
+    model, counts = brown_lm.fit(train)
+    rows = counts.collect()
+    frequent = {r.word: r.ending for r in rows if r.n >= brown_lm.OWN_COUNT}
+    units = dict(zip(model.units.hashes.view(np.int64).tolist(), model.units.unit.tolist()))
+    assert frequent.keys() <= units.keys() and len(frequent) > 2 * brown_lm.UNIT_WORDS
+    by_ending = {}
+    for w, e in frequent.items():
+        if units[w] >= brown_lm.UNIT_WORDS:
+            by_ending.setdefault(e, set()).add(int(model.classes[units[w]]))
+    assert sum(len(c) > 1 for c in by_ending.values()) > len(by_ending) / 4
+    # each class' emissions and one unseen word sum to one
+    total = np.full(brown_lm.CLASSES, brown_lm.EMISSION_ADD)
+    for r in rows:
+        total[model.classes[units.get(r.word, brown_lm.UNIT_WORDS + r.ending)]] += r.n + brown_lm.EMISSION_ADD
+    total[model.classes[model.units.end]] += model.documents + brown_lm.EMISSION_ADD
+    assert np.allclose(total, 10 ** model.emission_total)
+
+
+def test_lm_units_without_a_table_of_frequent_words(spark, monkeypatch):
+    """Scores are the same if the highest count alone holds too many words to send."""
+    docs = docs_df(spark)
+    want = sorted(map(tuple, brown_lm.score(docs, F.lit(False)).collect()), key=str)
+    few = brown_lm.most_frequent
+    monkeypatch.setattr(brown_lm, "most_frequent", lambda counts: few(counts, most=0))
+    got = sorted(map(tuple, brown_lm.score(docs, F.lit(False)).collect()), key=str)
+    assert all(a[:5] == b[:5] and np.allclose(a[5:], b[5:]) for a, b in zip(want, got)) and len(want) == len(got)
+
+
 def test_lm_awkward_rows(spark):
     got = brown_lm.score(docs_df(spark), F.col("doc_id") % 2 == 0).collect()
     assert len(got) == len(AWKWARD) and all(math.isfinite(r.score) and r.base_score <= 0 for r in got)

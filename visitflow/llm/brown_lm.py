@@ -3,15 +3,18 @@
 Every word belongs to a unit: each of the UNIT_WORDS most frequent words is
 one, all others share one of ENDINGS units by their last three bytes. The
 exchange algorithm moves units between classes while that raises the
-likelihood of the corpus' class bigrams. A text's probability is the product,
+likelihood of the corpus' class bigrams. Then every other word with OWN_COUNT
+training occurrences or more, however many words these are, moves from its
+ending's class to the class that its own neighbours' classes make likeliest,
+and the class bigrams are counted again. Rarer words stay with their ending. A text's probability is the product,
 over its words and one end token, of the smoothed class transition and the
 smoothed emission of the word by its class.
 
 Word counts come from all training rows by a grouped sum. The counts of the
 KNOWN most frequent words (a bound, not a share) go to the tasks; all other
 words of a text meet their counts in a join, so every count is exact. The
-driver holds class and unit counts alone, at most the square of the number of
-units. Words are identified by a 64-bit hash.
+driver holds class and unit counts, at most the square of the number of
+units, and hash and class of the words with a class of their own. Words are identified by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ UNIT_WORDS = 512
 ENDINGS = 512
 CLASSES = 64
 SWEEPS = 10
+OWN_COUNT = 10
 KNOWN = 1 << 18
 EMISSION_ADD = 0.5
 BIGRAM_SHARE = 0.95  # of the bigram estimate; the rest is the class's own share
@@ -39,7 +43,8 @@ BIGRAM_SHARE = 0.95  # of the bigram estimate; the rest is the class's own share
 
 @dataclass
 class Units:
-    """Hashes of the unit words, sorted, with the unit of each."""
+    """Hashes of the unit words, sorted, with the unit of each. Words that have
+    a class of their own without being units are numbered behind the end."""
 
     hashes: np.ndarray
     unit: np.ndarray
@@ -142,6 +147,90 @@ def unit_bigrams(train: DataFrame, units: Units) -> np.ndarray:
     return out.reshape(units.size, units.size)
 
 
+def class_bigrams(train: DataFrame, units: Units, classes: np.ndarray) -> np.ndarray:
+    """How often each class follows each."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, total = WordHasher(), np.zeros(CLASSES ** 2, np.int64)
+        for batch in slices(batches):
+            words = find_words(batch.column("text"), lower=True)
+            line = classes[_stream(words, _units_of(units, words, hasher(words)), units.end)].astype(np.int64)
+            total += np.bincount(line[:-1] * CLASSES + line[1:], minlength=len(total))
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["pair", "n"])
+
+    out = np.zeros(CLASSES ** 2)
+    for r in train.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r.pair] = r.n
+    return out.reshape(CLASSES, CLASSES)
+
+
+def _gains(table: np.ndarray, out: np.ndarray, back: np.ndarray, own: float) -> np.ndarray:
+    """Likelihood gained by each class when a unit that is in none joins it."""
+    base = _xlogx(table)
+    gain_out = _xlogx(table + out) - base  # [b, c]: its followers counted for b
+    gain_in = _xlogx(table + back[:, None]) - base  # [c, b]
+    diag = table.diagonal()
+    gain = gain_out.sum(axis=1) - gain_out.diagonal() + gain_in.sum(axis=0) - gain_in.diagonal()
+    gain += _xlogx(diag + out + back + own) - _xlogx(diag)
+    rows, cols = table.sum(axis=1) + back, table.sum(axis=0) + out  # its pairs count for their other ends whatever its class
+    gain -= _xlogx(rows + out.sum() + own) - _xlogx(rows) + _xlogx(cols + back.sum() + own) - _xlogx(cols)
+    gain[0] = -np.inf
+    return gain
+
+
+def own_classes(train: DataFrame, units: Units, classes: np.ndarray, table: np.ndarray, hashes: np.ndarray,
+                start: np.ndarray) -> np.ndarray:
+    """Class of each of ``hashes`` (sorted, no units), which are in the classes
+    ``start`` now. Its pairs with the classes before and behind it are summed
+    on Spark; each word is taken out of ``table`` and put where it fits best."""
+    def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in slices(batches):
+            words = find_words(batch.column("text"), lower=True)
+            h = hasher(words)
+            line = classes[_stream(words, _units_of(units, words, h), units.end)].astype(np.int64)
+            at = _find(hashes, h)
+            word = np.flatnonzero(at >= 0)
+            place = word + row_of_word(words)[word] + 1
+            at = at[word]
+            same = np.zeros(len(line) + 1, np.int64) - 1
+            same[place] = at
+            itself = same[place + 1] == at  # the same word twice is one pair
+            before = np.where(same[place - 1] == at, 2 * CLASSES, line[place - 1])
+            behind = CLASSES + line[np.minimum(place + 1, len(line) - 1)]
+            code = np.r_[at * (2 * CLASSES + 1) + before, (at * (2 * CLASSES + 1) + behind)[~itself]]
+            code, n = np.unique(code, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+
+    def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for word, around in zip(batch.column("word").to_pylist(), batch.column("around").to_pylist()):
+                count = np.zeros(2 * CLASSES + 1)
+                for x in around:
+                    count[x["slot"]] = x["n"]
+                back, out, own = count[:CLASSES], count[CLASSES:2 * CLASSES], count[-1]
+                a = start[word]
+                rest = table.copy()
+                rest[a] -= out
+                rest[:, a] -= back
+                rest[a, a] -= own
+                gain = _gains(rest, out, back, own)
+                b = int(np.argmax(gain))
+                found.append(b if gain[b] > gain[a] + 1e-9 else int(a))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(found, pa.int64())], ["word", "class"])
+
+    out = start.copy()
+    if len(hashes):
+        slots = 2 * CLASSES + 1
+        sums = train.select("text").mapInArrow(pairs, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+        around = sums.groupBy(F.expr(f"code div {slots}").alias("word")).agg(
+            F.collect_list(F.struct((F.col("code") % slots).cast("int").alias("slot"), "n")).alias("around"))
+        got = around.mapInArrow(best, "word bigint, class bigint").toPandas()
+        out[got["word"].to_numpy(np.int64)] = got["class"].to_numpy(np.int64)
+    return out
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -170,16 +259,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             table[a] -= out
             table[:, a] -= back
             table[a, a] -= own
-            rows, cols = table.sum(axis=1), table.sum(axis=0)
-            base = _xlogx(table)
-            gain_out = _xlogx(table + out) - base  # [b, c]: u's followers counted for b
-            gain_in = _xlogx(table + back[:, None]) - base  # [c, b]
-            diag = table.diagonal()
-            gain = gain_out.sum(axis=1) - gain_out.diagonal() + gain_in.sum(axis=0) - gain_in.diagonal()
-            gain += _xlogx(diag + out + back + own) - _xlogx(diag)
-            rows, cols = rows + back, cols + out  # u's pairs count for their other ends whatever its class
-            gain -= _xlogx(rows + out.sum() + own) - _xlogx(rows) + _xlogx(cols + back.sum() + own) - _xlogx(cols)
-            gain[0] = -np.inf
+            gain = _gains(table, out, back, own)
             b = int(np.argmax(gain))
             if gain[b] <= gain[a] + 1e-9:
                 b = a
@@ -198,28 +278,43 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     counts = cut_lineage(word_counts(train), "llm-counts")
     documents = train.count()
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = most_frequent(counts).toPandas().sort_values(["n", "word"], ascending=[False, True])
-    hashes, n = top["word"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    known = most_frequent(counts).select("word", "n").toPandas()
+    hashes, n = known["word"].to_numpy(np.int64).view(np.uint64), known["n"].to_numpy(np.int64)
     by_hash = np.argsort(hashes)
-    rank = np.arange(min(UNIT_WORDS, len(hashes)))  # the first are the most frequent
-    rank = rank[np.argsort(hashes[rank])]
-    units = Units(hashes[rank], rank)
+    top = counts.orderBy(F.desc("n"), "word").limit(UNIT_WORDS).toPandas()
+    unit_hashes = top["word"].to_numpy(np.int64).view(np.uint64)
+    rank = np.argsort(unit_hashes)
+    units = Units(unit_hashes[rank], rank)
     bigrams = unit_bigrams(train, units)
     classes = exchange(bigrams)
     member = np.eye(CLASSES)[classes]
     table = member.T @ bigrams @ member
-    share = (table.sum(axis=0) + 1) / (table.sum() + CLASSES)
-    rows = table.sum(axis=1, keepdims=True)
-    bigram = np.divide(table, rows, out=np.tile(share, (CLASSES, 1)), where=rows > 0)
-    transition = np.log10(BIGRAM_SHARE * bigram + (1 - BIGRAM_SHARE) * share)
+    # all other words that are frequent enough get a class by their own neighbours
+    more = counts.where(F.col("n") >= OWN_COUNT).select("word", "ending").toPandas()
+    more_hashes, ending = more["word"].to_numpy(np.int64).view(np.uint64), more["ending"].to_numpy(np.int64)
+    others = np.flatnonzero(_find(units.hashes, more_hashes) < 0)
+    others = others[np.argsort(more_hashes[others])]
+    more_hashes, ending = more_hashes[others], ending[others]
+    found = own_classes(train, units, classes, table, more_hashes, classes[UNIT_WORDS + ending])
     # distinct words of each unit, and from them of each class
     kinds = np.zeros(units.size)
     for r in counts.groupBy("ending").count().collect():
         kinds[UNIT_WORDS + r.ending] = r["count"]
     kinds[rank] = 1
     np.subtract.at(kinds, UNIT_WORDS + top["ending"].to_numpy(np.int64)[:len(rank)], 1)
+    np.subtract.at(kinds, UNIT_WORDS + ending, 1)
     kinds[units.end] = 1
-    per_class = np.bincount(classes, bigrams.sum(axis=0), CLASSES) + EMISSION_ADD * (np.bincount(classes, kinds, CLASSES) + 1)
+    kinds = np.bincount(classes, kinds, CLASSES) + np.bincount(found, minlength=CLASSES)
+    if len(found):
+        every, unit = np.r_[units.hashes, more_hashes], np.r_[units.unit, units.size + np.arange(len(found))]
+        order = np.argsort(every)
+        units, classes = Units(every[order], unit[order].astype(np.int32)), np.r_[classes, found].astype(np.int8)
+        table = class_bigrams(train, units, classes)
+    share = (table.sum(axis=0) + 1) / (table.sum() + CLASSES)
+    rows = table.sum(axis=1, keepdims=True)
+    bigram = np.divide(table, rows, out=np.tile(share, (CLASSES, 1)), where=rows > 0)
+    transition = np.log10(BIGRAM_SHARE * bigram + (1 - BIGRAM_SHARE) * share)
+    per_class = table.sum(axis=0) + EMISSION_ADD * (kinds + 1)
     return Model(units, hashes[by_hash], n[by_hash], classes, transition, np.log10(per_class), documents,
                  int(total.n or 0) + documents, total.v + (documents > 0)), counts
 
