@@ -27,8 +27,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, without the boilerplate lines of their source; n_chars follows
-    the text."""
-    out = line_dedup.drop_boilerplate(docs)
+    the text. Equal texts of a source are one page here, so copies keep their
+    lines for the near dedup to choose among."""
+    out = line_dedup.drop_boilerplate(docs, copies=False)
     return out.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 

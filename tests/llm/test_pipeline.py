@@ -37,6 +37,17 @@ def test_stages_take_awkward_tables(spark):
             stage(spark, docs, SMALL).collect()
 
 
+def test_copies_in_one_source_keep_one_text(spark):
+    """Four copies among twenty pages of a source lose its menu, not their own lines."""
+    own = "\n".join(f"the page that was copied says this in line {k} alone" for k in range(5))
+    texts = [f"menu of the site\n{own}"] * 4 + [f"menu of the site\npage {i} " + " ".join(f"x{i}y{k}" for k in range(30)) for i in range(16)]
+    docs = spark.createDataFrame([(i, t, "site") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    cut = corpus_pipeline.drop_site_lines(spark, docs, SMALL)
+    assert [r.text for r in cut.orderBy("doc_id").limit(4).collect()] == [own] * 4
+    kept = corpus_pipeline.drop_near_copies(spark, cut, SMALL).collect()
+    assert sorted(r.doc_id for r in kept) == [0, *range(4, 20)] and {r.doc_id: r.text for r in kept}[0] == own
+
+
 def test_all_queries_are_registered():
     names = list(__spark_entry__.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names

@@ -20,29 +20,32 @@ MIN_PAGES = 3
 
 
 def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-                      ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                      ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """(host, line_hash, n_pages, host_pages) of each line on more than
     ``ratio`` of its host's pages, and on ``min_pages`` pages at least (a host
-    of one page repeats nothing). A page counts a line once. Lines of white
+    of one page repeats nothing). A page counts a line once. Without ``copies``
+    pages of one host with equal texts are one page. Lines of white
     space alone are no lines here; NULL hosts are one host; NULL texts are
     pages without lines."""
     pages = docs.select(F.col(host_col).alias("host"), F.col(text_col).cast("string").alias("text"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
+    pages = pages.withColumn("page", F.xxhash64("text"))
+    n_pages = F.count("*") if copies else F.count_distinct("page")
+    totals = pages.groupBy("host").agg(n_pages.alias("host_pages"))
     lines = F.array_distinct(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
-    found = (pages.select("host", F.explode(lines).alias("line")).groupBy("host", F.xxhash64("line").alias("line_hash"))
-             .agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages))
+    found = (pages.select("host", "page", F.explode(lines).alias("line")).groupBy("host", F.xxhash64("line").alias("line_hash"))
+             .agg(n_pages.alias("n_pages")).where(F.col("n_pages") >= min_pages))
     return found.alias("f").join(totals.alias("t"), F.expr("f.host <=> t.host")).where(
         F.col("n_pages") > F.lit(ratio) * F.col("host_pages")).select("f.host", "line_hash", "n_pages", "host_pages")
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, counts: tuple[str, str] | None = None) -> DataFrame:
+                     min_pages: int = MIN_PAGES, counts: tuple[str, str] | None = None, copies: bool = True) -> DataFrame:
     """``docs`` with the boilerplate lines of each host taken out of the text;
     all other lines keep their order, and all rows stay, so a page of
     boilerplate alone has ''. NULL texts stay NULL, repeated rows each come
     back, an empty table gives an empty one. ``counts`` names two further
-    columns: the text's lines and the lines dropped."""
-    found = boilerplate_lines(docs, host_col, text_col, ratio, min_pages)
+    columns: the text's lines and the lines dropped; ``copies`` is as above."""
+    found = boilerplate_lines(docs, host_col, text_col, ratio, min_pages, copies)
     per_host = cut_lineage(found.groupBy("host").agg(F.collect_set("line_hash").alias("_boilerplate")).select(
         F.col("host").alias("_host"), "_boilerplate"), "llm-lines")
     none = F.expr("cast(array() as array<bigint>)")
