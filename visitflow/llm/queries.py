@@ -1,4 +1,4 @@
-"""The ten operators as registered queries, over whole tables with production
+"""The thirteen operators as registered queries, over whole tables with production
 parameters, and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.llm import brown_lm, decontaminate, fingerprints, html_extract, line_dedup, packing, secrets, simhash, substring_dedup, toxicity
+from visitflow.llm import (brown_lm, decontaminate, fingerprints, html_extract, line_dedup, packing, phrases, pivot_search, secrets, simhash,
+                           substring_dedup, toxicity, whitening)
 from visitflow.sources.tables import read_table
 
 
@@ -86,9 +87,28 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op11_phrase_collocation_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 collocations of ``documents``."""
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector of ``embeddings`` on the first 32 whitened components."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    error = None if model is None else whitening.identity_error(vectors, model)
+    return whitening.whiten(vectors, model).withColumn("identity_error", F.lit(error).cast("double"))
+
+
+def op13_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector of ``embeddings``."""
+    return pivot_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_substring_dedup, op3_simhash_near_dedup, op4_toxicity, op5_lm_scoring, op6_best_fit_packing,
-    op7_document_fingerprints, op8_line_dedup, op9_benchmark_decontamination, op10_html_extraction)}
+    op7_document_fingerprints, op8_line_dedup, op9_benchmark_decontamination, op10_html_extraction,
+    op11_phrase_collocation_mining, op12_embedding_whitening, op13_exact_top_k_search)}
 
 ORACLE = {
     "op8_line_dedup": f"""
@@ -107,4 +127,46 @@ SELECT l.doc_id, l.source, count(*) AS n_lines, count(*) FILTER (f.line IS NOT N
        coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (f.line IS NULL), '') AS text
 FROM lines l LEFT JOIN found f ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line
 GROUP BY l.doc_id, l.source""",
+    "op11_phrase_collocation_mining": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, regexp_extract_all(u.p, '[^ \\t]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents) u),
+words AS (SELECT lang, piece, unnest(w) AS w1, unnest(range(len(w))) AS pos FROM pieces),
+runs AS (SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY piece ORDER BY pos)),
+ones AS (SELECT lang, w1, count(*) AS f FROM runs GROUP BY ALL),
+twos AS (SELECT lang, w1, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= {phrases.MIN_COUNT}),
+threes AS (SELECT lang, w1, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= {phrases.MIN_COUNT}),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang),
+longer AS (
+  SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM threes UNION ALL SELECT lang, w2, w3, f FROM threes) GROUP BY ALL),
+pairs AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, x.f AS l, y.f AS r
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.w1 = t.w1 JOIN ones y ON y.lang = t.lang AND y.w1 = t.w2
+       LEFT JOIN longer g ON g.lang = t.lang AND g.w1 = t.w1 AND g.w2 = t.w2
+  WHERE g.f IS NULL OR {phrases.COVER[1]} * g.f < {phrases.COVER[0]} * t.f),
+cuts AS (
+  SELECT lang, phrase, a, l, r, 1 AS k FROM pairs
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 1
+  FROM threes t JOIN ones x ON x.lang = t.lang AND x.w1 = t.w1 JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+  FROM threes t JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN ones y ON y.lang = t.lang AND y.w1 = t.w3),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best b JOIN totals t ON t.lang = b.lang
+QUALIFY rank <= {phrases.TOP}""",
+    "op13_exact_top_k_search": """
+WITH usable AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON c.row <> q.row AND len(c.v) = len(q.v)
+  WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""",
 }
