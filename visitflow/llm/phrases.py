@@ -40,7 +40,8 @@ TOP = 2000
 COVER = (50, 100)
 NO_LANG = "und"
 MAP_BYTES = 1 << 25  # bound of the bit map
-HELD = 1 << 21  # hashes a task holds before it passes them on
+SLICE = 1 << 20  # bytes of text worked on at once
+HELD = 1 << 18  # hashes a task holds before it passes them on
 ENDS = np.isin(BYTE, list(b".,;:!?\n\x0b\x0c\r"))
 IN_WORD = ~ENDS & (BYTE != 32) & (BYTE != 9)
 
@@ -103,7 +104,7 @@ def _strings(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringAr
 
 def _batches(batches: Iterable[pa.RecordBatch]) -> Iterator[Phrases]:
     hasher = WordHasher()
-    for batch in slices(batches):
+    for batch in slices(batches, size=SLICE):
         yield Phrases(batch, hasher)
 
 

@@ -44,13 +44,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches again in slices of about SLICE_BYTES of text, whole rows each."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches again in slices of about ``size`` bytes of text, whole rows each."""
     for batch in batches:
         _, at = text_buffer(batch.column(column))
         row = 0
         while row < batch.num_rows:
-            stop = int(np.searchsorted(at, at[row] + SLICE_BYTES, side="right")) - 1
+            stop = int(np.searchsorted(at, at[row] + size, side="right")) - 1
             stop = min(max(stop, row + 1), batch.num_rows)
             yield batch.slice(row, stop - row)
             row = stop
