@@ -32,10 +32,19 @@ def test_top_k_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_previous_row_shuffles_full_rows_once(spark):
+def test_previous_row_reads_its_stored_ranges(spark):
+    """What is left after the sorted pass: no shuffle of the rows, and a join
+    with the one edge row of each range, which is all that a window sees."""
     actions = SuppliedTables(spark, SF).actions()
-    plan = _plan(O.with_previous(actions, ["page_id"])).split("== Initial Plan ==")[0]
-    assert plan.count("Exchange") == 1 and "rangepartitioning(r#" in plan and "Join" not in plan
+    plan = _plan(O.with_previous(actions, ["page_id"])).split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange") == 2  # the edges: to one task for the window, to the rows for the join
+    assert "Join" in plan and "rangepartitioning" not in plan
+
+
+def test_previous_row_plan_has_one_size_for_any_ranges(spark):
+    actions = SuppliedTables(spark, SF).actions()
+    sizes = [len(_plan(O.with_previous(actions, ["page_id"], ranges=n))) for n in (10, 300)]
+    assert abs(sizes[0] - sizes[1]) < 200
 
 
 def test_category_counts_single_scan(spark):

@@ -3,53 +3,62 @@
 A plain ``lag(x) over (partition by session_id order by time)`` puts a whole
 session into one task; one bot session holding a third of the log would then
 be a single task. Here the whole log is put in one order, (session_id,
-action_time, event_id), and cut into ranges of about equal rows, so a session,
-a session-hour or a single second of one session may span any number of tasks.
+action_time, event_id), and Spark's range partitioner cuts it into ranges of
+about equal rows, so a session, a session-hour or a single second of one
+session may span any number of tasks.
 
-A range needs one row from elsewhere: the one before its first. The first row
-of a range is known before the shuffle - it is the bound itself - so it is
-also sent to the range before, where its previous row lies; that copy gives
-its result, and the row in its own range serves its successors only. No range
-waits for another, nothing is stored, and there is one plan for every log.
+One pass over the sorted ranges gives each row the row before it and leaves
+each range's last row beside the others in a stored table. Only a range's
+first row looks elsewhere: at the last row of the ranges before it, however
+many of them are empty, in a table of one row per range. The plan has the same
+size for any number of ranges and nothing but that table depends on them.
 
 Rows without a session id are in no session: they have no previous row. Rows
 without a time come first in their session, by event id. Rows that repeat
-(session_id, action_time, event_id) follow each other.
+(session_id, action_time, event_id) follow each other in any order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
+
+from visitflow.config import cut_lineage
+from visitflow.operators.ranges import carried, sorted_ranges
 
 ORDER = ("action_time", "event_id")
-SAMPLES_PER_RANGE = 20
 
 
-def _key() -> Column:
-    return F.struct("session_id", *ORDER)
+def _shifted(columns: list[str], names: list[str]) -> Callable:
+    """Rows of a range with ``columns`` of the row before (NULL on the range's
+    first row); the last row comes once more, marked as the range's edge."""
+    import pyarrow as pa
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
 
-def range_bounds(actions: DataFrame, ranges: int) -> list:
-    """At most ``ranges - 1`` rows (session_id, action_time, event_id) that cut
-    the order into ranges of about equal rows. They come from the
-    ``SAMPLES_PER_RANGE * ranges`` rows with the smallest hash - a uniform and
-    repeatable sample, one scan of three columns, run when the frame is built.
-    Any bounds give the same result; they only set the ranges' sizes."""
-    # as text, which no time zone shifts; its order is that of the times
-    text = [F.col(c).cast("string").alias(c) if c == "action_time" else F.col(c) for c in ("session_id", *ORDER)]
-    sample = (actions.where(F.col("session_id").isNotNull()).select("session_id", *ORDER)
-              .orderBy(F.xxhash64("session_id", *ORDER)).limit(SAMPLES_PER_RANGE * ranges).select(*text).collect())
-    keys = sorted({tuple(r) for r in sample}, key=lambda k: tuple((x is not None, x) for x in k))
-    return [keys[len(keys) * i // ranges] for i in range(1, ranges)] if len(keys) >= ranges else keys[1:]
+        def out(batch: pa.RecordBatch, before: list, first: bool, edge: bool) -> pa.RecordBatch:
+            n = batch.num_rows
+            flags = [pa.array([first] + [False] * (n - 1)), pa.array([edge] * n)]
+            return pa.RecordBatch.from_arrays([*batch.columns, *before, *flags], names)
 
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before = []
+            for name in columns:
+                col = batch.column(name)
+                head = pa.nulls(1, col.type) if last is None else last.column(name)
+                before.append(pa.concat_arrays([head, col.slice(0, len(col) - 1)]))
+            yield out(batch, before, last is None, False)
+            last = batch.slice(batch.num_rows - 1)
+        if last is not None:
+            yield out(last, [pa.nulls(1, last.column(name).type) for name in columns], False, True)
 
-def _literal(bounds: Sequence[tuple], schema) -> Column:
-    names = ("session_id", *ORDER)
-    rows = [F.struct(*[F.lit(v).cast(schema[n].dataType).alias(n) for n, v in zip(names, b)]) for b in bounds]
-    return F.array(*rows)
+    return run
 
 
 def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
@@ -59,37 +68,28 @@ def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str]
     action_time, the ``keep`` and ``values`` columns, has_prev, prev_<v>.
 
     ``ranges`` (default: the session's shuffle partitions) is the number of
-    ranges; the result does not depend on it."""
+    ranges; the result does not depend on it. The sorted ranges are stored
+    when this is called."""
     values = list(values)
-    carried = list(dict.fromkeys([*keep, *values]))
-    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *carried]))
-    n = ranges or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(range_bounds(actions, n)), key=lambda k: tuple((x is not None, x) for x in k)) if n > 1 else []
-    rows = actions.select(*base)
-    if bounds:
-        step = max(1, round(len(bounds) ** 0.5))
-        chunks = [bounds[i:i + step] for i in range(0, len(bounds), step)]
-        heads = _literal([c[0] for c in chunks], actions.schema)
-        inner = F.array(*[_literal(c, actions.schema) for c in chunks])
-        rows = rows.withColumn("_key", _key())
-        # which range: among the chunks' heads first, then inside one chunk
-        rows = rows.withColumn("_chunk", F.size(F.filter(heads, lambda b: b <= F.col("_key"))))
-        own = F.coalesce(F.get(inner, F.col("_chunk") - 1), F.filter(heads, lambda b: F.lit(False)))
-        rows = rows.withColumn("_here", F.filter(own, lambda b: b <= F.col("_key")))
-        rows = rows.withColumn("_range", F.when(F.col("_chunk") == 0, 0).otherwise((F.col("_chunk") - 1) * step + F.size("_here")))
-        # rows without a session need no neighbours: they are dealt evenly
-        rows = rows.withColumn("_range", F.when(F.col("session_id").isNull(), F.pmod(F.xxhash64("event_id"), F.lit(len(bounds) + 1)).cast("int")).otherwise(F.col("_range")))
-        first = F.col("session_id").isNotNull() & F.coalesce(F.try_element_at("_here", F.lit(-1)) == F.col("_key"), F.lit(False))
-        mine = F.struct(F.col("_range").alias("r"), first.alias("only_before"))
-        sent = F.when(first & (F.col("_range") > 0), F.array(mine, F.struct((F.col("_range") - 1).alias("r"), F.lit(False).alias("only_before")))).otherwise(F.array(mine))
-        rows = rows.select(*base, F.explode(sent).alias("_to")).select(*base, "_to.r", "_to.only_before").repartitionByRange(n, "r")
-        w = Window.partitionBy("r").orderBy("session_id", *ORDER)
-    else:
-        rows = rows.withColumns({"r": F.lit(0), "only_before": F.lit(False)})
-        w = Window.partitionBy("r").orderBy("session_id", *ORDER)
-    same = F.coalesce(F.lag("session_id").over(w) == F.col("session_id"), F.lit(False))
-    lagged = rows.select(*base, "only_before", same.alias("has_prev"), *[F.lag(v).over(w).alias(f"_lag_{v}") for v in values])
-    return lagged.where("not only_before").select(*base, "has_prev", *[F.when(F.col("has_prev"), F.col(f"_lag_{v}")).alias(f"prev_{v}") for v in values])
+    base = list(dict.fromkeys(["session_id", "event_id", "action_time", *keep, *values]))
+    # inside, columns go by position, so no name of the log's can clash
+    own = {name: f"c{i}" for i, name in enumerate(base)}
+    rows = actions.select(*[F.col(name).alias(c) for name, c in own.items()])
+    shifted = list(dict.fromkeys([own["session_id"], *[own[v] for v in values]]))
+    field = {f.name: f for f in rows.schema}
+    rows = sorted_ranges(rows, [own[c] for c in ("session_id", *ORDER)], ranges)
+    schema = StructType([*[field[c] for c in own.values()], StructField("part", IntegerType()),
+                         *[StructField(f"{c}_before", field[c].dataType) for c in shifted],
+                         StructField("first", BooleanType()), StructField("edge", BooleanType())])
+    read = cut_lineage(rows.mapInArrow(_shifted(shifted, schema.names), schema), "ranges")
+    last = F.struct(*[F.col(c).alias(f"{c}_before") for c in shifted])
+    carry = carried(read.where("edge").select("part", *shifted), {"carry": last}).withColumnRenamed("part", "carry_part")
+    joined = read.where("not edge").join(carry, F.col("first") & (F.col("part") == F.col("carry_part")), "left")
+    before = {c: F.when(F.col("first"), F.col(f"carry.{c}_before")).otherwise(F.col(f"{c}_before")) for c in shifted}
+    session = own["session_id"]
+    has_prev = F.coalesce(F.col(session) == before[session], F.lit(False))
+    return joined.select(*[F.col(c).alias(name) for name, c in own.items()], has_prev.alias("has_prev"),
+                         *[F.when(has_prev, before[own[v]]).alias(f"prev_{v}") for v in values])
 
 
 def consecutive_pairs(actions: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
