@@ -155,31 +155,30 @@ def test_funnel_with_null_pages(spark):
         assert prev == {1: None, 2: 1, 3: None, 4: None, 5: 1, 6: 2}, method
 
 
-def test_sample_exact_when_prefixes_come_up_short(spark, monkeypatch):
-    import datetime as dt
+def test_sample_is_the_same_for_any_sketches(spark, monkeypatch):
     rows = [(f"s{i}", dt.datetime(2024, 1, 1 + i % 2, i % 3)) for i in range(3000)]
     sessions = spark.createDataFrame(rows, "session_id STRING, start_time TIMESTAMP_NTZ")
-    want = sorted(tuple(r) for r in Y.stratified_sample(sessions, 60, 5).collect())
-    monkeypatch.setattr(Y, "_fraction", lambda h: F.lit(0.9))  # no prefix holds a row until it covers its hour
-    assert sorted(tuple(r) for r in Y.stratified_sample(sessions, 60, 5).collect()) == want and len(want) == 60
-
-
-def test_sample_cuts_prefixes_before_any_shuffle(spark, monkeypatch):
-    plans = []
-    keep = Y.cut_lineage
-
-    def spy(df, name="stage"):
-        if name == "prefixes":
-            plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return keep(df, name)
-
-    monkeypatch.setattr(Y, "cut_lineage", spy)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        import datetime as dt
-        rows = [(f"s{i}", dt.datetime(2024, 1, 1 + i % 2, i % 3)) for i in range(300)]
-        Y.stratified_sample(spark.createDataFrame(rows, "session_id STRING, start_time TIMESTAMP_NTZ"), 6, 5)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert plans and all("BroadcastHashJoin" in p and "hashpartitioning" not in p for p in plans)
+    want = _plain_sample(sessions, 60, 5)
+    keep = Y._bottom
+    for held, parts in ((1 << 18, 1), (10, 7), (500, 3)):  # many flushes, or one
+        monkeypatch.setattr(Y, "_bottom", lambda k, held=held: keep(k, held))
+        got = Y.stratified_sample(sessions.repartition(parts), 60, 5)
+        assert sorted(r.session_id for r in got.collect()) == want and len(want) == 60
+
+
+def test_sample_without_start_times(spark):
+    """A session without a time is in no stratum and makes no day."""
+    rows = [(f"s{i}", dt.datetime(2024, 1, 1, 5)) for i in range(40)]
+    for extra in ([], [("x", None)], [(None, dt.datetime(2024, 1, 2)), ("y", None)]):
+        sessions = spark.createDataFrame(rows + extra, "session_id STRING, start_time TIMESTAMP_NTZ")
+        got = Y.stratified_sample(sessions, 10, 5).collect()
+        assert len(got) == 10 and {r.quota for r in got} == {10} and "x" not in {r.session_id for r in got}
+    none = spark.createDataFrame([("x", None)], "session_id STRING, start_time TIMESTAMP_NTZ")
+    assert Y.stratified_sample(none, 10).collect() == []
+
+
+def test_sample_keeps_columns_named_like_its_own(spark):
+    rows = [(f"s{i}", dt.datetime(2024, 1, 1, 5), i, "o", -1) for i in range(20)]
+    sessions = spark.createDataFrame(rows, "session_id STRING, start_time TIMESTAMP_NTZ, id BIGINT, order STRING, n BIGINT")
+    got = Y.stratified_sample(sessions, 5, 5).collect()
+    assert len(got) == 5 and all((f"s{r.id}", r.order, r.n) == (r.session_id, "o", -1) for r in got)

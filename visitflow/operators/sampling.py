@@ -6,106 +6,121 @@ hour_cnt / day_cnt the sessions starting in an hour / day,
     quota(day, hour) = greatest(1, (hour_cnt * (N div n_days)) div day_cnt)
 
 and a session is sampled when its rank inside its (day, hour) - ordered by
-md5(seed || '_' || session_id), then session_id - is at most the quota.
-
-Plan without one task per (day, hour), or a shuffle of all sessions
---------------------------------------------------------------------
-One hour may hold a third of all sessions, so whole hours are never ranked.
-The md5 prefix gives every session a uniform fraction u in [0, 1). Sessions
-with u <= t(day, hour) are a *prefix* of the hour's ranking, where the
-threshold t = (quota + 8 * sqrt(quota) + 16) / hour_cnt leaves a wide margin.
-The quotas (one row per day and hour) meet the sessions by a broadcast whose
-rows were counted first, so the prefix is cut on the map side; only prefixes,
-about quota + 8 sqrt(quota) + 16 rows an hour, are stored and ranked. Should a
-prefix hold fewer than quota rows (hash luck), its threshold grows fourfold
-until it does or covers the hour, so the result is exact at any size.
+md5(seed || '_' || session_id), then session_id - is at most the quota. A
+session without a start time is in no hour: it is not sampled and makes no day.
+
+Plan: one pass over the sessions
+--------------------------------
+One hour may hold a third of all sessions, so whole hours are never ranked. No
+quota exceeds N, so every task keeps, per (day, hour), its sessions' count and
+its N smallest sessions in the order above: a bottom-k sketch, which merges by
+taking the N smallest of several. The sketches are stored (their size follows
+tasks, hours and N, not the sessions of an hour), the counts add up to the
+quotas, and each hour's ranks are taken over its merged sketches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from visitflow.config import cut_lineage
 
-_HEX15 = float(16 ** 15)
-MAX_HOURS = 262_144  # 30 years of hours, about 10 MB
+KEYS = ("visit_day", "hour")
+HELD_ROWS = 1 << 18  # kept sessions a task holds before it passes its sketches on
 
 
 def _order_hash(seed) -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.lit("_"), F.col("session_id")))
 
 
-def _fraction(h: Column) -> Column:
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint").cast("double") / F.lit(_HEX15)
-
-
-def _with_day_hour(sessions: DataFrame) -> DataFrame:
-    return sessions.withColumn("visit_day", F.to_date("start_time")) \
-                   .withColumn("hour", F.hour("start_time"))
-
-
-def hour_quotas(sessions: DataFrame, n: int, n_days: int | None = None) -> DataFrame:
-    """A14 + quotas: (visit_day, hour, hour_cnt, day_cnt, n_days, quota).
-
-    Input must carry visit_day and hour. ``n_days`` may be given (a count
-    taken by the caller); otherwise it comes from an unpartitioned window,
-    which runs over this small table (at most days x 24 rows) only.
-    """
-    counts = sessions.groupBy("visit_day", "hour").agg(F.count(F.lit(1)).alias("hour_cnt"))
+def _quotas(counts: DataFrame, n: int, n_days: int | None = None) -> DataFrame:
+    """(visit_day, hour, hour_cnt) with day_cnt, n_days and quota. This table
+    has at most 24 rows a day, so its windows are small."""
     per_day = Window.partitionBy("visit_day")
     with_days = counts.withColumn("day_cnt", F.sum("hour_cnt").over(per_day))
     if n_days is not None:
         with_days = with_days.withColumn("n_days", F.lit(int(n_days)).cast("bigint"))
     else:
-        with_days = (with_days
-                     .withColumn("_first_of_day", F.when(
-                         F.row_number().over(per_day.orderBy("hour")) == 1, 1).otherwise(0))
-                     .withColumn("n_days", F.sum("_first_of_day").over(Window.partitionBy()))
-                     .drop("_first_of_day"))
-    per_day_quota = F.floor(F.lit(n) / F.col("n_days"))
-    quota = F.greatest(F.lit(1).cast("bigint"),
-                       F.floor((F.col("hour_cnt") * per_day_quota) / F.col("day_cnt")).cast("bigint"))
-    return with_days.withColumn("quota", quota.cast("bigint"))
-
-
-def _with_quotas(sessions: DataFrame, quotas: DataFrame, n_hours: int) -> DataFrame:
-    """Sessions with their hour's quota and threshold. Up to MAX_HOURS counted
-    rows the quotas are broadcast; beyond that Spark picks the join."""
-    return sessions.join(F.broadcast(quotas) if n_hours <= MAX_HOURS else quotas, ["visit_day", "hour"])
-
-
-def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42,
-                      materialize: bool = True, n_days: int | None = None) -> DataFrame:
-    """The sampled sessions with visit_day, hour and their rank in the hour.
-
-    Jobs run when this is called: the session table is read for the counts and
-    for the prefixes, so with ``materialize`` it is stored once first (pass
-    False for a table that is stored already); the quotas and the prefixes,
-    both small, are stored as well.
+        first = F.when(F.row_number().over(per_day.orderBy("hour")) == 1, 1).otherwise(0)
+        with_days = with_days.withColumn("_first_of_day", first).withColumn(
+            "n_days", F.sum("_first_of_day").over(Window.partitionBy())).drop("_first_of_day")
+    quota = F.floor((F.col("hour_cnt") * F.floor(F.lit(n) / F.col("n_days"))) / F.col("day_cnt"))
+    return with_days.withColumn("quota", F.greatest(F.lit(1).cast("bigint"), quota.cast("bigint")))
+
+
+def hour_quotas(sessions: DataFrame, n: int, n_days: int | None = None) -> DataFrame:
+    """A14 + quotas: (visit_day, hour, hour_cnt, day_cnt, n_days, quota).
+
+    Input must carry visit_day and hour; rows without a day count nowhere.
+    ``n_days`` may be given (a count taken by the caller).
     """
-    s = _with_day_hour(sessions).withColumn("_h", _order_hash(seed))
-    s = s.withColumn("_u", _fraction(F.col("_h")))
-    if materialize:
-        s = cut_lineage(s)
-    keys = ["visit_day", "hour"]
-    quotas = cut_lineage(hour_quotas(s, n, n_days).select(*keys, "quota", F.least(
-        F.lit(1.0), (F.col("quota") + F.sqrt("quota") * 8 + 16) / F.col("hour_cnt")).alias("_t")), "quotas")
-    n_hours = quotas.count()
-    pool = cut_lineage(_with_quotas(s, quotas, n_hours).where(F.col("_u") <= F.col("_t")), "prefixes")
-    while True:
-        got = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("_got"))
-        short = quotas.join(got, keys, "left").where(
-            (F.col("_t") < 1.0) & (F.coalesce("_got", F.lit(0)) < F.col("quota"))).drop("_got")
-        if short.isEmpty():
-            break
-        quotas = cut_lineage(quotas.join(short.select(*keys, F.lit(4.0).alias("_more")), keys, "left").select(
-            *keys, "quota", F.least(F.lit(1.0), F.col("_t") * F.coalesce("_more", F.lit(1.0))).alias("_t")), "quotas")
-        pool = cut_lineage(_with_quotas(s, quotas, n_hours).where(F.col("_u") <= F.col("_t")), "prefixes")
-    w = Window.partitionBy(*keys).orderBy("_h", "session_id")
-    return (pool.withColumn("sample_rank", F.row_number().over(w))
-            .where(F.col("sample_rank") <= F.col("quota"))
-            .drop("_h", "_u", "_t"))
+    counts = sessions.where(F.col("visit_day").isNotNull()).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("hour_cnt"))
+    return _quotas(counts, n, n_days)
+
+
+def _bottom(k: int, held_rows: int = HELD_ROWS) -> Callable:
+    """Per task, (day, hour): the ``k`` first rows by (order, id), and one row
+    with ``n``, the number of all its rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    def smallest(table: pa.Table) -> pa.Table:
+        table = table.take(pa.compute.sort_indices(table, [(c, "ascending") for c in ("visit_day", "hour", "order", "id")]))
+        keys = [table[c].combine_chunks().cast(pa.int32()).to_numpy() for c in KEYS]
+        at = np.arange(len(table))
+        first = (at == 0) | np.any([np.diff(key, prepend=key[:1]) != 0 for key in keys], axis=0)
+        rank = at - np.maximum.accumulate(np.where(first, at, 0))
+        return table.filter(pa.array(rank < k))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple, int] = {}
+        held, rows, schema = [], 0, None
+        limit = held_rows
+        for batch in batches:
+            schema = batch.schema
+            part = pa.Table.from_batches([batch])
+            for r in part.group_by(list(KEYS)).aggregate([([], "count_all")]).to_pylist():
+                key = tuple(r[c] for c in KEYS)
+                counts[key] = counts.get(key, 0) + r["count_all"]
+            held, rows = [*held, part], rows + len(part)
+            if rows > limit:
+                kept = smallest(pa.concat_tables(held))
+                held, rows = [kept], len(kept)
+                if rows > held_rows:
+                    yield from kept.to_batches()
+                    held, rows = [], 0
+                limit = max(held_rows, 2 * rows)
+        if rows:
+            yield from smallest(pa.concat_tables(held)).to_batches()
+        if counts:
+            table = pa.Table.from_pylist([dict(zip(KEYS, key), n=n) for key, n in counts.items()], schema)
+            yield from table.to_batches()
+
+    return run
+
+
+def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42, n_days: int | None = None) -> DataFrame:
+    """The sampled sessions with visit_day, hour, their hour's quota and
+    their rank in the hour (``sample_rank``). The sessions are read once, when
+    this is called; only the sketches are stored."""
+    fields = [f for f in sessions.schema if f.name not in KEYS]
+    own = {f.name: f"c{i}" for i, f in enumerate(fields)}  # by position: no name of the input can clash
+    rows = sessions.where(F.col("start_time").isNotNull() & F.col("session_id").isNotNull()).select(
+        F.to_date("start_time").alias("visit_day"), F.hour("start_time").alias("hour"), _order_hash(seed).alias("order"),
+        F.col("session_id").cast("string").alias("id"), F.lit(None).cast("bigint").alias("n"), *[F.col(c).alias(x) for c, x in own.items()])
+    schema = StructType([StructField("visit_day", DateType()), StructField("hour", IntegerType()), StructField("order", StringType()),
+                         StructField("id", StringType()), StructField("n", LongType()), *[StructField(own[f.name], f.dataType) for f in fields]])
+    sketch = cut_lineage(rows.mapInArrow(_bottom(n), schema), "sketches")
+    counts = sketch.where("n IS NOT NULL").groupBy(*KEYS).agg(F.sum("n").alias("hour_cnt"))
+    quotas = _quotas(counts, n, n_days).select(*KEYS, "quota")
+    w = Window.partitionBy(*KEYS).orderBy("order", "id")
+    ranked = sketch.where("n IS NULL").withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= max(n, 1))
+    return ranked.join(quotas, list(KEYS)).where(F.col("sample_rank") <= F.col("quota")).select(
+        *KEYS, *[F.col(x).alias(c) for c, x in own.items()], "quota", "sample_rank")
 
 
 def sample_detail(actions: DataFrame, sample: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
         dependent["session_stat_ratios"] = S.stat_ratios(stats)
     if wanted & {"session_sample", "session_sample_detail"}:
         first["session_sample"] = sample = _stored(Y.stratified_sample(
-            kept.drop("keywords", "category_ids"), sample_size, seed, materialize=False), out_dir, "session_sample")
+            kept.drop("keywords", "category_ids"), sample_size, seed), out_dir, "session_sample")
         dependent["session_sample_detail"] = Y.sample_detail(acts, sample)
     if wanted & {"top_categories", "top_category_sessions"}:
         counts = cut_lineage(C.session_category_counts(S.kept_touches(acts, kept)), "session-categories")
