@@ -129,8 +129,8 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
 
 
 def session_category_clicks(actions: DataFrame) -> DataFrame:
-    """Clicks per (category, session)."""
-    return (actions.where(F.col("click_category_id").isNotNull())
+    """Clicks per (category, session); clicks without a session are in none."""
+    return (actions.where(F.col("click_category_id").isNotNull() & F.col("session_id").isNotNull())
             .groupBy(F.col("click_category_id").alias("category_id"), "session_id")
             .agg(F.count(F.lit(1)).alias("click_count")))
 
@@ -180,8 +180,9 @@ def category_counts_from_sessions(counts: DataFrame) -> DataFrame:
 
 def top_sessions_from_counts(counts: DataFrame, top: DataFrame, n: int = 10) -> DataFrame:
     """J4 + R1 from ``session_category_counts`` and a top-category list
-    (bounded by its limit, broadcast)."""
-    clicks = (counts.where(F.col("click_count") > 0)
+    (bounded by its limit, broadcast). Clicks without a session count for the
+    categories, but make no session."""
+    clicks = (counts.where((F.col("click_count") > 0) & F.col("session_id").isNotNull())
               .select("category_id", "session_id", "click_count")
               .join(broadcast_bounded(top.select("category_id", F.col("rank").alias("category_rank"))),
                     "category_id"))

@@ -1,7 +1,9 @@
 """Session operators.
 
-A session is the set of visit-log rows that share ``session_id``. Everything
-here is a DataFrame -> DataFrame function:
+A session is the set of visit-log rows that share a ``session_id``; rows
+without one are in no session, here and in every operator on sessions, and
+``log_gaps`` counts them. A session none of whose rows has a time has no start:
+it counts as a session but is in no hour, day or length bucket. Everything here is a DataFrame -> DataFrame function:
 
 * ``aggregate_sessions`` is one hash aggregation keyed by session_id. Every
   aggregate is partial-able (min/max/count/collect_set), so a hot session is
@@ -43,7 +45,7 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     """
     kw = F.when(is_present("search_keyword"), F.col("search_keyword"))
     return (
-        actions.groupBy("session_id")
+        actions.where(F.col("session_id").isNotNull()).groupBy("session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.min("action_time").alias("start_time"),
@@ -62,6 +64,12 @@ def aggregate_sessions(actions: DataFrame) -> DataFrame:
     )
 
 
+def log_gaps(actions: DataFrame) -> DataFrame:
+    """One row: the log's actions, those without a session and without a time."""
+    return actions.agg(F.count(F.lit(1)).alias("actions"), F.count_if(F.col("session_id").isNull()).alias("without_session"),
+                       F.count_if(F.col("action_time").isNull()).alias("without_time"))
+
+
 def list_text(arr) -> Column:
     """Array -> comma text; an empty or NULL array gives NULL."""
     c = F.col(arr) if isinstance(arr, str) else arr
@@ -161,8 +169,9 @@ def stat_ratios(stats: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def sessions_per_hour(sessions: DataFrame) -> DataFrame:
-    """Session count per day and hour of the session start (X3 key)."""
-    return (sessions
+    """Session count per day and hour of the session start (X3 key);
+    sessions without a start are in no hour."""
+    return (sessions.where(F.col("start_time").isNotNull())
             .groupBy(F.to_date("start_time").alias("visit_day"),
                      F.hour("start_time").alias("hour"),
                      day_hour_key("start_time").alias("day_hour"))

@@ -219,6 +219,42 @@ def q_page_split_pv_incomplete(spark, sf_dir):
     return FN.page_split_pv(_incomplete(spark, sf_dir), FLOW)
 
 
+@query("session_stats_incomplete")
+def q_session_stats_incomplete(spark, sf_dir):
+    """A4-A6 where session ids and times are missing."""
+    return S.session_stats(S.aggregate_sessions(_incomplete(spark, sf_dir)))
+
+
+@query("session_sample_incomplete")
+def q_session_sample_incomplete(spark, sf_dir):
+    """Y1, N = 100, where session ids and times are missing."""
+    return Y.stratified_sample(S.aggregate_sessions(_incomplete(spark, sf_dir)).drop("keywords", "category_ids"), 100, 42)
+
+
+@query("sessions_per_hour_incomplete")
+def q_sessions_per_hour_incomplete(spark, sf_dir):
+    """A13 where session ids and times are missing."""
+    return S.sessions_per_hour(S.aggregate_sessions(_incomplete(spark, sf_dir)))
+
+
+@query("category_top_sessions_incomplete")
+def q_category_top_sessions_incomplete(spark, sf_dir):
+    """A15 and R1 where session ids are missing."""
+    return C.top_sessions_per_category(C.session_category_clicks(_incomplete(spark, sf_dir)), 10)
+
+
+@query("top_sessions_for_top_categories_incomplete")
+def q_top_sessions_for_top_categories_incomplete(spark, sf_dir):
+    """J4 where session ids are missing: the categories count every click."""
+    return C.top_sessions_for_top_categories(_incomplete(spark, sf_dir), 10, 10)
+
+
+@query("log_gaps")
+def q_log_gaps(spark, sf_dir):
+    """Actions without a session or a time."""
+    return S.log_gaps(_incomplete(spark, sf_dir))
+
+
 @query("page_flow_matches")
 def q_page_flow_matches(spark, sf_dir):
     """Page pairs matching a step of flow 1..9, with counts."""

@@ -283,6 +283,40 @@ oracle("sessions_per_day", _sample_ctes(100) + "SELECT visit_day, hour, hour_cnt
 oracle("session_sample_detail", _sample_ctes(100) +
        f"SELECT {UVA_COLS} FROM uva WHERE session_id IN (SELECT session_id FROM smp)")
 
+# ---------------------------------------------------------------- missing session ids and times
+INC_SESSIONS = """
+, iuva AS (SELECT * REPLACE (CASE WHEN event_id % 9 <> 0 THEN session_id END AS session_id,
+                             CASE WHEN event_id % 4 <> 0 THEN action_time END AS action_time) FROM uva),
+ises AS (
+  SELECT session_id, min(user_id) AS user_id, min(action_time) AS start_time, max(action_time) AS end_time,
+         CAST((epoch_us(max(action_time)) - epoch_us(min(action_time))) // 1000000 AS BIGINT) AS visit_length,
+         CAST(count(*) AS BIGINT) AS step_length
+  FROM iuva WHERE session_id IS NOT NULL GROUP BY session_id),
+itimed AS (SELECT * FROM ises WHERE start_time IS NOT NULL),
+iscc AS (SELECT click_category_id AS category_id, session_id, CAST(count(*) AS BIGINT) AS click_count FROM iuva
+         WHERE click_category_id IS NOT NULL AND session_id IS NOT NULL GROUP BY ALL)
+"""
+oracle("session_stats_incomplete", INC_SESSIONS + f"SELECT {', '.join(_stat_cols)} FROM ises")
+oracle("session_sample_incomplete", INC_SESSIONS + _sample_ctes(100, of="itimed") + "SELECT * FROM smp")
+oracle("sessions_per_hour_incomplete", INC_SESSIONS + """
+SELECT CAST(start_time AS DATE) AS visit_day, CAST(hour(start_time) AS INTEGER) AS hour,
+       strftime(start_time, '%Y-%m-%d_%H') AS day_hour, CAST(count(*) AS BIGINT) AS session_count
+FROM itimed GROUP BY ALL""")
+oracle("category_top_sessions_incomplete", INC_SESSIONS + """
+SELECT category_id, session_id, click_count,
+       CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id DESC) AS INTEGER) AS rank
+FROM iscc QUALIFY rank <= 10""")
+oracle("top_sessions_for_top_categories_incomplete", INC_SESSIONS + """,
+itop AS (
+  SELECT category_id, CAST(row_number() OVER (ORDER BY click_count DESC, order_count DESC, pay_count DESC,
+                                              category_id DESC) AS INTEGER) AS category_rank
+  FROM catc ORDER BY category_rank LIMIT 10)
+SELECT category_id, session_id, click_count, category_rank,
+       CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id DESC) AS INTEGER) AS rank
+FROM iscc JOIN itop USING (category_id) QUALIFY rank <= 10""")
+oracle("log_gaps", INC_SESSIONS + """
+SELECT count(*) AS actions, count(*) - count(session_id) AS without_session, count(*) - count(action_time) AS without_time FROM iuva""")
+
 # ---------------------------------------------------------------- session analysis, end to end
 TASK_CTES = """
 , tuva AS (SELECT * FROM uva WHERE visit_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-27'),
