@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -210,17 +211,13 @@ def _in_map(whole: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (whole[bucket, low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-_PHRASE = "lang string, w1 string, w2 string, w3 string, f bigint"
-
-
 def _phrase_counts(sent) -> Callable:
-    """(lang, w1, w2, w3, f) summed per slice of text; all words of a language
-    also as one row without a word."""
+    """(lang, phrase, f) summed per slice of text, words joined by a space;
+    all words of a language also as one row without a phrase."""
     def rows(part: Phrases, n: int, lang: np.ndarray, codes: list[np.ndarray], f: np.ndarray) -> pa.RecordBatch:
-        none = pa.nulls(len(f), pa.string())
-        return pa.RecordBatch.from_arrays([
-            part.langs.dictionary.take(pa.array(lang)), *[part.words.take(pa.array(c)) for c in codes], *[none] * (WORDS - n), pa.array(f)],
-            ["lang", "w1", "w2", "w3", "f"])
+        words = [part.words.take(pa.array(c)) for c in codes]
+        phrase = words[0] if n == 1 else pc.binary_join_element_wise(*words, " ") if n else pa.nulls(len(f), pa.string())
+        return pa.RecordBatch.from_arrays([part.langs.dictionary.take(pa.array(lang)), phrase, pa.array(f)], ["lang", "phrase", "f"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = sent.value
@@ -256,8 +253,10 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     NO_LANG."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(text_col).cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(frequent_map(rows, min_count, max_bytes))
-    counted = rows.mapInArrow(_phrase_counts(sent), _PHRASE).groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f"))
-    return counted.where(F.col("w1").isNull() | (F.col("f") >= min_count))
+    counted = rows.mapInArrow(_phrase_counts(sent), "lang string, phrase string, f bigint").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    words = F.split("phrase", " ")  # no word holds a space
+    return counted.where(F.col("phrase").isNull() | (F.col("f") >= min_count)).select(
+        "lang", *[F.get(words, k).alias(f"w{k + 1}") for k in range(WORDS)], "f")
 
 
 # Streams ------------------------------------------------------------------
