@@ -41,6 +41,77 @@ def test_upsert_sink_replay_is_idempotent(spark):
     assert before == after == [(1, 7), (2, 1)]
 
 
+def _counts(sink, spark):
+    return sorted(tuple(r) for r in sink.read(spark).select("k", "n").collect())
+
+
+def test_fold_keeps_counts_of_running_and_new_queries(spark):
+    """Totals of a query that goes on, of a new one and counts of single
+    batches, each before and after folds; folded batches replayed change nothing."""
+    path = new_subdir(spark, "t_fold")
+    total, delta = AD.UpsertSink(path, ["k"]), AD.UpsertSink(path, ["k"], kind=AD.DELTA)
+    df = lambda *rows: spark.createDataFrame(list(rows), "k BIGINT, n BIGINT")
+    total.write_batch(df((1, 5), (2, 9)), 0, "a")
+    total.write_batch(df((1, 6)), 1, "a")
+    delta.write_batch(df((3, 1)), 0, "d")
+    assert total.fold(spark) and _counts(total, spark) == [(1, 6), (2, 9), (3, 1)]
+    assert total.fold(spark) is None  # nothing new
+    total.write_batch(df((1, 7)), 2, "a")  # a goes on
+    total.write_batch(df((1, 100)), 0, "b")  # b counts from zero
+    delta.write_batch(df((3, 2), (1, 1)), 1, "d")
+    want = [(1, 108), (2, 9), (3, 3)]
+    assert _counts(total, spark) == want
+    for _ in range(3):
+        total.fold(spark)
+        total.write_batch(df((1, 5), (2, 9)), 0, "a")  # replay of a folded batch
+        delta.write_batch(df((3, 1)), 0, "d")
+        assert _counts(total, spark) == want
+    total.write_batch(df((2, 10)), 3, "a")
+    moved = total.compact(spark, new_subdir(spark, "t_fold_moved"))
+    moved = AD.UpsertSink(moved, ["k"])
+    assert _counts(moved, spark) == [(1, 108), (2, 10), (3, 3)]
+    moved.write_batch(df((2, 11)), 4, "a")
+    moved.write_batch(df((1, 7)), 0, "new")
+    assert _counts(moved, spark) == [(1, 115), (2, 11), (3, 3)]
+
+
+def test_reads_of_a_folded_sink_do_not_grow_with_its_batches(spark):
+    sink = AD.UpsertSink(new_subdir(spark, "t_fold_cost"), ["k"], kind=AD.DELTA)
+    files = []
+    for batch in range(24):
+        sink.write_batch(spark.createDataFrame([(batch % 3, 1)], "k BIGINT, n BIGINT").coalesce(1), batch, "q")
+        if batch % 4 == 3:
+            sink.fold(spark)
+            files.append(len(sink.read(spark).inputFiles()) + len(spark.read.parquet(f"{sink.path}/log").inputFiles()))
+    assert _counts(sink, spark) == [(0, 8), (1, 8), (2, 8)]
+    assert max(files) <= 40 and files[-1] <= files[1]
+
+
+def test_sixty_days_out_of_order_hold_no_state(spark):
+    """Clicks of 60 days, newest days first: nothing is kept between batches and
+    no click is lost; folding while the stream runs."""
+    day = 86_400_000
+    lines = [f"{1704067200000 + d * day + i} p c {i % 4} {d % 2}" for d in reversed(range(60)) for i in range(5)]
+    path = new_subdir(spark, "t_sixty")
+    for k in range(6):
+        part = lines[k * 50:(k + 1) * 50]
+        spark.createDataFrame([(x,) for x in part], "value STRING").coalesce(1).write.mode("append").text(path)
+    clicks = AD.parse_ad_messages(AD.file_messages(spark, path, 1))
+    sink = AD.UpsertSink(new_subdir(spark, "t_sixty_sink"), AD.DAY_KEYS, ("day",), kind=AD.DELTA)
+    q = AD.count_to_sink(clicks, AD.daily_counts, sink, new_subdir(spark, "t_sixty_ckpt"), fold_every=2)
+    q.awaitTermination()
+    assert q.lastProgress["batchId"] == 5 and q.lastProgress["stateOperators"] == []
+    got = sink.read(spark)
+    assert got.agg(F.sum("click_count")).first()[0] == 300 and got.select("day").distinct().count() == 60
+
+
+def test_counts_of_batches_need_a_delta_sink(spark):
+    import pytest
+    path = AD.stage_messages(spark.createDataFrame([("1 p c 1 1",)], "value STRING"))
+    with pytest.raises(ValueError):
+        AD.count_to_sink(AD.parse_ad_messages(AD.file_messages(spark, path)), AD.daily_counts, AD.UpsertSink("/tmp/none", AD.DAY_KEYS), "/tmp/none")
+
+
 def test_stream_equals_batch(spark):
     lines = [f"{1704067200000 + i * 1500} p c {i % 3} {i % 2}" for i in range(60)] + ["bad"]
     msgs = spark.createDataFrame([(x,) for x in lines], "value STRING")
@@ -159,7 +230,8 @@ def test_ad_click_job_and_compaction(spark):
     assert one_day.count() == 2
     assert "PartitionFilters: [isnotnull(day" in one_day._jdf.queryExecution().executedPlan().toString()
     out = sink.compact(spark, new_subdir(spark, "t_compacted"))
-    assert sorted((r.user_id, r.click_count) for r in spark.read.parquet(out).collect()) == got
+    moved = AD.UpsertSink(out, AD.DAY_KEYS, ("day",))
+    assert sorted((r.user_id, r.click_count) for r in moved.read(spark).collect()) == got
 
 
 def test_csv_job_and_mock_tables(spark):

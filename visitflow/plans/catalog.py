@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitflow.config import new_subdir
+from visitflow.config import cut_lineage, new_subdir
 from visitflow.functions import expressions as X
 from visitflow.operators import area as A
 from visitflow.operators import categories as C
@@ -639,8 +639,8 @@ def q_ad_clicks_daily(spark, sf_dir):
 
 @query("ad_stream_running_counts")
 def q_ad_stream_running_counts(spark, sf_dir):
-    """The same counts kept as streaming state over 2 staged micro-batches,
-    delivered through the idempotent upsert sink."""
+    """The same counts kept running over 2 staged micro-batches, added up
+    by the sink."""
     path, half = _ad_topic(spark, sf_dir)
     return AD.stream_counts(spark, path, "daily", files_per_trigger=half)
 
@@ -660,6 +660,44 @@ def q_ad_upsert_sink(spark, sf_dir):
     sink = AD.UpsertSink(new_subdir(spark, "ad_upsert"), AD.DAY_KEYS)
     run = AD.run_to_sink(AD.running_daily_counts(clicks), sink, new_subdir(spark, "ad_upsert_ckpt"))
     run.awaitTermination()
-    replay = spark.read.parquet(f"{sink.path}/query_id={run.id}/batch_id=0")
-    sink.write_batch(AD.cut_lineage(replay), 0, str(run.id))
+    replay = spark.read.parquet(f"{sink.path}/log/kind=total/query_id={run.id}/batch_id=0")
+    sink.write_batch(cut_lineage(replay), 0, str(run.id))
     return sink.read(spark)
+
+
+@query("ad_sink_folded")
+def q_ad_sink_folded(spark, sf_dir):
+    """One query counts the clicks of even event ids, the sink is folded,
+    the query goes on with the odd ones from its checkpoint, a new query counts
+    these once more, the sink is folded again and a folded batch is replayed."""
+    events = _t(spark, sf_dir).raw("events")
+    topic, late = new_subdir(spark, "ad_fold_topic"), new_subdir(spark, "ad_fold_late")
+    sink = AD.UpsertSink(new_subdir(spark, "ad_fold"), AD.DAY_KEYS)
+
+    def run(folder: str, checkpoint: str):
+        clicks = AD.parse_ad_messages(AD.file_messages(spark, folder, 1000))
+        q = AD.run_to_sink(AD.running_daily_counts(clicks), sink, checkpoint)
+        q.awaitTermination()
+        return str(q.id)
+
+    first = new_subdir(spark, "ad_fold_ckpt")
+    AD.messages_from_clicks(events.where("event_id % 2 = 0")).write.text(topic)
+    query_id = run(topic, first)
+    replay = cut_lineage(spark.read.parquet(f"{sink.path}/log/kind=total/query_id={query_id}/batch_id=0"))
+    sink.fold(spark)
+    for folder in (topic, late):
+        AD.messages_from_clicks(events.where("event_id % 2 <> 0")).write.mode("append").text(folder)
+    run(topic, first)
+    run(late, new_subdir(spark, "ad_fold_ckpt"))
+    sink.fold(spark)
+    sink.write_batch(replay, 0, query_id)
+    return sink.read(spark)
+
+
+@query("ad_stream_late_clicks")
+def q_ad_stream_late_clicks(spark, sf_dir):
+    """T3 where the newest days come first: every batch is late, all count; the
+    sink is folded after every second batch."""
+    path = new_subdir(spark, "ad_late")
+    _messages(_t(spark, sf_dir)).repartitionByRange(5, F.desc("value")).write.text(path)
+    return AD.stream_counts(spark, path, "daily", files_per_trigger=1, fold_every=2)

@@ -102,13 +102,19 @@ def area_top_products(actions: DataFrame, cities: DataFrame, params: TaskParams,
 
 
 def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, watermark: str | None = None,
-                    available_now: bool = False, processing_time: str = "5 seconds"):
-    """The real-time job: parse messages, keep running daily counts per user
-    and ad, upsert them into ``sink_path``. Returns the started query."""
+                    available_now: bool = False, processing_time: str = "5 seconds", fold_every: int = 1000):
+    """The real-time job: parse messages, count every batch's clicks per day,
+    user and ad into ``sink_path`` and fold the sink every ``fold_every``
+    batches. No state is held and every click counts; with a ``watermark``
+    running totals are kept as streaming state instead, and clicks later than
+    it are lost. Returns the started query."""
     clicks = AD.parse_ad_messages(messages)
-    sink = AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",))
-    return AD.run_to_sink(AD.running_daily_counts(clicks, watermark), sink, checkpoint,
-                          available_now=available_now, processing_time=processing_time)
+    how = dict(available_now=available_now, processing_time=processing_time)
+    if watermark:
+        sink = AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",))
+        return AD.run_to_sink(AD.running_daily_counts(clicks, watermark), sink, checkpoint, **how)
+    sink = AD.UpsertSink(sink_path, AD.DAY_KEYS, ("day",), kind=AD.DELTA)
+    return AD.count_to_sink(clicks, AD.daily_counts, sink, checkpoint, fold_every, **how)
 
 
 def split_valid_csv(spark, in_path: str, out_path: str, n_fields: int, names=None,

@@ -435,6 +435,10 @@ oracle("ad_message_rejects", AD_CTES +
 oracle("ad_clicks_daily", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")
 oracle("ad_stream_running_counts", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")
 oracle("ad_upsert_sink", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")
+oracle("ad_stream_late_clicks", AD_CTES + "SELECT day, user_id, ad_id, click_count FROM daily")
+oracle("ad_sink_folded", AD_CTES + """
+SELECT CAST(make_timestamp(ms * 1000) AS DATE) AS day, user_id, ad_id, CAST(sum(1 + event_id % 2) AS BIGINT) AS click_count
+FROM msg WHERE event_id % 50 <> 0 GROUP BY ALL""")
 oracle("ad_stream_5s_windows", AD_CTES + """
 SELECT make_timestamp((epoch_ms(event_time) // 5000) * 5000 * 1000) AS window_start,
        make_timestamp((epoch_ms(event_time) // 5000) * 5000 * 1000 + 5000000) AS window_end,

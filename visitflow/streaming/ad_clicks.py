@@ -5,28 +5,29 @@ Messages are text lines ``<epoch millis> <province> <city> <user id> <ad id>``.
 * ``parse_ad_messages`` (T1) is a per-row built-in expression, identical for a
   batch or a streaming DataFrame; malformed lines are kept apart, not dropped
   silently (``ad_message_rejects``).
-* ``daily_counts`` (A19) is the batch aggregate; ``running_daily_counts`` (T3)
-  the same count kept as streaming state. The day is a 1-day event-time
-  window, so with a watermark Spark drops the state of closed days.
-* ``windowed_counts`` (T2) counts per 5-second event-time window.
-* The sink (S6) is idempotent: every micro-batch's updated rows are written to
-  ``<table>/query_id=<id>/batch_id=<id>`` with overwrite, so a replayed batch
-  rewrites the same files. Readers take, per query and key, the row of the
-  highest batch id and add up over queries. No read-modify-write, no external
-  database.
+* ``daily_counts`` (A19) and ``windowed_counts`` (T2, per 5-second event-time
+  window) are aggregates of any set of clicks.
+* ``count_to_sink`` keeps either of them running (T2, T3): each micro-batch is
+  counted by itself and the sink (S6, ``visitflow.streaming.sink``) adds the
+  batches up and folds them. No streaming state is held, so nothing grows with
+  the days and no click is too late to count.
+* ``running_daily_counts`` is T3 kept as Spark's streaming state instead, for
+  sinks that need totals. The day is a 1-day event-time window, so with a
+  watermark Spark drops the state of closed days, and later clicks with it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from visitflow.config import cut_lineage, new_subdir
+from visitflow.config import new_subdir
 from visitflow.functions.expressions import (compact_day, instant_to_ntz, millis_to_timestamp,
                                              ntz_to_instant, timestamp_to_millis)
+from visitflow.streaming.sink import DELTA, UpsertSink
 
 DAY_KEYS = ("day", "user_id", "ad_id")
 WINDOW_KEYS = ("window_start", "user_id", "ad_id")
@@ -116,54 +117,6 @@ def windowed_counts(clicks: DataFrame, size: str = "5 seconds", watermark: str |
                       "user_id", "ad_id", "click_count")
 
 
-# ------------------------------------------------------------------ idempotent sink
-class UpsertSink:
-    """Keyed, idempotent sink for ``foreachBatch`` (see module notes).
-
-    ``partition_by`` adds partition folders under each batch (``day`` for the
-    live daily counts, where a batch touches one or two days): a reader
-    filtering on them prunes to the matching files, and the files of a day
-    stop changing once the watermark has passed it.
-    """
-
-    def __init__(self, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()):
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
-        self.partition_by = list(partition_by)
-
-    def write_batch(self, batch: DataFrame, batch_id: int, query_id: str | None = None) -> None:
-        w = batch.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}/query_id={query_id or self._query_id(batch)}/batch_id={int(batch_id)}")
-
-    @staticmethod
-    def _query_id(batch: DataFrame) -> str:
-        """The id kept in the query's checkpoint; batch numbers are its own."""
-        return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
-
-    __call__ = write_batch
-
-    def read(self, spark: SparkSession, where=None) -> DataFrame:
-        """Current counts per key: of each query (checkpoint) the row of its
-        latest batch, added up over queries - a query with a new checkpoint
-        counts from zero. ``where`` (a Column on partition columns, e.g. one
-        day) is applied before the aggregate, so it prunes folders."""
-        raw = spark.read.parquet(self.path)
-        if where is not None:
-            raw = raw.where(where)
-        values = [c for c in raw.columns if c not in self.keys and c not in ("query_id", "batch_id")]
-        latest = raw.groupBy("query_id", *self.keys).agg(
-            F.max_by(F.struct(*values), "batch_id").alias("_v"))
-        counts = {c for c, t in raw.dtypes if t in ("bigint", "int")}  # other values are the key's own, as a window's end
-        return latest.groupBy(*self.keys).agg(*[(F.sum if c in counts else F.max)(f"_v.{c}").alias(c) for c in values])
-
-    def compact(self, spark: SparkSession, out_path: str) -> str:
-        """Write the current table state once, e.g. to start a new sink folder."""
-        self.read(spark).write.mode("overwrite").parquet(out_path)
-        return out_path
-
-
 # ------------------------------------------------------------------ sources
 def kafka_messages(spark: SparkSession, servers: str, topics: str, **options) -> DataFrame:
     """Message text from Kafka (needs the Kafka connector on the class
@@ -188,29 +141,50 @@ def file_messages(spark: SparkSession, path: str, files_per_trigger: int = 1) ->
 _NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def run_to_sink(stream: DataFrame, sink: UpsertSink, checkpoint: str, output_mode: str = "update",
-                available_now: bool = True, processing_time: str = "5 seconds") -> StreamingQuery:
-    """Start ``stream`` into ``sink``; ``available_now`` drains the input and
-    stops (tests, backfills), otherwise a ``processing_time`` trigger.
+def _start(writer, spark: SparkSession, available_now: bool, processing_time: str) -> StreamingQuery:
+    """``available_now`` drains the input and stops (tests, backfills), otherwise
+    a ``processing_time`` trigger.
 
     A drain-and-stop run skips the trailing no-data batch (it would only move
     the watermark of a query that is about to stop); continuous runs keep
     no-data batches so the state of closed windows is dropped on time. The
     setting is read when the query starts, so it is restored right after.
     """
-    spark = stream.sparkSession
-    w = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-         .foreachBatch(sink.write_batch))
     if not available_now:
-        return w.trigger(processingTime=processing_time).start()
+        return writer.trigger(processingTime=processing_time).start()
     previous = spark.conf.get(_NO_DATA_BATCHES, "true")
     spark.conf.set(_NO_DATA_BATCHES, "false")
     try:
-        return w.trigger(availableNow=True).start()
+        return writer.trigger(availableNow=True).start()
     finally:
         spark.conf.set(_NO_DATA_BATCHES, previous)
 
 
+def run_to_sink(stream: DataFrame, sink: UpsertSink, checkpoint: str, output_mode: str = "update",
+                available_now: bool = True, processing_time: str = "5 seconds") -> StreamingQuery:
+    """Start an aggregated ``stream`` (running totals) into ``sink``."""
+    w = (stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+         .foreachBatch(sink.write_batch))
+    return _start(w, stream.sparkSession, available_now, processing_time)
+
+
+def count_to_sink(clicks: DataFrame, counts: Callable[[DataFrame], DataFrame], sink: UpsertSink, checkpoint: str,
+                  fold_every: int | None = None, available_now: bool = True, processing_time: str = "5 seconds") -> StreamingQuery:
+    """Start a stream of clicks into a ``delta`` sink: ``counts`` (such as
+    ``daily_counts``) of every micro-batch by itself. ``fold_every`` folds the
+    sink after so many batches."""
+    if sink.kind != DELTA:
+        raise ValueError("counts of single batches need a sink of kind 'delta'")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.write_batch(counts(batch), batch_id)
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            sink.fold(batch.sparkSession)
+
+    w = clicks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _start(w, clicks.sparkSession, available_now, processing_time)
+
+
 def stage_messages(messages: DataFrame, records_per_file: int = 1_000_000) -> str:
     """Write message lines as text files under the shared folder (a replayable
     input for the file source): one or more per partition, none with more than
@@ -220,19 +194,23 @@ def stage_messages(messages: DataFrame, records_per_file: int = 1_000_000) -> st
     return path
 
 
-def stream_counts(spark: SparkSession, messages_path: str, kind: str = "daily",
-                  watermark: str | None = None, files_per_trigger: int = 1) -> DataFrame:
-    """Run T2 or T3 over staged messages to completion through the upsert sink
-    and return the sink's table."""
+def stream_counts(spark: SparkSession, messages_path: str, kind: str = "daily", watermark: str | None = None,
+                  files_per_trigger: int = 1, fold_every: int | None = None) -> DataFrame:
+    """Run T2 or T3 over staged messages to completion through the sink and
+    return the sink's table: each batch counted by itself, or with a
+    ``watermark`` as streaming state."""
     clicks = parse_ad_messages(file_messages(spark, messages_path, files_per_trigger))
-    if kind == "daily":
-        agg, keys = running_daily_counts(clicks, watermark), DAY_KEYS
-    else:
-        agg, keys = windowed_counts(clicks, "5 seconds", watermark), WINDOW_KEYS
+    daily = kind == "daily"
     # Flat layout: a replay pushes many days through few batches, where day
     # folders would mean days x tasks small files per batch. The live job
     # (plans.jobs.ad_click_counts) partitions its sink by day.
-    sink = UpsertSink(new_subdir(spark, f"ad_sink_{kind}"), keys)
-    q = run_to_sink(agg, sink, new_subdir(spark, f"ad_ckpt_{kind}"))
+    path, keys, checkpoint = new_subdir(spark, f"ad_sink_{kind}"), DAY_KEYS if daily else WINDOW_KEYS, new_subdir(spark, f"ad_ckpt_{kind}")
+    if watermark:
+        sink = UpsertSink(path, keys)
+        agg = running_daily_counts(clicks, watermark) if daily else windowed_counts(clicks, "5 seconds", watermark)
+        q = run_to_sink(agg, sink, checkpoint)
+    else:
+        sink = UpsertSink(path, keys, kind=DELTA)
+        q = count_to_sink(clicks, daily_counts if daily else windowed_counts, sink, checkpoint, fold_every)
     q.awaitTermination()
     return sink.read(spark)
