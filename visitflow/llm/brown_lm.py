@@ -14,7 +14,10 @@ Word counts come from all training rows by a grouped sum. The counts of the
 KNOWN most frequent words (a bound, not a share) go to the tasks; all other
 words of a text meet their counts in a join, so every count is exact. The
 driver holds class and unit counts, at most the square of the number of
-units, and hash and class of the words with a class of their own. Words are identified by a 64-bit hash.
+units, and hash and class of the words with a class of their own. Words are
+found and hashed twice: to be counted, and to write each text as the numbers of
+its units; bigrams, contexts and scores come from these stored numbers. Words
+are identified by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -61,9 +64,7 @@ class Units:
 @dataclass
 class Model:
     units: Units
-    known: np.ndarray  # sorted hashes of the most frequent words
-    count: np.ndarray  # their counts
-    classes: np.ndarray  # class of each unit
+    classes: np.ndarray  # class of each unit, and of each word numbered behind them
     transition: np.ndarray  # log10, by previous and next class
     emission_total: np.ndarray  # per class: its count and the added mass
     documents: int  # training rows, each an end token
@@ -94,12 +95,16 @@ def _units_of(units: Units, words: Words, hashes: np.ndarray) -> np.ndarray:
     return np.where(at >= 0, own, UNIT_WORDS + _ending(words))
 
 
-def _stream(words: Words, units: np.ndarray, end: int) -> np.ndarray:
-    """All texts' units in a row, an end before the first and behind each."""
-    n = len(words.first) - 1
-    out = np.full(len(units) + n + 1, end, np.int64)
-    out[np.arange(len(units)) + row_of_word(words) + 1] = units
-    return out
+def _stream(lines: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All stored lines of units in a row, an end before the first and behind
+    each, and the number of words of each."""
+    _, offsets, data = lines.buffers()
+    at = np.frombuffer(offsets, np.int32)[lines.offset:lines.offset + len(lines) + 1].astype(np.int64) // 4
+    units = (np.zeros(0, np.int32) if data is None else np.frombuffer(data, np.int32, count=int(at[-1])))[at[0]:]
+    n_words = np.diff(at)
+    out = np.full(len(units) + len(lines) + 1, end, np.int64)
+    out[np.arange(len(units)) + np.repeat(np.arange(len(lines)), n_words) + 1] = units
+    return out, n_words
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -130,38 +135,21 @@ def most_frequent(counts: DataFrame, most: int = KNOWN) -> DataFrame:
     return counts.where(level >= cut)
 
 
-def unit_bigrams(train: DataFrame, units: Units) -> np.ndarray:
-    """How often each unit follows each; at most size squared sums come back."""
+def _pair_counts(lines: DataFrame, of: np.ndarray, end: int, size: int) -> np.ndarray:
+    """How often each of ``size`` numbers follows each in the stored lines, a
+    unit u counted as ``of[u]``; at most size squared sums come back."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, total = WordHasher(), np.zeros(units.size ** 2, np.int64)
-        for batch in slices(batches):
-            words = find_words(batch.column("text"), lower=True)
-            line = _stream(words, _units_of(units, words, hasher(words)), units.end)
-            total += np.bincount(line[:-1] * units.size + line[1:], minlength=len(total))
+        total = np.zeros(size ** 2, np.int64)
+        for batch in batches:
+            line = of[_stream(batch.column("line"), end)[0]]
+            total += np.bincount(line[:-1] * size + line[1:], minlength=len(total))
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["pair", "n"])
 
-    sums = train.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(units.size ** 2)
+    sums = lines.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(size ** 2)
     out[sums["pair"].to_numpy(np.int64)] = sums["n"].to_numpy(np.float64)
-    return out.reshape(units.size, units.size)
-
-
-def class_bigrams(train: DataFrame, units: Units, classes: np.ndarray) -> np.ndarray:
-    """How often each class follows each."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, total = WordHasher(), np.zeros(CLASSES ** 2, np.int64)
-        for batch in slices(batches):
-            words = find_words(batch.column("text"), lower=True)
-            line = classes[_stream(words, _units_of(units, words, hasher(words)), units.end)].astype(np.int64)
-            total += np.bincount(line[:-1] * CLASSES + line[1:], minlength=len(total))
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["pair", "n"])
-
-    out = np.zeros(CLASSES ** 2)
-    for r in train.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
-        out[r.pair] = r.n
-    return out.reshape(CLASSES, CLASSES)
+    return out.reshape(size, size)
 
 
 def _gains(table: np.ndarray, out: np.ndarray, back: np.ndarray, own: float) -> np.ndarray:
@@ -178,27 +166,23 @@ def _gains(table: np.ndarray, out: np.ndarray, back: np.ndarray, own: float) ->
     return gain
 
 
-def own_classes(train: DataFrame, units: Units, classes: np.ndarray, table: np.ndarray, hashes: np.ndarray,
-                start: np.ndarray) -> np.ndarray:
-    """Class of each of ``hashes`` (sorted, no units), which are in the classes
-    ``start`` now. Its pairs with the classes before and behind it are summed
-    on Spark; each word is taken out of ``table`` and put where it fits best."""
+def own_classes(lines: DataFrame, units: Units, of: np.ndarray, classes: np.ndarray, table: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Class of each word that is numbered behind the units, all of which are
+    in the classes ``start`` now; ``of`` gives every number's unit. A word's
+    pairs with the classes before and behind it are summed on Spark; each word
+    is taken out of ``table`` and put where it fits best."""
+    size, k = units.size, len(table)
+
     def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        for batch in slices(batches):
-            words = find_words(batch.column("text"), lower=True)
-            h = hasher(words)
-            line = classes[_stream(words, _units_of(units, words, h), units.end)].astype(np.int64)
-            at = _find(hashes, h)
-            word = np.flatnonzero(at >= 0)
-            place = word + row_of_word(words)[word] + 1
-            at = at[word]
-            same = np.zeros(len(line) + 1, np.int64) - 1
-            same[place] = at
-            itself = same[place + 1] == at  # the same word twice is one pair
-            before = np.where(same[place - 1] == at, 2 * CLASSES, line[place - 1])
-            behind = CLASSES + line[np.minimum(place + 1, len(line) - 1)]
-            code = np.r_[at * (2 * CLASSES + 1) + before, (at * (2 * CLASSES + 1) + behind)[~itself]]
+        for batch in batches:
+            numbers = _stream(batch.column("line"), units.end)[0]
+            line = classes[of[numbers]]
+            place = np.flatnonzero(numbers >= size)
+            at = numbers[place] - size
+            itself = numbers[np.minimum(place + 1, len(line) - 1)] == numbers[place]  # the same word twice is one pair
+            before = np.where(numbers[place - 1] == numbers[place], 2 * k, line[place - 1])
+            behind = k + line[np.minimum(place + 1, len(line) - 1)]
+            code = np.r_[at * (2 * k + 1) + before, (at * (2 * k + 1) + behind)[~itself]]
             code, n = np.unique(code, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
@@ -206,10 +190,10 @@ def own_classes(train: DataFrame, units: Units, classes: np.ndarray, table: np.n
         for batch in batches:
             found = []
             for word, around in zip(batch.column("word").to_pylist(), batch.column("around").to_pylist()):
-                count = np.zeros(2 * CLASSES + 1)
+                count = np.zeros(2 * k + 1)
                 for x in around:
                     count[x["slot"]] = x["n"]
-                back, out, own = count[:CLASSES], count[CLASSES:2 * CLASSES], count[-1]
+                back, out, own = count[:k], count[k:2 * k], count[-1]
                 a = start[word]
                 rest = table.copy()
                 rest[a] -= out
@@ -221,9 +205,9 @@ def own_classes(train: DataFrame, units: Units, classes: np.ndarray, table: np.n
             yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(found, pa.int64())], ["word", "class"])
 
     out = start.copy()
-    if len(hashes):
-        slots = 2 * CLASSES + 1
-        sums = train.select("text").mapInArrow(pairs, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    if len(start):
+        slots = 2 * k + 1
+        sums = lines.mapInArrow(pairs, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
         around = sums.groupBy(F.expr(f"code div {slots}").alias("word")).agg(
             F.collect_list(F.struct((F.col("code") % slots).cast("int").alias("slot"), "n")).alias("around"))
         got = around.mapInArrow(best, "word bigint, class bigint").toPandas()
@@ -273,29 +257,42 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     return of
 
 
-def fit(train: DataFrame) -> tuple[Model, DataFrame]:
+def fit(train: DataFrame, classes: int = CLASSES) -> tuple[Model, DataFrame]:
     """The model and the stored count table, from the texts of ``train``."""
+    none = F.lit(None).cast("bigint")
+    return _fit(train.select(none.alias("doc_id"), F.lit(False).alias("held_out"), "text"), classes)[:2]
+
+
+def _fit(src: DataFrame, k: int) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the stored count table and the stored rows of ``_rows``."""
+    train = src.where("not held_out")
     counts = cut_lineage(word_counts(train), "llm-counts")
     documents = train.count()
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     known = most_frequent(counts).select("word", "n").toPandas()
-    hashes, n = known["word"].to_numpy(np.int64).view(np.uint64), known["n"].to_numpy(np.int64)
-    by_hash = np.argsort(hashes)
+    known_hashes, known_n = known["word"].to_numpy(np.int64).view(np.uint64), known["n"].to_numpy(np.int64)
+    by_hash = np.argsort(known_hashes)
+    known_hashes, known_n = known_hashes[by_hash], known_n[by_hash]
     top = counts.orderBy(F.desc("n"), "word").limit(UNIT_WORDS).toPandas()
     unit_hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     rank = np.argsort(unit_hashes)
-    units = Units(unit_hashes[rank], rank)
-    bigrams = unit_bigrams(train, units)
-    classes = exchange(bigrams)
-    member = np.eye(CLASSES)[classes]
-    table = member.T @ bigrams @ member
     # all other words that are frequent enough get a class by their own neighbours
     more = counts.where(F.col("n") >= OWN_COUNT).select("word", "ending").toPandas()
     more_hashes, ending = more["word"].to_numpy(np.int64).view(np.uint64), more["ending"].to_numpy(np.int64)
-    others = np.flatnonzero(_find(units.hashes, more_hashes) < 0)
+    others = np.flatnonzero(_find(unit_hashes[rank], more_hashes) < 0)
     others = others[np.argsort(more_hashes[others])]
     more_hashes, ending = more_hashes[others], ending[others]
-    found = own_classes(train, units, classes, table, more_hashes, classes[UNIT_WORDS + ending])
+    every, unit = np.r_[unit_hashes[rank], more_hashes], np.r_[rank, UNIT_WORDS + ENDINGS + 1 + np.arange(len(others))]
+    order = np.argsort(every)
+    units = Units(every[order], unit[order].astype(np.int32))
+    of = np.r_[np.arange(units.size), UNIT_WORDS + ending]
+    # from here on the texts are not read again
+    rows = cut_lineage(src.mapInArrow(_rows(units, known_hashes, known_n), _ROWS), "llm-lines")
+    lines = rows.where("word is null and not held_out").select("line")
+    bigrams = _pair_counts(lines, of, units.end, units.size)
+    classes = exchange(bigrams, k)
+    member = np.eye(k)[classes]
+    found = own_classes(lines, units, of, classes, member.T @ bigrams @ member, classes[UNIT_WORDS + ending])
     # distinct words of each unit, and from them of each class
     kinds = np.zeros(units.size)
     for r in counts.groupBy("ending").count().collect():
@@ -304,65 +301,84 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     np.subtract.at(kinds, UNIT_WORDS + top["ending"].to_numpy(np.int64)[:len(rank)], 1)
     np.subtract.at(kinds, UNIT_WORDS + ending, 1)
     kinds[units.end] = 1
-    kinds = np.bincount(classes, kinds, CLASSES) + np.bincount(found, minlength=CLASSES)
-    if len(found):
-        every, unit = np.r_[units.hashes, more_hashes], np.r_[units.unit, units.size + np.arange(len(found))]
-        order = np.argsort(every)
-        units, classes = Units(every[order], unit[order].astype(np.int32)), np.r_[classes, found].astype(np.int8)
-        table = class_bigrams(train, units, classes)
-    share = (table.sum(axis=0) + 1) / (table.sum() + CLASSES)
-    rows = table.sum(axis=1, keepdims=True)
-    bigram = np.divide(table, rows, out=np.tile(share, (CLASSES, 1)), where=rows > 0)
+    kinds = np.bincount(classes, kinds, k) + np.bincount(found, minlength=k)
+    classes = np.r_[classes, found].astype(np.int64)
+    table = _pair_counts(lines, classes, units.end, k)
+    share = (table.sum(axis=0) + 1) / (table.sum() + k)
+    sums = table.sum(axis=1, keepdims=True)
+    bigram = np.divide(table, sums, out=np.tile(share, (k, 1)), where=sums > 0)
     transition = np.log10(BIGRAM_SHARE * bigram + (1 - BIGRAM_SHARE) * share)
     per_class = table.sum(axis=0) + EMISSION_ADD * (kinds + 1)
-    return Model(units, hashes[by_hash], n[by_hash], classes, transition, np.log10(per_class), documents,
-                 int(total.n or 0) + documents, total.v + (documents > 0)), counts
+    model = Model(units, classes, transition, np.log10(per_class), documents, int(total.n or 0) + documents, total.v + (documents > 0))
+    return model, counts, rows
 
 
-def _score_rows(model: Model):
-    """Per text one row with the sums over its frequent words, and a row (rid,
-    word, n) for each other distinct word of it."""
-    names = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "word", "n"]
-    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
+_ROWS = "rid bigint, doc_id bigint, held_out boolean, n_words bigint, n_known bigint, base double, emit double, line binary, word bigint, n bigint"
+
+
+def _rows(units: Units, known: np.ndarray, count: np.ndarray):
+    """Per text one row with its units, the number of its frequent words and
+    the sums over them, and a row (rid, word, n) for each other distinct word."""
+    names = [c.split()[0] for c in _ROWS.split(", ")]
+    every = np.union1d(units.hashes, known)
+    unit_of, n_of = np.full(len(every), -1, np.int32), np.full(len(every), -1)
+    unit_of[_find(every, units.hashes)] = units.unit
+    n_of[_find(every, known)] = count
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, rid = WordHasher(), TaskContext.get().partitionId() << 36
-        base_total = np.log10(model.tokens + model.distinct + 1)
-        base_known, emit_known = np.log10(model.count + 1), np.log10(model.count + EMISSION_ADD)
-        end_class = model.classes[model.units.end]
+        base_known, emit_known = np.log10(np.maximum(n_of, 0) + 1), np.log10(np.maximum(n_of, 0) + EMISSION_ADD)
         for batch in slices(batches):
             words = find_words(batch.column("text"), lower=True)
-            rows, hashes = batch.num_rows, hasher(words)
-            row = row_of_word(words)
-            line = model.classes[_stream(words, _units_of(model.units, words, hashes), model.units.end)]
-            step = model.transition[line[:-1], line[1:]]
-            n_words = np.diff(words.first)
-            of_step = np.repeat(np.arange(rows), n_words + 1)
-            at = _find(model.known, hashes)
+            rows, hashes, row = batch.num_rows, hasher(words), row_of_word(words)
+            at = _find(every, hashes)
+            line = unit_of[at] if len(every) else np.full(len(at), -1, np.int32)
+            line = np.where(at >= 0, line, -1).astype(np.int32)
+            rest = np.flatnonzero(line < 0)
+            line[rest] = UNIT_WORDS + _ending(Words(words.raw, words.start[rest], words.end[rest], words.first))
             there = at >= 0
-            own_class = line[np.arange(len(hashes)) + row + 1]
-            base = np.bincount(row[there], base_known[at[there]], rows) + np.log10(model.documents + 1) - (n_words + 1) * base_total
-            score = np.bincount(of_step, step, rows) + np.bincount(row[there], emit_known[at[there]], rows)
-            score -= np.bincount(row, model.emission_total[own_class], rows)
-            score += np.log10(model.documents + EMISSION_ADD) - model.emission_total[end_class]
-            known = np.bincount(row[there], minlength=rows) + (model.documents > 0)
+            if len(every):
+                there &= n_of[at] >= 0
+            seen = np.bincount(row[there], minlength=rows)
+            base = np.bincount(row[there], base_known[at[there]], rows).astype(float)
+            emit = np.bincount(row[there], emit_known[at[there]], rows).astype(float)
             ids = rid + np.arange(rows)
             rid += rows
             left = np.flatnonzero(~there)
             order = left[np.lexsort((hashes[left], row[left]))]
             first = np.flatnonzero(np.r_[True, (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])]) if len(order) else order
-            empty = [pa.nulls(rows, t) for t in types[7:]]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), batch.column("held_out"), pa.array(n_words + 1),
-                                              pa.array(known), pa.array(base), pa.array(score), *empty], names)
+            stored = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((words.first * 4).astype(np.int32)), pa.py_buffer(line)])
+            long = lambda n: pa.nulls(n, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(words.first)), pa.array(seen),
+                                              pa.array(base), pa.array(emit), stored, long(rows), long(rows)], names)
             if len(order):
                 n = len(first)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row[order[first]]]), *(pa.nulls(n, t) for t in types[1:7]),
+                real = pa.nulls(n, pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row[order[first]]]), long(n), pa.nulls(n, pa.bool_()), long(n), long(n), real, real, pa.nulls(n, pa.binary()),
                                                   pa.array(hashes[order[first]].view(np.int64)), pa.array(np.diff(np.r_[first, len(order)]))], names)
 
     return run
 
 
-def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _score_rows(model: Model):
+    """The stored text rows with their sums over frequent words made scores."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base_total = np.log10(model.tokens + model.distinct + 1)
+        for batch in batches:
+            line, n_words = _stream(batch.column("line"), model.units.end)
+            line, rows = model.classes[line], batch.num_rows
+            of_step = np.repeat(np.arange(rows), n_words + 1)
+            score = np.bincount(of_step, model.transition[line[:-1], line[1:]] - model.emission_total[line[1:]], rows)
+            score += batch.column("emit").to_numpy() + np.log10(model.documents + EMISSION_ADD)
+            base = batch.column("base").to_numpy() + np.log10(model.documents + 1) - (n_words + 1) * base_total
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), pa.array(n_words + 1),
+                                              pa.array(batch.column("n_known").to_numpy() + (model.documents > 0)), pa.array(base), pa.array(score)],
+                                             ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
+
+    return run
+
+
+def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigrams) and score (the class model), both log10
     probabilities of the whole text.
@@ -373,15 +389,15 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     all words are unknown and scores are those of the added counts."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(True)).alias("held_out"),
                       F.col(text_col).cast("string").alias("text"))
-    model, counts = fit(src.where("not held_out"))
-    rows = cut_lineage(src.mapInArrow(_score_rows(model), "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-                                      "base double, model double, word bigint, n bigint"), "llm-scores")
+    model, counts, rows = _fit(src, classes)
     c = F.coalesce("c", F.lit(0))
     rare = rows.where("word is not null").select("rid", "word", "n").join(counts.select("word", F.col("n").alias("c")), "word", "left").groupBy("rid").agg(
         F.sum(F.col("n") * F.log10(c + 1)).alias("rare_base"), F.sum(F.col("n") * F.log10(c + EMISSION_ADD)).alias("rare_model"),
         F.sum(F.when(c > 0, F.col("n"))).alias("rare_known"))
     zero = F.lit(0)
-    return rows.where("word is null").join(rare, "rid", "left").select(
+    texts = rows.where("word is null").mapInArrow(
+        _score_rows(model), "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, model double")
+    return texts.join(rare, "rid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", zero)).alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"),
         (F.col("model") + F.coalesce("rare_model", zero)).alias("score"))
