@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.config import cut_lineage
@@ -61,16 +61,22 @@ def simhash(data: bytes, size: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE_WORDS) -> DataFrame:
+                 shingle: int = SHINGLE_WORDS, keep_key: bool = False) -> DataFrame:
     """(doc_id, fp) per row of ``docs``; fp is the signed 64-bit fingerprint.
-    NULL and empty texts have 0; a NULL id stays NULL."""
+    NULL and empty texts have 0; a NULL id stays NULL. ``keep_key`` adds
+    ``key``, a hash and the length of the text."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.fromiter((simhash((t.as_py() or "").encode(), shingle) for t in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            kept = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out.view(np.int64))], [*kept, "fp"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id bigint, fp bigint")
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if not keep_key:
+        return src.mapInArrow(run, "doc_id bigint, fp bigint")
+    key = _text_key(F.col("text"))
+    return src.select("doc_id", key["h"].alias("h"), key["n"].alias("n"), "text").mapInArrow(
+        run, "doc_id bigint, h bigint, n int, fp bigint").select("doc_id", F.struct("h", "n").alias("key"), "fp")
 
 
 def counts(fp: np.ndarray) -> np.ndarray:
@@ -178,6 +184,18 @@ def fingerprint_links(fps: DataFrame, distance: int = MAX_DISTANCE, block: int =
     return spread.mapInArrow(_links(distance), "a bigint, b bigint").distinct()
 
 
+def _labels(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, component_id, component) of each fingerprint of the stored
+    ``prints``: the smallest doc_id of its group, and the group's own number."""
+    fps = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "llm-fps")
+    groups = connected_components(fingerprint_links(fps, distance))
+    groups = fps.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    groups = cut_lineage(groups, "llm-groups")
+    smallest = cut_lineage(groups.groupBy("component").agg(F.min("first_id").alias("component_id")), "llm-first")
+    return cut_lineage(groups.join(smallest, "component").select("fp", "component_id", "component"), "llm-label")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``: component_id is
@@ -189,23 +207,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     another; repeated rows each come back; an empty table gives an empty one.
     """
     prints = cut_lineage(fingerprints(docs, id_col, text_col, shingle), "llm-simhash")
-    fps = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "llm-fps")
-    groups = connected_components(fingerprint_links(fps, distance))
-    groups = fps.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    groups = cut_lineage(groups, "llm-groups")
-    smallest = cut_lineage(groups.groupBy("component").agg(F.min("first_id").alias("component_id")), "llm-first")
-    label = cut_lineage(groups.join(smallest, "component").select("fp", "component_id"), "llm-label")
-    return prints.join(label, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(_labels(prints, distance).drop("component"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _text_key(text: Column) -> Column:
+    return F.struct(F.xxhash64(text).alias("h"), F.coalesce(F.octet_length(text), F.lit(-1)).alias("n"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with
-    the smallest id. Rows with a NULL id stay unless their group has an id;
-    rows that repeat the kept id all stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    dropped = found.where("component_id is not null and not (doc_id <=> component_id)").select(
-        F.col("doc_id").alias("_dropped_id"))
-    dropped = cut_lineage(dropped.where("_dropped_id is not null").distinct(), "llm-dropped")
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped_id"), "left_anti")
+    """``docs`` with one row of each near-duplicate group: the row with the
+    smallest id (a NULL id is behind all others), then the smallest hash of its
+    text; of rows that repeat both, one."""
+    key = F.struct(F.col(id_col).cast("bigint").alias("id"), _text_key(F.col(text_col).cast("string")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prints = cut_lineage(fingerprints(rows.select("doc_id", "text"), shingle=shingle, keep_key=True), "llm-simhash")
+    label = _labels(prints.select("doc_id", "fp"), distance)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    groups = prints.join(label, "fp").groupBy("component").agg(F.min(order).alias("kept"))
+    copies = cut_lineage(prints.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp")), "llm-keys")
+    found = copies.join(label, "fp").join(groups, "component")
+    first = (F.col("kept.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("kept.key") == F.col("key"))
+    name = F.struct(F.col("doc_id").alias("id"), F.col("key").alias("text"))
+    found = cut_lineage(found.select(name.alias("key"), first.alias("first"), "n"), "llm-dropped")
+    # columns of docs stay apart in one struct, so no name can clash
+    whole = docs.select(F.struct("*").alias("row"), key.alias("key"))
+    dropped = found.where("not first or n > 1").select("key")
+    repeated = found.where("first and n > 1").select("key")
+    same = lambda a, b: a["key"].eqNullSafe(b["key"])
+    single = whole.join(dropped, same(whole, dropped), "left_anti").select("row.*")
+    once = whole.join(repeated, same(whole, repeated), "left_semi").dropDuplicates(["key"]).select("row.*")
+    return single.unionAll(once)
