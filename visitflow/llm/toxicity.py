@@ -20,9 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitflow.config import cut_lineage
 from visitflow.llm.words import LETTERS, WordHasher, Words, find_words, mix, ragged, row_of_word, slices
 
 SAMPLE = 2500
@@ -289,18 +290,27 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, s
 
     Rows whose crc32(doc_id) modulo ``folds`` is ``held_out`` teach nothing,
     nor do NULL ids, NULL labels and labels without a document. Of each label
-    the ``sample`` rows with the smallest id hash are taken (the bound on what
-    reaches the driver: twice ``sample`` texts of ``sample_bytes`` at most)."""
+    ``sample`` documents are taken, those of at most ``sample_bytes`` by the
+    smallest id hash and, only where these are too few, longer ones, the
+    shortest first, while all of them have ``sample * sample_bytes`` bytes
+    at most (one is always taken). That is the bound on what reaches the
+    driver; every text taken is whole."""
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (remainder("doc_id", folds) != held_out))
     share = usable.agg(F.avg("toxic").alias("p")).first().p
-    order = F.xxhash64("doc_id")
-    picked = usable.where("toxic = 1").orderBy(order, "doc_id").limit(sample).unionAll(
-        usable.where("toxic = 0").orderBy(order, "doc_id").limit(sample)).dropDuplicates(["doc_id"])
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
-        F.octet_length("text") <= sample_bytes)
-    # broadcast: 2 * sample rows of two numbers
-    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    size = F.octet_length("text")
+    sizes = texts.select("doc_id", size.alias("bytes")).join(usable, "doc_id").groupBy("doc_id").agg(
+        F.min("bytes").alias("bytes"), F.max("toxic").alias("toxic"))
+    order = [F.greatest("bytes", F.lit(sample_bytes)), F.xxhash64("doc_id"), F.col("doc_id")]
+    picked = cut_lineage(sizes.where("toxic = 1").orderBy(*order).limit(sample).unionAll(
+        sizes.where("toxic = 0").orderBy(*order).limit(sample)), "llm-sample")
+    so_far = Window.partitionBy("toxic").orderBy(*order)  # 2 * sample rows
+    picked = picked.withColumn("before", F.sum("bytes").over(so_far)).withColumn("at", F.row_number().over(so_far)).where(
+        (F.col("at") == 1) | (F.col("before") <= sample * sample_bytes)).select("doc_id", "bytes", "toxic")
+    # broadcast: 2 * sample rows of three numbers
+    rows = texts.withColumn("bytes", size).join(F.broadcast(picked), ["doc_id", "bytes"]).groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
     rows.sort(key=lambda r: r.doc_id)
     return train([r.text for r in rows], np.array([r.toxic for r in rows], float), share or 0.0)
 
