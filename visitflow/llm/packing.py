@@ -27,6 +27,7 @@ END_ID = 2
 PARTITION_PIECES = 5_000
 TOKENIZER = "byte_bpe_50k.tiktoken"
 SAME_TOKENIZER = "byte_bpe_50k.json"  # the same vocabulary for the other library
+SPECIAL = "<|endoftext|>"
 LONG_SPACE = 100_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -38,7 +39,8 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def load_tokenizer(path: str):
-    """The byte-level BPE of a rank file; one per Python worker and path."""
+    """The byte-level BPE of a rank file with the vocabulary's one special token,
+    whose id is the first behind the ranks; one per Python worker and path."""
     import base64
 
     import public_tokenizers
@@ -48,7 +50,7 @@ def load_tokenizer(path: str):
     if path not in kept:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        kept[path] = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        kept[path] = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
     return kept[path]
 
 
@@ -60,20 +62,19 @@ def load_same_tokenizer(path: str):
     kept = tokenizers.__dict__.setdefault("_loaded_by_path", {})
     if path not in kept:
         kept[path] = tokenizers.Tokenizer.from_file(path)
-        kept[path].encode_special_tokens = True  # their strings in a text are ordinary text
     return kept[path]
 
 
 def encoder(path: str, same_path: str) -> Callable[[str], list[int]]:
     """Token ids of a text. The rank file's library gives up on about a million
     white-space characters in a row; texts with LONG_SPACE of them go to the
-    other library, which has the same ids."""
-    encode = load_tokenizer(path).encode_ordinary
+    other library, which has the same ids. SPECIAL in a text is one token."""
+    ranks = load_tokenizer(path)
 
     def ids(text: str) -> list[int]:
         if len(text) >= LONG_SPACE and max((m.end() - m.start() for m in re.finditer(r"\s+", text)), default=0) >= LONG_SPACE:
             return load_same_tokenizer(same_path).encode(text, add_special_tokens=False).ids
-        return encode(text)
+        return ranks.encode(text, allowed_special="all") if SPECIAL in text else ranks.encode_ordinary(text)
 
     return ids
 
@@ -163,7 +164,8 @@ def _packed(pieces: DataFrame, parts: int, turn: int, capacity: int) -> DataFram
         fill = np.bincount(bins, length, n).astype(np.int64)
         return pdf.assign(bin=bins, offset=offset, full=fill[bins] == capacity, bins=n, bound=lower_bound(length, capacity))
 
-    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(parts)).cast("int")
+    # the row's place in the stored table spreads equal rows too
+    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id(), F.lit(turn)), F.lit(parts)).cast("int")
     return pieces.withColumn("part", part).groupBy("part").applyInPandas(
         pack, PIECES + ", part int, bin bigint, offset bigint, full boolean, bins bigint, bound bigint")
 
