@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.llm.words import BASE, LETTERS, WordHasher, find_words, mix, ragged, slices
@@ -191,16 +191,33 @@ def overlaps_in(seeds: Seeds, column: pa.Array, hasher: WordHasher) -> list[tupl
     return [(r, int(seeds.item[i]), -f[1], f[0], f[2]) for (r, i), f in sorted(best.items())]
 
 
+def _word_text(text_col: str) -> Column:
+    """The text's words (letters, digits and all characters beyond ASCII, A-Z in
+    lower case) with one space between."""
+    low = F.translate(F.col(text_col).cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.trim(F.regexp_replace(low, "[^0-9a-z\\x{80}-\\x{10FFFF}]+", " "))
+
+
+def item_classes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(item_id, class_id) of every item with words: class_id, under which
+    ``overlaps`` reports it, is the smallest id of the items of equal words."""
+    items = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), _word_text(text_col).alias("words")).where(
+        "item_id is not null and words <> ''")
+    first = items.groupBy("words").agg(F.min("item_id").alias("class_id"))
+    return items.join(first, "words").select("item_id", "class_id").distinct()
+
+
 def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                      block_words: int = BLOCK_WORDS) -> Iterator[Seeds]:
     """The benchmark's seeds in blocks of about ``block_words`` words, one at a
-    time on the driver. NULL ids and texts without words are left out."""
+    time on the driver. NULL ids and texts without words are left out. Items of
+    equal words are in one block."""
     items = benchmark.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where(
         "id is not null and text is not null")
     n_bytes = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-n_bytes // (4 * block_words)))  # words take four bytes or more with their space
     for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k)
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64(_word_text("text")), F.lit(blocks)) == k)
         yield build_seeds([(r.id, r.text) for r in part.collect()])
 
 
@@ -210,7 +227,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     ``docs`` and benchmark item that overlap. Words are runs of letters and
     digits, A-Z in lower case. Items below MIN_WORDS words must be there whole,
     80 % of their words equal (below five words: all); an item of one word must
-    be the whole text. NULL and empty texts and an empty benchmark
+    be the whole text. Items of equal words are one, under the smallest id
+    (``item_classes`` has the others). NULL and empty texts and an empty benchmark
     overlap nothing; a NULL doc_id is reported as NULL; repeated rows are each
     reported."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -78,8 +78,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlaps of ``documents`` with ``benchmark``, one row per document and item."""
-    return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    """Overlaps of ``documents`` with ``benchmark``, one row per document and
+    class of equal items, with the ids of all items of the class."""
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    found = decontaminate.overlaps(read_table(spark, sf_dir, "documents"), benchmark)
+    members = decontaminate.item_classes(benchmark).groupBy(F.col("class_id").alias("item_id")).agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"))
+    return found.join(members, "item_id", "left").select(*found.columns, "item_ids")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
