@@ -15,6 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from visitflow.config import cut_lineage
 from visitflow.llm import brown_lm, components, decontaminate, packing, queries, simhash, toxicity
 from visitflow.llm.words import WordHasher, find_words
 from visitflow.sources.tables import read_table
@@ -111,11 +112,24 @@ def test_manhattan_is_a_lower_bound():
     assert (np.bitwise_count(simhash.counts(a) ^ simhash.counts(b)) <= np.bitwise_count(a ^ b)).all()
 
 
+def test_keep_first_keeps_one_row_of_each_group(spark):
+    """One id on rows of two texts, rows that repeat a kept row, ids that are
+    NULL, and columns named like the operator's own."""
+    x, y = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
+    z = " ".join(f"z{k}" for k in range(40))
+    rows = [(2, y), (5, x), (5, y), (7, x), (7, x), (9, z), (9, z), (9, z), (None, z), (None, "only without an id " + x[::-1]), (None, "only without an id " + x[::-1])]
+    df = spark.createDataFrame([(i, t, "k", k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, key string, _dropped_id int")
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(2, y), (5, x), (9, z), rows[-1]], key=str)
+
+
 def test_keep_first(spark):
     kept = simhash.keep_first(docs_df(spark))
     assert kept.columns == docs_df(spark).columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 4, 5, 5, 7, 8] and ids.count(None) == 2
+    assert sorted(i for i in ids if i is not None) == [1, 4, 5, 7, 8] and ids.count(None) == 1
     assert simhash.keep_first(empty_docs(spark)).count() == 0
 
 
@@ -241,12 +255,12 @@ def test_tokens_equal_the_reference_tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     rnd = random.Random(1)
     pool = ["a", "B", "é", "ß", "漢", "\U0001F600", " ", "  ", "\n", "\t", "'s", "'ll", "12", "٣", ".", "--", " ", "​", "\x1c", "<|endoftext|>", "ǅ", "the", "\r\n"]
     texts = ["".join(rnd.choices(pool, k=rnd.randint(0, 40))) for _ in range(3000)]
-    own = packing.load_tokenizer(packing.tokenizer_path())
-    assert [own.encode_ordinary(x) for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    own = packing.encoder(packing.tokenizer_path(), packing.tokenizer_path(packing.SAME_TOKENIZER))
+    assert own("@ <|endoftext|> x") == t.encode("@ <|endoftext|> x", add_special_tokens=False).ids and 50256 in own("@ <|endoftext|> x")
+    assert [own(x) for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def test_tokens_of_very_long_white_space():
@@ -254,7 +268,6 @@ def test_tokens_of_very_long_white_space():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     own = packing.encoder(packing.tokenizer_path(), packing.tokenizer_path(packing.SAME_TOKENIZER))
     n = packing.LONG_SPACE
     for text in (" " * (n - 1) + "a b", "x" + " \n" * n + "y <|endoftext|>", "\n" * 1_200_000, "a" * n + "\t" * 1_200_000 + "b"):
@@ -287,6 +300,31 @@ def test_packing_places_every_piece(spark):
     assert packing.pack(packing.token_pieces(empty_docs(spark))).count() == 0
 
 
+def test_packing_query_rows(spark):
+    """The query's rows by the tokenizer itself, and their packing."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").collect()
+    got = queries.op6_best_fit_packing(spark, "/root/testdata/sf0.001").collect()
+    want = set()
+    for d in docs:
+        ids = [*t.encode(d.text or "", add_special_tokens=False).ids, 2]
+        head = len(ids) % 1024 if len(ids) > 1024 else 0
+        cuts = [0, *range(head, len(ids), 1024)] if head else [*range(0, len(ids), 1024)]
+        for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(ids)])):
+            want.add((d.doc_id, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == want and len(got) == len(want)
+    check_packing(got, got)
+
+
+def test_packing_spreads_equal_rows(spark):
+    rows = spark.createDataFrame([(None, 0, 0, 300, 5)] * 40_000, packing.PIECES).repartition(4)
+    parts = packing._packed(cut_lineage(rows, "t"), 8, 0, 1024).groupBy("part").count().collect()
+    assert max(r["count"] for r in parts) < 2 * 40_000 / 8
+
+
 def test_packing_partitions_exchange(spark):
     rnd = random.Random(8)
     lengths = [rnd.randint(1, 700) for _ in range(4000)]
@@ -310,6 +348,18 @@ def test_bounds_never_exceed_the_optimum():
 
 # decontamination ---------------------------------------------------------
 
+def test_equal_items_are_one_class_for_any_blocks(spark):
+    rnd = random.Random(2)
+    items = [(k, " ".join(f"w{rnd.randint(0, 500)}" for _ in range(20))) for k in range(8)]
+    same = items[2][1]
+    bench = spark.createDataFrame([*items, (20, same.upper() + "!"), (21, same.replace(" ", " - ")), (22, None)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, same), (2, items[5][1])], "doc_id bigint, text string")
+    for block in (2_000_000, 60, 20, 5):
+        assert sorted((r.doc_id, r.item_id) for r in decontaminate.overlaps(docs, bench, block_words=block).collect()) == [(1, 2), (2, 5)], block
+    classes = {r.item_id: r.class_id for r in decontaminate.item_classes(bench).collect()}
+    assert classes == {**{k: k for k in range(8)}, 20: 2, 21: 2}
+
+
 def test_overlaps_with_replaced_words(spark):
     rnd = random.Random(6)
     items = [(k, " ".join(f"w{rnd.randint(0, 5000)}" for _ in range(rnd.randint(16, 50)))) for k in range(30)]

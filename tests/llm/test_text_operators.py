@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import random
 import re
 
@@ -232,3 +233,50 @@ def test_html_awkward_pages(spark):
     got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
     assert got[0] == "deep" and got[3] == "x" and got[5] == "" and got[6] == "é" * 10 and len(got) == len(pages)
     assert html_extract.extract(df.where("false")).count() == 0
+
+
+BODY = "".join(f"<p>A paragraph of some length that says something about the matter at hand, number {k}, and goes on.</p>" for k in range(4))
+MAIN = f"<h1>Title</h1>{BODY}"
+LINKS = "".join(f"<a href=/{k}>a link to page {k}</a> " for k in range(8))
+
+
+def lines_of(page):
+    return html_extract.main_text(f"<html><body>{page}</body></html>").split("\n\n")
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="has-sidebar"><nav>{LINKS}</nav><article>{MAIN}</article></div>', f'<div class="layout no-comments"><article>{MAIN}</article></div>',
+    f'<div class="elementor-widget"><div>{MAIN}</div></div>', f'<div class="social-article">{MAIN}</div>', f"<form><article>{MAIN}</article></form>",
+    f"<form><div>{MAIN}</div></form>", f"<div>{LINKS}</div><div>{MAIN}</div><div>{LINKS}</div>", f"<aside>{MAIN.upper()}</aside><div><div>{MAIN}</div></div>",
+    f'<div class="site-footer"><p>All rights reserved.</p></div><div>{MAIN}</div><ul id="post-comments-list"><li>a comment</ul>',
+    f'<article>{MAIN}</article><div><p>Text beside the article.</p></div>'])
+def test_article_is_kept_whatever_wraps_it(page):
+    got = lines_of(page)
+    assert got[0] == "Title" and len(got) == 5 and got[-1].startswith("A paragraph")
+
+
+def test_articles_and_their_parts_are_kept():
+    assert len(lines_of(f"<article>{MAIN}</article><article>{MAIN}</article>")) == 10
+    inner = '<p class="notice">Note this.</p><section id="share-price"><p>It went up.</p></section><h2 class="recommended">For whom</h2><p>so <math><mi>y</mi></math> is</p>'
+    assert lines_of(f"<article>{MAIN}{inner}</article>")[5:] == ["Note this.", "It went up.", "For whom", "so y is"]
+
+
+def test_densities_decide(monkeypatch):
+    page = f"<div>{LINKS}</div><div><div>{MAIN}</div></div><div>{LINKS}</div>"
+    assert len(lines_of(page)) == 5
+    monkeypatch.setattr(html_extract, "_density", lambda node, body_links: 0.0)
+    assert len(lines_of(page)) > 5
+
+
+def test_pages_without_article_tags_give_the_same_text(spark):
+    rows = queries.op10_html_extraction(spark, SMALL).collect()
+    pages = {r.page_id: r for r in read_table(spark, SMALL, "pages").collect()}
+    assert len(rows) == len(pages) and sum(r.n_chars > 0 for r in rows) > 0.9 * len(rows)
+    for r in rows:
+        page = pages[r.page_id]
+        assert r.url == page.url and r.n_chars == len(r.text)
+        assert html_extract.main_text(re.sub(r"<(/?)article\b", r"<\1div", page.html or "")) == r.text
+        # the table's articles: what stands between the tags, without any tag
+        inner = re.search(r"<article>(.*)</article>", page.html or "", re.S)
+        plain = re.sub(r"<[^>]*>", " ", inner[1]) if inner else ""
+        assert html.unescape(plain).split() == r.text.split()
