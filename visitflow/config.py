@@ -2,9 +2,9 @@
 
 Library functions never build their own session: the caller passes one in.
 ``local_session`` exists for tests, the bench and the smoke entry point.
-``shared_dir`` returns the folder named by ``spark.checkpoint.dir``; only when
-that setting is absent (a laptop, a unit test) does it create a scratch folder
-and record it in the session, so cluster jobs always use the shared folder.
+``shared_dir`` returns the folder named by ``spark.checkpoint.dir``; only where
+that setting is absent on a local master (a laptop, a unit test) does it make a
+scratch folder, so cluster jobs always use the shared folder.
 """
 
 from __future__ import annotations
@@ -56,20 +56,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}  # of sessions on this machine alone, by application
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints, sink tables and state.
 
-    Read from ``spark.checkpoint.dir``. When unset (tests, local runs only) a
-    scratch folder is created once and recorded in the session.
+    Read from ``spark.checkpoint.dir``. Where that is unset and the master is
+    local (tests, laptops), a scratch folder is made once per application; on
+    a cluster that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if not spark.conf.get("spark.master", "local").startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(checkpoints, sink tables and stream state are written there)")
-        path = tempfile.mkdtemp(prefix="visitflow-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.conf.get("spark.app.id", "")
+        path = _LOCAL_DIRS.get(app) or _LOCAL_DIRS.setdefault(app, tempfile.mkdtemp(prefix="visitflow-"))
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
