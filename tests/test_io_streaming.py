@@ -145,6 +145,35 @@ def test_csv_quality_split(spark):
     assert sorted(r.value for r in raw.collect()) == ["a,b,c", "x,y,z"]
 
 
+def test_csv_quarantine_keeps_every_line(spark):
+    """Valid and rejected lines of one pass, with their files; NULL lines, no rejects, no lines."""
+    folder = new_subdir(spark, "t_quarantine")
+    for k, lines in enumerate((["a,b", "c", "d,"], ["e,f", ",", "g,h,i"])):
+        Q.write_lines_with_header(spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1), f"{folder}/{k}", "x,y")
+    lines = Q.read_lines(spark, f"{folder}/*", with_file=True)
+    path = Q.split(Q.classify_lines(lines, 2), new_subdir(spark, "t_split"))
+    bad = Q.quarantined(spark, path)
+    assert sorted((r.line, r.reject_reason) for r in bad.collect()) == [(",", "empty_field"), ("c", "field_count"), ("d,", "empty_field"), ("g,h,i", "field_count")]
+    assert bad.select("file").distinct().count() == 2 and bad.where("file is null").count() == 0
+    assert "PartitionFilters: [isnotnull(verdict" in bad._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, Q.accepted(spark, path, ["x", "y"]).collect())) == [("a", "b"), ("e", "f")]
+    hand_made = spark.createDataFrame([(None,), ("a,b",)], "value STRING")
+    path = Q.split(Q.classify_lines(hand_made, 2), new_subdir(spark, "t_split"))
+    assert [tuple(r) for r in Q.quarantined(spark, path).collect()] == [(None, None, "field_count")]
+    path = Q.split(Q.classify_lines(hand_made.where("value is not null"), 2), new_subdir(spark, "t_split"))
+    assert Q.quarantined(spark, path).count() == 0 and Q.accepted(spark, path, ["x", "y"]).count() == 1
+
+
+def test_csv_job_with_a_quarantine(spark):
+    from visitflow.plans import jobs
+    folder = new_subdir(spark, "t_csv_job")
+    Q.write_lines_with_header(spark.createDataFrame([("a,b",), ("c",), ("e,",)], "value STRING"), folder, "x,y")
+    out, kept = new_subdir(spark, "t_csv_out"), new_subdir(spark, "t_csv_kept")
+    counts = jobs.split_valid_csv(spark, folder, out, 2, ["x", "y"], quarantine=kept)
+    assert sorted(map(tuple, counts.collect())) == [("empty_field", 1), ("field_count", 1)]
+    assert [tuple(r) for r in spark.read.option("header", True).csv(out).collect()] == [("a", "b")]
+
+
 def test_kv_values_with_separators_come_back_unchanged(spark):
     words = ["x|user_id=9=1", "%7C", "a=b|c%", "", "100%25"]
     df = spark.createDataFrame([(i, w, 7) for i, w in enumerate(words)], "id INT, word STRING, user_id BIGINT")

@@ -588,6 +588,25 @@ def q_csv_reject_counts(spark, sf_dir):
     return Q.reject_counts(Q.classify_lines(lines, len(LINEITEM_FIELDS)))
 
 
+def _split_lines(spark, sf_dir) -> str:
+    lines = Q.read_lines(spark, _lineitem_csv(spark, sf_dir), with_file=True)
+    return Q.split(Q.classify_lines(lines, len(LINEITEM_FIELDS)), new_subdir(spark, "csv_split"))
+
+
+@query("csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    """Every rejected line with its reason, read back from the quarantine
+    that one pass wrote beside the valid lines."""
+    rejected = Q.quarantined(spark, _split_lines(spark, sf_dir))
+    return rejected.select("line", "reject_reason", F.col("file").isNotNull().alias("has_file"))
+
+
+@query("csv_accepted_rows")
+def q_csv_accepted_rows(spark, sf_dir):
+    """The valid rows of the same pass."""
+    return Q.accepted(spark, _split_lines(spark, sf_dir), LINEITEM_FIELDS)
+
+
 @query("synthetic_visit_counts")
 def q_synthetic_visit_counts(spark, sf_dir):
     """One synthetic visit row per event id (seed 666), counted per

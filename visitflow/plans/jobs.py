@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from visitflow.operators import area as A
 from visitflow.operators import categories as C
@@ -118,16 +119,22 @@ def ad_click_counts(messages: DataFrame, sink_path: str, checkpoint: str, waterm
 
 
 def split_valid_csv(spark, in_path: str, out_path: str, n_fields: int, names=None,
-                    n_files: int | None = None, sep: str = ",") -> DataFrame:
+                    n_files: int | None = None, sep: str = ",", quarantine: str | None = None) -> DataFrame:
     """The CSV validation job: read delimited files (one header line per file),
     keep lines with exactly ``n_fields`` non-blank fields, write them as files
     with a header each (``n_files`` of them if given, else as many as the input
-    has splits), and return the reject counts."""
+    has splits), and return the reject counts. With ``quarantine`` the input is
+    read once: all lines go to that table under their verdict, and both the
+    files and the counts come from there."""
     from visitflow.sources import quality as Q
     names = list(names) if names else [f"c{i + 1}" for i in range(n_fields)]
-    classified = Q.classify_lines(Q.read_lines(spark, in_path), n_fields, sep)
-    Q.write_split_csv(Q.valid_rows(classified, names), out_path, n_files, sep)
-    return Q.reject_counts(classified)
+    classified = Q.classify_lines(Q.read_lines(spark, in_path, with_file=quarantine is not None), n_fields, sep)
+    if quarantine is None:
+        Q.write_split_csv(Q.valid_rows(classified, names), out_path, n_files, sep)
+        return Q.reject_counts(classified)
+    Q.split(classified, quarantine)
+    Q.write_split_csv(Q.accepted(spark, quarantine, names, sep), out_path, n_files, sep)
+    return Q.quarantined(spark, quarantine).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("line_count"))
 
 
 def mock_tables(spark, n_actions: int, n_users: int = 100, seed: int = 666) -> dict[str, DataFrame]:

@@ -392,7 +392,7 @@ lines AS (
                              l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) END AS line
   FROM li),
 cls AS (
-  SELECT string_split(line, ',') AS f,
+  SELECT line, string_split(line, ',') AS f,
          CASE WHEN len(string_split(line, ',')) <> 11 THEN 'field_count'
               WHEN len(list_filter(string_split(line, ','), lambda x: trim(x) = '')) > 0 THEN 'empty_field' END AS reason
   FROM lines)
@@ -401,6 +401,11 @@ oracle("csv_valid_rows", LINES_CTE + """
 SELECT f[1] AS l_orderkey, f[2] AS l_partkey, f[3] AS l_suppkey, f[4] AS l_linenumber, f[5] AS l_quantity,
        f[6] AS l_extendedprice, f[7] AS l_discount, f[8] AS l_tax, f[9] AS l_returnflag, f[10] AS l_linestatus,
        f[11] AS l_shipdate FROM cls WHERE reason IS NULL""")
+oracle("csv_accepted_rows", LINES_CTE + """
+SELECT f[1] AS l_orderkey, f[2] AS l_partkey, f[3] AS l_suppkey, f[4] AS l_linenumber, f[5] AS l_quantity,
+       f[6] AS l_extendedprice, f[7] AS l_discount, f[8] AS l_tax, f[9] AS l_returnflag, f[10] AS l_linestatus,
+       f[11] AS l_shipdate FROM cls WHERE reason IS NULL""")
+oracle("csv_quarantine", LINES_CTE + "SELECT line, reason AS reject_reason, true AS has_file FROM cls WHERE reason IS NOT NULL")
 oracle("csv_reject_counts", LINES_CTE + """
 SELECT reason AS reject_reason, CAST(count(*) AS BIGINT) AS line_count FROM cls WHERE reason IS NOT NULL GROUP BY reason""")
 
