@@ -1,10 +1,10 @@
 """Product clicks by area.
 
 Clicks are joined to the city dimension (broadcast by Spark from its measured
-size), counted per (area, product) with the distinct city labels
-gathered by a partial-able ``collect_set`` (bounded by the cities of one
-area), tiered by area, and ranked per area with a literal top-k window that
-Spark limits on the map side.
+size), counted per (area, product, city) first, so that the city lists of an
+(area, product) are built from its distinct cities and not from its clicks,
+tiered by area, and ranked per area with a literal top-k window that Spark
+limits on the map side.
 """
 
 from __future__ import annotations
@@ -36,10 +36,14 @@ def group_concat_distinct(col, sep: str = ",") -> Column:
 
 
 def area_product_clicks(clicks_city: DataFrame, sep: str = ":") -> DataFrame:
-    """(area, product_id, click_count, city_infos 'id:name,...')."""
+    """(area, product_id, click_count, city_infos 'id:name,...').
+
+    Two levels: clicks per city are an ordinary partial sum, so a product with
+    a third of all clicks reaches the second level as one row per city."""
     label = concat_long_string("city_id", "city_name", sep)
-    return (clicks_city.groupBy("area", "product_id")
-            .agg(F.count(F.lit(1)).alias("click_count"),
+    per_city = clicks_city.groupBy("area", "product_id", "city_id", "city_name").agg(F.count(F.lit(1)).alias("n"))
+    return (per_city.groupBy("area", "product_id")
+            .agg(F.sum("n").alias("click_count"),
                  group_concat_distinct(label).alias("city_infos")))
 
 
