@@ -1,7 +1,9 @@
 """Plan-shape checks for the scale properties the operators rely on."""
 
+from visitflow.operators import area as A
 from visitflow.operators import categories as C
 from visitflow.operators import ordering as O
+from visitflow.operators import sessions as S
 from visitflow.sources.adapter import SuppliedTables
 
 SF = "/root/testdata/sf0.001"
@@ -106,3 +108,36 @@ def test_cluster_settings_scale_with_input():
     assert cluster_settings(2 ** 40)["spark.sql.shuffle.partitions"] == "819"
     assert s["spark.sql.adaptive.enabled"] == "true"
     assert cluster_settings(10 * 2 ** 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_kept_ids_prune_the_log_before_its_shuffle(spark):
+    """Beyond a broadcast, a Bloom filter of the ids drops other sessions' rows at the scan."""
+    actions = SuppliedTables(spark, SF).actions()
+    few = S.aggregate_sessions(actions).where("step_length >= 2")
+    want = sorted(r.event_id for r in S.session_detail(actions, few).select("event_id").collect())
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    saved = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = S.session_detail(actions, few).select("event_id")
+        log_side = _optimized(df).split("LeftSemi")[1].split("Relation")[0]
+        assert "might_contain" in log_side
+        assert sorted(r.event_id for r in df.collect()) == want and 0 < len(want) < actions.count()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def test_city_lists_are_built_from_distinct_cities(spark):
+    """A third of the clicks on one product: its last aggregate reads a row per city."""
+    rows = [(e, e % 25, 7 if e % 3 == 0 else e % 500) for e in range(30_000)]
+    clicks = spark.createDataFrame(rows, "event_id BIGINT, city_id BIGINT, product_id BIGINT")
+    cities = spark.createDataFrame([(i, f"c{i}", f"a{i % 2}") for i in range(25)], "city_id BIGINT, city_name STRING, area STRING")
+    counted = A.area_product_clicks(A.clicks_with_city(clicks, cities))
+    plan = _optimized(counted)
+    inner = plan[plan.index("Aggregate", plan.index("Aggregate") + 1):]
+    assert "collect_set" not in inner.split("Project")[0] and "city_id" in inner.split("\n")[0]
+    got = {(r.area, r.product_id): r for r in counted.collect()}
+    assert got["a0", 7].click_count + got["a1", 7].click_count == sum(p == 7 for _, _, p in rows)
+    assert len(got["a0", 7].city_infos.split(",")) == 13

@@ -121,4 +121,6 @@ def cluster_settings(input_bytes: float, shuffle_fraction: float = 0.2,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_mb,
         "spark.sql.files.maxPartitionBytes": target_mb,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{(target_partition_bytes * 4) >> 20}m",
+        # kept ids up to this size prune the log's scan by a Bloom filter
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
     }

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from visitflow.config import cut_lineage
+from visitflow.operators.joins import kept_rows
 
 KEYS = ("visit_day", "hour")
 HELD_ROWS = 1 << 18  # kept sessions a task holds before it passes its sketches on
@@ -125,4 +126,4 @@ def stratified_sample(sessions: DataFrame, n: int = 100, seed: int = 42, n_days:
 
 def sample_detail(actions: DataFrame, sample: DataFrame) -> DataFrame:
     """Visit-log rows of the sampled sessions."""
-    return actions.join(sample.select("session_id"), "session_id", "left_semi")
+    return kept_rows(actions, sample)

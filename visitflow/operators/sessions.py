@@ -20,9 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitflow.config import cut_lineage
 from visitflow.functions import predicates as P
 from visitflow.functions.expressions import day_hour_key, is_present, ratio_half_up, seconds_between
+from visitflow.operators.joins import kept_rows
 
 # Session-length buckets, upper bounds inclusive, lower exclusive.
 VISIT_LENGTH_BUCKETS = (
@@ -179,20 +179,15 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
 
 
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Visit-log rows of the given sessions (semi join on session_id).
-
-    The ids are stored first (a job at build time), so the join reads them
-    from files: their size is measured, and beyond the broadcast threshold
-    both sides are plain shuffles, whose skewed partitions AQE splits.
-    """
-    ids = cut_lineage(sessions.select("session_id"), "session-ids")
-    return actions.join(ids, "session_id", "left_semi")
+    """Visit-log rows of the given sessions (semi join on session_id, pruned
+    at the log's scan)."""
+    return kept_rows(actions, sessions)
 
 
 def kept_touches(actions: DataFrame, kept: DataFrame) -> DataFrame:
-    """The category columns of the log rows of the ``kept`` (stored) sessions."""
+    """The category columns of the log rows of the ``kept`` sessions."""
     cols = ["session_id", "event_id", "click_category_id", "order_category_ids", "pay_category_ids"]
-    return actions.select(*cols).join(kept.select("session_id"), "session_id", "left_semi")
+    return kept_rows(actions.select(*cols), kept)
 
 
 def bucket_rows(stats: DataFrame, prefix: str) -> DataFrame:
