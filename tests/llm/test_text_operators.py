@@ -195,6 +195,14 @@ def test_lines_match_plain_counts(spark):
     assert sorted(((r.doc_id, r.source, r.text) for r in out.collect()), key=str) == sorted(want, key=str)
 
 
+def test_lines_with_columns_named_like_its_own(spark):
+    rows = [(i, f"menu\nown line {i}", "h", "a", "b", "c", "d", "e") for i in range(10)]
+    names = "doc_id bigint, text string, source string, _lines string, lines string, Kept string, host string, boilerplate string"
+    df = spark.createDataFrame(rows, names)
+    got = line_dedup.drop_boilerplate(df).collect()
+    assert sorted(map(tuple, got)) == sorted((r[0], f"own line {r[0]}", *r[2:]) for r in rows)
+
+
 def test_lines_awkward_rows(spark):
     assert line_dedup.drop_boilerplate(docs_df(spark)).count() == len(AWKWARD)
     assert line_dedup.drop_boilerplate(empty_docs(spark), counts=("a", "b")).count() == 0

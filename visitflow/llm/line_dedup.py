@@ -38,26 +38,39 @@ def boilerplate_lines(docs: DataFrame, host_col: str = "source", text_col: str =
         F.col("n_pages") > F.lit(ratio) * F.col("host_pages")).select("f.host", "line_hash", "n_pages", "host_pages")
 
 
+def _free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
                      min_pages: int = MIN_PAGES, counts: tuple[str, str] | None = None, copies: bool = True) -> DataFrame:
     """``docs`` with the boilerplate lines of each host taken out of the text;
     all other lines keep their order, and all rows stay, so a page of
     boilerplate alone has ''. NULL texts stay NULL, repeated rows each come
-    back, an empty table gives an empty one. ``counts`` names two further
+    back, an empty table gives an empty one. Pages are rows: two rows of one id
+    are two pages (the SQL twin, which counts ids, agrees where ids are distinct). ``counts`` names two further
     columns: the text's lines and the lines dropped; ``copies`` is as above."""
     found = boilerplate_lines(docs, host_col, text_col, ratio, min_pages, copies)
-    per_host = cut_lineage(found.groupBy("host").agg(F.collect_set("line_hash").alias("_boilerplate")).select(
-        F.col("host").alias("_host"), "_boilerplate"), "llm-lines")
+    host, known, lines, kept = _free_names(docs, "host", "boilerplate", "lines", "kept")
+    per_host = cut_lineage(found.groupBy("host").agg(F.collect_set("line_hash").alias(known)).select(
+        F.col("host").alias(host), known), "llm-lines")
     none = F.expr("cast(array() as array<bigint>)")
-    joined = docs.join(per_host, docs[host_col].eqNullSafe(per_host["_host"]), "left").withColumn(
-        "_lines", F.split(F.col(text_col).cast("string"), "\n"))
-    drop = F.coalesce("_boilerplate", none)
-    joined = joined.withColumn("_kept", F.when(F.size(drop) == 0, F.col("_lines")).otherwise(
-        F.filter("_lines", lambda x: ~F.array_contains(drop, F.xxhash64(x)))))
-    text = F.array_join("_kept", "\n").alias(text_col)
+    joined = docs.join(per_host, docs[host_col].eqNullSafe(per_host[host]), "left").withColumn(
+        lines, F.split(F.col(text_col).cast("string"), "\n"))
+    drop = F.coalesce(known, none)
+    joined = joined.withColumn(kept, F.when(F.size(drop) == 0, F.col(lines)).otherwise(
+        F.filter(lines, lambda x: ~F.array_contains(drop, F.xxhash64(x)))))
+    text = F.array_join(kept, "\n").alias(text_col)
     out = [text if c == text_col else F.col(c) for c in docs.columns]
     if counts:
-        n, kept = F.coalesce(F.size("_lines"), F.lit(0)), F.coalesce(F.size("_kept"), F.lit(0))
-        total = F.when(F.col("_lines").isNull(), 0).otherwise(n).cast("bigint")
-        out += [total.alias(counts[0]), (total - F.when(F.col("_kept").isNull(), 0).otherwise(kept)).cast("bigint").alias(counts[1])]
+        n, left = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size(kept), F.lit(0))
+        total = F.when(F.col(lines).isNull(), 0).otherwise(n).cast("bigint")
+        out += [total.alias(counts[0]), (total - F.when(F.col(kept).isNull(), 0).otherwise(left)).cast("bigint").alias(counts[1])]
     return joined.select(*out)
