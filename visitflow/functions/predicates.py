@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from visitflow.functions.expressions import id_list, is_present
+from visitflow.functions.expressions import is_present
 
 
 def _absent(value) -> bool:
@@ -81,11 +81,6 @@ def present(col) -> Column:
     return is_present(col)
 
 
-def has_ids(col) -> Column:
-    """F6 for id lists: at least one id after dropping blanks."""
-    return F.size(id_list(col)) > 0
-
-
 # Default area tiers and their labels.
 DEFAULT_AREA_TIERS: Mapping[str, Iterable[str]] = {
     "A级": ("华北", "华东"),

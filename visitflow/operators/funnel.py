@@ -1,10 +1,10 @@
 """Page single-step conversion.
 
 Consecutive page pairs come from ``visitflow.operators.ordering`` (previous
-row inside a session, in ranges of about equal rows). The flow is a small parameter, so every number the funnel needs - the
-start page's views and each step's pair count - is a conditional count:
-one global aggregate over one pass of the ordered rows, no join, and the
-log is read once for it.
+row inside a session, in ranges of about equal rows). The flow is a small
+parameter, so every number the funnel needs - the start page's views and each
+step's pair count - is a conditional count: one global aggregate over one pass
+of the ordered rows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitflow.functions.expressions import ratio_half_up
-from visitflow.operators.ordering import consecutive_pairs, with_previous
+from visitflow.operators.ordering import with_previous
 
 # Fixed value: the default target page flow.
 DEFAULT_FLOW = (1, 2, 3, 4, 5, 6, 7, 8, 9)
@@ -35,17 +35,12 @@ def page_transitions(actions: DataFrame, ranges: int | None = None) -> DataFrame
     return with_previous(actions, ["page_id"], ranges=ranges).drop("has_prev")
 
 
-def page_pairs(actions: DataFrame, ranges: int | None = None) -> DataFrame:
-    """Consecutive (prev_page_id, page_id) pairs of every session."""
-    return consecutive_pairs(actions, "page_id", ranges)
-
-
 def funnel_counts(actions: DataFrame, flow=DEFAULT_FLOW, ranges: int | None = None) -> DataFrame:
     """One row: ``start_page_pv`` and ``pv_<i>`` (pairs matching step i) for
     every step of the flow, from a single pass. A pair repeated in the flow
     is counted for each of its steps."""
     pages = parse_flow(flow)
-    rows = with_previous(actions, ["page_id"], ranges=ranges)
+    rows = with_previous(actions, ["page_id"], ranges=ranges, ids=False)
     aggs = [F.count_if(F.col("page_id") == F.lit(pages[0])).alias("start_page_pv")]
     for i in range(1, len(pages)):
         aggs.append(F.count_if(F.col("has_prev") & (F.col("prev_page_id") == F.lit(pages[i - 1]))

@@ -62,23 +62,27 @@ def _shifted(columns: list[str], names: list[str]) -> Callable:
 
 
 def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str] = (),
-                  ranges: int | None = None) -> DataFrame:
+                  ranges: int | None = None, ids: bool = True) -> DataFrame:
     """Every row with ``has_prev`` and ``prev_<v>``, the value of the session's
     previous row (NULL on its first). Output: session_id, event_id,
-    action_time, the ``keep`` and ``values`` columns, has_prev, prev_<v>.
+    action_time, the ``keep`` and ``values`` columns, has_prev, prev_<v>;
+    without ``ids`` the first three are left out, and not stored either, unless
+    they are among the others.
 
     ``ranges`` (default: the session's shuffle partitions) is the number of
     ranges; the result does not depend on it. The sorted ranges are stored
     when this is called."""
     values = list(values)
     base = list(dict.fromkeys(["session_id", "event_id", "action_time", *keep, *values]))
+    wanted = base if ids else [c for c in base if c in keep or c in values]
     # inside, columns go by position, so no name of the log's can clash
     own = {name: f"c{i}" for i, name in enumerate(base)}
     rows = actions.select(*[F.col(name).alias(c) for name, c in own.items()])
     shifted = list(dict.fromkeys([own["session_id"], *[own[v] for v in values]]))
     field = {f.name: f for f in rows.schema}
-    rows = sorted_ranges(rows, [own[c] for c in ("session_id", *ORDER)], ranges)
-    schema = StructType([*[field[c] for c in own.values()], StructField("part", IntegerType()),
+    stored = [c for name, c in own.items() if name in wanted or name == "session_id"]
+    rows = sorted_ranges(rows, [own[c] for c in ("session_id", *ORDER)], ranges).select(*stored, "part")
+    schema = StructType([*[field[c] for c in stored], StructField("part", IntegerType()),
                          *[StructField(f"{c}_before", field[c].dataType) for c in shifted],
                          StructField("first", BooleanType()), StructField("edge", BooleanType())])
     read = cut_lineage(rows.mapInArrow(_shifted(shifted, schema.names), schema), "ranges")
@@ -88,10 +92,10 @@ def with_previous(actions: DataFrame, values: Sequence[str], keep: Sequence[str]
     before = {c: F.when(F.col("first"), F.col(f"carry.{c}_before")).otherwise(F.col(f"{c}_before")) for c in shifted}
     session = own["session_id"]
     has_prev = F.coalesce(F.col(session) == before[session], F.lit(False))
-    return joined.select(*[F.col(c).alias(name) for name, c in own.items()], has_prev.alias("has_prev"),
+    return joined.select(*[F.col(own[name]).alias(name) for name in wanted], has_prev.alias("has_prev"),
                          *[F.when(has_prev, before[own[v]]).alias(f"prev_{v}") for v in values])
 
 
 def consecutive_pairs(actions: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
     """(prev_<value>, <value>) for every pair of consecutive rows of a session."""
-    return with_previous(actions, [value], ranges=ranges).where("has_prev").select(f"prev_{value}", value)
+    return with_previous(actions, [value], ranges=ranges, ids=False).where("has_prev").select(f"prev_{value}", value)
