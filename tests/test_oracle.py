@@ -53,7 +53,7 @@ def test_many_ranges_match_oracle(spark, con):
 
 def test_every_query_has_a_sql_twin():
     own = set(E.queries()) - set(E.LLM_QUERIES)
-    assert own == set(E.oracle_sql()) - set(E.LLM_ORACLE) and len(own) == 65
+    assert own == set(E.oracle_sql()) - set(E.LLM_ORACLE) and len(own) == 75
 
 
 def test_bench_prints_one_json_line():
