@@ -101,11 +101,11 @@ class UpsertSink:
         return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
     def _latest(self, rows: DataFrame) -> DataFrame:
-        """One row per key and query (of a delta: and batch): its latest."""
+        """Totals: the latest row of each key and query."""
+        totals = rows.where(F.col("kind") == TOTAL)
         values = [c for c in rows.columns if c not in self.keys and c not in _META]
-        own = F.when(F.col("kind") == DELTA, F.col("batch_id")).alias("own")
-        return rows.groupBy("kind", "query_id", own, *self.keys).agg(
-            F.max_by(F.struct("batch_id", *values), "batch_id").alias("v")).select("kind", "query_id", *self.keys, "v.*")
+        return totals.groupBy("kind", "query_id", *self.keys).agg(
+            F.max_by(F.struct("batch_id", *values), "batch_id").alias("v")).select("kind", "query_id", "v.batch_id", *self.keys, *[f"v.{c}" for c in values])
 
     @staticmethod
     def _added(rows: DataFrame, *by: str) -> DataFrame:
@@ -118,7 +118,8 @@ class UpsertSink:
         e.g. one day) is applied before the aggregate, so it prunes folders."""
         version, marks = self.manifest(spark)
         rows = self._rows(spark, version, self._batches(spark, marks))
-        return self._added(self._latest(rows if where is None else rows.where(where)), *self.keys)
+        rows = rows if where is None else rows.where(where)
+        return self._added(self._latest(rows).unionAll(rows.where(F.col("kind") == DELTA)), *self.keys)
 
     # ---------------------------------------------------------------- folding
     def fold(self, spark: SparkSession) -> int | None:
@@ -153,11 +154,9 @@ class UpsertSink:
 
     def _commit(self, spark: SparkSession, path: str, rows: DataFrame, marks: dict[tuple[str, str], int], before: int | None) -> int:
         new = max((before or 0) + 1, time.time_ns() // 1_000_000)
-        latest = self._latest(rows)
-        deltas = self._added(latest.where(F.col("kind") == DELTA), *self.keys).select(
-            F.lit(DELTA).alias("kind"), F.lit("folded").alias("query_id"), F.lit(new).cast("bigint").alias("batch_id"), "*")
-        state = latest.where(F.col("kind") == TOTAL).select(*deltas.columns).unionAll(deltas)
-        self._write(state, f"{path}/snapshot/version={new}")
+        meta = [F.lit(DELTA).alias("kind"), F.lit("folded").alias("query_id"), F.lit(new).cast("bigint").alias("batch_id")]
+        added = self._added(rows.where(F.col("kind") == DELTA), *self.keys).select(*meta, *rows.columns[len(_META):])
+        self._write(self._latest(rows).unionAll(added), f"{path}/snapshot/version={new}")
         table = spark.createDataFrame([(k, q, int(b)) for (k, q), b in marks.items()], "kind string, query_id string, batch_id bigint")
         table.coalesce(1).write.mode("errorifexists").parquet(f"{path}/manifest/version={new}")
         return new
