@@ -78,13 +78,13 @@ def test_fold_keeps_counts_of_running_and_new_queries(spark):
 def test_reads_of_a_folded_sink_do_not_grow_with_its_batches(spark):
     sink = AD.UpsertSink(new_subdir(spark, "t_fold_cost"), ["k"], kind=AD.DELTA)
     files = []
-    for batch in range(24):
+    for batch in range(12):
         sink.write_batch(spark.createDataFrame([(batch % 3, 1)], "k BIGINT, n BIGINT").coalesce(1), batch, "q")
-        if batch % 4 == 3:
+        if batch % 3 == 2:
             sink.fold(spark)
             files.append(len(sink.read(spark).inputFiles()) + len(spark.read.parquet(f"{sink.path}/log").inputFiles()))
-    assert _counts(sink, spark) == [(0, 8), (1, 8), (2, 8)]
-    assert max(files) <= 40 and files[-1] <= files[1]
+    assert _counts(sink, spark) == [(0, 4), (1, 4), (2, 4)]
+    assert max(files) <= 30 and files[-1] <= files[1]
 
 
 def test_sixty_days_out_of_order_hold_no_state(spark):
