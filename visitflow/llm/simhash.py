@@ -224,7 +224,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = cut_lineage(fingerprints(rows.select("doc_id", "text"), shingle=shingle, keep_key=True), "llm-simhash")
     label = _labels(prints.select("doc_id", "fp"), distance)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    groups = prints.join(label, "fp").groupBy("component").agg(F.min(order).alias("kept"))
+    # stored, so that the join below has plain shuffles on both sides and a large group's rows can be split
+    groups = cut_lineage(prints.join(label, "fp").groupBy("component").agg(F.min(order).alias("kept")), "llm-kept")
     copies = cut_lineage(prints.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp")), "llm-keys")
     found = copies.join(label, "fp").join(groups, "component")
     first = (F.col("kept.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("kept.key") == F.col("key"))
