@@ -231,6 +231,22 @@ def test_lm_units_without_a_table_of_frequent_words(spark, monkeypatch):
     assert all(a[:5] == b[:5] and np.allclose(a[5:], b[5:]) for a, b in zip(want, got)) and len(want) == len(got)
 
 
+def test_lm_driver_holds_no_table_of_all_frequent_words(spark, monkeypatch):
+    """Past the words that are sent, classes and counts come by joins, and the scores are the same."""
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    held_out = F.col("doc_id") % 7 == 2
+    want = {r.doc_id: r for r in brown_lm.score(docs, held_out).collect()}
+    most = brown_lm.most_frequent
+    monkeypatch.setattr(brown_lm, "most_frequent", lambda counts: most(counts, most=1000))
+    model, counts = brown_lm.fit(docs.where(~held_out))
+    assert len(model.units.hashes) <= brown_lm.UNIT_WORDS + 1000 < counts.where(F.col("n") >= brown_lm.OWN_COUNT).count()
+    assert len(model.classes) <= model.units.size + 1000
+    for r in brown_lm.score(docs, held_out).collect():
+        w = want.pop(r.doc_id)
+        assert r[:5] == w[:5] and np.allclose(r[5:], w[5:], rtol=1e-9)
+    assert not want
+
+
 def test_lm_awkward_rows(spark):
     got = brown_lm.score(docs_df(spark), F.col("doc_id") % 2 == 0).collect()
     assert len(got) == len(AWKWARD) and all(math.isfinite(r.score) and r.base_score <= 0 for r in got)

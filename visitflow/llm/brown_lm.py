@@ -10,14 +10,14 @@ and the class bigrams are counted again. Rarer words stay with their ending. A t
 over its words and one end token, of the smoothed class transition and the
 smoothed emission of the word by its class.
 
-Word counts come from all training rows by a grouped sum. The counts of the
-KNOWN most frequent words (a bound, not a share) go to the tasks; all other
-words of a text meet their counts in a join, so every count is exact. The
-driver holds class and unit counts, at most the square of the number of
-units, and hash and class of the words with a class of their own. Words are
-found and hashed twice: to be counted, and to write each text as the numbers of
-its units; bigrams, contexts and scores come from these stored numbers. Words
-are identified by a 64-bit hash.
+Word counts come from all training rows by a grouped sum. Count and class of
+the KNOWN most frequent words (a bound, not a share) go to the tasks; all other
+words of a text meet theirs in a join, so every count is exact and every word
+has its class. The driver holds class and unit counts, at most the square of
+the number of units, and the KNOWN words: nothing that grows with the text.
+Words are found and hashed twice: to be counted, and to write each text as the
+numbers of its units with the hashes of its other words; bigrams, contexts and
+scores come from these stored numbers. Words are identified by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -41,16 +41,19 @@ SWEEPS = 10
 OWN_COUNT = 10
 KNOWN = 1 << 18
 EMISSION_ADD = 0.5
+WORDS_AT_ONCE = 1 << 20  # of stored lines that a task works on; one longer line is taken whole
 BIGRAM_SHARE = 0.95  # of the bigram estimate; the rest is the class's own share
 
 
 @dataclass
 class Units:
-    """Hashes of the unit words, sorted, with the unit of each. Words that have
-    a class of their own without being units are numbered behind the end."""
+    """Hashes of the words that are sent to the tasks, sorted, with the unit
+    and the count of each. Words that have a class of their own without being
+    units are numbered behind the end."""
 
     hashes: np.ndarray
     unit: np.ndarray
+    n: np.ndarray
 
     @property
     def end(self) -> int:
@@ -64,7 +67,7 @@ class Units:
 @dataclass
 class Model:
     units: Units
-    classes: np.ndarray  # class of each unit, and of each word numbered behind them
+    classes: np.ndarray  # class of each unit, and of each sent word numbered behind them
     transition: np.ndarray  # log10, by previous and next class
     emission_total: np.ndarray  # per class: its count and the added mass
     documents: int  # training rows, each an end token
@@ -95,18 +98,43 @@ def _units_of(units: Units, words: Words, hashes: np.ndarray) -> np.ndarray:
     return np.where(at >= 0, own, UNIT_WORDS + _ending(words))
 
 
-def _stream(lines: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """All stored lines of units in a row, an end before the first and behind
-    each, and the number of words of each."""
-    _, offsets, data = lines.buffers()
-    at = np.frombuffer(offsets, np.int32)[lines.offset:lines.offset + len(lines) + 1].astype(np.int64) // 4
-    units = (np.zeros(0, np.int32) if data is None else np.frombuffer(data, np.int32, count=int(at[-1])))[at[0]:]
-    n_words = np.diff(at)
-    out = np.full(len(units) + len(lines) + 1, end, np.int64)
-    out[np.arange(len(units)) + np.repeat(np.arange(len(lines)), n_words) + 1] = units
+def _stored(first: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Row i of a binary column holds ``values[first[i]:first[i + 1]]``."""
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((first * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _numbers(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of such a column in a row, and how many each row has."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) // np.dtype(kind).itemsize
+    return (np.frombuffer(data, kind, count=int(at[-1])) if at[-1] else np.zeros(0, kind))[at[0]:], np.diff(at)
+
+
+def _stream(lines: pa.Array, end: int, kind=np.int32) -> tuple[np.ndarray, np.ndarray]:
+    """All stored lines in a row, an end before the first and behind each, and
+    the number of words of each."""
+    numbers, n_words = _numbers(lines, kind)
+    out = np.full(len(numbers) + len(lines) + 1, end, np.int64)
+    out[np.arange(len(numbers)) + np.repeat(np.arange(len(lines)), n_words) + 1] = numbers
     return out, n_words
 
 
+def _slices(batches: Iterable[pa.RecordBatch], kind=np.int32) -> Iterator[pa.RecordBatch]:
+    return slices(batches, "line", WORDS_AT_ONCE * np.dtype(kind).itemsize)
+
+
+def _unit(numbers: np.ndarray) -> np.ndarray:
+    """The number itself; that of the ending where a word is not sent (``_rows``)."""
+    return np.where(numbers < 0, ~numbers, numbers)
+
+
+def _collect(df: DataFrame) -> list[np.ndarray]:
+    """The columns on the driver, by Arrow: no row becomes an object there."""
+    return [c.to_numpy() for c in df.toArrow().columns]
+
+
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, ending, n) over the texts of ``train``: exact counts."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,20 +163,20 @@ def most_frequent(counts: DataFrame, most: int = KNOWN) -> DataFrame:
     return counts.where(level >= cut)
 
 
-def _pair_counts(lines: DataFrame, of: np.ndarray, end: int, size: int) -> np.ndarray:
+def _pair_counts(lines: DataFrame, of: np.ndarray, end: int, size: int, kind=np.int32) -> np.ndarray:
     """How often each of ``size`` numbers follows each in the stored lines, a
     unit u counted as ``of[u]``; at most size squared sums come back."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size ** 2, np.int64)
-        for batch in batches:
-            line = of[_stream(batch.column("line"), end)[0]]
+        for batch in _slices(batches, kind):
+            line = of[_unit(_stream(batch.column("line"), end, kind)[0])]
             total += np.bincount(line[:-1] * size + line[1:], minlength=len(total))
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["pair", "n"])
 
-    sums = lines.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    pair, n = _collect(lines.select("line").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")))
     out = np.zeros(size ** 2)
-    out[sums["pair"].to_numpy(np.int64)] = sums["n"].to_numpy(np.float64)
+    out[pair] = n
     return out.reshape(size, size)
 
 
@@ -166,53 +194,74 @@ def _gains(table: np.ndarray, out: np.ndarray, back: np.ndarray, own: float) ->
     return gain
 
 
-def own_classes(lines: DataFrame, units: Units, of: np.ndarray, classes: np.ndarray, table: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Class of each word that is numbered behind the units, all of which are
-    in the classes ``start`` now; ``of`` gives every number's unit. A word's
-    pairs with the classes before and behind it are summed on Spark; each word
-    is taken out of ``table`` and put where it fits best."""
-    size, k = units.size, len(table)
+def own_classes(lines: DataFrame, units: Units, of: np.ndarray, classes: np.ndarray, table: np.ndarray) -> DataFrame:
+    """(sent, word, class): the class of each word that is no unit and has
+    OWN_COUNT occurrences; a sent word is named by its place behind the units,
+    any other by its hash. All are in the classes of their endings now; ``of``
+    gives every number's unit. A word's pairs with the classes before and
+    behind it come as one row of counts from each slice of the lines, and meet
+    in the order of the words; each word is taken out of ``table`` and put
+    where it fits best."""
+    size, k, end = units.size, len(table), units.end
+    slots, n_sent, kind = 2 * k + 1, len(of) - size, _kind(2 * k)
 
     def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers = _stream(batch.column("line"), units.end)[0]
-            line = classes[of[numbers]]
-            place = np.flatnonzero(numbers >= size)
-            at = numbers[place] - size
-            itself = numbers[np.minimum(place + 1, len(line) - 1)] == numbers[place]  # the same word twice is one pair
-            before = np.where(numbers[place - 1] == numbers[place], 2 * k, line[place - 1])
-            behind = k + line[np.minimum(place + 1, len(line) - 1)]
-            code = np.r_[at * (2 * k + 1) + before, (at * (2 * k + 1) + behind)[~itself]]
-            code, n = np.unique(code, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+        for batch in _slices(batches):
+            numbers = _stream(batch.column("line"), end)[0]
+            line, others = classes[of[_unit(numbers)]], np.flatnonzero(numbers < 0)
+            hashes, one, back = np.unique(_numbers(batch.column("rest"), np.int64)[0], return_index=True, return_inverse=True)
+            start = np.r_[classes[of[size:]], line[others[one]]]
+            word = np.where(numbers >= size, numbers - size, -1)
+            word[others] = n_sent + back
+            again = word[1:] == word[:-1]  # the same word twice is one pair
+            place = np.flatnonzero(word >= 0)
+            behind = place[~again[place]]
+            code, n = np.unique(np.r_[word[place] * slots + np.where(again[place - 1], 2 * k, line[place - 1]), word[behind] * slots + k + line[behind + 1]],
+                                return_counts=True)
+            first = np.flatnonzero(np.diff(code // slots, prepend=-1))
+            at, bounds = code[first] // slots, np.r_[first, len(code)]
+            name = np.r_[np.arange(n_sent), hashes][at]
+            yield pa.RecordBatch.from_arrays([pa.array(at < n_sent), pa.array(name), pa.array(start[at].astype(np.int32)),
+                                              _stored(bounds, (code % slots).astype(kind)), _stored(bounds, n.astype(np.int32))],
+                                             ["sent", "word", "start", "slots", "n"])
+
+    def choose(key: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        there = np.flatnonzero(counts[:, :k].sum(axis=1) + counts[:, -1] >= OWN_COUNT)
+        found = key[there, 2]
+        for i, count in enumerate(counts[there]):
+            a, back, out, own = found[i], count[:k], count[k:2 * k], count[-1]
+            rest = table.copy()
+            rest[a] -= out
+            rest[:, a] -= back
+            rest[a, a] -= own
+            gain = _gains(rest, out, back, own)
+            b = int(np.argmax(gain))
+            if gain[b] > gain[a] + 1e-9:
+                found[i] = b
+        return pa.RecordBatch.from_arrays([pa.array(key[there, 0] > 0), pa.array(key[there, 1]), pa.array(found)], ["sent", "word", "class"])
 
     def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the last word's rows may go on in the next batch
         for batch in batches:
-            found = []
-            for word, around in zip(batch.column("word").to_pylist(), batch.column("around").to_pylist()):
-                count = np.zeros(2 * k + 1)
-                for x in around:
-                    count[x["slot"]] = x["n"]
-                back, out, own = count[:k], count[k:2 * k], count[-1]
-                a = start[word]
-                rest = table.copy()
-                rest[a] -= out
-                rest[:, a] -= back
-                rest[a, a] -= own
-                gain = _gains(rest, out, back, own)
-                b = int(np.argmax(gain))
-                found.append(b if gain[b] > gain[a] + 1e-9 else int(a))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(found, pa.int64())], ["word", "class"])
-
-    out = start.copy()
-    if len(start):
-        slots = 2 * k + 1
-        sums = lines.mapInArrow(pairs, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-        around = sums.groupBy(F.expr(f"code div {slots}").alias("word")).agg(
-            F.collect_list(F.struct((F.col("code") % slots).cast("int").alias("slot"), "n")).alias("around"))
-        got = around.mapInArrow(best, "word bigint, class bigint").toPandas()
-        out[got["word"].to_numpy(np.int64)] = got["class"].to_numpy(np.int64)
-    return out
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("sent", "word", "start")], axis=1)
+            new = np.r_[True, (key[1:] != key[:-1]).any(axis=1)]
+            slot, per_row = _numbers(batch.column("slots"), kind)
+            row = np.repeat(np.cumsum(new) - 1, per_row)
+            counts = np.bincount(row * slots + slot, _numbers(batch.column("n"), np.int32)[0], new.sum() * slots).reshape(-1, slots)
+            key = key[new]
+            if last is not None and (last[0] == key[:1]).all():
+                counts[0] += last[1][0]
+            elif last is not None:
+                key, counts = np.r_[last[0], key], np.r_[last[1], counts]
+            last = key[-1:], counts[-1:]
+            yield choose(key[:-1], counts[:-1])
+        if last is not None:
+            yield choose(*last)
+
+    around = lines.select("line", "rest").mapInArrow(pairs, "sent boolean, word bigint, start int, slots binary, n binary")
+    return around.repartition("sent", "word").sortWithinPartitions("sent", "word").mapInArrow(best, "sent boolean, word bigint, class bigint")
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -264,46 +313,47 @@ def fit(train: DataFrame, classes: int = CLASSES) -> tuple[Model, DataFrame]:
 
 
 def _fit(src: DataFrame, k: int) -> tuple[Model, DataFrame, DataFrame]:
-    """The model, the stored count table and the stored rows of ``_rows``."""
+    """The model, the stored count table and the stored rows of ``_class_lines``."""
     train = src.where("not held_out")
     counts = cut_lineage(word_counts(train), "llm-counts")
     documents = train.count()
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    known = most_frequent(counts).select("word", "n").toPandas()
-    known_hashes, known_n = known["word"].to_numpy(np.int64).view(np.uint64), known["n"].to_numpy(np.int64)
-    by_hash = np.argsort(known_hashes)
-    known_hashes, known_n = known_hashes[by_hash], known_n[by_hash]
-    top = counts.orderBy(F.desc("n"), "word").limit(UNIT_WORDS).toPandas()
-    unit_hashes = top["word"].to_numpy(np.int64).view(np.uint64)
-    rank = np.argsort(unit_hashes)
-    # all other words that are frequent enough get a class by their own neighbours
-    more = counts.where(F.col("n") >= OWN_COUNT).select("word", "ending").toPandas()
-    more_hashes, ending = more["word"].to_numpy(np.int64).view(np.uint64), more["ending"].to_numpy(np.int64)
-    others = np.flatnonzero(_find(unit_hashes[rank], more_hashes) < 0)
-    others = others[np.argsort(more_hashes[others])]
-    more_hashes, ending = more_hashes[others], ending[others]
-    every, unit = np.r_[unit_hashes[rank], more_hashes], np.r_[rank, UNIT_WORDS + ENDINGS + 1 + np.arange(len(others))]
-    order = np.argsort(every)
-    units = Units(every[order], unit[order].astype(np.int32))
-    of = np.r_[np.arange(units.size), UNIT_WORDS + ending]
+    columns = ["word", "ending", "n"]
+    top = _collect(counts.orderBy(F.desc("n"), "word").limit(UNIT_WORDS).select(columns))
+    known = _collect(most_frequent(counts).select(columns))
+    word, ending, n = (np.r_[a, b].astype(np.int64) for a, b in zip(top, known))
+    n_top = len(top[0])
+    hashes, first = np.unique(word.view(np.uint64), return_index=True)
+    ending, n = ending[first], n[first]
+    # units by rank; other sent words behind the end, if they are frequent enough
+    own = (first >= n_top) & (n >= OWN_COUNT)
+    unit = np.where(first < n_top, first, UNIT_WORDS + ending)
+    unit[own] = UNIT_WORDS + ENDINGS + 1 + np.arange(own.sum())
+    units = Units(hashes, unit.astype(np.int32), n)
+    of = np.r_[np.arange(units.size), UNIT_WORDS + ending[own]]
     # from here on the texts are not read again
-    rows = cut_lineage(src.mapInArrow(_rows(units, known_hashes, known_n), _ROWS), "llm-lines")
-    lines = rows.where("word is null and not held_out").select("line")
+    rows = cut_lineage(src.mapInArrow(_rows(units), _ROWS), "llm-lines")
+    lines = rows.where("not held_out")
     bigrams = _pair_counts(lines, of, units.end, units.size)
     classes = exchange(bigrams, k)
     member = np.eye(k)[classes]
-    found = own_classes(lines, units, of, classes, member.T @ bigrams @ member, classes[UNIT_WORDS + ending])
+    found = cut_lineage(own_classes(lines, units, of, classes, member.T @ bigrams @ member), "llm-own")
+    at, new = _collect(found.where("sent").select("word", "class"))
+    sent = classes[UNIT_WORDS + ending[own]]
+    sent[at] = new
     # distinct words of each unit, and from them of each class
     kinds = np.zeros(units.size)
-    for r in counts.groupBy("ending").count().collect():
-        kinds[UNIT_WORDS + r.ending] = r["count"]
-    kinds[rank] = 1
-    np.subtract.at(kinds, UNIT_WORDS + top["ending"].to_numpy(np.int64)[:len(rank)], 1)
-    np.subtract.at(kinds, UNIT_WORDS + ending, 1)
+    for r in counts.groupBy("ending").agg(F.count(F.when(F.col("n") < OWN_COUNT, 1)).alias("few")).collect():
+        kinds[UNIT_WORDS + r.ending] = r.few
+    np.subtract.at(kinds, UNIT_WORDS + top[1][top[2] < OWN_COUNT].astype(np.int64), 1)
+    kinds[:n_top] = 1
     kinds[units.end] = 1
-    kinds = np.bincount(classes, kinds, k) + np.bincount(found, minlength=k)
-    classes = np.r_[classes, found].astype(np.int64)
-    table = _pair_counts(lines, classes, units.end, k)
+    kinds = np.bincount(classes, kinds, k)
+    for r in found.groupBy("class").count().collect():
+        kinds[r["class"]] += r["count"]
+    classes = np.r_[classes, sent].astype(np.int64)
+    rows = cut_lineage(_class_lines(rows, counts, found.where("not sent"), classes, k), "llm-classes")
+    table = _pair_counts(rows.where("not held_out"), np.arange(k), classes[units.end], k, _kind(k))
     share = (table.sum(axis=0) + 1) / (table.sum() + k)
     sums = table.sum(axis=1, keepdims=True)
     bigram = np.divide(table, sums, out=np.tile(share, (k, 1)), where=sums > 0)
@@ -313,67 +363,100 @@ def _fit(src: DataFrame, k: int) -> tuple[Model, DataFrame, DataFrame]:
     return model, counts, rows
 
 
-_ROWS = "rid bigint, doc_id bigint, held_out boolean, n_words bigint, n_known bigint, base double, emit double, line binary, word bigint, n bigint"
+_ROWS = "rid bigint, doc_id bigint, held_out boolean, n_known bigint, base double, emit double, line binary, rest binary"
+_CLASS_ROWS = "doc_id bigint, held_out boolean, n_known bigint, base double, emit double, line binary"
+
 
+def _kind(k: int) -> np.dtype:
+    """The smallest type that holds every class."""
+    return np.min_scalar_type(k)
 
-def _rows(units: Units, known: np.ndarray, count: np.ndarray):
-    """Per text one row with its units, the number of its frequent words and
-    the sums over them, and a row (rid, word, n) for each other distinct word."""
-    names = [c.split()[0] for c in _ROWS.split(", ")]
-    every = np.union1d(units.hashes, known)
-    unit_of, n_of = np.full(len(every), -1, np.int32), np.full(len(every), -1)
-    unit_of[_find(every, units.hashes)] = units.unit
-    n_of[_find(every, known)] = count
 
+def _rows(units: Units):
+    """Per text its line of units, the number of its sent words and the sums
+    over them, and the hashes of its other words in their order. These stand
+    in the line as the bits of their ending's unit inverted, below zero."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, rid = WordHasher(), TaskContext.get().partitionId() << 36
-        base_known, emit_known = np.log10(np.maximum(n_of, 0) + 1), np.log10(np.maximum(n_of, 0) + EMISSION_ADD)
+        base_known, emit_known = np.log10(units.n + 1), np.log10(units.n + EMISSION_ADD)
         for batch in slices(batches):
             words = find_words(batch.column("text"), lower=True)
             rows, hashes, row = batch.num_rows, hasher(words), row_of_word(words)
-            at = _find(every, hashes)
-            line = unit_of[at] if len(every) else np.full(len(at), -1, np.int32)
-            line = np.where(at >= 0, line, -1).astype(np.int32)
-            rest = np.flatnonzero(line < 0)
-            line[rest] = UNIT_WORDS + _ending(Words(words.raw, words.start[rest], words.end[rest], words.first))
-            there = at >= 0
-            if len(every):
-                there &= n_of[at] >= 0
-            seen = np.bincount(row[there], minlength=rows)
-            base = np.bincount(row[there], base_known[at[there]], rows).astype(float)
-            emit = np.bincount(row[there], emit_known[at[there]], rows).astype(float)
+            at = _find(units.hashes, hashes)
+            sent, rest = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+            line = np.empty(len(at), np.int32)
+            line[sent] = units.unit[at[sent]]
+            line[rest] = ~(UNIT_WORDS + _ending(Words(words.raw, words.start[rest], words.end[rest], words.first)))
+            seen = np.bincount(row[sent], minlength=rows)
+            base = np.bincount(row[sent], base_known[at[sent]], rows).astype(float)
+            emit = np.bincount(row[sent], emit_known[at[sent]], rows).astype(float)
             ids = rid + np.arange(rows)
             rid += rows
-            left = np.flatnonzero(~there)
-            order = left[np.lexsort((hashes[left], row[left]))]
-            first = np.flatnonzero(np.r_[True, (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])]) if len(order) else order
-            stored = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((words.first * 4).astype(np.int32)), pa.py_buffer(line)])
-            long = lambda n: pa.nulls(n, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(words.first)), pa.array(seen),
-                                              pa.array(base), pa.array(emit), stored, long(rows), long(rows)], names)
-            if len(order):
-                n = len(first)
-                real = pa.nulls(n, pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row[order[first]]]), long(n), pa.nulls(n, pa.bool_()), long(n), long(n), real, real, pa.nulls(n, pa.binary()),
-                                                  pa.array(hashes[order[first]].view(np.int64)), pa.array(np.diff(np.r_[first, len(order)]))], names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), batch.column("doc_id"), batch.column("held_out"), pa.array(seen), pa.array(base), pa.array(emit), _stored(words.first, line),
+                 _stored(np.r_[0, np.cumsum(np.diff(words.first) - seen)], hashes[rest].view(np.int64))], [c.split()[0] for c in _ROWS.split(", ")])
 
     return run
 
 
-def _score_rows(model: Model):
-    """The stored text rows with their sums over frequent words made scores."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base_total = np.log10(model.tokens + model.distinct + 1)
+def _class_lines(rows: DataFrame, counts: DataFrame, own: DataFrame, classes: np.ndarray, k: int) -> DataFrame:
+    """The stored rows with the sums over all their words, and lines of classes.
+    Words that are not sent meet their counts, and the classes in ``own``, in a
+    join; those with a class of their own are put in place in their lines."""
+    kind = _kind(k)
+
+    def others(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            line, n_words = _numbers(batch.column("line"), np.int32)
+            place = np.flatnonzero(line < 0)
+            row = np.repeat(np.arange(batch.num_rows), n_words)[place]
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column("rid").to_numpy()[row]), pa.array(place - (np.cumsum(n_words) - n_words)[row]),
+                                              pa.array(_numbers(batch.column("rest"), np.int64)[0])], ["rid", "place", "word"])
+
+    def as_classes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            line, n_words = _numbers(batch.column("line"), np.int32)
+            line = _stored(np.r_[0, np.cumsum(n_words)], classes[_unit(line)].astype(kind))
+            yield batch.set_column(batch.schema.get_field_index("line"), "line", line)
+
+    def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            line, n_words = _stream(batch.column("line"), model.units.end)
-            line, rows = model.classes[line], batch.num_rows
+            line, n_words = _numbers(batch.column("line"), kind)
+            first, line = np.r_[0, np.cumsum(n_words)], line.copy()
+            code = batch.column("put").flatten().to_numpy()
+            line[np.repeat(first[:-1], batch.column("puts").to_numpy()) + code // k] = code % k
+            at = batch.schema.get_field_index("line")
+            yield batch.set_column(at, "line", _stored(first, line)).select([c.split()[0] for c in _CLASS_ROWS.split(", ")])
+
+    c = F.coalesce("c", F.lit(0))
+    known = counts.select("word", F.col("n").alias("c")).join(own.select("word", "class"), "word", "left")
+    sums = rows.select("rid", "line", "rest").mapInArrow(others, "rid bigint, place bigint, word bigint").join(known, "word", "left").groupBy("rid").agg(
+        F.sum(F.log10(c + 1)).alias("more_base"), F.sum(F.log10(c + EMISSION_ADD)).alias("more_emit"), F.count("c").alias("more_known"),
+        F.collect_list(F.col("place") * k + F.col("class")).alias("put"))
+    texts = rows.drop("rest").mapInArrow(as_classes, _ROWS.rsplit(", ", 1)[0])
+    zero = F.lit(0)
+    put_in = F.coalesce("put", F.array().cast("array<bigint>"))
+    return texts.join(sums, "rid", "left").select(
+        "doc_id", "held_out", (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"), (F.col("base") + F.coalesce("more_base", zero)).alias("base"),
+        (F.col("emit") + F.coalesce("more_emit", zero)).alias("emit"), "line", put_in.alias("put"), F.size(put_in).alias("puts")).mapInArrow(put, _CLASS_ROWS)
+
+
+def _score_rows(model: Model, kind):
+    """The stored rows with their sums made scores."""
+    documents, transition, emission_total = model.documents, model.transition, model.emission_total
+    base_total, end = np.log10(model.tokens + model.distinct + 1), model.classes[model.units.end]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, kind):
+            line, n_words = _stream(batch.column("line"), end, kind)
+            rows = batch.num_rows
             of_step = np.repeat(np.arange(rows), n_words + 1)
-            score = np.bincount(of_step, model.transition[line[:-1], line[1:]] - model.emission_total[line[1:]], rows)
-            score += batch.column("emit").to_numpy() + np.log10(model.documents + EMISSION_ADD)
-            base = batch.column("base").to_numpy() + np.log10(model.documents + 1) - (n_words + 1) * base_total
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), pa.array(n_words + 1),
-                                              pa.array(batch.column("n_known").to_numpy() + (model.documents > 0)), pa.array(base), pa.array(score)],
-                                             ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
+            score = np.bincount(of_step, transition[line[:-1], line[1:]] - emission_total[line[1:]], rows)
+            score += batch.column("emit").to_numpy() + np.log10(documents + EMISSION_ADD)
+            base = batch.column("base").to_numpy() + np.log10(documents + 1) - (n_words + 1) * base_total
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(n_words + 1),
+                                              pa.array(batch.column("n_known").to_numpy() + (documents > 0)), pa.array(base), pa.array(score)],
+                                             ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
@@ -389,15 +472,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     all words are unknown and scores are those of the added counts."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(True)).alias("held_out"),
                       F.col(text_col).cast("string").alias("text"))
-    model, counts, rows = _fit(src, classes)
-    c = F.coalesce("c", F.lit(0))
-    rare = rows.where("word is not null").select("rid", "word", "n").join(counts.select("word", F.col("n").alias("c")), "word", "left").groupBy("rid").agg(
-        F.sum(F.col("n") * F.log10(c + 1)).alias("rare_base"), F.sum(F.col("n") * F.log10(c + EMISSION_ADD)).alias("rare_model"),
-        F.sum(F.when(c > 0, F.col("n"))).alias("rare_known"))
-    zero = F.lit(0)
-    texts = rows.where("word is null").mapInArrow(
-        _score_rows(model), "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, model double")
-    return texts.join(rare, "rid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", zero)).alias("n_known"),
-        F.lit(model.tokens).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"),
-        (F.col("model") + F.coalesce("rare_model", zero)).alias("score"))
+    model, _, rows = _fit(src, classes)
+    scored = rows.mapInArrow(_score_rows(model, _kind(classes)),
+                             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
